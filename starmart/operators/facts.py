@@ -94,7 +94,15 @@ def conflict_ignoring_append(batch: DataFrame, fact: DataFrame | None,
     return fresh.join(existing_conflict_keys(fact, dim_product, mode), keys, "left_anti")
 
 
+SALES_KEY_ORDER = ["date_key", "product_key", "transaction_id"]
+
+
 def with_sales_keys(rows: DataFrame, after: int) -> DataFrame:
-    """W09 on the fact: dense sales_key after the current maximum, in conflict-key order."""
-    keyed = assign_keys(rows, [F.col("transaction_id"), F.col("product_key")], "sales_key", after)
+    """W09 on the fact: dense sales_key after the current maximum.
+
+    Numbered in (date, product, transaction) order, which is also the
+    fact's storage order (W25), so numbering and layout share one range
+    shuffle.
+    """
+    keyed = assign_keys(rows, [F.col(c) for c in SALES_KEY_ORDER], "sales_key", after)
     return keyed.select(*C.FACT_COLUMNS, "transaction_date")
