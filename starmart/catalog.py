@@ -64,9 +64,12 @@ class Warehouse:
         self._snap: Snapshot | None = None
 
     # -- paths --------------------------------------------------------------
+    def table_root(self, table: str) -> str:
+        return f"{self.root}/tables/{table}"
+
     def table_path(self, table: str, run_id: int, part: str | None = None) -> str:
-        p = f"{self.root}/tables/{table}/run={run_id}"
-        return f"{p}/{part}" if part else p
+        p = f"{self.table_root(table)}/run={run_id}"
+        return f"{p}/part={part}" if part else p
 
     def log_path(self, name: str) -> str:
         return f"{self.root}/_log/{name}"
@@ -118,7 +121,11 @@ class Warehouse:
                 from .sources.calendar import dim_date
                 return dim_date(self.spark)
             raise KeyError(table)
-        return self.spark.read.parquet(*paths)
+        # Folders of several runs form one table: partition discovery starts at
+        # the table root; the bookkeeping columns (run, part) are dropped,
+        # year_month stays for pruning.
+        df = self.spark.read.option("basePath", self.table_root(table)).parquet(*paths)
+        return df.drop("run", "part")
 
     def tables(self) -> dict[str, DataFrame]:
         names = {"dim_date", *EMPTY_SCHEMAS, *self.snapshot().parts}

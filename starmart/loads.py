@@ -60,16 +60,22 @@ def empty_tables(spark: SparkSession) -> Tables:
     }
 
 
-def load_dimensions(tables: Tables, staged: Staged, as_of: dt.date) -> DimLoad:
-    """Customers, products (SCD2), then stores (SCD1); no loop, no collect."""
+def load_dimensions(tables: Tables, staged: Staged, as_of: dt.date,
+                    max_keys: dict[str, int] | None = None) -> DimLoad:
+    """Customers, products (SCD2), then stores (SCD1); no loop, no collect.
+
+    ``max_keys``: largest surrogate key per dimension, when known.
+    """
+    mk = max_keys or {}
     cust = scd2_merge(tables["dim_customer"], staged.customers, entity="customer",
                       key="customer_key", bk="customer_business_key",
-                      attrs=C.CUSTOMER_ATTRS, as_of=as_of)
+                      attrs=C.CUSTOMER_ATTRS, as_of=as_of, after_key=mk.get("dim_customer"))
     prod = scd2_merge(tables["dim_product"], staged.products, entity="product",
                       key="product_key", bk="product_business_key",
-                      attrs=C.PRODUCT_ATTRS, as_of=as_of)
+                      attrs=C.PRODUCT_ATTRS, as_of=as_of, after_key=mk.get("dim_product"))
     store = scd1_merge(tables["dim_store"], staged.stores, entity="store", key="store_key",
-                       bk="store_business_key", attrs=C.STORE_ATTRS)
+                       bk="store_business_key", attrs=C.STORE_ATTRS,
+                       after_key=mk.get("dim_store"))
     out = dict(tables)
     out["dim_customer"] = cust.all_versions(tables["dim_customer"].filter(~F.col("is_current")))
     out["dim_product"] = prod.all_versions(tables["dim_product"].filter(~F.col("is_current")))

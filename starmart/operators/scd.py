@@ -48,7 +48,9 @@ class DimDelta:
 
     def all_versions(self, history: DataFrame | None = None) -> DataFrame:
         out = self.current.unionByName(self.closed)
-        return out if history is None else out.unionByName(history)
+        if history is not None:
+            out = out.unionByName(history.select(*self.current.columns))
+        return out
 
 
 def _version_cols(key: str, bk: str, attrs: list[str]) -> list[str]:
@@ -56,15 +58,23 @@ def _version_cols(key: str, bk: str, attrs: list[str]) -> list[str]:
 
 
 def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk: str,
-               attrs: list[str], as_of: dt.date, seq: str = "_seq") -> DimDelta:
-    """Merge a staged batch into an SCD2 dimension (all versions)."""
+               attrs: list[str], as_of: dt.date, seq: str = "_seq",
+               after_key: int | None = None) -> DimDelta:
+    """Merge a staged batch into an SCD2 dimension (all versions).
+
+    ``after_key``: the dimension's largest key when the caller knows it (the
+    catalog keeps it); otherwise it is read from ``dim``.
+    """
     cols = _version_cols(key, bk, attrs)
     as_of_c = lit_date(as_of)
     closed_to = F.date_sub(as_of_c, 1)
     cur = dim.filter(F.col("is_current")).select(*cols)
-    history = dim.filter(~F.col("is_current")).select(*cols)
 
-    both = (cur.select(bk, *attrs, F.lit(0).alias("_ord"), F.lit(None).cast("long").alias("_seq"))
+    # Only current rows of keys present in the batch can be predecessors: a
+    # daily delta numbers O(batch) rows, not the whole dimension.
+    cur_in_batch = cur.join(staged.select(bk), bk, "left_semi")
+    both = (cur_in_batch.select(bk, *attrs, F.lit(0).alias("_ord"),
+                                F.lit(None).cast("long").alias("_seq"))
             .unionByName(staged.select(bk, *attrs, F.lit(1).alias("_ord"),
                                        F.col(seq).cast("long").alias("_seq"))))
     numbered, _ = row_number_global(both, [F.col(bk), F.col("_ord"), F.col("_seq")], "_rn")
@@ -77,7 +87,7 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
     kept = rows.filter(~has_pred | differs).select("_rn", bk, *attrs, "_seq")
 
     per_key = (kept.groupBy(bk).agg(F.min("_rn").alias("_first"), F.max("_rn").alias("_last"))
-               .join(cur.select(bk, F.lit(True).alias("_has_cur")), bk, "left")
+               .join(cur_in_batch.select(bk, F.lit(True).alias("_has_cur")), bk, "left")
                .fillna(False, subset=["_has_cur"]))
     chain = kept.join(per_key, bk, "inner")
     is_first = F.col("_rn") == F.col("_first")
@@ -91,24 +101,25 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
         F.when(inserted, F.concat(F.lit(C.MSG_INSERTED[entity]), F.col(bk).cast("string")))
         .otherwise(F.concat(F.lit(C.MSG_SCD2_CHANGE), F.col(bk).cast("string"))).alias("_msg"),
     )
-    keyed = assign_keys(versions, [F.col("_rn")], key, max_key(dim, key))
+    start = max_key(dim, key) if after_key is None else after_key
+    keyed = assign_keys(versions, [F.col("_rn")], key, start)
 
     touched = per_key.filter(F.col("_has_cur")).select(bk)
     closing = (cur.join(touched, bk, "left_semi")
                .withColumn("valid_to", closed_to)
                .withColumn("is_current", F.lit(False)))
     untouched = cur.join(touched, bk, "left_anti")
-    new_current = untouched.unionByName(keyed.filter(F.col("is_current")).select(*cols))
+    new_current = untouched.select(*cols).unionByName(
+        keyed.filter(F.col("is_current")).select(*cols))
     new_closed = closing.select(*cols).unionByName(
         keyed.filter(~F.col("is_current")).select(*cols))
     events = keyed.select(F.lit(f"dim_{entity}").alias("step"), F.lit("INFO").alias("level"),
                           F.col("_msg").alias("message"))
-    del history  # history is untouched: callers keep it as is
     return DimDelta(new_current, new_closed, events)
 
 
 def scd1_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk: str,
-               attrs: list[str], seq: str = "_seq") -> DimDelta:
+               attrs: list[str], seq: str = "_seq", after_key: int | None = None) -> DimDelta:
     """Insert, or overwrite every attribute; the key never changes.
 
     Several staged rows of one key: the last by ``_seq`` wins (a partial
@@ -128,7 +139,8 @@ def scd1_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
         *[F.when(in_staged, F.col(f"n.{a}")).otherwise(F.col(f"o.{a}")).alias(a) for a in attrs])
     existing = rows.filter(F.col(key).isNotNull())
     fresh = rows.filter(F.col(key).isNull()).drop(key)
-    fresh_keyed = assign_keys(fresh, [F.col(bk)], key, max_key(dim, key)).select(*cols)
+    start = max_key(dim, key) if after_key is None else after_key
+    fresh_keyed = assign_keys(fresh, [F.col(bk)], key, start).select(*cols)
     events = staged.select(F.lit(f"dim_{entity}").alias("step"), F.lit("INFO").alias("level"),
                            F.concat(F.lit(C.MSG_STORE_UPSERT), F.col(bk).cast("string"))
                            .alias("message"))

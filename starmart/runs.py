@@ -19,6 +19,7 @@ from . import config as C
 from . import schemas as S
 from .catalog import Part, Warehouse
 from .functions.dates import year_month
+from .operators.layout import date_range_filter
 from .loads import Staged, load_dimensions
 from .operators.facts import SALES_KEY_ORDER, conflict_ignoring_append, resolve_sales
 from .operators.ranking import row_number_global
@@ -34,9 +35,10 @@ class Run:
 
     def __init__(self, wh: Warehouse, kind: str, message: str | None = None):
         self.wh, self.kind = wh, kind
-        spark = wh.spark
         last = wh.read_log("etl_runs", S.ETL_RUNS).agg(F.max("run_id")).first()[0]
         self.run_id = int(last or 0) + 1
+        self._events: list[tuple] = []
+        self._metrics: list[tuple] = []
         self._status("RUNNING", message)
 
     def _append(self, name: str, df: DataFrame) -> None:
@@ -47,8 +49,8 @@ class Run:
             [(self.run_id, self.kind, status, message, _now())], S.ETL_RUNS))
 
     def event(self, step: str, level: str, message: str) -> None:
-        self._append("etl_events", self.wh.spark.createDataFrame(
-            [(self.run_id, step, level.upper(), message, _now())], S.ETL_EVENTS))
+        """Driver-side step events are buffered and written once per run."""
+        self._events.append((self.run_id, step, level.upper(), message, _now()))
 
     def events(self, df: DataFrame) -> None:
         """Append a change feed computed on executors."""
@@ -58,17 +60,26 @@ class Run:
 
     def metric(self, name: str, value: int) -> None:
         from decimal import Decimal
-        self._append("etl_metrics", self.wh.spark.createDataFrame(
-            [(self.run_id, name, Decimal(value).quantize(Decimal("0.01")), _now())],
-            S.ETL_METRICS))
+        self._metrics.append((self.run_id, name, Decimal(value).quantize(Decimal("0.01")),
+                              _now()))
+
+    def _flush(self) -> None:
+        spark = self.wh.spark
+        if self._events:
+            self._append("etl_events", spark.createDataFrame(self._events, S.ETL_EVENTS))
+        if self._metrics:
+            self._append("etl_metrics", spark.createDataFrame(self._metrics, S.ETL_METRICS))
+        self._events, self._metrics = [], []
 
     def succeed(self, message: str | None = None) -> None:
+        self._flush()
         self._status("SUCCESS", message)
 
     def fail(self, exc: BaseException, step: str) -> None:
         msg = f"{type(exc).__name__}: {exc}"[:2000]
-        self._status("FAILED", msg)
         self.event(step, "ERROR", msg)
+        self._flush()
+        self._status("FAILED", msg)
 
 
 def _count_and_nulls(df: DataFrame, bk: str) -> tuple[int, int]:
@@ -116,8 +127,13 @@ def write_fact(run: Run, rows: DataFrame, after_key: int) -> Part | None:
 
 def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "reference",
                  date_from: dt.date | None = None, date_to: dt.date | None = None,
-                 kind: str = "full") -> int:
-    """W20 (and W15 with a date range): dimensions, then facts, then publish."""
+                 kind: str = "full", conflicts_within_batch_dates: bool = False) -> int:
+    """W20 (and W15 with a date range): dimensions, then facts, then publish.
+
+    ``conflicts_within_batch_dates``: check conflict keys only against facts
+    dated inside the batch's date range (pruned by year_month) instead of the
+    whole fact. Safe only if a transaction never changes date; off by default.
+    """
     step_name = "etl" if kind == "full" else "etl_incremental"
     run = Run(wh, kind)
     run.event(step_name, "INFO", f"{kind} ETL run started")
@@ -133,14 +149,16 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
             run.metric(metric, n)
             if nulls:
                 raise ValueError(f"{nulls} staged {name} rows have a null business key")
-        dims = load_dimensions(before, staged, as_of)
+        dims = load_dimensions(before, staged, as_of, {
+            t: snap.max_key(t) for t in ("dim_customer", "dim_product", "dim_store")})
         run.events(dims.events)
         dim_parts = _write_dims(run, dims)
         after_dims = dict(before)
         for table, parts in dim_parts.items():
             kept = [p.path for p in snap.parts.get(table, [])
                     if p.kind == "append" and table != "dim_store"]
-            after_dims[table] = wh.spark.read.parquet(*kept, *[p.path for p in parts])
+            after_dims[table] = (wh.spark.read.option("basePath", wh.table_root(table))
+                                 .parquet(*kept, *[p.path for p in parts]).drop("run", "part"))
         run.event("dimensions", "INFO", "Dimensions loaded from staging")
 
         step = "fact_sales"
@@ -151,6 +169,12 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
         resolved = resolve_sales(sales, after_dims["dim_date"], after_dims["dim_store"],
                                  after_dims["dim_customer"], after_dims["dim_product"])
         existing = before["fact_sales"] if snap.rows("fact_sales") else None
+        if existing is not None and conflicts_within_batch_dates:
+            lo, hi = resolved.agg(F.min("transaction_date"), F.max("transaction_date")).first()
+            if lo is None:
+                existing = None
+            else:
+                existing = existing.filter(date_range_filter(existing, lo, hi))
         fresh = conflict_ignoring_append(resolved, existing, after_dims["dim_product"], mode)
         fact_part = write_fact(run, fresh, snap.max_key("fact_sales"))
         inserted = fact_part.rows if fact_part else 0
@@ -162,8 +186,8 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
         if fact_part:
             changes["fact_sales"] = [fact_part]
         wh.publish(changes, replace={"dim_store"})
-        run.succeed()
         run.event(step_name, "INFO", f"{kind} ETL run finished successfully")
+        run.succeed()
         return run.run_id
     except Exception as exc:
         run.fail(exc, step)
