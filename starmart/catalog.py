@@ -30,6 +30,8 @@ MANIFEST = StructType([
     StructField("path", StringType(), False), StructField("rows", LongType(), False),
     StructField("max_key", LongType(), True)])
 
+LOG_SCHEMAS = {"etl_runs": S.ETL_RUNS, "etl_events": S.ETL_EVENTS, "etl_metrics": S.ETL_METRICS}
+
 EMPTY_SCHEMAS = {"dim_customer": S.DIM_CUSTOMER, "dim_product": S.DIM_PRODUCT,
                  "dim_store": S.DIM_STORE, "fact_sales": S.FACT_SALES}
 
@@ -62,6 +64,20 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self._snap: Snapshot | None = None
+        self._ensure_layout()
+
+    def _ensure_layout(self) -> None:
+        """A new root gets an empty manifest (version 0) and empty logs, so no
+        later read has to probe a missing folder."""
+        try:
+            self.spark.read.parquet(f"{self.root}/_manifest")
+            return
+        except AnalysisException:
+            pass
+        for name, schema in LOG_SCHEMAS.items():
+            self.spark.createDataFrame([], schema).write.mode("append").parquet(self.log_path(name))
+        (self.spark.createDataFrame([], MANIFEST).write.mode("errorifexists")
+         .parquet(f"{self.root}/_manifest/version=0"))
 
     # -- paths --------------------------------------------------------------
     def table_root(self, table: str) -> str:
@@ -78,11 +94,7 @@ class Warehouse:
     def snapshot(self, refresh: bool = False) -> Snapshot:
         if self._snap is not None and not refresh:
             return self._snap
-        try:
-            m = self.spark.read.parquet(f"{self.root}/_manifest")
-        except AnalysisException:
-            self._snap = Snapshot(0)
-            return self._snap
+        m = self.spark.read.parquet(f"{self.root}/_manifest")
         latest = m.agg(F.max("version")).first()[0]
         snap = Snapshot(int(latest) if latest is not None else 0)
         for r in m.filter(F.col("version") == snap.version).collect():  # one row per folder
@@ -132,7 +144,4 @@ class Warehouse:
         return {n: self[n] for n in names}
 
     def read_log(self, name: str, schema: StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(self.log_path(name))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.log_path(name))

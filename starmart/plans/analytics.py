@@ -56,7 +56,7 @@ def q03_store_ranking(t) -> DataFrame:
             .limit(50))
 
 
-def _share_of(frame: DataFrame, col: str, tot) -> F.Column:
+def _share_of(col: str, tot) -> F.Column:
     """round(100 * col / total, 2); the total is an uncorrelated scalar subquery."""
     return round_div(F.col(col) * F.lit(100), tot, num_scale=2, den_scale=2)
 
@@ -69,7 +69,7 @@ def q04_category_mix(t) -> DataFrame:
                                     F.sum("total_qty").cast("long").alias("qty"))
     return (agg.select("category", "sales", "qty",
                        round_div(F.col("sales"), F.col("qty")).alias("avg_price"),
-                       _share_of(agg, "sales", grand).alias("sales_share_pct"))
+                       _share_of("sales", grand).alias("sales_share_pct"))
             .orderBy(F.col("sales").desc(), "category"))
 
 
@@ -177,7 +177,7 @@ def q10_brand_share(t) -> DataFrame:
     grand = m.agg(total(F.sum("total_sales"))).scalar()
     agg = m.groupBy("brand").agg(total(F.sum("total_sales")).alias("total_sales"),
                                  F.sum("total_qty").cast("long").alias("total_qty"))
-    return (agg.withColumn("sales_share_pct", _share_of(agg, "total_sales", grand))
+    return (agg.withColumn("sales_share_pct", _share_of("total_sales", grand))
             .orderBy(F.col("total_sales").desc(), "brand"))
 
 
@@ -186,7 +186,7 @@ def q11_country_share(t) -> DataFrame:
     m = t["mart_monthly_country"]
     grand = m.agg(total(F.sum("total_sales"))).scalar()
     agg = m.groupBy("country").agg(total(F.sum("total_sales")).alias("total_sales"))
-    return (agg.withColumn("market_share_pct", _share_of(agg, "total_sales", grand))
+    return (agg.withColumn("market_share_pct", _share_of("total_sales", grand))
             .orderBy(F.col("total_sales").desc(), "country"))
 
 

@@ -9,11 +9,12 @@ manifest published at the end.
 from __future__ import annotations
 
 import datetime as dt
-import traceback
+import os
+import sys
+import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from . import config as C
 from . import schemas as S
@@ -26,6 +27,17 @@ from .operators.ranking import row_number_global
 from .plans.marts import MARTS
 
 
+_TRACE = os.environ.get("STARMART_TRACE") == "1"
+
+
+def _trace(run: "Run", what: str, t0: float) -> float:
+    """Phase timings on stderr when STARMART_TRACE=1."""
+    t1 = time.perf_counter()
+    if _TRACE:
+        print(f"[run {run.run_id}] {what}: {t1 - t0:.2f}s", file=sys.stderr, flush=True)
+    return t1
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -87,6 +99,17 @@ def _count_and_nulls(df: DataFrame, bk: str) -> tuple[int, int]:
     return int(r[0]), int(r[1])
 
 
+def write_observed(df: DataFrame, path: str, key: str | None = None) -> tuple[int, int | None]:
+    """Write ``df`` and return (rows, max key) observed during the write itself."""
+    obs = Observation()
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if key:
+        aggs.append(F.max(key).alias("max_key"))
+    df.observe(obs, *aggs).write.mode("errorifexists").parquet(path)
+    got = obs.get
+    return int(got["rows"]), (got.get("max_key") if key else None)
+
+
 def _write_dims(run: Run, dims) -> dict[str, list[Part]]:
     """Write new current rows (replacing) and newly closed versions (appended)."""
     wh, rid = run.wh, run.run_id
@@ -98,11 +121,9 @@ def _write_dims(run: Run, dims) -> dict[str, list[Part]]:
         for kind, df, sub in (("current", delta.current, "current"),
                               ("append", delta.closed, "closed")):
             path = wh.table_path(table, rid, sub)
-            df.write.mode("errorifexists").parquet(path)
-            written = wh.spark.read.parquet(path)
-            r = written.agg(F.count(F.lit(1)), F.max(key)).first()
-            if kind == "current" or int(r[0]) > 0:
-                parts.append(Part(kind, path, int(r[0]), r[1]))
+            rows, top = write_observed(df, path, key)
+            if kind == "current" or rows > 0:
+                parts.append(Part(kind, path, rows, top))
         out[table] = parts
     return out
 
@@ -138,6 +159,7 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
     run = Run(wh, kind)
     run.event(step_name, "INFO", f"{kind} ETL run started")
     step = "dimensions"
+    t = time.perf_counter()
     try:
         snap = wh.snapshot(refresh=True)
         before = wh.tables()
@@ -149,10 +171,20 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
             run.metric(metric, n)
             if nulls:
                 raise ValueError(f"{nulls} staged {name} rows have a null business key")
+        cal_part = None
+        if "dim_date" not in snap.parts:
+            # W05, once: the calendar becomes a published table.
+            cal_path = wh.table_path("dim_date", run.run_id)
+            rows, _ = write_observed(before["dim_date"], cal_path)
+            before["dim_date"] = wh.spark.read.parquet(cal_path)
+            cal_part = Part("current", cal_path, rows)
+        t = _trace(run, "staged counts", t)
         dims = load_dimensions(before, staged, as_of, {
             t: snap.max_key(t) for t in ("dim_customer", "dim_product", "dim_store")})
+        t = _trace(run, "dimension merges", t)
         run.events(dims.events)
         dim_parts = _write_dims(run, dims)
+        t = _trace(run, "dimension writes", t)
         after_dims = dict(before)
         for table, parts in dim_parts.items():
             kept = [p.path for p in snap.parts.get(table, [])
@@ -177,15 +209,19 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
                 existing = existing.filter(date_range_filter(existing, lo, hi))
         fresh = conflict_ignoring_append(resolved, existing, after_dims["dim_product"], mode)
         fact_part = write_fact(run, fresh, snap.max_key("fact_sales"))
+        t = _trace(run, "fact resolve + write", t)
         inserted = fact_part.rows if fact_part else 0
         run.metric(C.METRIC_FACT_INSERTED, inserted)
         run.metric(C.METRIC_FACT_TOTAL, snap.rows("fact_sales") + inserted)
         run.event("fact_sales", "INFO", "Fact sales loaded from staging")
 
         changes = dict(dim_parts)
+        if cal_part:
+            changes["dim_date"] = [cal_part]
         if fact_part:
             changes["fact_sales"] = [fact_part]
         wh.publish(changes, replace={"dim_store"})
+        t = _trace(run, "publish", t)
         run.event(step_name, "INFO", f"{kind} ETL run finished successfully")
         run.succeed()
         return run.run_id
@@ -210,8 +246,7 @@ def refresh_all_marts(wh: Warehouse) -> int:
         for name, fn in MARTS.items():
             run.event("marts", "INFO", f"Refreshing {name}")
             path = wh.table_path(name, run.run_id)
-            fn(t).write.mode("errorifexists").parquet(path)
-            rows = wh.spark.read.parquet(path).count()
+            rows, _ = write_observed(fn(t), path)
             changes[name] = [Part("current", path, rows)]
         wh.publish(changes, replace=set(changes))
         run.event("marts", "INFO", "All marts refreshed successfully")
