@@ -11,12 +11,15 @@ SCD2 rules (row-by-row semantics of the reference, made set-based):
   m > 1), the rest as above;
 * keys absent from staging are untouched (no delete detection).
 
-The predecessor of a row is found by numbering current + staged rows
-globally in (business key, current first, _seq) order and joining each row
-to the row numbered one less. The equi-join is on a unique number, so one
-business key with a third of all staged rows is spread over many tasks;
-per-key facts (first / last kept row, has a current version) are partial
-aggregates joined back on the key (AQE splits a hot key there).
+When no business key repeats in the batch (one partial aggregate tells),
+a staged row's predecessor is the current version: a plain equi-join on
+the key, unique on both sides. Otherwise the predecessor is found by
+numbering current + staged rows globally in (business key, current first,
+_seq) order and joining each row to the row numbered one less. That
+equi-join is on a unique number, so one business key with a third of all
+staged rows is spread over many tasks; per-key facts (first / last kept
+row, has a current version) are partial aggregates joined back on the key
+(AQE splits a hot key there).
 """
 
 from __future__ import annotations
@@ -73,23 +76,44 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
     # Only current rows of keys present in the batch can be predecessors: a
     # daily delta numbers O(batch) rows, not the whole dimension.
     cur_in_batch = cur.join(staged.select(bk), bk, "left_semi")
-    both = (cur_in_batch.select(bk, *attrs, F.lit(0).alias("_ord"),
-                                F.lit(None).cast("long").alias("_seq"))
-            .unionByName(staged.select(bk, *attrs, F.lit(1).alias("_ord"),
-                                       F.col(seq).cast("long").alias("_seq"))))
-    numbered, _ = row_number_global(both, [F.col(bk), F.col("_ord"), F.col("_seq")], "_rn")
-    prev = numbered.select((F.col("_rn") + 1).alias("_rn"), F.col(bk).alias("_p_bk"),
-                           *[F.col(a).alias(f"_p_{a}") for a in attrs])
-    rows = numbered.filter(F.col("_ord") == 1).join(prev, "_rn", "left")
-    has_pred = F.col("_p_bk").isNotNull() & (F.col("_p_bk") == F.col(bk))
-    differs = reduce(lambda x, y: x | y,
-                     [~F.col(a).eqNullSafe(F.col(f"_p_{a}")) for a in attrs])
-    kept = rows.filter(~has_pred | differs).select("_rn", bk, *attrs, "_seq")
-
-    per_key = (kept.groupBy(bk).agg(F.min("_rn").alias("_first"), F.max("_rn").alias("_last"))
-               .join(cur_in_batch.select(bk, F.lit(True).alias("_has_cur")), bk, "left")
-               .fillna(False, subset=["_has_cur"]))
-    chain = kept.join(per_key, bk, "inner")
+
+    def differs_from(prefix: str):
+        return reduce(lambda x, y: x | y,
+                      [~F.col(a).eqNullSafe(F.col(f"{prefix}{a}")) for a in attrs])
+
+    top = staged.groupBy(bk).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if (top or 0) <= 1:
+        # One staged row per key: its predecessor is the current version, a
+        # plain equi-join on the key (unique on both sides).
+        prior = cur_in_batch.select(bk, *[F.col(a).alias(f"_p_{a}") for a in attrs],
+                                    F.lit(True).alias("_has_cur"))
+        rows = staged.select(bk, *attrs, F.col(seq).cast("long").alias("_seq")).join(
+            prior, bk, "left")
+        kept = (rows.filter(F.col("_has_cur").isNull() | differs_from("_p_"))
+                .select(bk, *attrs, "_seq", F.coalesce("_has_cur", F.lit(False)).alias("_has_cur"),
+                        F.lit(0).cast("long").alias("_rn")))
+        chain = kept.withColumn("_first", F.col("_rn")).withColumn("_last", F.col("_rn"))
+        order = [F.col(bk)]
+        per_key = kept.select(bk, "_has_cur")
+    else:
+        # A key repeats: number current + staged rows globally in (key, current
+        # first, _seq) order and join each row to the one numbered before it.
+        both = (cur_in_batch.select(bk, *attrs, F.lit(0).alias("_ord"),
+                                    F.lit(None).cast("long").alias("_seq"))
+                .unionByName(staged.select(bk, *attrs, F.lit(1).alias("_ord"),
+                                           F.col(seq).cast("long").alias("_seq"))))
+        numbered, _ = row_number_global(both, [F.col(bk), F.col("_ord"), F.col("_seq")], "_rn")
+        prev = numbered.select((F.col("_rn") + 1).alias("_rn"), F.col(bk).alias("_p_bk"),
+                               *[F.col(a).alias(f"_p_{a}") for a in attrs])
+        rows = numbered.filter(F.col("_ord") == 1).join(prev, "_rn", "left")
+        has_pred = F.col("_p_bk").isNotNull() & (F.col("_p_bk") == F.col(bk))
+        kept = rows.filter(~has_pred | differs_from("_p_")).select("_rn", bk, *attrs, "_seq")
+        per_key = (kept.groupBy(bk).agg(F.min("_rn").alias("_first"),
+                                        F.max("_rn").alias("_last"))
+                   .join(cur_in_batch.select(bk, F.lit(True).alias("_has_cur")), bk, "left")
+                   .fillna(False, subset=["_has_cur"]))
+        chain = kept.join(per_key, bk, "inner")
+        order = [F.col("_rn")]
     is_first = F.col("_rn") == F.col("_first")
     is_last = F.col("_rn") == F.col("_last")
     inserted = is_first & ~F.col("_has_cur")
@@ -102,7 +126,7 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
         .otherwise(F.concat(F.lit(C.MSG_SCD2_CHANGE), F.col(bk).cast("string"))).alias("_msg"),
     )
     start = max_key(dim, key) if after_key is None else after_key
-    keyed = assign_keys(versions, [F.col("_rn")], key, start)
+    keyed = assign_keys(versions, order, key, start)
 
     touched = per_key.filter(F.col("_has_cur")).select(bk)
     closing = (cur.join(touched, bk, "left_semi")
