@@ -231,10 +231,12 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
 
 
 def run_incremental_etl(wh: Warehouse, staged: Staged, date_from: dt.date, date_to: dt.date,
-                        as_of: dt.date, mode: str = "reference") -> int:
+                        as_of: dt.date, mode: str = "reference",
+                        conflicts_within_batch_dates: bool = False) -> int:
     """Reload all dimensions, then only sales dated in [date_from, date_to]."""
     return run_full_etl(wh, staged, as_of, mode=mode, date_from=date_from, date_to=date_to,
-                        kind="incremental")
+                        kind="incremental",
+                        conflicts_within_batch_dates=conflicts_within_batch_dates)
 
 
 def refresh_all_marts(wh: Warehouse) -> int:

@@ -73,3 +73,20 @@ def test_date_range_prunes_partitions(wh):
     assert "PushedFilters" in plan and "date_key" in plan
     want = fact.filter(F.col("date_key").between(19980301, 19980331)).count()
     assert q.agg(F.sum("nb_lines")).first()[0] == want
+
+
+@pytest.mark.parametrize("scoped", [False, True])
+def test_published_increment_equals_in_memory_scenario(spark, scoped):
+    from starmart.loads import Staged as St
+    from starmart.plans.scenarios import fact_incremental
+    st = St.from_driver(spark, SF001)
+    w = Warehouse(spark, scratch_path(spark, "inc"))
+    early = St(st.customers, st.products, st.stores,
+               st.sales.filter(F.col("transaction_date") < F.lit(C.BATCH2_AS_OF)))
+    R.run_full_etl(w, early, C.BATCH2_AS_OF)
+    R.run_incremental_etl(w, st.batch2(), C.INCREMENT_FROM, C.INCREMENT_TO, C.BATCH2_AS_OF,
+                          conflicts_within_batch_dates=scoped)
+    got = w["fact_sales"].drop("year_month")
+    want = fact_incremental(spark, SF001).select(*got.columns)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
