@@ -77,42 +77,55 @@ def uniqueness_report(tables: dict[str, DataFrame], staged_sales: DataFrame | No
     return _union(frames)
 
 
-def _anti_pit(sales: DataFrame, dim: DataFrame, bk: str) -> DataFrame:
-    """Sales with no version of ``dim`` valid on their date (anti-join with a range residual)."""
-    v = dim.select(F.col(bk).alias("_v_bk"), F.col("valid_from").alias("_v_from"),
+def _pit_key(sales: DataFrame, dim: DataFrame, bk: str, key: str) -> DataFrame:
+    """Left point-in-time lookup: ``key`` is null when no version is valid on the date."""
+    v = dim.select(F.col(bk).alias("_v_bk"), F.col(key).alias(key),
+                   F.col("valid_from").alias("_v_from"),
                    F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO)).alias("_v_to"))
     cond = ((sales[bk] == v["_v_bk"])
             & sales["transaction_date"].between(v["_v_from"], v["_v_to"]))
-    return sales.join(v, cond, "left_anti")
+    return sales.join(v, cond, "left").drop("_v_bk", "_v_from", "_v_to")
 
 
 SALE_KEY = ("transaction_id", "product_business_key", "store_business_key")
+NOT_NULL = ("transaction_id", "quantity", "unit_price", "total_amount")
 
 
 def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
     """Staged sales that the fact load would drop or that break NOT NULL,
-    and staged dimension text over its declared length."""
-    sales = staged.sales
-    key = _key_text(*SALE_KEY)
-    cal = tables["dim_date"].select(F.col("full_date").alias("transaction_date"))
-    frames = [
-        _tag(sales.join(F.broadcast(cal), "transaction_date", "left_anti"),
-             "sales", "date_not_found", key),
-        _tag(sales.join(tables["dim_store"].select("store_business_key"),
-                        "store_business_key", "left_anti"), "sales", "store_not_found", key),
-        _tag(_anti_pit(sales, tables["dim_customer"], "customer_business_key"),
-             "sales", "customer_not_found", key),
-        _tag(_anti_pit(sales, tables["dim_product"], "product_business_key"),
-             "sales", "product_not_found", key),
-    ]
-    for c in ("transaction_id", "quantity", "unit_price", "total_amount"):
-        frames.append(_tag(sales.filter(F.col(c).isNull()), "sales", f"null_{c}", key))
+    and staged dimension text over its declared length.
+
+    Sales are read once: left joins tag each sale with the keys it found
+    (calendar broadcast; versions do not overlap, so at most one match each),
+    and the list of failed checks is exploded, one row per reason.
+    """
+    cal = F.broadcast(tables["dim_date"].select(F.col("full_date").alias("transaction_date"),
+                                                F.lit(True).alias("_date_ok")))
+    s = staged.sales.join(cal, "transaction_date", "left")
+    s = s.join(tables["dim_store"].select("store_business_key", F.lit(True).alias("_store_ok")),
+               "store_business_key", "left")
+    s = _pit_key(s, tables["dim_customer"], "customer_business_key", "customer_key")
+    s = _pit_key(s, tables["dim_product"], "product_business_key", "product_key")
+    checks = [(F.col("_date_ok").isNull(), "date_not_found"),
+              (F.col("_store_ok").isNull(), "store_not_found"),
+              (F.col("customer_key").isNull(), "customer_not_found"),
+              (F.col("product_key").isNull(), "product_not_found"),
+              *[(F.col(c).isNull(), f"null_{c}") for c in NOT_NULL]]
+    reasons = F.filter(F.array(*[F.when(cond, F.lit(r)) for cond, r in checks]),
+                       lambda x: x.isNotNull())
+    frames = [s.select(F.lit("sales").alias("source"), F.explode(reasons).alias("reason"),
+                       _key_text(*SALE_KEY).alias("record_key"),
+                       F.lit(1).cast("long").alias("n"))]
     for source, frame, bk in (("customers", staged.customers, "customer_business_key"),
                               ("stores", staged.stores, "store_business_key"),
                               ("products", staged.products, "product_business_key")):
-        frames.append(_tag(frame.filter(F.col(bk).isNull()), source, "null_business_key",
-                           F.lit(None)))
-        for col, limit in C.VARCHAR_LIMITS[source].items():
-            frames.append(_tag(frame.filter(F.length(col) > limit), source,
-                               f"too_long_{col}", F.col(bk)))
+        dim_checks = [(F.col(bk).isNull(), "null_business_key"),
+                      *[(F.length(c) > n, f"too_long_{c}")
+                        for c, n in C.VARCHAR_LIMITS[source].items()]]
+        failed = F.filter(F.array(*[F.when(cond, F.lit(r)) for cond, r in dim_checks]),
+                          lambda x: x.isNotNull())
+        frames.append(frame.select(F.lit(source).alias("source"),
+                                   F.explode(failed).alias("reason"),
+                                   F.col(bk).cast("string").alias("record_key"),
+                                   F.lit(1).cast("long").alias("n")))
     return _union(frames)

@@ -171,15 +171,17 @@ def fact_idempotent_business(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales before as_of, then the second batch with sales in a closed range
     overlapping the first load by six months."""
-    st = staged(spark, sf_dir)
-    dims1 = first_dims(spark, sf_dir)
-    early = st.sales.filter(F.col("transaction_date") < F.lit(C.BATCH2_AS_OF))
-    rows1 = fact_batch(dims1.tables, early).drop("transaction_date")
-    # Dimension merges do not read the fact: the second batch's dimensions are shared.
-    t2 = dict(second_dims(spark, sf_dir).tables)
-    t2["fact_sales"] = rows1
-    rows2 = fact_batch(t2, st.sales, date_from=C.INCREMENT_FROM, date_to=C.INCREMENT_TO)
-    return rows1.unionByName(rows2.drop("transaction_date"))
+    def build():
+        st = staged(spark, sf_dir)
+        dims1 = first_dims(spark, sf_dir)
+        early = st.sales.filter(F.col("transaction_date") < F.lit(C.BATCH2_AS_OF))
+        rows1 = fact_batch(dims1.tables, early).drop("transaction_date")
+        # Dimension merges do not read the fact: the second batch's dimensions are shared.
+        t2 = dict(second_dims(spark, sf_dir).tables)
+        t2["fact_sales"] = rows1
+        rows2 = fact_batch(t2, st.sales, date_from=C.INCREMENT_FROM, date_to=C.INCREMENT_TO)
+        return rows1.unionByName(rows2.drop("transaction_date"))
+    return _memo_get(spark, sf_dir, "incremental", build)
 
 
 # --- W16-W17 -------------------------------------------------------------------

@@ -180,7 +180,7 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
             cal_part = Part("current", cal_path, rows)
         t = _trace(run, "staged counts", t)
         dims = load_dimensions(before, staged, as_of, {
-            t: snap.max_key(t) for t in ("dim_customer", "dim_product", "dim_store")})
+            name: snap.max_key(name) for name in ("dim_customer", "dim_product", "dim_store")})
         t = _trace(run, "dimension merges", t)
         run.events(dims.events)
         dim_parts = _write_dims(run, dims)
@@ -242,6 +242,7 @@ def run_incremental_etl(wh: Warehouse, staged: Staged, date_from: dt.date, date_
 def refresh_all_marts(wh: Warehouse) -> int:
     """Recompute the three marts from the published snapshot, replace them, log."""
     run = Run(wh, "marts", C.MSG_MARTS_RUN)
+    run.event("marts", "INFO", C.MSG_MARTS_RUN)
     try:
         t = wh.tables()
         changes = {}
