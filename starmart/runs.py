@@ -263,9 +263,11 @@ def refresh_all_marts(wh: Warehouse) -> int:
 def recent_runs(wh: Warehouse, n: int = 5) -> DataFrame:
     """The latest ``n`` runs with their last status (a top-k report)."""
     log = wh.read_log("etl_runs", S.ETL_RUNS)
+    # Latest status row per run; on equal timestamps a final status beats RUNNING.
     per_run = log.groupBy("run_id").agg(
         F.min("at").alias("started_at"),
-        F.max_by(F.struct("kind", "status", "error_message", "at"), "at").alias("_last"))
+        F.max_by(F.struct("kind", "status", "error_message", "at"),
+                 F.struct("at", (F.col("status") != "RUNNING").alias("_final"))).alias("_last"))
     return (per_run.select("run_id", "_last.kind", "_last.status", "_last.error_message",
                            "started_at",
                            F.when(F.col("_last.status") != "RUNNING", F.col("_last.at"))
