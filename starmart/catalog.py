@@ -139,8 +139,15 @@ class Warehouse:
         df = self.spark.read.option("basePath", self.table_root(table)).parquet(*paths)
         return df.drop("run", "part")
 
+    def read_parts(self, table: str, paths: list[str]) -> DataFrame:
+        """Some folders of a table (for example the facts added since a refresh)."""
+        return (self.spark.read.option("basePath", self.table_root(table)).parquet(*paths)
+                .drop("run", "part"))
+
     def tables(self) -> dict[str, DataFrame]:
-        names = {"dim_date", *EMPTY_SCHEMAS, *self.snapshot().parts}
+        # "<mart>#covers" entries are bookkeeping, not tables.
+        names = {"dim_date", *EMPTY_SCHEMAS,
+                 *[n for n in self.snapshot().parts if "#" not in n]}
         return {n: self[n] for n in names}
 
     def read_log(self, name: str, schema: StructType) -> DataFrame:

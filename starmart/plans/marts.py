@@ -53,3 +53,38 @@ MARTS = {
     "mart_top_products": mart_top_products,
     "mart_store_region": mart_store_region,
 }
+
+
+# --- incremental refresh -------------------------------------------------------
+# Dimension versions never change attributes (SCD2), so the rows a fact row
+# contributes to W21 and W22 are fixed once loaded. W23 groups by store
+# attributes, which SCD1 overwrites in place: it is always recomputed.
+
+def refresh_monthly_country(t, old: DataFrame, new_facts: DataFrame) -> DataFrame:
+    """W21 for the year-months that received facts; other months are kept.
+
+    Distinct customers cannot be added across loads, so each affected month
+    is recomputed over the whole fact, pruned to those months by year_month.
+    The month list is bounded by the calendar.
+    """
+    months = [r[0] for r in new_facts.select("year_month").distinct().collect()]
+    if not months:
+        return old
+    fact = t["fact_sales"].filter(F.col("year_month").isin(months))
+    fresh = mart_monthly_country({**t, "fact_sales": fact})
+    kept = old.filter(~(F.col("year_number") * 100 + F.col("month_number")).isin(months))
+    return kept.unionByName(fresh)
+
+
+def refresh_top_products(t, old: DataFrame, new_facts: DataFrame) -> DataFrame:
+    """Sums of the new facts added to the old mart, per group."""
+    delta = mart_top_products({**t, "fact_sales": new_facts})
+    return (old.unionByName(delta).groupBy("category", "brand", "product_name")
+            .agg(total(F.sum("total_sales")).alias("total_sales"),
+                 F.sum("total_qty").cast("long").alias("total_qty")))
+
+
+INCREMENTAL = {
+    "mart_monthly_country": refresh_monthly_country,
+    "mart_top_products": refresh_top_products,
+}

@@ -24,7 +24,7 @@ from .operators.layout import date_range_filter
 from .loads import Staged, load_dimensions
 from .operators.facts import SALES_KEY_ORDER, conflict_ignoring_append, resolve_sales
 from .operators.ranking import row_number_global
-from .plans.marts import MARTS
+from .plans.marts import INCREMENTAL, MARTS
 
 
 _TRACE = os.environ.get("STARMART_TRACE") == "1"
@@ -239,19 +239,42 @@ def run_incremental_etl(wh: Warehouse, staged: Staged, date_from: dt.date, date_
                         conflicts_within_batch_dates=conflicts_within_batch_dates)
 
 
-def refresh_all_marts(wh: Warehouse) -> int:
-    """Recompute the three marts from the published snapshot, replace them, log."""
+def refresh_all_marts(wh: Warehouse, incremental: bool = True) -> int:
+    """Refresh the three marts from the published snapshot, replace them, log.
+
+    With ``incremental``, a mart that records which fact folders it covers is
+    brought up to date from the folders added since (W21: affected months
+    recomputed; W22: new sums added); otherwise, and always for W23, it is
+    recomputed in full.
+    """
     run = Run(wh, "marts", C.MSG_MARTS_RUN)
     run.event("marts", "INFO", C.MSG_MARTS_RUN)
     try:
+        snap = wh.snapshot(refresh=True)
         t = wh.tables()
-        changes = {}
+        fact_paths = [p.path for p in snap.parts.get("fact_sales", [])]
+        changes, replace = {}, set()
         for name, fn in MARTS.items():
-            run.event("marts", "INFO", f"Refreshing {name}")
+            covered = {p.path for p in snap.parts.get(f"{name}#covers", [])}
+            added = [p for p in fact_paths if p not in covered]
+            can_add = (incremental and name in INCREMENTAL and name in snap.parts
+                       and covered <= set(fact_paths))
+            if can_add and not added:
+                run.event("marts", "INFO", f"{name} is up to date")
+                continue
+            if can_add:
+                run.event("marts", "INFO", f"Refreshing {name} from {len(added)} new fact folders")
+                df = INCREMENTAL[name](t, wh[name], wh.read_parts("fact_sales", added))
+            else:
+                run.event("marts", "INFO", f"Refreshing {name}")
+                df = fn(t)
             path = wh.table_path(name, run.run_id)
-            rows, _ = write_observed(fn(t), path)
+            rows, _ = write_observed(df, path)
             changes[name] = [Part("current", path, rows)]
-        wh.publish(changes, replace=set(changes))
+            changes[f"{name}#covers"] = [Part("covers", p, 0) for p in fact_paths]
+            replace |= {name, f"{name}#covers"}
+        if changes:
+            wh.publish(changes, replace=replace)
         run.event("marts", "INFO", "All marts refreshed successfully")
         run.succeed()
         return run.run_id
