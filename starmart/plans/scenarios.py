@@ -26,7 +26,7 @@ _memo: dict[tuple, object] = {}
 
 
 def _memo_get(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (id(spark.sparkContext), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     with _lock:
         if key not in _memo:
             _memo[key] = build()
