@@ -140,3 +140,24 @@ def test_scd1_last_by_seq_wins_and_key_is_kept(spark):
     assert rows[10]["store_key"] == 3 and rows[10]["store_name"] == "second"
     assert rows[11]["store_key"] == 4
     assert d.events.count() == 3
+
+
+def test_hot_key_holding_most_of_the_batch(spark):
+    """One key with 1,200 staged rows (runs of repeats and changes) next to a
+    few ordinary keys: the result equals the row-by-row model."""
+    rng = random.Random(11)
+    dim_rows = [(1, 1, "p", "b", "c", "d", None, START, None, True),
+                (2, 2, "q", "b", "c", "d", None, START, None, True)]
+    staged, value = [], "p"
+    for i in range(1200):
+        if rng.random() < 0.3:
+            value = rng.choice(["p", "q", "r"])
+        staged.append((1, value, "b", "c", "d", None, i))
+    staged += [(2, "q", "b", "c", "d", None, 2000), (3, "z", "b", "c", "d", None, 2001)]
+    dim = _dim(spark, dim_rows)
+    st = spark.createDataFrame(staged, STAGED_SCHEMA).repartition(6)
+    d = scd2_merge(dim, st, entity="product", key="product_key", bk="product_business_key",
+                   attrs=ATTRS, as_of=AS_OF)
+    got = [tuple(r) for r in d.all_versions(dim.filter(~F.col("is_current"))).collect()]
+    assert _versions(got) == _versions(_model(dim_rows, staged, AS_OF))
+    assert sum(1 for r in got if r[1] == 1 and r[-1]) == 1
