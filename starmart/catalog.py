@@ -16,6 +16,7 @@ stores and marts replace theirs. Versions are written with
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ from pyspark.errors import AnalysisException
 
 from . import schemas as S
 
+_VERSION = re.compile(r"/version=(\d+)/")
+
 MANIFEST = StructType([
     StructField("table", StringType(), False), StructField("kind", StringType(), False),
     StructField("path", StringType(), False), StructField("rows", LongType(), False),
@@ -95,8 +98,11 @@ class Warehouse:
         if self._snap is not None and not refresh:
             return self._snap
         m = self.spark.read.parquet(f"{self.root}/_manifest")
-        latest = m.agg(F.max("version")).first()[0]
-        snap = Snapshot(int(latest) if latest is not None else 0)
+        # The latest version comes from the file listing, not from reading every
+        # version; only its own file is then read (pruned on version). A version
+        # folder without a committed data file (an aborted publish) is not listed.
+        listed = [int(v) for f in m.inputFiles() for v in _VERSION.findall(f)]
+        snap = Snapshot(max(listed) if listed else 0)
         for r in m.filter(F.col("version") == snap.version).collect():  # one row per folder
             snap.parts.setdefault(r["table"], []).append(
                 Part(r["kind"], r["path"], int(r["rows"]), r["max_key"]))
@@ -117,8 +123,16 @@ class Warehouse:
             parts[table] = kept + new_parts
         rows = [(t, p.kind, p.path, p.rows, p.max_key) for t, ps in parts.items() for p in ps]
         version = old.version + 1
-        (self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists")
-         .parquet(f"{self.root}/_manifest/version={version}"))
+        target = f"{self.root}/_manifest/version={version}"
+        frame = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
+        try:
+            frame.write.mode("errorifexists").parquet(target)
+        except AnalysisException:
+            # The folder exists. If another writer published this version it is
+            # now listed: give up. Otherwise it is what an aborted publish left.
+            if self.snapshot(refresh=True).version >= version:
+                raise
+            frame.write.mode("overwrite").parquet(target)
         self._snap = Snapshot(version, parts)
         return self._snap
 

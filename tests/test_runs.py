@@ -112,3 +112,13 @@ def test_incremental_mart_refresh_equals_full_recompute(spark):
         assert got.exceptAll(want.select(*got.columns)).count() == 0, name
     R.refresh_all_marts(w, incremental=True)          # nothing new: marts kept
     assert any("is up to date" in r["message"] for r in R.events(w).collect())
+
+
+def test_aborted_publish_does_not_block_the_next_one(spark):
+    from starmart.catalog import Part
+    w = Warehouse(spark, scratch_path(spark, "abort"))
+    # What a publish killed before its commit leaves: a version folder, no data file.
+    spark.createDataFrame([], "x int").write.parquet(f"{w.root}/_manifest/version=1/_temporary")
+    assert w.snapshot(refresh=True).version == 0
+    snap = w.publish({"mart_x": [Part("current", f"{w.root}/tables/mart_x/run=1", 3)]})
+    assert snap.version == 1 and w.snapshot(refresh=True).parts["mart_x"][0].rows == 3
