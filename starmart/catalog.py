@@ -10,8 +10,11 @@ Layout under ``root`` (a folder on the cluster's shared file system):
 A run writes its folders first and publishes a new manifest version last,
 so a failed run is never visible and no plan overwrites a path it reads.
 Facts and closed dimension versions add folders; current dimension rows,
-stores and marts replace theirs. Versions are written with
-``errorifexists``: two writers racing for one version cannot both win.
+stores and marts replace theirs. Marts also record which fact folders they
+cover (``<mart>#covers``), for incremental refreshes. The latest version is
+read from the file listing; versions are written with ``errorifexists``, so
+two writers racing for one version cannot both win, and a version folder
+left without data by an aborted publish is overwritten by the next one.
 """
 
 from __future__ import annotations
