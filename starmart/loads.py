@@ -1,9 +1,9 @@
 """W11, W13-W15 as pure DataFrame compositions (no writes).
 
-``Tables`` maps table names to DataFrames. A load takes the tables before
-and returns the tables after, plus the change feed and counts. The
-published form (``runs``) writes these frames; tests and scenarios use them
-directly.
+``Tables`` maps table names to DataFrames. A dimension load takes the
+tables before and returns the tables after plus the change feed; a fact
+batch returns the new fact rows. The published form (``runs``) writes these
+frames; tests and scenarios use them directly.
 """
 
 from __future__ import annotations
@@ -95,20 +95,3 @@ def fact_batch(tables: Tables, sales: DataFrame, *, mode: str = "reference",
     start = max_key(tables["fact_sales"], "sales_key") if after_key is None else after_key
     return with_sales_keys(fresh, start)
 
-
-def full_load(tables: Tables, staged: Staged, as_of: dt.date, *, mode: str = "reference",
-              date_from: dt.date | None = None, date_to: dt.date | None = None) -> Tables:
-    """Dimensions then facts (W20 without publishing)."""
-    dims = load_dimensions(tables, staged, as_of)
-    new_rows = fact_batch(dims.tables, staged.sales, mode=mode, date_from=date_from,
-                          date_to=date_to)
-    out = dict(dims.tables)
-    out["fact_sales"] = tables["fact_sales"].unionByName(new_rows.drop("transaction_date"))
-    out["_events"] = dims.events
-    out["_new_facts"] = new_rows
-    return out
-
-
-def first_load(spark: SparkSession, sf_dir: str, as_of: dt.date = C.BATCH2_AS_OF) -> Tables:
-    """All driver data loaded once into an empty warehouse."""
-    return full_load(empty_tables(spark), Staged.from_driver(spark, sf_dir), as_of)

@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from starmart import schemas as S
 from starmart.operators.facts import (conflict_ignoring_append, pit_lookup, resolve_sales)
