@@ -161,3 +161,20 @@ def test_hot_key_holding_most_of_the_batch(spark):
     got = [tuple(r) for r in d.all_versions(dim.filter(~F.col("is_current"))).collect()]
     assert _versions(got) == _versions(_model(dim_rows, staged, AS_OF))
     assert sum(1 for r in got if r[1] == 1 and r[-1]) == 1
+
+
+def test_fast_path_matches_model_on_random_single_row_batches(spark):
+    """Unique keys per batch take the equi-join path; same model, same result."""
+    rng = random.Random(5)
+    vals = ["p", "q", None]
+    for trial in range(3):
+        dim_rows = [(k, k, rng.choice(vals), "b", "c", "d", None, START, None, True)
+                    for k in range(1, 13) if rng.random() < 0.7]
+        dim_rows = [(i + 1, *r[1:]) for i, r in enumerate(dim_rows)]
+        keys = rng.sample(range(1, 16), 10)
+        staged = [(k, rng.choice(vals), rng.choice(["b", None]), "c", "d", None, i)
+                  for i, k in enumerate(keys)]
+        got, events = _merge(spark, dim_rows, staged)
+        assert _versions(got) == _versions(_model(dim_rows, staged, AS_OF)), f"trial {trial}"
+        assert sorted(r[0] for r in got) == list(range(1, len(got) + 1))
+        assert len(events) == len(got) - len(dim_rows)
