@@ -77,14 +77,28 @@ def uniqueness_report(tables: dict[str, DataFrame], staged_sales: DataFrame | No
     return _union(frames)
 
 
-def _pit_key(sales: DataFrame, dim: DataFrame, bk: str, key: str) -> DataFrame:
-    """Left point-in-time lookup: ``key`` is null when no version is valid on the date."""
-    v = dim.select(F.col(bk).alias("_v_bk"), F.col(key).alias(key),
-                   F.col("valid_from").alias("_v_from"),
-                   F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO)).alias("_v_to"))
-    cond = ((sales[bk] == v["_v_bk"])
-            & sales["transaction_date"].between(v["_v_from"], v["_v_to"]))
-    return sales.join(v, cond, "left").drop("_v_bk", "_v_from", "_v_to")
+def _coverage(dim: DataFrame, bk: str) -> DataFrame:
+    """Dates each key is valid on, as disjoint ranges: overlapping versions are
+    merged (a running max per key over its versions), empty ones dropped."""
+    end = F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO))
+    v = dim.select(F.col(bk).alias("_c_bk"), F.col("valid_from").alias("_c_from"),
+                   end.alias("_c_to")).filter(F.col("_c_from") <= F.col("_c_to"))
+    w = Window.partitionBy("_c_bk").orderBy("_c_from", "_c_to")
+    prev_end = F.max("_c_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(prev_end.isNull() | (F.col("_c_from") > prev_end), 1).otherwise(0)
+    grouped = v.withColumn("_c_grp", F.sum(starts).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return grouped.groupBy("_c_bk", "_c_grp").agg(F.min("_c_from").alias("_c_from"),
+                                                   F.max("_c_to").alias("_c_to"))
+
+
+def _pit_flag(sales: DataFrame, dim: DataFrame, bk: str, flag: str) -> DataFrame:
+    """Left point-in-time check: ``flag`` is true when some version is valid on
+    the sale's date, null otherwise. Ranges are disjoint: one match at most."""
+    c = _coverage(dim, bk).withColumn(flag, F.lit(True))
+    cond = ((sales[bk] == c["_c_bk"])
+            & sales["transaction_date"].between(c["_c_from"], c["_c_to"]))
+    return sales.join(c, cond, "left").drop("_c_bk", "_c_grp", "_c_from", "_c_to")
 
 
 SALE_KEY = ("transaction_id", "product_business_key", "store_business_key")
@@ -95,21 +109,22 @@ def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
     """Staged sales that the fact load would drop or that break NOT NULL,
     and staged dimension text over its declared length.
 
-    Sales are read once: left joins tag each sale with the keys it found
-    (calendar broadcast; versions do not overlap, so at most one match each),
-    and the list of failed checks is exploded, one row per reason.
+    Sales are read once: left joins tag each sale with what it found (the
+    calendar broadcast; versions merged into disjoint ranges per key, so one
+    match at most even where versions overlap), and the list of failed checks
+    is exploded, one row per reason.
     """
     cal = F.broadcast(tables["dim_date"].select(F.col("full_date").alias("transaction_date"),
                                                 F.lit(True).alias("_date_ok")))
     s = staged.sales.join(cal, "transaction_date", "left")
     s = s.join(tables["dim_store"].select("store_business_key", F.lit(True).alias("_store_ok")),
                "store_business_key", "left")
-    s = _pit_key(s, tables["dim_customer"], "customer_business_key", "customer_key")
-    s = _pit_key(s, tables["dim_product"], "product_business_key", "product_key")
+    s = _pit_flag(s, tables["dim_customer"], "customer_business_key", "_customer_ok")
+    s = _pit_flag(s, tables["dim_product"], "product_business_key", "_product_ok")
     checks = [(F.col("_date_ok").isNull(), "date_not_found"),
               (F.col("_store_ok").isNull(), "store_not_found"),
-              (F.col("customer_key").isNull(), "customer_not_found"),
-              (F.col("product_key").isNull(), "product_not_found"),
+              (F.col("_customer_ok").isNull(), "customer_not_found"),
+              (F.col("_product_ok").isNull(), "product_not_found"),
               *[(F.col(c).isNull(), f"null_{c}") for c in NOT_NULL]]
     reasons = F.filter(F.array(*[F.when(cond, F.lit(r)) for cond, r in checks]),
                        lambda x: x.isNotNull())

@@ -62,3 +62,24 @@ def test_null_id_and_too_long_text_are_rejected(spark):
         [(1, 1, "p", "b", "c", "s", None, START, None, True)], S.DIM_PRODUCT)
     reasons = {(r["source"], r["reason"]) for r in reject_report(st, t).collect()}
     assert reasons == {("sales", "null_transaction_id"), ("customers", "too_long_country")}
+
+
+def test_overlapping_versions_do_not_duplicate_reject_rows(spark):
+    st = _Staged()
+    st.sales = spark.createDataFrame(
+        [(None, dt.date(2022, 3, 3), 10, 1, 1, 1, Decimal("1.00"), Decimal("1.00"), Decimal("0"))],
+        "transaction_id long, transaction_date date, customer_business_key long, "
+        "store_business_key long, product_business_key long, quantity long, "
+        "unit_price decimal(10,2), total_amount decimal(10,2), discount_amount decimal(10,2)")
+    st.customers = spark.createDataFrame([], "customer_business_key long, first_name string, last_name string, email string, gender string, country string, city string")
+    st.stores = spark.createDataFrame([], "store_business_key long, store_name string, city string, country string, region string, store_type string")
+    st.products = spark.createDataFrame([], "product_business_key long, product_name string, brand string, category string, subcategory string")
+    overlapping = [(1, 10, "a", "b", "e", "F", "FR", "c", None, START, None, True),
+                   (2, 10, "a", "b", "e", "F", "FR", "d", None, dt.date(2020, 1, 1), None, True)]
+    t = _tables(spark, overlapping)
+    t["dim_date"] = dim_date(spark, dt.date(2022, 1, 1), dt.date(2022, 12, 31))
+    t["dim_store"] = spark.createDataFrame([(1, 1, "s", "c", "C", "R", "T", None)], S.DIM_STORE)
+    t["dim_product"] = spark.createDataFrame(
+        [(1, 1, "p", "b", "c", "s", None, START, None, True)], S.DIM_PRODUCT)
+    rows = [(r["source"], r["reason"]) for r in reject_report(st, t).collect()]
+    assert rows == [("sales", "null_transaction_id")]
