@@ -4,7 +4,8 @@ An unpartitioned window plans as ``Exchange SinglePartition``. Instead:
 
 1. range-partition on the order columns (which end in a unique tie-break),
    sort within partitions and tag rows with ``monotonically_increasing_id``
-   (partition id in the upper bits, row index in the lower 33 bits);
+   (partition id in the upper bits, row index in the lower 33 bits); AQE
+   may merge adjacent ranges, which keeps the partitions in order;
 2. checkpoint once: range bounds are sampled, so a recomputation could move
    rows between partitions;
 3. count rows per partition (one small row per partition reaches the
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, default_parallelism
+from ..session import checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -36,9 +37,12 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    p = num_partitions or default_parallelism(spark)
-    tagged = (df.repartitionByRange(p, *order)
-              .sortWithinPartitions(*order)
+    # Without an explicit count the range shuffle starts at
+    # spark.sql.shuffle.partitions and AQE may merge adjacent small ranges
+    # (never split them), so partitions stay contiguous and in order.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    tagged = (ranged.sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     frozen = tagged.checkpoint(eager=True)
     counts = (frozen.groupBy(F.shiftright("_mid", 33).alias("pid"))
