@@ -4,8 +4,7 @@ An unpartitioned window plans as ``Exchange SinglePartition``. Instead:
 
 1. range-partition on the order columns (which end in a unique tie-break),
    sort within partitions and tag rows with ``monotonically_increasing_id``
-   (partition id in the upper bits, row index in the lower 33 bits); AQE
-   may merge adjacent ranges, which keeps the partitions in order;
+   (partition id in the upper bits, row index in the lower 33 bits);
 2. checkpoint once: range bounds are sampled, so a recomputation could move
    rows between partitions;
 3. count rows per partition (one small row per partition reaches the
@@ -23,13 +22,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, default_parallelism
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str = "rn",
-                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
+                      num_partitions: int | None = None,
+                      adaptive: bool = False) -> tuple[DataFrame, int]:
     """Add a dense 1-based rank ``name`` in ``order``; return (frame, row count).
 
     ``order`` must make rows unique, or ties get an arbitrary (but fixed once
@@ -37,11 +37,13 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    # Without an explicit count the range shuffle starts at
-    # spark.sql.shuffle.partitions and AQE may merge adjacent small ranges
-    # (never split them), so partitions stay contiguous and in order.
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
+    # Default: an explicit count (spark.sql.shuffle.partitions), which AQE
+    # leaves alone. ``adaptive``: no count, so AQE may merge adjacent small
+    # ranges (it never splits them); partitions stay contiguous and in order.
+    if adaptive:
+        ranged = df.repartitionByRange(*order)
+    else:
+        ranged = df.repartitionByRange(num_partitions or default_parallelism(spark), *order)
     tagged = (ranged.sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     frozen = tagged.checkpoint(eager=True)
