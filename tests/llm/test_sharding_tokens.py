@@ -1,0 +1,149 @@
+"""Operators 1, 7 and 9 against plain Python on small and awkward tables."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from starmart.llm.packing import binary_lengths, pack_binary
+from starmart.llm.rans import BLOCK, Coder, read_files, round_trip, scaled_table, write_files
+from starmart.llm.sharding import shard_by_bytes
+from starmart.llm.tokens import Encoder, default_tokenizer
+
+SCHEMA = "doc_id long, text string, shard string, ids string, pid string"
+ROWS = [(5, "héllo  world\n\n end ", "x", "y", "z"), (1, None, None, None, None),
+        (2, "", "x", "y", "z"), (None, "no id", "x", "y", "z"), (7, "tie", "x", "y", "z"),
+        (7, "tie", "x", "y", "z"), (3, "long " * 30000, "x", "y", "z"),
+        (4, " a   b\t\n c  d\n \ne <|endoftext|> ", "x", "y", "z")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def tokenizer():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(default_tokenizer())
+    t.encode_special_tokens = True
+    return t
+
+
+def ids32(t, text, end):
+    ids = t.encode(text or "", add_special_tokens=False).ids + [end]
+    return np.array(ids, "<u4").tobytes()
+
+
+def test_shards_follow_the_byte_prefix(spark):
+    got = sorted((r["shard"], r["slot"], r["doc_id"], r["size"], r["text_crc32"])
+                 for r in shard_by_bytes(frame(spark, ROWS), 3).collect())
+    rows = sorted(((r[0], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode()))
+                   for r in ROWS), key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    total, at, want, slots = sum(r[1] for r in rows), 0, [], {}
+    for d, size, crc in rows:
+        shard = min(2, (2 * at + size) * 3 // (2 * total))
+        slots[shard] = slots.get(shard, -1) + 1
+        want.append((shard, slots[shard], d, size, crc))
+        at += size
+    assert got == want
+
+
+def test_shards_of_an_empty_table(spark):
+    assert shard_by_bytes(frame(spark, [])).collect() == []
+
+
+def test_shards_are_even_on_many_rows(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "repeat('x', int(id % 97)) as text")
+    sizes = [r["s"] for r in shard_by_bytes(docs, 40).groupBy("shard").agg(
+        {"size": "sum"}).toDF("shard", "s").collect()]
+    assert len(sizes) == 40 and max(sizes) - min(sizes) <= 2 * (96 + 16)
+
+
+@pytest.mark.parametrize("text", [r[1] for r in ROWS if r[1]] + [
+    "\n a", "a\n  b", "  x", "x  ", "a\n \nb", "a \n b", "　 a   b", "a\x1c b \x1f c"])
+def test_cut_texts_have_the_library_ids(text):
+    assert list(Encoder(default_tokenizer()).batch([text])[0]) == tokenizer().encode(
+        text, add_special_tokens=False).ids
+
+
+def test_cut_texts_on_random_white_space():
+    rng, enc, t = np.random.default_rng(5), Encoder(default_tokenizer()), tokenizer()
+    alphabet = list("ab'é1.,!\n\t  ") + [" ", "\r", "中", "s", "😀"]
+    texts = ["".join(rng.choice(alphabet, rng.integers(1, 30))) for _ in range(3000)]
+    for text, ids in zip(texts, enc.batch(texts)):
+        assert list(ids) == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_coder_round_trip_and_size():
+    rng = np.random.default_rng(1)
+    ids = np.minimum(rng.geometric(0.02, 3 * BLOCK + 77), 999).astype(np.uint16)
+    coder = Coder(scaled_table(np.bincount(ids, minlength=1000)))
+    words, states = coder.encode(ids)
+    counts = np.array([len(w) // 4 for w in words])
+    data = np.frombuffer(b"".join(words), "<u4")
+    first = np.cumsum(counts) - counts
+    assert (coder.decode(data, first, states).reshape(-1)[:len(ids)] == ids).all()
+    # Any block alone, from its checkpoint.
+    assert (coder.decode(data, first[2:3], states[2:3])[0] == ids[2 * BLOCK:3 * BLOCK]).all()
+    p = np.bincount(ids) / len(ids)
+    entropy = -sum(x * np.log2(x) for x in p if x) * len(ids) / 8
+    assert len(data) * 4 < 1.03 * entropy
+
+
+def test_files_give_the_ids_back(spark, tmp_path):
+    t = tokenizer()
+    got = [(r["start"], r["doc_id"], r["n_tokens"], bytes(r["ids"]))
+           for r in round_trip(frame(spark, ROWS)).collect()]
+    got.sort(key=lambda r: r[0])
+    at = 0
+    for start, _, n, ids in got:
+        assert start == at and len(ids) == 4 * n
+        at += n
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert [r[1] for r in got] == [r[0] for r in sorted(ROWS, key=lambda r: key((r[0], "")))]
+    assert sorted(((r[1], r[3]) for r in got), key=key) == sorted(
+        ((r[0], ids32(t, r[1], 2)) for r in ROWS), key=key)
+
+
+def test_files_of_an_empty_table(spark):
+    assert round_trip(frame(spark, [])).collect() == []
+
+
+def test_a_damaged_block_is_found(spark, tmp_path):
+    path, other = str(tmp_path / "files"), str(tmp_path / "damaged")
+    write_files(frame(spark, ROWS), path)
+    for name in ("table", "ranges"):
+        spark.read.parquet(f"{path}/{name}").write.parquet(f"{other}/{name}")
+    blocks = spark.read.parquet(f"{path}/blocks")
+    bad = [r.asDict() | {"states": bytes([r["states"][0] ^ 1]) + bytes(r["states"][1:])}
+           for r in blocks.collect()]
+    spark.createDataFrame(bad, blocks.schema).write.parquet(f"{other}/blocks")
+    with pytest.raises(Exception, match="damaged"):
+        read_files(spark, other).collect()
+
+
+def test_binary_lengths():
+    for n in range(1, 300):
+        parts = binary_lengths(n, 64)
+        assert sum(parts) == n and parts == sorted(parts, reverse=True)
+        assert all(p & (p - 1) == 0 and p <= 64 for p in parts)
+        assert len(parts) == n // 64 + bin(n % 64).count("1")
+
+
+def test_pieces_rebuild_their_documents(spark):
+    t = tokenizer()
+    rows = pack_binary(frame(spark, ROWS), max_len=64).collect()
+    assert len({r["sequence_id"] for r in rows}) == len(rows)
+    docs = {}
+    for r in rows:
+        assert r["offset"] == 0 and len(r["ids"]) == 4 * r["length"] == 4 << r["bucket"]
+        docs.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], bytes(r["ids"])))
+    for d, text, *_ in ROWS:
+        whole = ids32(t, text, 1)
+        parts = sorted(docs[d, len(whole) // 4])
+        copies = 2 if d == 7 else 1
+        assert len(parts) == copies * len(set(parts))
+        assert b"".join(p for _, p in sorted(set(parts))) == whole
+
+
+def test_packing_an_empty_table(spark):
+    assert pack_binary(frame(spark, [])).collect() == []
