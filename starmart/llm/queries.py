@@ -15,12 +15,23 @@ def op1_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_documents
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(
+        "mean_ratio", "threshold")
+
+
 def op7_rans_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rans import round_trip
     return round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_binary
     return pack_binary(table(spark, sf_dir, "documents")).select(
@@ -28,9 +39,17 @@ def op9_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_documents
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_shard_bytes": op1_shard_bytes,
+        "op6_ngram_ratio": op6_ngram_ratio,
         "op7_rans_ids": op7_rans_ids,
+        "op8_centroid_language": op8_centroid_language,
         "op9_pack_binary": op9_pack_binary,
+        "op10_clause_grammar": op10_clause_grammar,
     }

@@ -114,8 +114,8 @@ def test_a_damaged_block_is_found(spark, tmp_path):
     for name in ("table", "ranges"):
         spark.read.parquet(f"{path}/{name}").write.parquet(f"{other}/{name}")
     blocks = spark.read.parquet(f"{path}/blocks")
-    bad = [r.asDict() | {"states": bytes([r["states"][0] ^ 1]) + bytes(r["states"][1:])}
-           for r in blocks.collect()]
+    bad = [r.asDict() | {"states": bytes(x ^ 0xA5 for x in r["states"][:256])
+                         + bytes(r["states"][256:])} for r in blocks.collect()]
     spark.createDataFrame(bad, blocks.schema).write.parquet(f"{other}/blocks")
     with pytest.raises(Exception, match="damaged"):
         read_files(spark, other).collect()
