@@ -1,10 +1,10 @@
 """Token ids of whole texts with the tokenizers library, inside tasks.
 
-A byte-level pre-tokenizer never lets a piece cross from a non-space
-character to a space, so a text may be cut there and the pieces encoded one
-by one. Words repeat, so their ids are kept in a bounded per-worker store and
-the library encodes only pieces that it has not met lately. Texts with runs
-of white space, where a cut could change the pieces, go to the library whole.
+A byte-level pre-tokenizer never lets a piece cross from a visible character
+to a space, so a text may be cut before each space and its words encoded one
+by one. Words repeat, so their ids are kept in a bounded store of the worker.
+Texts where a space is followed by more white space, or by the end, could
+lose a piece to such a cut and go to the library whole.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ import re
 
 import numpy as np
 
-#: Pieces kept by one worker; two generations of half this size.
-STORE = 400_000
-_RUN = re.compile(r"\s \s|\s \Z")
+#: Words kept by one worker in each of two generations (about 200 bytes a word).
+STORE = 600_000
+_RUN = re.compile(r" (?:\s|\Z)")
+_MARKS = frozenset(".,;:!?")
 
 
 def default_tokenizer() -> str:
@@ -24,6 +25,41 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Visible Latin-1 characters stand for themselves; the others follow from 256.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Words(dict):
+    """Ids (as bytes) of words that follow ``lead``; the library is asked for new ones."""
+
+    def __init__(self, tok, kind, lead: str, older: dict | None = None):
+        super().__init__()
+        self.tok, self.kind, self.lead, self.older = tok, kind, lead, older or {}
+        self.model, self.alphabet = tok.model, byte_alphabet()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isalpha():  # one piece, which goes straight to the merges
+                piece = (self.lead + word).encode().decode("latin-1").translate(self.alphabet)
+                ids = np.array([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
+            elif word[-1:] in _MARKS and word[:-1].isalpha():  # letters and a mark are two
+                ids = self[word[:-1]] + self.whole(word[-1])
+            else:
+                ids = self.whole(self.lead + word)
+        self[word] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,46 +69,27 @@ class Encoder:
         self.tok.encode_special_tokens = True
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.kind = np.uint16 if self.size <= 65536 else np.uint32
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.first = Words(self.tok, self.kind, "")
+        self.later = Words(self.tok, self.kind, " ")
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+    def ids(self, text: str | None) -> np.ndarray:
+        if not text:
+            raw = b""
+        elif _RUN.search(text):
+            raw = self.first.whole(text)
+        else:
+            first, *rest = text.split(" ")
+            raw = b"".join([self.first[first] if first else b"",
+                            *map(self.later.__getitem__, rest)])
+        return np.frombuffer(raw, self.kind)
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for null or empty ones."""
-        cut: list[list[str] | None] = []
-        missing: dict[str, None] = {}
-        new, old = self.new, self.old
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif _RUN.search(text):
-                cut.append(None)
-            else:
-                parts = text.split(" ")
-                pieces = [" " + p for p in parts]
-                if parts[0]:
-                    pieces[0] = parts[0]
-                else:
-                    del pieces[0]
-                cut.append(pieces)
-                for p in pieces:
-                    if p not in new:
-                        if p in old:
-                            new[p] = old[p]
-                        else:
-                            missing[p] = None
-        if missing:
-            asked = list(missing)
-            new.update(zip(asked, self._raw(asked)))
-        whole = iter(self._raw([t for t, c in zip(texts, cut) if c is None]))
-        get = new.__getitem__
-        out = [np.frombuffer(next(whole) if c is None else b"".join(map(get, c)), self.kind)
-               for c in cut]
-        if len(new) > STORE // 2:
-            self.new, self.old = {}, new
+        out = [self.ids(t) for t in texts]
+        for name in ("first", "later"):
+            words = getattr(self, name)
+            if len(words) > STORE:
+                setattr(self, name, Words(self.tok, self.kind, words.lead, dict(words)))
         return out
 
 
