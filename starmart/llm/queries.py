@@ -15,6 +15,12 @@ def op1_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import link_documents
+    return link_documents(table(spark, sf_dir, "documents"), k=3, num=85, den=100,
+                          bands=36, rows=7)
+
+
 def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_documents
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(
@@ -47,6 +53,7 @@ def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_shard_bytes": op1_shard_bytes,
+        "op2_circulant_minhash": op2_circulant_minhash,
         "op6_ngram_ratio": op6_ngram_ratio,
         "op7_rans_ids": op7_rans_ids,
         "op8_centroid_language": op8_centroid_language,
