@@ -21,6 +21,21 @@ def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                           bands=36, rows=7)
 
 
+def op3_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import main_text
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_transcript_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .transcripts import parse_transcripts
+    return parse_transcripts(table(spark, sf_dir, "conversations"))
+
+
 def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_documents
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(
@@ -54,6 +69,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_shard_bytes": op1_shard_bytes,
         "op2_circulant_minhash": op2_circulant_minhash,
+        "op3_host_suffix_array": op3_host_suffix_array,
+        "op4_spaced_seeds": op4_spaced_seeds,
+        "op5_transcript_hmm": op5_transcript_hmm,
         "op6_ngram_ratio": op6_ngram_ratio,
         "op7_rans_ids": op7_rans_ids,
         "op8_centroid_language": op8_centroid_language,
