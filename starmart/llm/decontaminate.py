@@ -110,7 +110,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if (hits.agg(F.sum(F.size("q"))).first()[0] or 0) <= BROADCAST_TOKENS:
         hits = F.broadcast(hits)
     width = F.least(F.lit(WINDOW), F.size("q"))
-    return (docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")))
+    return (docs.select("doc_id", "text")
+            .join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")))
             .select("doc_id", "item_id", width.alias("window"),
                     let(tokens(F.col("text")), lambda w: _agreement(
                         w, F.col("q"), F.col("shift"))).alias("agreeing"))
