@@ -200,14 +200,16 @@ def covered(streams: list[list[str]]) -> list[np.ndarray]:
         rank = np.unique(rank * (len(rank) + 1) + after + 1, return_inverse=True)[1]
         depth *= 2
     whole = np.flatnonzero(last >= DEPTH)
+    if not len(whole):
+        return [np.zeros(n, bool) for n in sizes]
     order = whole[np.lexsort((page[whole], rank[whole]))]  # the suffix array
     r, p = rank[order], page[order]
     new_rank = np.append(True, r[1:] != r[:-1])
     new_page = new_rank | np.append(True, p[1:] != p[:-1])
     group = np.cumsum(new_rank) - 1
-    pages = np.bincount(group[new_page], minlength=group[-1] + 1 if len(group) else 0)
+    pages = np.bincount(group[new_page], minlength=group[-1] + 1)
     edge = np.zeros(len(rank) + 1, np.int64)
-    starts = order[pages[group] >= 2] if len(group) else order
+    starts = order[pages[group] >= 2]
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + DEPTH, -1)
     mark = np.cumsum(edge[:-1]) > 0
