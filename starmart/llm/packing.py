@@ -65,7 +65,7 @@ def pack_binary(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
     """
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, batch_rows=1024)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, max_len), PIECES)

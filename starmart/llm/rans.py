@@ -246,7 +246,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
                 id_col: str = "doc_id", text_col: str = "text") -> None:
     """``path``/table, /ranges and /blocks: the shared table, the ids of each range, the runs."""
     spark, tokenizer = docs.sparkSession, tokenizer or default_tokenizer()
-    prepare(spark)
+    prepare(spark, batch_rows=1024)
     size = max(encoder(tokenizer).size, end_id + 1)
     kind = "<u2" if size <= 65536 else "<u4"
     ids = ordered_ids(docs, tokenizer, end_id, id_col, text_col)

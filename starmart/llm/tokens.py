@@ -11,11 +11,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept by one worker in each of two generations (about 200 bytes a word).
 STORE = 600_000
+#: Characters whose ids are laid out together, unless one text has more.
+AT_ONCE = 4_000_000
 _RUN = re.compile(r" (?:\s|\Z)")
 _MARKS = frozenset(".,;:!?")
 
@@ -42,22 +47,26 @@ class Words(dict):
         super().__init__()
         self.tok, self.kind, self.lead, self.older = tok, kind, lead, older or {}
         self.model, self.alphabet = tok.model, byte_alphabet()
+        self.head = "".join(self.alphabet[b] for b in lead.encode())
+        self.marks = {m: self.whole(m) for m in _MARKS}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
             if word.isalpha():  # one piece, which goes straight to the merges
-                piece = (self.lead + word).encode().decode("latin-1").translate(self.alphabet)
-                ids = np.array([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
+                piece = word if word.isascii() else word.encode().decode("latin-1").translate(
+                    self.alphabet)
+                ids = array(self.kind, [t.id for t in self.model.tokenize(
+                    self.head + piece)]).tobytes()
             elif word[-1:] in _MARKS and word[:-1].isalpha():  # letters and a mark are two
-                ids = self[word[:-1]] + self.whole(word[-1])
+                ids = self[word[:-1]] + self.marks[word[-1]]
             else:
                 ids = self.whole(self.lead + word)
         self[word] = ids
         return ids
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.kind, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 class Encoder:
@@ -68,29 +77,49 @@ class Encoder:
         # A special token's string inside a text is ordinary text.
         self.tok.encode_special_tokens = True
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
-        self.kind = np.uint16 if self.size <= 65536 else np.uint32
+        self.kind = "H" if self.size <= 65536 else "I"
         self.first = Words(self.tok, self.kind, "")
         self.later = Words(self.tok, self.kind, " ")
 
-    def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            raw = b""
-        elif _RUN.search(text):
-            raw = self.first.whole(text)
-        else:
-            first, *rest = text.split(" ")
-            raw = b"".join([self.first[first] if first else b"",
-                            *map(self.later.__getitem__, rest)])
-        return np.frombuffer(raw, self.kind)
-
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for null or empty ones."""
-        out = [self.ids(t) for t in texts]
+        out, i, size = [], 0, 0
+        for j, t in enumerate(texts):
+            if size and size + len(t or "") > AT_ONCE:
+                out, i, size = out + self._lay(texts[i:j]), j, 0
+            size += len(t or "")
+        return out + self._lay(texts[i:])
+
+    def _lay(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Looks the texts' distinct words up once and lays out their ids at every place."""
+        whole = [bool(t) and _RUN.search(t) is not None for t in texts]
+        cut = pc.split_pattern(pa.array(["" if w else t or "" for t, w in zip(texts, whole)],
+                                        pa.large_string()), " ")
+        ends = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        words = coded.dictionary.to_pylist()
+        found = list(map(self.later.__getitem__, words))
+        # The first word of a text follows no space; it has entries of its own.
+        firsts = at[ends[:-1]]
+        distinct, own = np.unique(firsts, return_inverse=True)
+        at[ends[:-1]] = len(found) + own
+        found += [self.first[words[i]] if words[i] else b"" for i in distinct]
+        found += [self.first.whole(t) for t, w in zip(texts, whole) if w]
+        at[ends[:-1][whole]] = np.arange(len(found) - sum(whole), len(found))
+        ids = np.frombuffer(b"".join(found), self.kind)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+        start = np.cumsum(size) - size
+        sizes = size[at]
+        stop = np.cumsum(sizes)
+        laid = ids[np.arange(stop[-1] if len(stop) else 0)
+                   + np.repeat(start[at] - (stop - sizes), sizes)]
+        bounds = np.append(0, stop)[ends]
         for name in ("first", "later"):
-            words = getattr(self, name)
-            if len(words) > STORE:
-                setattr(self, name, Words(self.tok, self.kind, words.lead, dict(words)))
-        return out
+            store = getattr(self, name)
+            if len(store) > STORE:
+                setattr(self, name, Words(self.tok, self.kind, store.lead, dict(store)))
+        return [laid[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
 
 
 _encoders: dict[str, Encoder] = {}
