@@ -1,0 +1,79 @@
+"""Operator 4 against sliding windows in plain Python."""
+
+import itertools
+import math
+import random
+import re
+
+from starmart.llm import decontaminate as D
+
+TOKEN = re.compile(r"\w+")
+
+
+def leaks(text, item):
+    """Some aligned window agrees in 80 % of its tokens, for items of five tokens or more."""
+    w, q = TOKEN.findall((text or "").lower()), TOKEN.findall((item or "").lower())
+    n = min(D.WINDOW, len(q))
+    if len(q) < 5:
+        return 0
+    best = 0
+    for shift in range(-len(q), len(w)):
+        for i in range(max(0, -shift), min(len(q), len(w) - shift) - n + 1):
+            best = max(best, sum(q[i + j] == w[shift + i + j] for j in range(n)))
+    return best if best >= math.ceil(n * D.SHARE) else 0
+
+
+def test_masks_find_every_window_with_two_substitutions():
+    for bad in itertools.combinations(range(D.WINDOW), 2):
+        assert any(all(m[j] == "0" or s + j not in bad for j in range(len(m)))
+                   for m in D.MASKS for s in range(D.WINDOW - len(m) + 1)), bad
+
+
+def test_leaks_against_plain_python(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)] + ["The", "of,", "É."]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [text(n) for n in (13, 20, 40, 60, 15, 30)] + [text(6), text(3), []]
+    bench = [(i, " ".join(x)) for i, x in enumerate(items)] + [(90, None), (2, " ".join(items[2]))]
+    rows = []
+    for i in range(160):
+        w = text(rng.choice([0, 5, 30, 120]))
+        if i % 2:
+            q = list(rng.choice(items[:7]))
+            a = rng.randrange(max(1, len(q) - 12))
+            q = q[a:] if rng.random() < .5 else q
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                q[rng.randrange(len(q))] = "changed"
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = q if rng.random() < .8 else q + q
+        rows.append((i, " ".join(w).upper() if i % 3 == 0 else "\n".join(w), "n", "m", "k"))
+    rows += [(500, None, "", "", ""), (501, "", "", "", ""), (None, " ".join(items[3]), "", "", ""),
+             rows[1], (502, " ".join(text(20000) + items[2]), "", "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, t string, item_id string, q string").repartition(3)
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["agreeing"] for r in D.find_leaks(docs, benchmark).collect()}
+    sure = {(r[0], i): leaks(r[1], x) for r in rows[:-1] for i, x in bench if leaks(r[1], x)}
+    # Longer items: every window of two substitutions. Short items: with a run of five.
+    assert {k: v for k, v in got.items() if k[0] != 502} == {
+        k: v for k, v in sure.items() if k in got or k[1] not in (6,)}
+    assert (502, 2) in got and (None, 3) in got
+    kept = D.drop_leaks(docs, benchmark)
+    assert kept.columns == docs.columns
+    gone = {d for d, _ in got}
+    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted(
+        r[0] for r in rows if r[0] is not None and r[0] not in gone)
+
+
+def test_blocks_of_a_large_benchmark(spark, monkeypatch):
+    docs = spark.range(30).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(0, 20), i -> concat('w', id, '_', i))) as text")
+    bench = docs.selectExpr("doc_id + 1000 as item_id", "text")
+    monkeypatch.setattr(D, "BLOCK_TOKENS", 100)
+    got = {(r["doc_id"], r["item_id"]) for r in D.find_leaks(docs, bench).collect()}
+    assert got == {(i, 1000 + i) for i in range(30)}
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    assert D.find_leaks(docs, bench).collect() == []
+    assert D.drop_leaks(bench.toDF("doc_id", "text"), docs.toDF("item_id", "text")).count() == 1
