@@ -3,43 +3,49 @@
 Layout under ``root`` (a folder on the cluster's shared file system):
 
 * ``tables/<table>/run=<id>/...``  data written by run ``id``;
-* ``_manifest/version=<n>/``       one small Parquet file listing, for every
-  table, the folders that make it up (with row counts and max keys);
+* ``_manifest/version=<n>-<token>/``  one small Parquet file listing, for
+  every table, the folders that make it up (with row counts and max keys);
 * ``_log/etl_runs|etl_events|etl_metrics``  appended run logs.
 
 A run writes its folders first and publishes a new manifest version last,
 so a failed run is never visible and no plan overwrites a path it reads.
 Facts and closed dimension versions add folders; current dimension rows,
 stores and marts replace theirs. Marts also record which fact folders they
-cover (``<mart>#covers``), for incremental refreshes. The latest version is
-read from the file listing; versions are written with ``errorifexists``, so
-two writers racing for one version cannot both win, and a version folder
-left without data by an aborted publish is overwritten by the next one.
+cover (``<mart>#covers``: the last covered run), for incremental refreshes.
+
+One writer at a time: a publish names the version it started from and is
+refused when another version has appeared since. Every publish has a folder
+of its own, so no writer can overwrite another's version, and a folder that
+an aborted publish left without data is never listed.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from . import schemas as S
 
-_VERSION = re.compile(r"/version=(\d+)/")
+_VERSION = re.compile(r"/version=((\d+)-\w+)/")
 
 MANIFEST = StructType([
     StructField("table", StringType(), False), StructField("kind", StringType(), False),
     StructField("path", StringType(), False), StructField("rows", LongType(), False),
     StructField("max_key", LongType(), True)])
 
+#: Conflict keys of the loaded sales, sorted by transaction.
+FACT_KEYS = StructType([StructField(c, LongType()) for c in (
+    "transaction_id", "product_key", "product_business_key")])
+
 LOG_SCHEMAS = {"etl_runs": S.ETL_RUNS, "etl_events": S.ETL_EVENTS, "etl_metrics": S.ETL_METRICS}
 
 EMPTY_SCHEMAS = {"dim_customer": S.DIM_CUSTOMER, "dim_product": S.DIM_PRODUCT,
-                 "dim_store": S.DIM_STORE, "fact_sales": S.FACT_SALES}
+                 "dim_store": S.DIM_STORE, "fact_sales": S.FACT_SALES, "fact_keys": FACT_KEYS}
 
 
 @dataclass
@@ -53,6 +59,7 @@ class Part:
 @dataclass
 class Snapshot:
     version: int
+    name: str = "0-first"
     parts: dict[str, list[Part]] = field(default_factory=dict)
 
     def rows(self, table: str) -> int:
@@ -83,7 +90,7 @@ class Warehouse:
         for name, schema in LOG_SCHEMAS.items():
             self.spark.createDataFrame([], schema).write.mode("append").parquet(self.log_path(name))
         (self.spark.createDataFrame([], MANIFEST).write.mode("errorifexists")
-         .parquet(f"{self.root}/_manifest/version=0"))
+         .parquet(f"{self.root}/_manifest/version=0-first"))
 
     # -- paths --------------------------------------------------------------
     def table_root(self, table: str) -> str:
@@ -93,6 +100,15 @@ class Warehouse:
         p = f"{self.table_root(table)}/run={run_id}"
         return f"{p}/part={part}" if part else p
 
+    def staging_path(self, run_id: int, name: str) -> str:
+        return f"{self.root}/_staging/run={run_id}/{name}"
+
+    def drop_staging(self, run_id: int) -> None:
+        """Remove what a run staged for itself; nothing published refers to it."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_staging/run={run_id}")
+        path.getFileSystem(conf).delete(path, True)
+
     def log_path(self, name: str) -> str:
         return f"{self.root}/_log/{name}"
 
@@ -100,24 +116,32 @@ class Warehouse:
     def snapshot(self, refresh: bool = False) -> Snapshot:
         if self._snap is not None and not refresh:
             return self._snap
-        m = self.spark.read.parquet(f"{self.root}/_manifest")
         # The latest version comes from the file listing, not from reading every
-        # version; only its own file is then read (pruned on version). A version
-        # folder without a committed data file (an aborted publish) is not listed.
-        listed = [int(v) for f in m.inputFiles() for v in _VERSION.findall(f)]
-        snap = Snapshot(max(listed) if listed else 0)
-        for r in m.filter(F.col("version") == snap.version).collect():  # one row per folder
+        # version; only its own folder is then read. A version folder without a
+        # committed data file (an aborted publish) is not listed.
+        files = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/_manifest").inputFiles()
+        listed = {(int(n), name) for f in files for name, n in _VERSION.findall(f)}
+        last = max((n for n, _ in listed), default=0)
+        name = min((v for n, v in listed if n == last), default="0-first")
+        snap = Snapshot(last, name)
+        m = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/_manifest/version={name}")
+        for r in m.collect():  # one row per folder
             snap.parts.setdefault(r["table"], []).append(
                 Part(r["kind"], r["path"], int(r["rows"]), r["max_key"]))
         self._snap = snap
         return snap
 
-    def publish(self, changes: dict[str, list[Part]], replace: set[str] = frozenset()) -> Snapshot:
+    def publish(self, changes: dict[str, list[Part]], replace: set[str] = frozenset(),
+                base: int | None = None) -> Snapshot:
         """New version = old parts, minus replaced 'current' parts, plus ``changes``.
 
-        Tables in ``replace`` drop every old part (marts, stores).
+        Tables in ``replace`` drop every old part (marts, stores). ``base`` is the
+        version that the caller read; a newer one means a second writer.
         """
         old = self.snapshot(refresh=True)
+        if base is not None and old.version != base:
+            raise RuntimeError(f"another writer published version {old.version} after {base}; "
+                               "a warehouse has one writer at a time")
         parts = {t: list(ps) for t, ps in old.parts.items()}
         for table, new_parts in changes.items():
             kept = [] if table in replace else [
@@ -125,18 +149,11 @@ class Warehouse:
                 if not (p.kind == "current" and any(n.kind == "current" for n in new_parts))]
             parts[table] = kept + new_parts
         rows = [(t, p.kind, p.path, p.rows, p.max_key) for t, ps in parts.items() for p in ps]
-        version = old.version + 1
-        target = f"{self.root}/_manifest/version={version}"
-        frame = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
-        try:
-            frame.write.mode("errorifexists").parquet(target)
-        except AnalysisException:
-            # The folder exists. If another writer published this version it is
-            # now listed: give up. Otherwise it is what an aborted publish left.
-            if self.snapshot(refresh=True).version >= version:
-                raise
-            frame.write.mode("overwrite").parquet(target)
-        self._snap = Snapshot(version, parts)
+        name = f"{old.version + 1}-{uuid.uuid4().hex}"
+        (self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists")
+         .parquet(f"{self.root}/_manifest/version={name}"))
+        if self.snapshot(refresh=True).name != name:
+            raise RuntimeError("another writer published the same version; this one is void")
         return self._snap
 
     # -- reading ------------------------------------------------------------

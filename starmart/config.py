@@ -9,9 +9,6 @@ from __future__ import annotations
 import datetime as dt
 
 # --- fixed values -----------------------------------------------------------
-# Calendar span for the driver tables (order dates run 1995-01-01 .. 2001-08-01).
-CALENDAR_START = dt.date(1995, 1, 1)
-CALENDAR_END = dt.date(2001, 12, 31)
 # First version of a new dimension member starts here, so that past sales find it.
 FIRST_VALID_FROM = dt.date(1900, 1, 1)
 # Stand-in for an open valid_to in range predicates.
@@ -26,11 +23,17 @@ METRIC_PRODUCT_ROWS = "dim_product_rows_processed"
 METRIC_STORE_ROWS = "dim_store_rows_processed"
 METRIC_FACT_INSERTED = "fact_sales_inserted"
 METRIC_FACT_TOTAL = "fact_sales_count_total"
+METRIC_SALES_UNMATCHED = "sales_without_dimension"
 # Event messages (prefix + business key).
 MSG_INSERTED = {"customer": "Inserted new customer BK=", "product": "Inserted new product BK="}
 MSG_SCD2_CHANGE = "SCD2 change for BK="
 MSG_STORE_UPSERT = "Upsert store BK="
 MSG_MARTS_RUN = "Refreshing Marts"
+MSG_DIMENSIONS = "Dimensions loaded from staging"
+MSG_FACT = "Fact sales loaded from staging"
+MSG_MARTS_DONE = "All marts refreshed successfully"
+# Columns that a loaded sale must have.
+SALES_NOT_NULL = ("transaction_id", "quantity", "unit_price", "total_amount")
 # Declared VARCHAR lengths of the staging tables, checked by the quality job.
 VARCHAR_LIMITS = {
     "customers": {"first_name": 100, "last_name": 100, "email": 150, "gender": 10,

@@ -27,6 +27,12 @@ def cents_to_amount(c: Column) -> Column:
     return (c.cast("decimal(20,0)") / F.lit(100)).cast(AMOUNT)
 
 
+def whole_div(a: Column, b: Column) -> Column:
+    """Whole-number quotient of two longs; null when ``b`` is null."""
+    # a - a mod b is a multiple of b; decimals divide it without rounding.
+    return ((a - F.pmod(a, b)).cast("decimal(20,0)") / b.cast("decimal(20,0)")).cast("long")
+
+
 def total(c: Column) -> Column:
     return c.cast(TOTAL)
 

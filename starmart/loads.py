@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from . import schemas as S
-from .operators.facts import conflict_ignoring_append, resolve_sales, with_sales_keys
+from .operators.facts import (conflict_ignoring_append, existing_conflict_keys, resolve_sales,
+                              with_sales_keys)
 from .operators.ranking import max_key
 from .operators.scd import DimDelta, scd1_merge, scd2_merge
 from .sources import staging as stg
-from .sources.calendar import dim_date
+from .sources.calendar import calendar_of, dim_date
 
 Tables = dict[str, DataFrame]
 
@@ -49,9 +50,10 @@ class DimLoad:
     events: DataFrame
 
 
-def empty_tables(spark: SparkSession) -> Tables:
+def empty_tables(spark: SparkSession, sales: DataFrame | None = None) -> Tables:
+    """Empty tables, but for the calendar of ``sales``."""
     return {
-        "dim_date": dim_date(spark),
+        "dim_date": dim_date(spark) if sales is None else calendar_of(sales),
         "dim_customer": spark.createDataFrame([], S.DIM_CUSTOMER),
         "dim_product": spark.createDataFrame([], S.DIM_PRODUCT),
         "dim_store": spark.createDataFrame([], S.DIM_STORE),
@@ -91,7 +93,8 @@ def fact_batch(tables: Tables, sales: DataFrame, *, mode: str = "reference",
         sales = sales.filter(F.col("transaction_date").between(F.lit(date_from), F.lit(date_to)))
     resolved = resolve_sales(sales, tables["dim_date"], tables["dim_store"],
                              tables["dim_customer"], tables["dim_product"])
-    fresh = conflict_ignoring_append(resolved, tables["fact_sales"], tables["dim_product"], mode)
+    existing = existing_conflict_keys(tables["fact_sales"], tables["dim_product"], mode)
+    fresh = conflict_ignoring_append(resolved, existing, mode)
     start = max_key(tables["fact_sales"], "sales_key") if after_key is None else after_key
     return with_sales_keys(fresh, start)
 

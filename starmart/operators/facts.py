@@ -1,8 +1,7 @@
 """Point-in-time lookups, fact resolution, conflict-ignoring append.
 
-Join strategy: the calendar is broadcast (one row per day: a proven bound).
-Every other dimension is joined on its business key and left to
-Catalyst + AQE, which broadcast a side only when its measured size is under
+Join strategy: no side is hinted; every dimension is joined on its key and
+left to Catalyst + AQE, which broadcast a side only when its measured size is under
 the threshold and otherwise sort-merge, splitting skewed keys
 (``spark.sql.adaptive.skewJoin.enabled``).
 """
@@ -30,12 +29,15 @@ def pit_lookup(rows: DataFrame, dim: DataFrame, *, bk: str, key: str,
     ``bk`` names the business key in both frames. Ranges are closed at both
     ends; an open version runs to 9999-12-31. Planned as an equi-join on the
     business key with the range as a residual: each sale meets only the
-    versions of its own key (a handful), and a key with a third of all
-    sales is split across tasks by AQE's skew handling.
+    versions of its own key that hold at least a day, and a key with a third
+    of all sales is split across tasks by AQE's skew handling.
     """
     versions = dim.select(F.col(bk).alias("_v_bk"), F.col(key).alias(key),
                           F.col("valid_from").alias("_v_from"),
                           F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO)).alias("_v_to"))
+    # A key changed several times in one batch leaves empty versions, which no
+    # date can match: they must not meet the key's sales.
+    versions = versions.filter(F.col("_v_from") <= F.col("_v_to"))
     cond = ((rows[bk] == versions["_v_bk"])
             & rows[date_col].between(versions["_v_from"], versions["_v_to"]))
     return rows.join(versions, cond, "inner").drop("_v_bk", "_v_from", "_v_to")
@@ -44,7 +46,7 @@ def pit_lookup(rows: DataFrame, dim: DataFrame, *, bk: str, key: str,
 def resolve_sales(staged_sales: DataFrame, dim_date: DataFrame, dim_store: DataFrame,
                   dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Resolve the four keys of staged sales. Unmatched rows drop out (W17 reports them)."""
-    cal = F.broadcast(dim_date.select(F.col("full_date").alias("transaction_date"), "date_key"))
+    cal = dim_date.select(F.col("full_date").alias("transaction_date"), "date_key")
     rows = staged_sales.join(cal, "transaction_date", "inner")
     rows = rows.join(dim_store.select("store_business_key", "store_key"),
                      "store_business_key", "inner")
@@ -81,10 +83,11 @@ def existing_conflict_keys(fact: DataFrame, dim_product: DataFrame, mode: str) -
             .select("transaction_id", "product_business_key"))
 
 
-def conflict_ignoring_append(batch: DataFrame, fact: DataFrame | None,
-                             dim_product: DataFrame | None = None,
+def conflict_ignoring_append(batch: DataFrame, existing: DataFrame | None,
                              mode: str = "reference") -> DataFrame:
-    """Rows of ``batch`` whose conflict key is neither in ``fact`` nor repeated.
+    """Rows of ``batch`` whose conflict key is neither in ``existing`` nor repeated.
+
+    ``existing`` holds the conflict keys already loaded (None for none).
 
     mode "reference": key (transaction_id, product_key), as the reference's
     unique constraint; "business": (transaction_id, product_business_key),
@@ -92,9 +95,9 @@ def conflict_ignoring_append(batch: DataFrame, fact: DataFrame | None,
     """
     keys = conflict_columns(mode)
     fresh = dedupe_batch(batch, keys)
-    if fact is None:
+    if existing is None:
         return fresh
-    return fresh.join(existing_conflict_keys(fact, dim_product, mode), keys, "left_anti")
+    return fresh.join(existing, keys, "left_anti")
 
 
 SALES_KEY_ORDER = ["date_key", "product_key", "transaction_id"]
@@ -107,5 +110,5 @@ def with_sales_keys(rows: DataFrame, after: int) -> DataFrame:
     fact's storage order (W25), so numbering and layout share one range
     shuffle.
     """
-    keyed = assign_keys(rows, [F.col(c) for c in SALES_KEY_ORDER], "sales_key", after)
+    keyed, _ = assign_keys(rows, [F.col(c) for c in SALES_KEY_ORDER], "sales_key", after)
     return keyed.select(*C.FACT_COLUMNS, "transaction_date")

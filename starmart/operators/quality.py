@@ -102,7 +102,7 @@ def _pit_flag(sales: DataFrame, dim: DataFrame, bk: str, flag: str) -> DataFrame
 
 
 SALE_KEY = ("transaction_id", "product_business_key", "store_business_key")
-NOT_NULL = ("transaction_id", "quantity", "unit_price", "total_amount")
+NOT_NULL = C.SALES_NOT_NULL
 
 
 def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
@@ -110,12 +110,12 @@ def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
     and staged dimension text over its declared length.
 
     Sales are read once: left joins tag each sale with what it found (the
-    calendar broadcast; versions merged into disjoint ranges per key, so one
+    calendar; versions merged into disjoint ranges per key, so one
     match at most even where versions overlap), and the list of failed checks
     is exploded, one row per reason.
     """
-    cal = F.broadcast(tables["dim_date"].select(F.col("full_date").alias("transaction_date"),
-                                                F.lit(True).alias("_date_ok")))
+    cal = tables["dim_date"].select(F.col("full_date").alias("transaction_date"),
+                                    F.lit(True).alias("_date_ok"))
     s = staged.sales.join(cal, "transaction_date", "left")
     s = s.join(tables["dim_store"].select("store_business_key", F.lit(True).alias("_store_ok")),
                "store_business_key", "left")

@@ -84,11 +84,12 @@ def ntile_global(df: DataFrame, n: int, order: Sequence[Column | str], name: str
 
 
 def assign_keys(df: DataFrame, order: Sequence[Column | str], key: str,
-                start_after: int | Column, num_partitions: int | None = None) -> DataFrame:
-    """Dense surrogate keys start_after + 1, + 2, ... in ``order``."""
-    ranked, _ = row_number_global(df, order, "_rk", num_partitions)
+                start_after: int | Column, num_partitions: int | None = None
+                ) -> tuple[DataFrame, int]:
+    """Dense surrogate keys start_after + 1, + 2, ... in ``order``; and how many."""
+    ranked, n = row_number_global(df, order, "_rk", num_partitions)
     base = start_after if isinstance(start_after, Column) else F.lit(int(start_after))
-    return ranked.withColumn(key, (base + F.col("_rk")).cast("long")).drop("_rk")
+    return ranked.withColumn(key, (base + F.col("_rk")).cast("long")).drop("_rk"), n
 
 
 def max_key(df: DataFrame, key: str) -> int:

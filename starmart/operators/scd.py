@@ -43,11 +43,13 @@ class DimDelta:
     ``current``: all current rows after the merge (replaces the previous
     current set). ``closed``: versions closed by this merge (appended to the
     history). ``events``: one change-feed row per inserted / changed key.
+    ``changed``: false when the merge left every row as it was.
     """
 
     current: DataFrame
     closed: DataFrame
     events: DataFrame
+    changed: bool = True
 
     def all_versions(self, history: DataFrame | None = None) -> DataFrame:
         out = self.current.unionByName(self.closed)
@@ -94,7 +96,6 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
                         F.lit(0).cast("long").alias("_rn")))
         chain = kept.withColumn("_first", F.col("_rn")).withColumn("_last", F.col("_rn"))
         order = [F.col(bk)]
-        per_key = kept.select(bk, "_has_cur")
     else:
         # A key repeats: number current + staged rows globally in (key, current
         # first, _seq) order and join each row to the one numbered before it.
@@ -118,7 +119,7 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
     is_last = F.col("_rn") == F.col("_last")
     inserted = is_first & ~F.col("_has_cur")
     versions = chain.select(
-        "_rn", bk, *attrs,
+        "_rn", bk, *attrs, "_has_cur",
         F.when(inserted, lit_date(C.FIRST_VALID_FROM)).otherwise(as_of_c).alias("valid_from"),
         F.when(is_last, F.lit(None).cast("date")).otherwise(closed_to).alias("valid_to"),
         is_last.alias("is_current"),
@@ -126,9 +127,10 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
         .otherwise(F.concat(F.lit(C.MSG_SCD2_CHANGE), F.col(bk).cast("string"))).alias("_msg"),
     )
     start = max_key(dim, key) if after_key is None else after_key
-    keyed = assign_keys(versions, order, key, start)
+    keyed, n_new = assign_keys(versions, order, key, start)
 
-    touched = per_key.filter(F.col("_has_cur")).select(bk)
+    # From the numbered rows, which are materialized: the merge is not run again.
+    touched = keyed.filter(F.col("_has_cur")).select(bk).distinct()
     closing = (cur.join(touched, bk, "left_semi")
                .withColumn("valid_to", closed_to)
                .withColumn("is_current", F.lit(False)))
@@ -139,7 +141,7 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
         keyed.filter(~F.col("is_current")).select(*cols))
     events = keyed.select(F.lit(f"dim_{entity}").alias("step"), F.lit("INFO").alias("level"),
                           F.col("_msg").alias("message"))
-    return DimDelta(new_current, new_closed, events)
+    return DimDelta(new_current, new_closed, events, n_new > 0)
 
 
 def scd1_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk: str,
@@ -164,9 +166,13 @@ def scd1_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
     existing = rows.filter(F.col(key).isNotNull())
     fresh = rows.filter(F.col(key).isNull()).drop(key)
     start = max_key(dim, key) if after_key is None else after_key
-    fresh_keyed = assign_keys(fresh, [F.col(bk)], key, start).select(*cols)
+    fresh_keyed, n_new = assign_keys(fresh, [F.col(bk)], key, start)
+    differs = reduce(lambda x, y: x | y,
+                     [~F.col(f"o.{a}").eqNullSafe(F.col(f"n.{a}")) for a in attrs])
+    changed = n_new > 0 or not j.filter(in_staged & differs).isEmpty()
     events = staged.select(F.lit(f"dim_{entity}").alias("step"), F.lit("INFO").alias("level"),
                            F.concat(F.lit(C.MSG_STORE_UPSERT), F.col(bk).cast("string"))
                            .alias("message"))
     empty = dim.select(*cols).filter(F.lit(False))
-    return DimDelta(existing.select(*cols).unionByName(fresh_keyed), empty, events)
+    return DimDelta(existing.select(*cols).unionByName(fresh_keyed.select(*cols)), empty, events,
+                    changed)

@@ -14,8 +14,7 @@ from ..functions.money import total
 
 
 def _calendar(t) -> DataFrame:
-    # One row per calendar day: a proven bound, safe to broadcast.
-    return F.broadcast(t["dim_date"].select("date_key", "year_number", "month_number"))
+    return t["dim_date"].select("date_key", "year_number", "month_number")
 
 
 def mart_monthly_country(t) -> DataFrame:

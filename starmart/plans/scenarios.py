@@ -48,7 +48,8 @@ def _frozen(load: DimLoad) -> DimLoad:
 
 def first_dims(spark: SparkSession, sf_dir: str) -> DimLoad:
     return _memo_get(spark, sf_dir, "dims1", lambda: _frozen(load_dimensions(
-        empty_tables(spark), staged(spark, sf_dir), C.BATCH2_AS_OF)))
+        empty_tables(spark, staged(spark, sf_dir).sales), staged(spark, sf_dir),
+        C.BATCH2_AS_OF)))
 
 
 def second_dims(spark: SparkSession, sf_dir: str) -> DimLoad:
@@ -196,7 +197,7 @@ def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     unknown), all staged sales checked against them."""
     st = staged(spark, sf_dir).batch2()
     dims = _memo_get(spark, sf_dir, "dims-b2-only", lambda: _frozen(load_dimensions(
-        empty_tables(spark), st, C.BATCH2_AS_OF)))
+        empty_tables(spark, st.sales), st, C.BATCH2_AS_OF)))
     return reject_report(st, dims.tables)
 
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import sys
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -20,11 +22,12 @@ from . import config as C
 from . import schemas as S
 from .catalog import Part, Warehouse
 from .functions.dates import year_month
-from .operators.layout import date_range_filter
 from .loads import Staged, load_dimensions
-from .operators.facts import SALES_KEY_ORDER, conflict_ignoring_append, resolve_sales
-from .operators.ranking import row_number_global
+from .operators.facts import (SALES_KEY_ORDER, conflict_columns, conflict_ignoring_append,
+                              resolve_sales)
 from .plans.marts import INCREMENTAL, MARTS
+from .session import default_parallelism
+from .sources.calendar import dim_date
 
 
 _TRACE = os.environ.get("STARMART_TRACE") == "1"
@@ -38,6 +41,19 @@ def _trace(run: "Run", what: str, t0: float) -> float:
     return t1
 
 
+@contextmanager
+def observing(spark):
+    """Adaptive execution must not replace an empty plan: its observations would go too."""
+    key, rule = ("spark.sql.adaptive.optimizer.excludedRules",
+                 "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation")
+    old = spark.conf.get(key, "")
+    spark.conf.set(key, ",".join(filter(None, [old, rule])))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -56,9 +72,12 @@ class Run:
     def _append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.wh.log_path(name))
 
+    def _rows(self, name: str, rows: list[tuple], schema) -> None:
+        """A few driver-side rows: one file."""
+        self._append(name, self.wh.spark.createDataFrame(rows, schema).coalesce(1))
+
     def _status(self, status: str, message: str | None) -> None:
-        self._append("etl_runs", self.wh.spark.createDataFrame(
-            [(self.run_id, self.kind, status, message, _now())], S.ETL_RUNS))
+        self._rows("etl_runs", [(self.run_id, self.kind, status, message, _now())], S.ETL_RUNS)
 
     def event(self, step: str, level: str, message: str) -> None:
         """Driver-side step events are buffered and written once per run."""
@@ -76,11 +95,10 @@ class Run:
                               _now()))
 
     def _flush(self) -> None:
-        spark = self.wh.spark
         if self._events:
-            self._append("etl_events", spark.createDataFrame(self._events, S.ETL_EVENTS))
+            self._rows("etl_events", self._events, S.ETL_EVENTS)
         if self._metrics:
-            self._append("etl_metrics", spark.createDataFrame(self._metrics, S.ETL_METRICS))
+            self._rows("etl_metrics", self._metrics, S.ETL_METRICS)
         self._events, self._metrics = [], []
 
     def succeed(self, message: str | None = None) -> None:
@@ -88,73 +106,173 @@ class Run:
         self._status("SUCCESS", message)
 
     def fail(self, exc: BaseException, step: str) -> None:
-        msg = f"{type(exc).__name__}: {exc}"[:2000]
+        msg = f"{type(exc).__name__}: {exc}"
         self.event(step, "ERROR", msg)
         self._flush()
         self._status("FAILED", msg)
 
 
-def _count_and_nulls(df: DataFrame, bk: str) -> tuple[int, int]:
-    r = df.agg(F.count(F.lit(1)), F.count(F.when(F.col(bk).isNull(), 1))).first()
-    return int(r[0]), int(r[1])
+def write_observed(df: DataFrame, path: str, *aggs) -> dict:
+    """Write ``df``; the row count and ``aggs``, observed during the write itself."""
+    obs = Observation()
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *aggs).write.mode(
+        "errorifexists").parquet(path)
+    return {"rows": 0, **{k: v for k, v in obs.get.items() if v is not None}}
+
 
+def _count_if(cond, name: str):
+    return F.count(F.when(cond, 1)).alias(name)
 
-def write_observed(df: DataFrame, path: str, key: str | None = None) -> tuple[int, int | None]:
-    """Write ``df`` and return (rows, max key) observed during the write itself."""
-    obs = Observation()
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    if key:
-        aggs.append(F.max(key).alias("max_key"))
-    df.observe(obs, *aggs).write.mode("errorifexists").parquet(path)
-    got = obs.get
-    return int(got["rows"]), (got.get("max_key") if key else None)
+
+DIMENSIONS = (("customers", "customer_business_key", C.METRIC_CUSTOMER_ROWS),
+              ("products", "product_business_key", C.METRIC_PRODUCT_ROWS),
+              ("stores", "store_business_key", C.METRIC_STORE_ROWS))
 
 
-def _write_dims(run: Run, dims) -> dict[str, list[Part]]:
-    """Write new current rows (replacing) and newly closed versions (appended)."""
+def materialize(run: Run, staged: Staged, dimensions: bool = True) -> tuple[Staged, dict]:
+    """Write the staged frames once under the run's staging folder.
+
+    Later steps read these files and never the sources again. Rows that the
+    tables would refuse are counted during the write: a null business key or a
+    text over its declared length fails the run.
+    """
+    wh, out = run.wh, {}
+    for name, bk, metric in DIMENSIONS if dimensions else ():
+        path = wh.staging_path(run.run_id, name)
+        limits = C.VARCHAR_LIMITS[name]
+        df = getattr(staged, name)
+        got = write_observed(df, path, _count_if(F.col(bk).isNull(), bk),
+                             *[_count_if(F.length(c) > n, c) for c, n in limits.items()])
+        run.metric(metric, got["rows"])
+        if got.get(bk):
+            raise ValueError(f"{got[bk]} staged {name} rows have a null business key")
+        long = {c: got[c] for c in limits if got.get(c)}
+        if long:
+            raise ValueError(f"staged {name} rows with over-long text: {long}")
+        out[name] = wh.spark.read.schema(df.schema).parquet(path)
+    path = wh.staging_path(run.run_id, "sales")
+    seen = write_observed(staged.sales, path, *[
+        fn(c).alias(f"{which}_{c}") for c in ("transaction_date", "transaction_id")
+        for which, fn in (("min", F.min), ("max", F.max))])
+    out["sales"] = wh.spark.read.schema(staged.sales.schema).parquet(path)
+    return Staged(out.get("customers"), out.get("products"), out.get("stores"), out["sales"]), seen
+
+
+def extend_calendar(run: Run, calendar: DataFrame, seen: dict) -> Part | None:
+    """The years of the staged sales that the published calendar lacks."""
+    if "min_transaction_date" not in seen:
+        return None
+    span = calendar.agg(F.min("full_date"), F.max("full_date")).first()
+    known = [d for d in span if d is not None]
+    whole = dim_date(run.wh.spark, min([seen["min_transaction_date"], *known]),
+                     max([seen["max_transaction_date"], *known]))
+    lacking = whole
+    if known:
+        if seen["min_transaction_date"] >= known[0] and seen["max_transaction_date"] <= known[-1]:
+            return None
+        lacking = whole.filter((F.col("full_date") < F.lit(known[0]))
+                               | (F.col("full_date") > F.lit(known[-1])))
+    path = run.wh.table_path("dim_date", run.run_id)
+    return Part("append", path, write_observed(lacking, path)["rows"])
+
+
+def _write_dims(run: Run, dims, snap) -> dict[str, list[Part]]:
+    """Write new current rows (replacing) and newly closed versions (appended).
+
+    A dimension that the load left as it was keeps its published parts.
+    """
     wh, rid = run.wh, run.run_id
     out: dict[str, list[Part]] = {}
     for table, key in (("dim_customer", "customer_key"), ("dim_product", "product_key"),
                        ("dim_store", "store_key")):
         delta = dims.deltas[table]
+        if not delta.changed and table in snap.parts:
+            continue
         parts = []
-        for kind, df, sub in (("current", delta.current, "current"),
-                              ("append", delta.closed, "closed")):
-            path = wh.table_path(table, rid, sub)
-            rows, top = write_observed(df, path, key)
-            if kind == "current" or rows > 0:
-                parts.append(Part(kind, path, rows, top))
+        for kind, df, name in (("current", delta.current, "current"),
+                               ("append", delta.closed, "closed")):
+            path = wh.table_path(table, rid, name)
+            got = write_observed(df, path, F.max(key).alias("top"))
+            if kind == "current" or got["rows"] > 0:
+                parts.append(Part(kind, path, got["rows"], got.get("top")))
         out[table] = parts
     return out
 
 
-def write_fact(run: Run, rows: DataFrame, after_key: int) -> Part | None:
-    """W09 + W25: number new facts in (date, product, transaction) order and write
-    them date-clustered: the numbering's range partitions are contiguous date
-    ranges, sorted within, written under year_month folders, so Parquet min/max
-    statistics and partition pruning skip data for date and date+product filters.
+#: Rows of new facts that one range partition is meant to hold.
+FACT_ROWS = 2_000_000
+
+
+def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int) -> list[Part]:
+    """W09 + W25: the fact part and its conflict keys, or nothing for no rows.
+
+    The new facts are range-partitioned in (date, product, transaction) order
+    and written once as columnar staging, tagged with their place; the counts of
+    the partitions turn places into dense keys as the rows are read back. The
+    final files are sorted under year_month folders, so Parquet min/max
+    statistics and partition pruning serve date and date + product filters.
     """
-    numbered, n = row_number_global(rows, [F.col(c) for c in SALES_KEY_ORDER], "_rk")
+    wh, order = run.wh, [F.col(c) for c in SALES_KEY_ORDER]
+    width = max(default_parallelism(wh.spark), -(-staged_rows // FACT_ROWS))
+    tagged = (rows.repartitionByRange(width, *order).sortWithinPartitions(*order)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    staging = wh.staging_path(run.run_id, "fact")
+    got = write_observed(tagged, staging, *[_count_if(F.col(c).isNull(), c)
+                                            for c in C.SALES_NOT_NULL])
+    nulls = {c: got[c] for c in C.SALES_NOT_NULL if got.get(c)}
+    if nulls:
+        raise ValueError(f"new facts with nulls in required columns: {nulls}")
+    n = got["rows"]
     if n == 0:
-        return None
+        return []
+    placed = wh.spark.read.schema(tagged.schema).parquet(staging).withColumn(
+        "_pid", F.shiftright("_mid", 33))
+    # One row for each range partition reaches the driver.
+    running, offsets = after_key + 1, []
+    for r in sorted(placed.groupBy("_pid").count().collect(), key=lambda r: r["_pid"]):
+        offsets.append((r["_pid"], running))
+        running += r["count"]
+    numbered = placed.join(
+        F.broadcast(wh.spark.createDataFrame(offsets, "_pid long, _first long")), "_pid")
     out = numbered.select(
-        (F.lit(after_key) + F.col("_rk")).cast("long").alias("sales_key"),
+        (F.col("_first") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("sales_key"),
         *[c for c in C.FACT_COLUMNS if c != "sales_key"],
         year_month(F.col("transaction_date")).alias("year_month"))
-    path = run.wh.table_path("fact_sales", run.run_id)
-    out.write.mode("errorifexists").partitionBy("year_month").parquet(path)
-    return Part("append", path, n, after_key + n)
+    path = wh.table_path("fact_sales", run.run_id)
+    (out.sortWithinPartitions("year_month", "sales_key").write.mode("errorifexists")
+     .partitionBy("year_month").parquet(path))
+    keys = placed.select("transaction_id", "product_key", "product_business_key")
+    keys_path = wh.table_path("fact_keys", run.run_id)
+    (keys.repartitionByRange(width, "transaction_id").sortWithinPartitions("transaction_id")
+     .write.mode("errorifexists").parquet(keys_path))
+    return [Part("append", path, n, after_key + n), Part("append", keys_path, n)]
+
+
+def loaded_keys(wh: Warehouse, seen: dict, mode: str) -> DataFrame | None:
+    """Conflict keys already loaded, among the batch's transactions.
+
+    The key table is sorted by transaction, so the batch's lowest and highest
+    transaction reach the scan and skip the row groups of all others.
+    """
+    if not wh.snapshot().rows("fact_sales") or "min_transaction_id" not in seen:
+        return None
+    return wh["fact_keys"].filter(F.col("transaction_id").between(
+        seen["min_transaction_id"], seen["max_transaction_id"])).select(*conflict_columns(mode))
 
 
 def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "reference",
                  date_from: dt.date | None = None, date_to: dt.date | None = None,
-                 kind: str = "full", conflicts_within_batch_dates: bool = False) -> int:
+                 kind: str = "full", dimensions: bool = True) -> int:
     """W20 (and W15 with a date range): dimensions, then facts, then publish.
 
-    ``conflicts_within_batch_dates``: check conflict keys only against facts
-    dated inside the batch's date range (pruned by year_month) instead of the
-    whole fact. Safe only if a transaction never changes date; off by default.
+    ``dimensions=False`` loads facts against the published dimensions (a feed
+    whose dimensions did not change).
     """
+    with observing(wh.spark):
+        return _run_etl(wh, staged, as_of, mode, date_from, date_to, kind, dimensions)
+
+
+def _run_etl(wh, staged, as_of, mode, date_from, date_to, kind, dimensions) -> int:
     step_name = "etl" if kind == "full" else "etl_incremental"
     run = Run(wh, kind)
     run.event(step_name, "INFO", f"{kind} ETL run started")
@@ -163,64 +281,45 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
     try:
         snap = wh.snapshot(refresh=True)
         before = wh.tables()
-        for name, df, bk, metric in (
-                ("customers", staged.customers, "customer_business_key", C.METRIC_CUSTOMER_ROWS),
-                ("products", staged.products, "product_business_key", C.METRIC_PRODUCT_ROWS),
-                ("stores", staged.stores, "store_business_key", C.METRIC_STORE_ROWS)):
-            n, nulls = _count_and_nulls(df, bk)
-            run.metric(metric, n)
-            if nulls:
-                raise ValueError(f"{nulls} staged {name} rows have a null business key")
-        cal_part = None
-        if "dim_date" not in snap.parts:
-            # W05, once: the calendar becomes a published table.
-            cal_path = wh.table_path("dim_date", run.run_id)
-            rows, _ = write_observed(before["dim_date"], cal_path)
-            before["dim_date"] = wh.spark.read.parquet(cal_path)
-            cal_part = Part("current", cal_path, rows)
-        t = _trace(run, "staged counts", t)
-        dims = load_dimensions(before, staged, as_of, {
-            name: snap.max_key(name) for name in ("dim_customer", "dim_product", "dim_store")})
-        t = _trace(run, "dimension merges", t)
-        run.events(dims.events)
-        dim_parts = _write_dims(run, dims)
-        t = _trace(run, "dimension writes", t)
-        after_dims = dict(before)
-        for table, parts in dim_parts.items():
+        if date_from is not None and date_to is not None:
+            staged = Staged(staged.customers, staged.products, staged.stores, staged.sales.filter(
+                F.col("transaction_date").between(F.lit(date_from), F.lit(date_to))))
+        staged, seen = materialize(run, staged, dimensions)
+        t = _trace(run, "staging", t)
+        changes: dict[str, list[Part]] = {}
+        cal_part = extend_calendar(run, before["dim_date"], seen)
+        if cal_part:
+            changes["dim_date"] = [cal_part]
+        if dimensions:
+            dims = load_dimensions(before, staged, as_of, {
+                name: snap.max_key(name) for name in ("dim_customer", "dim_product", "dim_store")})
+            t = _trace(run, "dimension merges", t)
+            run.events(dims.events)
+            changes |= _write_dims(run, dims, snap)
+            t = _trace(run, "dimension writes", t)
+            run.event("dimensions", "INFO", C.MSG_DIMENSIONS)
+        after = dict(before)
+        for table, parts in changes.items():
             kept = [p.path for p in snap.parts.get(table, [])
                     if p.kind == "append" and table != "dim_store"]
-            after_dims[table] = (wh.spark.read.option("basePath", wh.table_root(table))
-                                 .parquet(*kept, *[p.path for p in parts]).drop("run", "part"))
-        run.event("dimensions", "INFO", "Dimensions loaded from staging")
+            after[table] = wh.read_parts(table, [*kept, *[p.path for p in parts]])
 
         step = "fact_sales"
-        sales = staged.sales
-        if date_from is not None and date_to is not None:
-            sales = sales.filter(F.col("transaction_date").between(F.lit(date_from),
-                                                                    F.lit(date_to)))
-        resolved = resolve_sales(sales, after_dims["dim_date"], after_dims["dim_store"],
-                                 after_dims["dim_customer"], after_dims["dim_product"])
-        existing = before["fact_sales"] if snap.rows("fact_sales") else None
-        if existing is not None and conflicts_within_batch_dates:
-            lo, hi = resolved.agg(F.min("transaction_date"), F.max("transaction_date")).first()
-            if lo is None:
-                existing = None
-            else:
-                existing = existing.filter(date_range_filter(existing, lo, hi))
-        fresh = conflict_ignoring_append(resolved, existing, after_dims["dim_product"], mode)
-        fact_part = write_fact(run, fresh, snap.max_key("fact_sales"))
+        found = Observation()
+        resolved = resolve_sales(staged.sales, after["dim_date"], after["dim_store"],
+                                 after["dim_customer"], after["dim_product"]).observe(
+            found, F.count(F.lit(1)).alias("rows"))
+        fresh = conflict_ignoring_append(resolved, loaded_keys(wh, seen, mode), mode=mode)
+        parts = write_fact(run, fresh, snap.max_key("fact_sales"), seen["rows"])
         t = _trace(run, "fact resolve + write", t)
-        inserted = fact_part.rows if fact_part else 0
+        inserted = parts[0].rows if parts else 0
         run.metric(C.METRIC_FACT_INSERTED, inserted)
         run.metric(C.METRIC_FACT_TOTAL, snap.rows("fact_sales") + inserted)
-        run.event("fact_sales", "INFO", "Fact sales loaded from staging")
-
-        changes = dict(dim_parts)
-        if cal_part:
-            changes["dim_date"] = [cal_part]
-        if fact_part:
-            changes["fact_sales"] = [fact_part]
-        wh.publish(changes, replace={"dim_store"})
+        run.metric(C.METRIC_SALES_UNMATCHED, seen["rows"] - found.get.get("rows", 0))
+        run.event("fact_sales", "INFO", C.MSG_FACT)
+        if parts:
+            changes["fact_sales"], changes["fact_keys"] = parts[:1], parts[1:]
+        wh.publish(changes, replace={"dim_store"}, base=snap.version)
         t = _trace(run, "publish", t)
         run.event(step_name, "INFO", f"{kind} ETL run finished successfully")
         run.succeed()
@@ -228,15 +327,22 @@ def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "
     except Exception as exc:
         run.fail(exc, step)
         raise
+    finally:
+        wh.drop_staging(run.run_id)
 
 
 def run_incremental_etl(wh: Warehouse, staged: Staged, date_from: dt.date, date_to: dt.date,
-                        as_of: dt.date, mode: str = "reference",
-                        conflicts_within_batch_dates: bool = False) -> int:
+                        as_of: dt.date, mode: str = "reference") -> int:
     """Reload all dimensions, then only sales dated in [date_from, date_to]."""
     return run_full_etl(wh, staged, as_of, mode=mode, date_from=date_from, date_to=date_to,
-                        kind="incremental",
-                        conflicts_within_batch_dates=conflicts_within_batch_dates)
+                        kind="incremental")
+
+
+_RUN = re.compile(r"/run=(\d+)")
+
+
+def _run_of(path: str) -> int:
+    return int(_RUN.search(path)[1])
 
 
 def refresh_all_marts(wh: Warehouse, incremental: bool = True) -> int:
@@ -247,6 +353,11 @@ def refresh_all_marts(wh: Warehouse, incremental: bool = True) -> int:
     recomputed; W22: new sums added); otherwise, and always for W23, it is
     recomputed in full.
     """
+    with observing(wh.spark):
+        return _refresh_marts(wh, incremental)
+
+
+def _refresh_marts(wh: Warehouse, incremental: bool) -> int:
     run = Run(wh, "marts", C.MSG_MARTS_RUN)
     run.event("marts", "INFO", C.MSG_MARTS_RUN)
     try:
@@ -255,10 +366,11 @@ def refresh_all_marts(wh: Warehouse, incremental: bool = True) -> int:
         fact_paths = [p.path for p in snap.parts.get("fact_sales", [])]
         changes, replace = {}, set()
         for name, fn in MARTS.items():
-            covered = {p.path for p in snap.parts.get(f"{name}#covers", [])}
-            added = [p for p in fact_paths if p not in covered]
-            can_add = (incremental and name in INCREMENTAL and name in snap.parts
-                       and covered <= set(fact_paths))
+            # Fact folders are added in the order of their runs: the last covered
+            # run tells which are new.
+            covered = max((p.rows for p in snap.parts.get(f"{name}#covers", [])), default=0)
+            added = [p for p in fact_paths if _run_of(p) > covered]
+            can_add = incremental and name in INCREMENTAL and name in snap.parts
             if can_add and not added:
                 run.event("marts", "INFO", f"{name} is up to date")
                 continue
@@ -269,13 +381,13 @@ def refresh_all_marts(wh: Warehouse, incremental: bool = True) -> int:
                 run.event("marts", "INFO", f"Refreshing {name}")
                 df = fn(t)
             path = wh.table_path(name, run.run_id)
-            rows, _ = write_observed(df, path)
-            changes[name] = [Part("current", path, rows)]
-            changes[f"{name}#covers"] = [Part("covers", p, 0) for p in fact_paths]
+            changes[name] = [Part("current", path, write_observed(df, path)["rows"])]
+            changes[f"{name}#covers"] = [
+                Part("covers", path, max(map(_run_of, fact_paths), default=0))]
             replace |= {name, f"{name}#covers"}
         if changes:
-            wh.publish(changes, replace=replace)
-        run.event("marts", "INFO", "All marts refreshed successfully")
+            wh.publish(changes, replace=replace, base=snap.version)
+        run.event("marts", "INFO", C.MSG_MARTS_DONE)
         run.succeed()
         return run.run_id
     except Exception as exc:

@@ -8,6 +8,7 @@ runs, tests) do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local / test sessions only: a cluster names a shared folder.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="starmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

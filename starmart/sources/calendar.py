@@ -1,4 +1,4 @@
-"""The calendar dimension, generated on executors from a range."""
+"""The calendar dimension: the whole years that the staged sales touch."""
 
 from __future__ import annotations
 
@@ -11,12 +11,25 @@ from .. import config as C
 from ..functions.dates import date_key
 
 
-def dim_date(spark: SparkSession, start: dt.date = C.CALENDAR_START,
-             end: dt.date = C.CALENDAR_END) -> DataFrame:
-    """One row per day in [start, end].
+def date_span(sales: DataFrame) -> tuple[dt.date | None, dt.date | None]:
+    """First and last transaction date; (None, None) without any."""
+    return tuple(sales.agg(F.min("transaction_date"), F.max("transaction_date")).first())
+
+
+def calendar_of(sales: DataFrame) -> DataFrame:
+    """The calendar that covers every dated sale of ``sales``."""
+    return dim_date(sales.sparkSession, *date_span(sales))
+
+
+def dim_date(spark: SparkSession, start: dt.date | None = None,
+             end: dt.date | None = None) -> DataFrame:
+    """One row per day of the years of ``start`` to ``end``; none without dates.
 
     day_of_week: 0 = Sunday .. 6 = Saturday; week_number is the ISO week.
     """
+    known = start is not None and end is not None
+    start, end = (dt.date(start.year, 1, 1), dt.date(end.year, 12, 31)) if known else (
+        dt.date(1970, 1, 1), dt.date(1969, 12, 31))
     n_days = (end - start).days + 1
     d = F.col("full_date")
     dow = F.dayofweek(d) - 1

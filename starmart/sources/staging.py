@@ -4,8 +4,8 @@ Each staged frame carries ``_seq`` (row order within the batch); it decides
 which of several rows for one business key comes later. On the driver
 tables it is the business key, which is unique there.
 
-Only ``nation`` and ``region`` are broadcast: they are fixed-size reference
-tables (25 and 5 rows at every scale factor).
+No join is hinted: Catalyst broadcasts ``nation`` and ``region`` from their
+measured sizes.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.money import cents_of_double, cents_to_amount
+from ..functions.money import cents_of_double, cents_to_amount, whole_div
 from .raw import read
 
 CUSTOMER_COLS = ["customer_business_key", *C.CUSTOMER_ATTRS, "_seq"]
@@ -35,7 +35,7 @@ def stage_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customers_raw from customer x nation."""
     c = read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     key = F.col("c_custkey")
     return j.select(
         key.alias("customer_business_key"),
@@ -55,8 +55,8 @@ def stage_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     n = read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-    j = s.join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey, "left")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left")
+    j = s.join(geo, s.s_nationkey == geo.n_nationkey, "left")
     key = F.col("s_suppkey")
     store_type = F.element_at(F.array(*[F.lit(t) for t in C.STORE_TYPES]),
                               (key % 3 + 1).cast("int"))
@@ -100,8 +100,9 @@ def stage_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.col("l_quantity").cast("long")
     ext = cents_of_double(F.col("l_extendedprice"))
     pct = cents_of_double(F.col("l_discount"))
-    unit_c = F.floor((ext * 2 + qty) / (qty * 2)).cast("long")
-    disc_c = F.floor((ext * pct + 50) / 100).cast("long")
+    # Whole-number division; a sale of zero pieces has no unit price (null).
+    unit_c = whole_div(ext * 2 + qty, F.nullif(qty * 2, F.lit(0)))
+    disc_c = whole_div(ext * pct + 50, F.lit(100))
     return j.select(
         F.col("l_orderkey").alias("transaction_id"),
         F.to_date("o_orderdate").alias("transaction_date"),

@@ -1,10 +1,11 @@
 """W15 fed by Structured Streaming: staged sales files arriving in a folder.
 
-Each micro-batch runs the audited incremental load (dimensions from the
-given staging, then the batch's sales) and publishes a snapshot. A batch
-replayed after a failure is a no-op for facts already loaded, because the
-fact append ignores existing conflict keys (W14). ``availableNow`` drains
-what is there and stops, which suits scheduled runs.
+The first micro-batch of a feed loads the dimensions from the given staging;
+each one then runs the audited incremental load of its sales against the
+published dimensions and publishes a snapshot. A feed may replay a batch, so it
+ignores conflicts on the business key: with the reference's key, a sale whose
+product has a new version since would be loaded again (W14). ``availableNow``
+drains what is there and stops, which suits scheduled runs.
 """
 
 from __future__ import annotations
@@ -29,14 +30,17 @@ SALES_SCHEMA = StructType([
 
 
 def start_sales_feed(wh: Warehouse, dims: Staged, sales_dir: str, checkpoint: str,
-                     as_of: dt.date, mode: str = "reference",
+                     as_of: dt.date, mode: str = "business",
                      available_now: bool = True) -> StreamingQuery:
     """Start the feed; ``dims`` supplies staged customers, products and stores."""
     stream = wh.spark.readStream.schema(SALES_SCHEMA).parquet(sales_dir)
 
+    loaded: list[int] = []  # the epoch that loaded the dimensions, once it has
+
     def load(batch: DataFrame, epoch_id: int) -> None:
         staged = Staged(dims.customers, dims.products, dims.stores, batch)
-        run_full_etl(wh, staged, as_of, mode=mode, kind="incremental")
+        run_full_etl(wh, staged, as_of, mode=mode, kind="incremental", dimensions=not loaded)
+        loaded.append(epoch_id)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from starmart import config as C
 from starmart import runs as R
-from starmart.catalog import Warehouse
+from starmart.catalog import Part, Warehouse
 from starmart.loads import Staged
 from starmart.operators.layout import daily_totals
 from starmart.session import scratch_path
@@ -75,8 +75,7 @@ def test_date_range_prunes_partitions(wh):
     assert q.agg(F.sum("nb_lines")).first()[0] == want
 
 
-@pytest.mark.parametrize("scoped", [False, True])
-def test_published_increment_equals_in_memory_scenario(spark, scoped):
+def test_published_increment_equals_in_memory_scenario(spark):
     from starmart.loads import Staged as St
     from starmart.plans.scenarios import fact_incremental
     st = St.from_driver(spark, SF001)
@@ -84,8 +83,7 @@ def test_published_increment_equals_in_memory_scenario(spark, scoped):
     early = St(st.customers, st.products, st.stores,
                st.sales.filter(F.col("transaction_date") < F.lit(C.BATCH2_AS_OF)))
     R.run_full_etl(w, early, C.BATCH2_AS_OF)
-    R.run_incremental_etl(w, st.batch2(), C.INCREMENT_FROM, C.INCREMENT_TO, C.BATCH2_AS_OF,
-                          conflicts_within_batch_dates=scoped)
+    R.run_incremental_etl(w, st.batch2(), C.INCREMENT_FROM, C.INCREMENT_TO, C.BATCH2_AS_OF)
     got = w["fact_sales"].drop("year_month")
     want = fact_incremental(spark, SF001).select(*got.columns)
     assert got.count() == want.count()
@@ -115,10 +113,92 @@ def test_incremental_mart_refresh_equals_full_recompute(spark):
 
 
 def test_aborted_publish_does_not_block_the_next_one(spark):
-    from starmart.catalog import Part
     w = Warehouse(spark, scratch_path(spark, "abort"))
     # What a publish killed before its commit leaves: a version folder, no data file.
-    spark.createDataFrame([], "x int").write.parquet(f"{w.root}/_manifest/version=1/_temporary")
+    spark.createDataFrame([], "x int").write.parquet(
+        f"{w.root}/_manifest/version=1-dead/_temporary")
     assert w.snapshot(refresh=True).version == 0
     snap = w.publish({"mart_x": [Part("current", f"{w.root}/tables/mart_x/run=1", 3)]})
     assert snap.version == 1 and w.snapshot(refresh=True).parts["mart_x"][0].rows == 3
+
+
+def test_a_second_writer_is_refused(spark):
+    root = scratch_path(spark, "writers")
+    a, b = Warehouse(spark, root), Warehouse(spark, root)
+    base = b.snapshot(refresh=True).version
+    a.publish({"mart_x": [Part("current", f"{root}/tables/mart_x/run=1", 3)]}, base=base)
+    with pytest.raises(RuntimeError, match="one writer"):
+        b.publish({"mart_x": [Part("current", f"{root}/tables/mart_x/run=2", 4)]}, base=base)
+    assert b.snapshot(refresh=True).parts["mart_x"][0].rows == 3
+
+
+@pytest.mark.parametrize("column", C.SALES_NOT_NULL)
+def test_a_sale_without_a_required_value_fails_the_run(spark, wh, column):
+    before, rows = wh.snapshot(refresh=True).version, wh["fact_sales"].count()
+    st = Staged.from_driver(spark, SF001)
+    kind = st.sales.schema[column].dataType
+    bad = st.sales.withColumn(column, F.when(F.col("transaction_id") % 50 == 0, F.lit(None).cast(kind))
+                              .otherwise(F.col(column) if column != "transaction_id"
+                                         else F.col(column) + 10_000_000))
+    if column != "transaction_id":  # new sales, so that none is a conflict
+        bad = bad.withColumn("transaction_id", F.col("transaction_id") + 20_000_000)
+    with pytest.raises(ValueError, match=column):
+        R.run_full_etl(wh, Staged(st.customers, st.products, st.stores, bad), C.BATCH2_AS_OF)
+    assert R.recent_runs(wh, 1).first()["status"] == "FAILED"
+    assert wh.snapshot(refresh=True).version == before and wh["fact_sales"].count() == rows
+
+
+def test_over_long_text_fails_the_run_with_its_whole_message(spark, wh):
+    before = wh.snapshot(refresh=True).version
+    st = Staged.from_driver(spark, SF001)
+    bad = st.customers.withColumn("city", F.repeat(F.lit("x"), 101))
+    with pytest.raises(ValueError, match="over-long"):
+        R.run_full_etl(wh, Staged(bad, st.products, st.stores, st.sales), C.BATCH2_AS_OF)
+    assert wh.snapshot(refresh=True).version == before
+    run = R.Run(wh, "test")
+    run.fail(ValueError("y" * 5000), "test")
+    assert len(R.recent_runs(wh, 1).first()["error_message"]) > 5000
+
+
+def test_later_years_extend_the_calendar_and_lose_no_sale(spark):
+    st = Staged.from_driver(spark, SF001)
+    w = Warehouse(spark, scratch_path(spark, "years"))
+    R.run_full_etl(w, st, C.BATCH2_AS_OF)
+    n, days = w["fact_sales"].count(), w["dim_date"].count()
+    late = st.sales.withColumn("transaction_date", F.add_months("transaction_date", 240)).withColumn(
+        "transaction_id", F.col("transaction_id") + 10_000_000)
+    R.run_full_etl(w, Staged(st.customers, st.products, st.stores, late), C.BATCH2_AS_OF)
+    assert w["fact_sales"].count() == 2 * n
+    cal = w["dim_date"]
+    assert cal.count() == cal.select("full_date").distinct().count() > days
+    m = {r["metric_name"]: int(r["metric_value"]) for r in R.metrics(w, 2).collect()}
+    assert m[C.METRIC_SALES_UNMATCHED] == 0
+
+
+def test_unmatched_sales_are_counted(spark):
+    st = Staged.from_driver(spark, SF001)
+    w = Warehouse(spark, scratch_path(spark, "unmatched"))
+    some = st.customers.filter(F.col("customer_business_key") % 11 != 5)
+    R.run_full_etl(w, Staged(some, st.products, st.stores, st.sales), C.BATCH2_AS_OF)
+    m = {r["metric_name"]: int(r["metric_value"]) for r in R.metrics(w, 1).collect()}
+    lost = st.sales.join(some, "customer_business_key", "left_anti").count()
+    assert m[C.METRIC_SALES_UNMATCHED] == lost > 0
+
+
+def test_an_unchanged_load_writes_no_dimension_and_leaves_no_staging(spark, wh):
+    st = Staged.from_driver(spark, SF001)
+    old = {t: [p.path for p in wh.snapshot(refresh=True).parts[t]]
+           for t in ("dim_customer", "dim_product", "dim_store", "dim_date")}
+    R.run_full_etl(wh, st, C.BATCH2_AS_OF)
+    new = wh.snapshot(refresh=True).parts
+    assert {t: [p.path for p in new[t]] for t in old} == old
+    jvm = spark._jvm.org.apache.hadoop.fs
+    path = jvm.Path(f"{wh.root}/_staging")
+    left = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not left.exists(path) or len(left.listStatus(path)) == 0
+
+
+def test_conflict_keys_are_read_by_transaction_bounds(wh):
+    keys = R.loaded_keys(wh, {"min_transaction_id": 10, "max_transaction_id": 20}, "business")
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(transaction_id,10)" in plan
