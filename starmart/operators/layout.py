@@ -4,7 +4,10 @@ The fact is stored under ``year_month=`` folders, each file a contiguous,
 sorted (date_key, product_key) range. A date filter therefore prunes
 folders (``PartitionFilters``) and row groups (Parquet min/max on
 ``date_key`` through ``PushedFilters``); a date + product filter also skips
-row groups on product_key within the remaining files.
+row groups on product_key within the remaining files. Stores and customers
+are filtered inside the pruned dates. Transactions are found through the key
+table, which is sorted by them: its product keys and the transaction bounds
+then reach the fact's scan.
 """
 
 from __future__ import annotations
@@ -34,8 +37,39 @@ def daily_totals(fact: DataFrame, start, end) -> DataFrame:
                  F.sum("total_amount").cast("decimal(20,2)").alias("total_sales")))
 
 
-def daily_product_totals(fact: DataFrame, start, end) -> DataFrame:
-    return (fact.filter(date_range_filter(fact, start, end)).groupBy("date_key", "product_key")
-            .agg(F.count(F.lit(1)).alias("nb_lines"),
-                 F.sum("quantity").cast("long").alias("quantity"),
-                 F.sum("total_amount").cast("decimal(20,2)").alias("total_sales")))
+def _sums(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("nb_lines"), F.sum("quantity").cast("long").alias("quantity"),
+        F.sum("total_amount").cast("decimal(20,2)").alias("total_sales"))
+
+
+def daily_product_totals(fact: DataFrame, start, end, products=None) -> DataFrame:
+    """Per day and product of a date range; only the product keys in ``products``, if given."""
+    rows = fact.filter(date_range_filter(fact, start, end))
+    if products is not None:
+        rows = rows.filter(F.col("product_key").isin(list(products)))
+    return _sums(rows, "date_key", "product_key")
+
+
+def daily_store_totals(fact: DataFrame, start, end, stores) -> DataFrame:
+    """Per day and store of a date range, for the store keys in ``stores``."""
+    return _sums(fact.filter(date_range_filter(fact, start, end)
+                             & F.col("store_key").isin(list(stores))), "date_key", "store_key")
+
+
+def customer_period(fact: DataFrame, customers, start, end) -> DataFrame:
+    """Every fact row of some customers in a date range."""
+    return fact.filter(date_range_filter(fact, start, end)
+                       & F.col("customer_key").isin(list(customers))).drop("year_month")
+
+
+def transaction_lines(fact: DataFrame, keys: DataFrame, first: int, last: int) -> DataFrame:
+    """Fact rows of the transactions ``first`` to ``last``.
+
+    ``keys`` (sorted by transaction) says which products these hold; the fact is
+    scanned with the transaction bounds pushed and joined to them.
+    """
+    bounds = F.col("transaction_id").between(first, last)
+    wanted = keys.filter(bounds).select("transaction_id", "product_key").distinct()
+    return fact.filter(bounds).join(wanted, ["transaction_id", "product_key"], "left_semi").drop(
+        "year_month")

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, default_parallelism
@@ -92,6 +92,29 @@ def assign_keys(df: DataFrame, order: Sequence[Column | str], key: str,
     return ranked.withColumn(key, (base + F.col("_rk")).cast("long")).drop("_rk"), n
 
 
+def running_total(df: DataFrame, group: str, order: str, value: str, name: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Running sum of the whole-number column ``value`` by ``order`` within ``group``.
+
+    (group, order) must be unique. A group may span range partitions: each
+    partition sums its own rows of a group, and what the earlier partitions hold
+    of the group is added from one row for each (partition, group) that meet.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    frozen = (df.repartitionByRange(num_partitions or default_parallelism(spark), group, order)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    inside = Window.partitionBy("_pid", group).orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = frozen.groupBy("_pid", group).agg(F.sum(value).alias("_sum")).select(
+        "_pid", group, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    return (frozen.withColumn("_in", F.sum(value).over(inside)).join(before, ["_pid", group])
+            .withColumn(name, (F.col("_in") + F.col("_before")).cast("long"))
+            .drop("_pid", "_in", "_before"))
+
+
 def max_key(df: DataFrame, key: str) -> int:
     """Largest existing key, 0 for an empty table (one scalar to the driver)."""
     v = df.agg(F.max(key)).first()[0]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import round_div, total
-from ..operators.ranking import ntile_global
+from ..operators.ranking import ntile_global, running_total
 from .marts import _calendar
 
 
@@ -81,10 +81,8 @@ def q05_price_curve(t) -> DataFrame:
                   .groupBy("category", F.round("unit_price", 0).cast("decimal(10,0)")
                            .alias("price_bucket"))
                   .agg(F.sum("quantity").cast("long").alias("qty")))
-    w = (Window.partitionBy("category").orderBy("price_bucket")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (per_bucket.withColumn("cum_qty", F.sum("qty").over(w).cast("long"))
-            .orderBy("category", "price_bucket"))
+    return running_total(per_bucket, "category", "price_bucket", "qty", "cum_qty").orderBy(
+        "category", "price_bucket")
 
 
 def q06_cohorts(t) -> DataFrame:
@@ -92,7 +90,8 @@ def q06_cohorts(t) -> DataFrame:
 
     Activity is reduced to distinct (customer, month) first: at most one row
     per customer and calendar month, so the per-customer window is bounded
-    by the number of months even for a customer with a third of all sales.
+    by the number of months even for a customer with a third of all sales. The
+    distinct events of a cell are then counted on the (cohort, month) grid.
     """
     f = t["fact_sales"].select("date_key", "customer_key")
     activity = (f.join(_calendar(t), "date_key")
@@ -100,12 +99,13 @@ def q06_cohorts(t) -> DataFrame:
                         (F.col("year_number") * 12 + F.col("month_number")).alias("order_ym"))
                 .distinct())
     per_customer = Window.partitionBy("customer_key")
-    matrix = (activity.withColumn("cohort_ym", F.min("order_ym").over(per_customer))
-              .withColumn("month_offset", F.col("order_ym") - F.col("cohort_ym")))
-    events = F.concat_ws("-", "cohort_ym", "month_offset", "order_ym", "cohort_ym")
-    grid = (matrix.groupBy("cohort_ym", "month_offset")
-            .agg(F.countDistinct(events).alias("active_events"),
-                 F.count(F.lit(1)).alias("active_customers")))
+    cells = (activity.withColumn("cohort_ym", F.min("order_ym").over(per_customer))
+             .groupBy("cohort_ym", "order_ym").agg(F.count(F.lit(1)).alias("n")))
+    # An event's text is fixed by its cohort, offset and month: one for each cell.
+    grid = (cells.withColumn("month_offset", F.col("order_ym") - F.col("cohort_ym"))
+            .groupBy("cohort_ym", "month_offset")
+            .agg(F.count(F.lit(1)).alias("active_events"),
+                 F.sum("n").cast("long").alias("active_customers")))
     per_cohort = Window.partitionBy("cohort_ym")
     size = F.max(F.when(F.col("month_offset") == 0, F.col("active_customers"))).over(per_cohort)
     return (grid.withColumn("cohort_size", size)
@@ -121,16 +121,22 @@ def q07_rfm(t) -> DataFrame:
     Score 1 is the best group (descending order), as in the reference.
     """
     f = t["fact_sales"].select("date_key", "customer_key", "total_amount")
-    d = F.broadcast(t["dim_date"].select("date_key", "full_date"))
+    d = t["dim_date"].select("date_key", "full_date")
     base = (f.join(d, "date_key").groupBy("customer_key")
             .agg(F.max("full_date").alias("last_purchase_date"),
                  F.count(F.lit(1)).alias("frequency"),
                  total(F.sum("total_amount")).alias("monetary")))
+    # One row per customer, frozen once; each measure is ranked on its own, as a
+    # narrow (customer, measure) row, and the scores meet on the customer.
+    base = base.checkpoint()
     ck = F.col("customer_key").asc()
-    r = ntile_global(base, 5, [F.col("last_purchase_date").desc_nulls_first(), ck], "r_score")
-    fr = ntile_global(r, 5, [F.col("frequency").desc_nulls_first(), ck], "f_score")
-    m = ntile_global(fr, 5, [F.col("monetary").desc_nulls_first(), ck], "m_score")
-    return (m.groupBy("r_score", "f_score", "m_score")
+    scored = base.select("customer_key", "monetary")
+    for measure, score in (("last_purchase_date", "r_score"), ("frequency", "f_score"),
+                           ("monetary", "m_score")):
+        ranked = ntile_global(base.select("customer_key", measure), 5,
+                              [F.col(measure).desc_nulls_first(), ck], score)
+        scored = scored.join(ranked.select("customer_key", score), "customer_key")
+    return (scored.groupBy("r_score", "f_score", "m_score")
             .agg(F.count(F.lit(1)).alias("nb_customers"),
                  total(F.sum("monetary")).alias("_sum"))
             .select("r_score", "f_score", "m_score", "nb_customers",

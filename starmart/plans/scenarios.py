@@ -20,6 +20,8 @@ from ..loads import DimLoad, Staged, empty_tables, fact_batch, load_dimensions
 from ..operators.facts import pit_lookup
 from ..operators.quality import reject_report, uniqueness_report
 from ..operators.ranking import ntile_global
+from ..operators.scd import scd2_merge
+from ..sources import staging as stg
 
 _lock = threading.RLock()
 _memo: dict[tuple, object] = {}
@@ -82,6 +84,17 @@ def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return second_dims(spark, sf_dir).tables["dim_customer"]
 
 
+def scd2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W06 with several staged rows for a customer: every order moves its customer."""
+    def build():
+        dim = first_dims(spark, sf_dir).tables["dim_customer"]
+        moves = stg.customer_moves(spark, sf_dir, staged(spark, sf_dir).customers)
+        return scd2_merge(dim, moves, entity="customer", key="customer_key",
+                          bk="customer_business_key", attrs=C.CUSTOMER_ATTRS,
+                          as_of=C.BATCH2_AS_OF).all_versions(dim.filter(~F.col("is_current")))
+    return _memo_get(spark, sf_dir, "repeats", build)
+
+
 def scd2_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return second_dims(spark, sf_dir).tables["dim_product"]
 
@@ -188,17 +201,26 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- W16-W17 -------------------------------------------------------------------
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W16 on the reloaded warehouse, plus repeats inside the staged batch."""
-    return uniqueness_report(_reload(spark, sf_dir, "reference"), staged(spark, sf_dir).sales)
+    """W16 on the reloaded warehouse with some rows entered twice, plus repeats
+    inside the staged batch."""
+    t = dict(_reload(spark, sf_dir, "reference"))
+    for table, twice in (("dim_customer", "is_current and customer_business_key % 101 = 0"),
+                         ("dim_product", "is_current and product_business_key % 103 = 0"),
+                         ("dim_store", "store_business_key % 7 = 0"),
+                         ("fact_sales", "transaction_id % 997 = 0")):
+        t[table] = t[table].unionByName(t[table].filter(twice))
+    return uniqueness_report(t, staged(spark, sf_dir).sales)
 
 
 def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimensions loaded from the second batch alone (absent customers are
-    unknown), all staged sales checked against them."""
+    unknown); all staged sales, some made bad for each reason, checked against them."""
     st = staged(spark, sf_dir).batch2()
     dims = _memo_get(spark, sf_dir, "dims-b2-only", lambda: _frozen(load_dimensions(
         empty_tables(spark, st.sales), st, C.BATCH2_AS_OF)))
-    return reject_report(st, dims.tables)
+    bad = Staged(stg.bad_customers(st.customers), stg.bad_products(st.products),
+                 stg.bad_stores(st.stores), stg.bad_sales(st.sales))
+    return reject_report(bad, dims.tables)
 
 
 # --- W26 -----------------------------------------------------------------------
@@ -218,6 +240,7 @@ ENTRIES = {
     "dim_date": dim_date_entry,
     "scd2_customer": scd2_customer,
     "scd2_product": scd2_product,
+    "scd2_repeats": scd2_repeats,
     "scd1_store": scd1_store,
     "surrogate_keys": surrogate_keys,
     "dim_change_events": dim_change_events,

@@ -141,3 +141,50 @@ def stores_batch2(staged: DataFrame) -> DataFrame:
     return staged.withColumn(
         "store_name", F.when(k % 5 == 0, F.concat("store_name", F.lit("_renamed")))
         .otherwise(F.col("store_name")))
+
+
+# --- rows that the tables must refuse, for the quality reports -------------------
+
+def _bad_dimension(staged: DataFrame, bk: str, limits: dict[str, int], null_mod: int,
+                   long_mod: int) -> DataFrame:
+    """Some rows lose their business key; others get every text one character too long."""
+    k = F.col(bk)
+    long = {c: F.when(k % long_mod == 0, F.repeat(F.lit("x"), n + 1)).otherwise(F.col(c))
+            for c, n in limits.items()}
+    return staged.withColumns({**long, bk: F.when(k % null_mod == 0, F.lit(None)).otherwise(k)})
+
+
+def bad_customers(staged: DataFrame) -> DataFrame:
+    return _bad_dimension(staged, "customer_business_key", C.VARCHAR_LIMITS["customers"], 251, 257)
+
+
+def bad_stores(staged: DataFrame) -> DataFrame:
+    return _bad_dimension(staged, "store_business_key", C.VARCHAR_LIMITS["stores"], 17, 19)
+
+
+def bad_products(staged: DataFrame) -> DataFrame:
+    return _bad_dimension(staged, "product_business_key", C.VARCHAR_LIMITS["products"], 263, 269)
+
+
+def bad_sales(staged: DataFrame) -> DataFrame:
+    """Sales 40 years late, of unknown stores or products, or without a required value."""
+    t = F.col("transaction_id")
+    none = {c: F.when(t % m == 0, F.lit(None)).otherwise(F.col(c)) for c, m in (
+        ("transaction_id", 229), ("quantity", 233), ("unit_price", 239), ("total_amount", 241))}
+    return staged.withColumns({
+        "transaction_date": F.when(t % 211 == 0, F.add_months("transaction_date", 480))
+        .otherwise(F.col("transaction_date")),
+        "store_business_key": F.when(t % 223 == 0, F.col("store_business_key") + 10_000_000)
+        .otherwise(F.col("store_business_key")),
+        "product_business_key": F.when(t % 227 == 0, F.col("product_business_key") + 10_000_000)
+        .otherwise(F.col("product_business_key")),
+        **none})
+
+
+def customer_moves(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
+    """Several staged rows for a customer: one for each order, which moves them."""
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    return (customers.drop("_seq").join(o, F.col("customer_business_key") == F.col("o_custkey"))
+            .withColumn("city", F.concat("country", F.lit("_"), "o_orderpriority"))
+            .withColumn("_seq", F.col("o_orderkey")).drop("o_orderkey", "o_custkey",
+                                                          "o_orderpriority"))

@@ -1,16 +0,0 @@
-"""The driver contract: entry(), queries(), oracle_sql()."""
-
-import __spark_entry__ as E
-
-
-def test_every_oracle_has_a_query():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"recent_runs"}
-
-
-def test_entry_runs_flagship_query(spark):
-    df = E.entry(spark)
-    assert df.columns == ["year_number", "month_number", "country", "product_name", "sales"]
-    rows = df.collect()
-    assert rows and all(r["sales"] is not None for r in rows)
