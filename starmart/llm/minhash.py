@@ -8,18 +8,21 @@ band are candidates; candidates are linked only after their whole shingle sets
 have been compared.
 
 Steps, each a Spark job over narrow rows:
-1. shingle sets of whole texts give a size, a 128-bit name, band keys and a
-   256-bit sketch; equal sets become one class, so copies are never paired;
-2. each class is compared with the least class of one of its bands, and the
-   links give components;
+1. shingle sets of whole texts give a size, a 128-bit name, band keys and two
+   sketches; equal sets become one class, so copies are never paired;
+2. each class is compared with the most central class of its bands (the one
+   that meets most others), and the links give components;
 3. bands that still hold several components have every other pair across
    components compared, unless sizes or sketches rule it out. Pairs inside a
    component are not needed: only reachability is asked for;
 4. components are closed and every document takes the least id of its own.
 
 A band misses a pair at the threshold with probability ``(1 - t**rows)**bands``:
-9e-7 for 0.85 with 36 bands of 7 rows. The sketch rules out a pair when it is
-six standard deviations below the threshold.
+9e-7 for 0.85 with 36 bands of 7 rows. Two sketches rule pairs out. The parity
+sketch (for each of 1024 places, whether an odd number of shingles falls there)
+is exact: two sets differ in at least as many shingles as their sketches differ
+in places. The coordinates' low bits rule a pair out when it is six standard
+deviations below the threshold.
 
 Hot groups: classes and band minima are aggregated before the shuffle, and the
 remaining joins are plain equi-joins that adaptive execution may split. No
@@ -48,9 +51,11 @@ from .common import prepare, staged
 SPACE = 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-FEATURES = ("doc_id long, n_shingles long, name binary, bands array<long>, "
-            "s0 long, s1 long, s2 long, s3 long")
-SKETCH = ["s0", "s1", "s2", "s3"]
+#: Columns of the coordinates' low bits (256) and of the parity sketch (1024 places).
+BITS, PARITY = [f"s{i}" for i in range(4)], [f"o{i}" for i in range(16)]
+SKETCH = BITS + PARITY
+FEATURES = "doc_id long, n_shingles long, name binary, bands array<long>, " + ", ".join(
+    f"{c} long" for c in SKETCH)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -127,7 +132,7 @@ def _features(k: int, bands: int, rows: int):
                 if not len(found):
                     names.append(None)
                     keys.append(None)
-                    sketches.append([None] * 4)
+                    sketches.append([None] * len(SKETCH))
                     continue
                 low = made.signature(found).astype(np.uint64)
                 key = band_no.copy()
@@ -136,11 +141,14 @@ def _features(k: int, bands: int, rows: int):
                 bits = np.resize((mix(low + _ODD[1]) & np.uint64(1)).astype(np.uint8), 256)
                 names.append(name_of(found))
                 keys.append(key.view(np.int64))
-                sketches.append(np.packbits(bits).view(np.int64).tolist())
+                odd = np.bincount((found >> np.uint64(40) & np.uint64(1023)).astype(np.int64),
+                                  minlength=1024) & 1
+                sketches.append(np.packbits(np.append(bits, odd.astype(np.uint8))).view(
+                    np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))] +
-                [pa.array([s[i] for s in sketches], pa.int64()) for i in range(4)],
+                [pa.array([s[i] for s in sketches], pa.int64()) for i in range(len(SKETCH))],
                 names=[c.split(" ")[0] for c in FEATURES.split(", ")])
     return run
 
@@ -213,15 +221,17 @@ def components(links: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("name"), F.col("v").alias("root")).distinct())
 
 
-def _alike(least_share: float, coordinates: int):
+def _alike(num: int, den: int, coordinates: int):
     """Sizes and sketches that do not rule out the threshold; columns of sides x and y."""
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    sizes = F.least(x("n"), y("n")) >= F.floor(F.greatest(x("n"), y("n")) * F.lit(least_share))
-    differ = sum((F.bit_count(x(s).bitwiseXOR(y(s))) for s in SKETCH), F.lit(0))
+    sizes = den * F.least(x("n"), y("n")) >= num * F.greatest(x("n"), y("n"))
+    differ = lambda cs: sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in cs), F.lit(0))
+    # At the threshold the sets differ in (den - num) / (den + num) of their sizes' sum.
+    parity = (den + num) * differ(PARITY) <= (den - num) * (x("n") + y("n"))
     # A bit differs with probability (1 - similarity) / 2; few coordinates repeat.
-    p, n = (1 - least_share) / 2, min(256, coordinates)
+    p, n = (1 - num / den) / 2, min(256, coordinates)
     most = math.ceil(256 * (p + 6 * math.sqrt(p * (1 - p) / n)))
-    return sizes & (differ <= most)
+    return sizes & parity & (differ(BITS) <= most)
 
 
 def link_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
@@ -239,29 +249,36 @@ def link_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     classes = staged(usable.groupBy("name").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
         F.first("bands").alias("bands"), *[F.first(s).alias(s) for s in SKETCH]), "classes")
-    rows_of = classes.select(F.explode("bands").alias("key"), "name", "n", *SKETCH)
-    shared = rows_of.groupBy("key").agg(F.min("name").alias("pivot"),
-                                        F.max("name").alias("last")).where("pivot <> last")
-    members = staged(rows_of.join(shared.select("key", "pivot"), "key"), "members")
-    alike = _alike(num / den, bands * rows)
-    narrow = classes.select("name", "n", *SKETCH)
-
-    # One comparison for each class: with the least class of its bands that may pass.
-    stars = (members.where("name <> pivot").select("name", "pivot").distinct().alias("p")
+    rows_of = classes.select(F.explode("bands").alias("key"), "name")
+    shared = rows_of.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
+    members = staged(rows_of.join(shared, "key"), "members")
+    alike = _alike(num, den, bands * rows)
+    # How many others a class meets over its bands: the text that copies were
+    # made from meets most, as each copy strays from it in bands of its own.
+    narrow = staged(classes.select("name", "n", *SKETCH).join(
+        members.groupBy("name").agg(F.sum("met").alias("met")), "name"), "narrow")
+    rank = F.struct("met", "name")
+    pivots = members.select("key", "name").join(narrow.select("name", "met"), "name").groupBy(
+        "key").agg(F.max(rank).alias("pivot"))
+
+    # One comparison for each class: with the most central class that may pass.
+    stars = (members.select("key", "name").join(pivots, "key")
+             .where("name <> pivot.name").select("name", "pivot").distinct().alias("p")
              .join(narrow.alias("x"), F.col("p.name") == F.col("x.name"))
-             .join(narrow.alias("y"), F.col("p.pivot") == F.col("y.name")).where(alike)
-             .groupBy(F.col("p.name").alias("a")).agg(F.min("p.pivot").alias("b")))
+             .join(narrow.alias("y"), F.col("p.pivot.name") == F.col("y.name")).where(alike)
+             .groupBy(F.col("p.name").alias("a")).agg(F.max("p.pivot").alias("b"))
+             .select("a", F.col("b.name").alias("b")))
     stars = staged(stars, "stars")
     links = linked(stars, classes, texts, k, num, den)
     roots = components(links)
 
     # Bands that still join several components: every other pair across them.
-    placed = members.join(roots, "name", "left").withColumn(
+    placed = members.select("key", "name").join(roots, "name", "left").withColumn(
         "root", F.coalesce("root", "name"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    placed = staged(placed.join(open_keys.where("low <> high"), "key"), "open")
-    # One side leaves out the component of the band's least root, the largest
-    # one where a group of copies fills a band: pairs inside it are not formed.
+    placed = staged(placed.join(open_keys.where("low <> high"), "key").join(narrow, "name"), "open")
+    # One side leaves out the component of the band's least root: pairs inside
+    # a component are not formed.
     rest = (placed.where("root <> low").alias("x").join(
         placed.alias("y"), (F.col("x.key") == F.col("y.key"))
         & (F.col("x.root") > F.col("y.root")) & alike)
