@@ -27,6 +27,22 @@ from ..session import checkpoint_dir, default_parallelism
 _LOW_BITS = (1 << 33) - 1
 
 
+def placed(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None = None,
+           adaptive: bool = False) -> DataFrame:
+    """Rows in range partitions of ``order``, tagged with their partition and place.
+
+    By default an explicit count (spark.sql.shuffle.partitions), which AQE leaves
+    alone. ``adaptive``: no count, so AQE may merge adjacent small ranges (it
+    never splits them); partitions stay contiguous and in order.
+    """
+    if adaptive:
+        ranged = df.repartitionByRange(*order)
+    else:
+        ranged = df.repartitionByRange(
+            num_partitions or default_parallelism(df.sparkSession), *order)
+    return ranged.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+
+
 def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str = "rn",
                       num_partitions: int | None = None,
                       adaptive: bool = False) -> tuple[DataFrame, int]:
@@ -35,18 +51,8 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str =
     ``order`` must make rows unique, or ties get an arbitrary (but fixed once
     materialized) order.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    # Default: an explicit count (spark.sql.shuffle.partitions), which AQE
-    # leaves alone. ``adaptive``: no count, so AQE may merge adjacent small
-    # ranges (it never splits them); partitions stay contiguous and in order.
-    if adaptive:
-        ranged = df.repartitionByRange(*order)
-    else:
-        ranged = df.repartitionByRange(num_partitions or default_parallelism(spark), *order)
-    tagged = (ranged.sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    frozen = tagged.checkpoint(eager=True)
+    checkpoint_dir(df.sparkSession)
+    frozen = placed(df, order, num_partitions, adaptive).checkpoint(eager=True)
     counts = (frozen.groupBy(F.shiftright("_mid", 33).alias("pid"))
               .agg(F.count(F.lit(1)).alias("n"))
               .collect())

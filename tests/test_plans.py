@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from starmart.operators.facts import dedupe_batch
+from starmart.loads import Staged
+from starmart.operators.facts import dedupe_batch, pit_lookup, resolve_sales
+from starmart.operators.layout import daily_product_totals, transaction_lines
+from starmart.operators.ranking import placed
 from starmart.plans import analytics as A
 
 from .conftest import SF001
@@ -21,8 +24,40 @@ def wh(spark):
 
 
 def test_global_ranks_never_use_a_single_partition(wh):
-    for q in (A.q07_rfm, A.q08_store_quartiles):
-        assert "SinglePartition" not in _plan(q(wh))
+    """The frame that is checkpointed before it is ranked, not the one read back."""
+    fact = wh["fact_sales"]
+    per = fact.groupBy("customer_key").agg(F.count(F.lit(1)).alias("n"))
+    plan = _plan(placed(per, [F.col("n").desc(), F.col("customer_key").asc()]))
+    assert "rangepartitioning(n" in plan and "SinglePartition" not in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, old)
+
+
+def test_fact_resolution_at_scale_sort_merges_and_drops_empty_versions(spark, wh, no_broadcast):
+    t = wh.tables()
+    sales = Staged.from_driver(spark, SF001).sales
+    plan = resolve_sales(sales, t["dim_date"], t["dim_store"], t["dim_customer"],
+                         t["dim_product"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 4 and "Broadcast" not in plan
+    # Below the joins: on the scans of the two versioned dimensions.
+    assert plan.count("(valid_from") + plan.count("<= coalesce(valid_to") >= 2
+
+
+def test_versions_of_a_hot_key_do_not_meet_its_sales(spark):
+    empty = spark.range(5000).selectExpr(
+        "1L as bk", "id as key", "date'2020-01-01' as valid_from", "date'2019-12-31' as valid_to")
+    live = spark.sql("select 1L as bk, 9999L as key, date'1900-01-01' as valid_from, "
+                     "cast(null as date) as valid_to")
+    sales = spark.range(20000).selectExpr("1L as bk", "date'2021-01-01' as transaction_date")
+    out = pit_lookup(sales, empty.union(live), bk="bk", key="key")
+    assert out.count() == 20000 and out.select("key").distinct().collect()[0][0] == 9999
 
 
 def test_top5_per_group_uses_window_group_limit(wh):
@@ -59,3 +94,24 @@ def test_scans_read_only_needed_columns(wh):
     plan = _plan(A.q09_quantity_buckets(wh))
     scan = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan" in line]
     assert scan and all("customer_key" not in s for s in scan)
+
+
+def test_access_paths_push_their_filters(spark, wh):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = _plan(daily_product_totals(wh["fact_sales"], "1998-03-01", "1998-03-31", [3, 7, 11]))
+    assert "In(product_key" in plan and "GreaterThanOrEqual(date_key" in plan
+    assert "PartitionFilters" in plan and "year_month" in plan
+    plan = _plan(transaction_lines(wh["fact_sales"], wh["fact_keys"], 100, 200))
+    assert plan.count("GreaterThanOrEqual(transaction_id,100)") >= 2
+
+
+def test_running_totals_span_partitions(spark):
+    from pyspark.sql import Window
+
+    from starmart.operators.ranking import running_total
+    rows = spark.range(3000).selectExpr("case when id % 7 < 6 then 'hot' else 'cold' end as g",
+                                        "cast(id as int) as o", "id % 5 as v")
+    got = running_total(rows, "g", "o", "v", "total", num_partitions=6)
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    want = rows.withColumn("total", F.sum("v").over(w))
+    assert got.exceptAll(want).count() == 0 and got.count() == 3000
