@@ -145,6 +145,18 @@ def _document_features(batches):
     yield flush()
 
 
+def specific(stems: dict[str, tuple[float, int]]) -> dict[str, float]:
+    """Weights of the stems, without those that a longer stem nearly always extends.
+
+    ``stems``: weight and number of toxic documents. Short beginnings of an insult
+    would match words that only begin like it.
+    """
+    general = {word[:n] for word, (_, k) in stems.items() if not word.endswith("$")
+               for n in range(STEM[0], len(word))
+               if word[:n] in stems and k >= 0.95 * stems[word[:n]][1]}
+    return {s: w for s, (w, _) in stems.items() if s not in general}
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Newton steps; the intercept is not shrunk."""
     x = np.hstack([np.ones((len(x), 1)), x])
@@ -190,10 +202,10 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000,
     stems = (known.mapInArrow(_document_features, "stem string, toxic long, other long")
              .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
              .where(a >= 4)
-             .select("stem", gain.alias("gain"), odds.alias("odds"))
+             .select("stem", "toxic", gain.alias("gain"), odds.alias("odds"))
              .where((F.col("gain") >= least_gain) & (F.col("odds") > 2.3))
              .orderBy(F.desc("gain"), "stem").limit(max_stems).collect())
-    grammar = Grammar({r["stem"]: r["odds"] for r in stems})
+    grammar = Grammar(specific({r["stem"]: (r["odds"], r["toxic"]) for r in stems}))
 
     def features(batches):
         for batch in batches:

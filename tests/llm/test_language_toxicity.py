@@ -71,6 +71,12 @@ def test_readings_of_a_clause():
     assert g.features(None) == g.features("") == g.features("calm words") == [0.0] * 6
 
 
+def test_the_longest_stem_stands_for_its_beginnings():
+    found = {"mor": (4.0, 101), "moro": (4.1, 100), "moron": (4.1, 100), "moron$": (4.1, 98), "low": (3.0, 50),
+             "lowei": (3.0, 20)}
+    assert T.specific(found) == {"moron": 4.1, "moron$": 4.1, "low": 3.0, "lowei": 3.0}
+
+
 def toy(spark, n=120):
     bad, good = "walks like a frumpo near the sea", "walks along the calm sea today"
     rows = [(i, (bad if i % 4 == 0 else good) + f" n{i}", "en", "", None) for i in range(n)]
