@@ -5,7 +5,8 @@ from decimal import Decimal
 
 
 from starmart import schemas as S
-from starmart.operators.facts import (conflict_ignoring_append, pit_lookup, resolve_sales)
+from starmart.operators.facts import (conflict_ignoring_append, existing_conflict_keys,
+                                      pit_lookup, resolve_sales)
 from starmart.operators.quality import reject_report
 from starmart.sources.calendar import dim_date
 
@@ -101,6 +102,7 @@ def test_d4_reload_after_product_change(spark):
     _, first = _resolved(spark, sale, False)
     fact = conflict_ignoring_append(first, None)
     t2, again = _resolved(spark, sale, True)
-    ref = conflict_ignoring_append(again, fact, t2["dim_product"], "reference")
-    bus = conflict_ignoring_append(again, fact, t2["dim_product"], "business")
+    ref, bus = (conflict_ignoring_append(
+        again, existing_conflict_keys(fact, t2["dim_product"], mode), mode)
+        for mode in ("reference", "business"))
     assert ref.count() == 1 and bus.count() == 0

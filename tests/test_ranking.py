@@ -51,7 +51,8 @@ def test_row_numbers_are_dense_over_partitions(spark):
 
 def test_keys_after_max(spark):
     df = spark.createDataFrame([(30,), (10,), (20,)], "bk long")
-    out = assign_keys(df, [F.col("bk")], "key", 7)
+    out, n = assign_keys(df, [F.col("bk")], "key", 7)
+    assert n == 3
     assert [(r["bk"], r["key"]) for r in out.orderBy("bk").collect()] == [(10, 8), (20, 9), (30, 10)]
 
 
