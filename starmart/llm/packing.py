@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
-from .tokens import default_tokenizer, encoder
+from .tokens import STORE, default_tokenizer, encoder
 
 PIECES = ("doc_id long, start long, length long, bucket int, doc_tokens long, ids binary, "
           "sequence_id long, offset long")
@@ -34,9 +34,9 @@ def binary_lengths(n: int, max_len: int) -> list[int]:
         1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def _pieces(path: str, end_id: int, max_len: int):
+def _pieces(path: str, end_id: int, max_len: int, store: int):
     def run(batches):
-        enc, number = encoder(path), TaskContext.get().partitionId() << 33
+        enc, number = encoder(path, store), TaskContext.get().partitionId() << 33
         for b in batches:
             rows = []
             ids_of = enc.batch(b.column("text").to_pylist())
@@ -58,17 +58,19 @@ def _pieces(path: str, end_id: int, max_len: int):
 
 def pack_binary(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
                 max_len: int = 2048, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", store: int = STORE) -> DataFrame:
     """One row for each piece; ``bucket`` is the binary logarithm of its length.
 
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit integers.
+    ``store``: words that a worker keeps (see ``tokens``).
     """
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
     prepare(docs.sparkSession, batch_rows=1024)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, max_len), PIECES)
+    return narrow.mapInArrow(_pieces(
+        tokenizer or default_tokenizer(), end_id, max_len, store), PIECES)
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:

@@ -55,7 +55,8 @@ def op8_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_binary
-    return pack_binary(table(spark, sf_dir, "documents")).select(
+    from .tokens import LARGE_STORE
+    return pack_binary(table(spark, sf_dir, "documents"), store=LARGE_STORE).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
 

@@ -6,10 +6,10 @@ interleaved lanes that feed one word stream. Its checkpoint (the lanes'
 states and its first word in the stream) lets any block be decoded alone, so
 all blocks of a batch are decoded together, and a checksum of its ids guards it.
 
-Jobs: ids are made once and dealt to ``doc_id`` ranges; the ranges are
-written in order; the table is counted from what was written; the files are
-encoded and then read back without another shuffle. A row of a file is a run
-of whole documents with the blocks of their ids.
+Jobs: ids are made once and written with their ``doc_id`` range; the table is
+counted from what was written; the ranges are brought together, sorted and
+encoded in one pass; the files are read back without another shuffle. A row of
+a file is a run of whole documents with the blocks of their ids.
 
 Defined cases: a null or empty text has the end id alone; null ids come
 first; repeated ids are separate documents that stand together; an empty
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from starmart.session import default_parallelism, scratch_path
 
 from .common import prefix_offsets, prepare, staged
-from .tokens import default_tokenizer, encoder
+from .tokens import LARGE_STORE, default_tokenizer, encoder
 
 LANES, STEPS = 64, 128
 BLOCK = LANES * STEPS
@@ -36,10 +36,11 @@ BLOCK = LANES * STEPS
 BITS, LEAST = 20, 1 << 31
 #: Ids after which a run of documents is closed, and blocks coded at once.
 RUN_IDS, BLOCKS_AT_ONCE = 1 << 18, 256
-#: Bytes of text that one range is meant to hold.
-RANGE_BYTES = 64 << 20
+#: Documents that one range is meant to hold.
+RANGE_DOCS = 1 << 14
 
-IDS = "pid int, before long, doc_id long, n_tokens long, ids binary"
+IDS = "pid int, doc_id long, n_tokens long, ids binary"
+READ = "pid int, before long, doc_id long, n_tokens long, ids binary"
 FILE = ("pid int, before long, doc_ids array<long>, lengths array<long>, words binary, "
         "word_counts array<int>, states binary, checksums array<long>")
 
@@ -79,27 +80,36 @@ class Coder:
             f = self.freq[s]
             full = x >= f << room
             sent[:, t], out[:, t] = full, x
-            x = np.where(full, x >> word, x)
+            np.right_shift(x, word, out=x, where=full)
             q = x // f
-            x = (q << bits) + (x - q * f) + self.start[s]
+            x -= q * f
+            x += q << bits
+            x += self.start[s]
         return [out[b][sent[b]].astype("<u4").tobytes() for b in range(blocks)], x
 
     def decode(self, words: np.ndarray, first: np.ndarray, states: np.ndarray) -> np.ndarray:
         """Ids of each block (padding included) from its own checkpoint."""
         x, at = states.copy(), first.astype(np.int64)
-        words = np.append(words, np.zeros(1, words.dtype))
+        flat = x.reshape(-1)
+        words = np.append(words, np.zeros(LANES, words.dtype)).astype(np.uint64)
         out = np.empty((len(x), STEPS, LANES), np.uint32)
         low, bits, word = np.uint64((1 << BITS) - 1), np.uint64(BITS), np.uint64(32)
         for t in range(STEPS):
             slot = x & low
             s = self.symbol[slot]
             out[:, t] = s
-            x = self.freq[s] * (x >> bits) + slot - self.start[s]
-            need = x < LEAST
-            place = np.cumsum(need, axis=1)
-            take = np.minimum(at[:, None] + place - 1, len(words) - 1)
-            x = np.where(need, (x << word) | words[np.maximum(take, 0)].astype(np.uint64), x)
-            at = at + place[:, -1]
+            slot -= self.start[s]
+            x >>= bits
+            x *= self.freq[s]
+            x += slot
+            # Lanes that ran low take the block's next words in turn. Padding may
+            # ask for words past the end; what it reads is never used.
+            need = np.flatnonzero(flat < LEAST)
+            taken = np.bincount(need // LANES, minlength=len(x))
+            place = np.repeat(at - (np.cumsum(taken) - taken), taken)
+            place += np.arange(len(need))
+            flat[need] = (flat[need] << word) | words[np.minimum(place, len(words) - 1)]
+            at += taken
         return out.reshape(len(x), BLOCK)
 
 
@@ -110,59 +120,44 @@ def _tokenise(path: str, end_id: int, bounds: list[int]):
     edges = np.array(bounds, np.int64)
 
     def run(batches):
-        enc, turn = encoder(path), 0
+        enc, turn = encoder(path, LARGE_STORE), 0
         kind = "<u2" if max(enc.size, end_id + 1) <= 65536 else "<u4"
+        end = np.array([end_id], kind).tobytes()
         for b in batches:
-            ids = [np.append(x, end_id).astype(kind) for x in enc.batch(b.column("text").to_pylist())]
-            doc_ids = b.column("doc_id").to_pylist()
-            pids = []
-            for d in doc_ids:
-                low, high = (0, 0) if d is None else (
-                    np.searchsorted(edges, d, "left"), np.searchsorted(edges, d, "right"))
-                pids.append(int(low + turn % (high - low + 1)))
-                turn += 1
+            ids = [x.astype(kind, copy=False).tobytes() + end
+                   for x in enc.batch(b.column("text").to_pylist())]
+            known = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            d = b.column("doc_id").fill_null(0).to_numpy()
+            low = np.where(known, np.searchsorted(edges, d, "left"), 0)
+            high = np.where(known, np.searchsorted(edges, d, "right"), 0)
+            pids = low + (turn + np.arange(len(ids))) % (high - low + 1)
+            turn += len(ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pids, pa.int32()), pa.array([0] * len(ids), pa.int64()),
-                 pa.array(doc_ids, pa.int64()),
-                 pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([x.tobytes() for x in ids], pa.binary())],
-                names=["pid", "before", "doc_id", "n_tokens", "ids"])
+                [pa.array(pids.astype(np.int32)), b.column("doc_id"),
+                 pa.array([len(x) // len(end) for x in ids], pa.int64()),
+                 pa.array(ids, pa.binary())],
+                names=["pid", "doc_id", "n_tokens", "ids"])
     return run
 
 
-def _running(batches):
-    """Ids that stand before each document in its range; rows come range by range."""
-    pid, done = None, 0
-    for b in batches:
-        before = []
-        for p, n in zip(b.column("pid").to_pylist(), b.column("n_tokens").to_pylist()):
-            if p != pid:
-                pid, done = p, 0
-            before.append(done)
-            done += n
-        yield b.set_column(1, "before", pa.array(before, pa.int64()))
-
-
-def ordered_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str,
-                text_col: str) -> DataFrame:
+def ranged_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str,
+               text_col: str) -> tuple[DataFrame, int]:
+    """Each document's ids with its range, made once; and the number of ranges."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
-    size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(default_parallelism(docs.sparkSession), -(-size // RANGE_BYTES))
+    ranges = max(default_parallelism(docs.sparkSession), -(-narrow.count() // RANGE_DOCS))
     bounds = narrow.select("doc_id").na.drop().approxQuantile(
         "doc_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
     made = narrow.mapInArrow(_tokenise(tokenizer, end_id, [int(x) for x in bounds]), IDS)
-    dealt = made.repartitionById(ranges, F.col("pid")).sortWithinPartitions(
-        "pid", F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
-    return staged(dealt.mapInArrow(_running, IDS), "ids")
+    return staged(made, "ids"), ranges
 
 
 def _count(kind: str, n: int):
     def run(batches):
         total = np.zeros(n, np.int64)
         for b in batches:
-            for raw in b.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(raw, kind), minlength=n)
+            raw = b"".join(b.column("ids").to_pylist())
+            total += np.bincount(np.frombuffer(raw, kind), minlength=n)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(total[met])],
                                          names=["id", "n"])
@@ -172,8 +167,9 @@ def _count(kind: str, n: int):
 # Files ----------------------------------------------------------------------
 
 def _encode(freq: np.ndarray, kind: str):
+    """Runs of whole documents, coded; rows come range by range and in order."""
     def run(batches):
-        coder, held, size = Coder(freq), [], 0
+        coder, held, size, before = Coder(freq), [], 0, 0
 
         def close():
             ids = np.concatenate([np.frombuffer(r["ids"], kind) for r in held])
@@ -185,7 +181,7 @@ def _encode(freq: np.ndarray, kind: str):
                 states.append(x.astype("<u8").tobytes())
                 sums += [zlib.crc32(part[j:j + BLOCK].astype("<u4").tobytes())
                          for j in range(0, len(part), BLOCK)]
-            values = [held[0]["pid"], held[0]["before"], [r["doc_id"] for r in held],
+            values = [held[0]["pid"], before, [r["doc_id"] for r in held],
                       [r["n_tokens"] for r in held], b"".join(words),
                       [len(w) // 4 for w in words], b"".join(states), sums]
             kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()),
@@ -196,10 +192,10 @@ def _encode(freq: np.ndarray, kind: str):
 
         for b in batches:
             for r in b.to_pylist():
-                follows = held and r["pid"] == held[0]["pid"] and (
-                    r["before"] == held[-1]["before"] + held[-1]["n_tokens"])
-                if held and (not follows or size + r["n_tokens"] > RUN_IDS):
+                other = held and r["pid"] != held[0]["pid"]
+                if held and (other or size + r["n_tokens"] > RUN_IDS):
                     yield close()
+                    before = 0 if other else before + size
                     held, size = [], 0
                 held.append(r)
                 size += r["n_tokens"]
@@ -212,17 +208,20 @@ def _decode(freq: np.ndarray):
     def run(batches):
         coder = Coder(freq)
         for b in batches:
-            for r in b.to_pylist():
-                counts = np.array(r["word_counts"], np.int64)
-                words = np.frombuffer(r["words"], "<u4")
-                states = np.frombuffer(r["states"], "<u8").reshape(-1, LANES)
-                first, total = np.cumsum(counts) - counts, sum(r["lengths"])
-                parts = []
-                for i in range(0, len(counts), BLOCKS_AT_ONCE):
-                    j = i + BLOCKS_AT_ONCE
-                    got = coder.decode(words, first[i:j], states[i:j]).reshape(-1)
-                    parts.append(got[:min(len(got), total - i * BLOCK)].astype("<u4"))
-                ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
+            rows = b.to_pylist()
+            # The blocks of all runs at hand are decoded side by side.
+            counts = np.array([n for r in rows for n in r["word_counts"]], np.int64)
+            words = np.concatenate([np.frombuffer(r["words"], "<u4") for r in rows])
+            states = np.concatenate([np.frombuffer(r["states"], "<u8") for r in rows])
+            states, first = states.reshape(-1, LANES), np.cumsum(counts) - counts
+            found = np.concatenate([
+                coder.decode(words, first[i:i + BLOCKS_AT_ONCE], states[i:i + BLOCKS_AT_ONCE])
+                for i in range(0, len(counts), BLOCKS_AT_ONCE)]).astype("<u4", copy=False)
+            done = 0
+            for r in rows:
+                blocks = len(r["word_counts"])
+                ids = found[done:done + blocks].reshape(-1)[:sum(r["lengths"])]
+                done += blocks
                 for k, want in enumerate(r["checksums"]):
                     if zlib.crc32(ids[k * BLOCK:(k + 1) * BLOCK].tobytes()) != want:
                         raise ValueError(f"block {k} of the run at {r['pid']}:{r['before']} is damaged")
@@ -249,7 +248,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     prepare(spark, batch_rows=1024)
     size = max(encoder(tokenizer).size, end_id + 1)
     kind = "<u2" if size <= 65536 else "<u4"
-    ids = ordered_ids(docs, tokenizer, end_id, id_col, text_col)
+    ids, ranges = ranged_ids(docs, tokenizer, end_id, id_col, text_col)
     counts = np.zeros(size, np.int64)
     # At most one row for each id of the vocabulary reaches the driver.
     for r in (ids.select("ids").mapInArrow(_count(kind, size), "id long, n long")
@@ -260,7 +259,9 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         .coalesce(1).write.parquet(f"{path}/table")
     totals = ids.groupBy("pid").agg(F.sum("n_tokens").alias("ids"))
     prefix_offsets(totals, "pid", "ids").coalesce(1).write.parquet(f"{path}/ranges")
-    ids.mapInArrow(_encode(freq, kind), FILE).write.option(
+    dealt = ids.repartitionById(ranges, F.col("pid")).sortWithinPartitions(
+        "pid", F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
+    dealt.mapInArrow(_encode(freq, kind), FILE).write.option(
         "compression", "none").parquet(f"{path}/blocks")
 
 
@@ -269,9 +270,9 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     prepare(spark, batch_rows=8)
     table = spark.read.parquet(f"{path}/table").orderBy("id").collect()
     freq = np.array([r["freq"] for r in table], np.int64)
-    found = spark.read.schema(FILE).parquet(f"{path}/blocks").mapInArrow(_decode(freq), IDS)
+    found = spark.read.schema(FILE).parquet(f"{path}/blocks").mapInArrow(_decode(freq), READ)
     ranges = spark.read.schema("pid int, ids_before long").parquet(f"{path}/ranges")
-    # One row for each range of at least RANGE_BYTES of text.
+    # One row for each range, of which there is one for RANGE_DOCS documents.
     return found.join(F.broadcast(ranges), "pid").select(
         "doc_id", (F.col("before") + F.col("ids_before")).alias("start"), "n_tokens", "ids")
 

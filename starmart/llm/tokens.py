@@ -17,12 +17,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept by one worker in each of two generations (about 200 bytes a word).
-STORE = 600_000
+#: Words that a worker keeps in each of two generations (about 200 bytes a word).
+#: More of them save encoding, fewer leave memory to a pipeline's other stages.
+STORE, LARGE_STORE = 300_000, 1_000_000
 #: Characters whose ids are laid out together, unless one text has more.
 AT_ONCE = 4_000_000
 _RUN = re.compile(r" (?:\s|\Z)")
-_MARKS = frozenset(".,;:!?")
+#: Marks that end a word's letters and form one piece of their own. An apostrophe
+#: is not among them: it may open a contraction.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def default_tokenizer() -> str:
@@ -43,12 +46,14 @@ def byte_alphabet() -> dict[int, str]:
 class Words(dict):
     """Ids (as bytes) of words that follow ``lead``; the library is asked for new ones."""
 
-    def __init__(self, tok, kind, lead: str, older: dict | None = None):
+    def __init__(self, tok, kind, lead: str, bare: Words | None = None,
+                 older: dict | None = None):
         super().__init__()
+        self.bare = self if bare is None else bare
         self.tok, self.kind, self.lead, self.older = tok, kind, lead, older or {}
         self.model, self.alphabet = tok.model, byte_alphabet()
         self.head = "".join(self.alphabet[b] for b in lead.encode())
-        self.marks = {m: self.whole(m) for m in _MARKS}
+        self.marks: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
@@ -58,13 +63,26 @@ class Words(dict):
                     self.alphabet)
                 ids = array(self.kind, [t.id for t in self.model.tokenize(
                     self.head + piece)]).tobytes()
-            elif word[-1:] in _MARKS and word[:-1].isalpha():  # letters and a mark are two
-                ids = self[word[:-1]] + self.marks[word[-1]]
             else:
-                ids = self.whole(self.lead + word)
+                left, line, right = word.partition("\n")
+                if line and left and right and not left[-1].isspace() and not right[0].isspace():
+                    # A lone line end is a piece; what follows it has no space before it.
+                    return self[left] + self.tail("\n") + self.bare[right]
+                core = word.rstrip(_MARKS)
+                if core.isalpha():  # letters and their marks are two pieces
+                    ids = self[core] + self.tail(word[len(core):])
+                else:
+                    ids = self.whole(self.lead + word)
         self[word] = ids
         return ids
 
+    def tail(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[marks] = self.whole(marks)
+        return self.marks[marks]
+
     def whole(self, text: str) -> bytes:
         return array(self.kind, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -76,10 +94,11 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         # A special token's string inside a text is ordinary text.
         self.tok.encode_special_tokens = True
+        self.store = STORE
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.kind = "H" if self.size <= 65536 else "I"
         self.first = Words(self.tok, self.kind, "")
-        self.later = Words(self.tok, self.kind, " ")
+        self.later = Words(self.tok, self.kind, " ", self.first)
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for null or empty ones."""
@@ -97,8 +116,8 @@ class Encoder:
                                         pa.large_string()), " ")
         ends = cut.offsets.to_numpy()
         coded = cut.flatten().dictionary_encode()
-        at = coded.indices.to_numpy().astype(np.int64)
-        words = coded.dictionary.to_pylist()
+        at = coded.indices.to_numpy().copy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.later.__getitem__, words))
         # The first word of a text follows no space; it has entries of its own.
         firsts = at[ends[:-1]]
@@ -108,25 +127,30 @@ class Encoder:
         found += [self.first.whole(t) for t, w in zip(texts, whole) if w]
         at[ends[:-1][whole]] = np.arange(len(found) - sum(whole), len(found))
         ids = np.frombuffer(b"".join(found), self.kind)
-        size = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+        size = np.fromiter(map(len, found), np.int32, len(found)) // ids.itemsize
         start = np.cumsum(size) - size
         sizes = size[at]
         stop = np.cumsum(sizes)
-        laid = ids[np.arange(stop[-1] if len(stop) else 0)
-                   + np.repeat(start[at] - (stop - sizes), sizes)]
+        total = int(stop[-1]) if len(stop) else 0
+        kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+        place = np.repeat((start[at] - (stop - sizes)).astype(kind), sizes)
+        place += np.arange(total, dtype=kind)
+        laid = ids.take(place)
         bounds = np.append(0, stop)[ends]
-        for name in ("first", "later"):
-            store = getattr(self, name)
-            if len(store) > STORE:
-                setattr(self, name, Words(self.tok, self.kind, store.lead, dict(store)))
+        if len(self.first) > self.store:
+            self.first = Words(self.tok, self.kind, "", None, dict(self.first))
+            self.later.bare = self.first
+        if len(self.later) > self.store:
+            self.later = Words(self.tok, self.kind, " ", self.first, dict(self.later))
         return [laid[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, store: int = STORE) -> Encoder:
     """This worker's encoder for the vocabulary file at ``path``."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].store = store
     return _encoders[path]
