@@ -146,10 +146,12 @@ def train(docs: DataFrame, clusters: int = 4, max_per_language: int = 500) -> Ce
 
 
 def predict_column(model: Centroids, text: Column) -> Column:
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        lang, score, rejected = model.predict(list(texts))
-        return pd.DataFrame({"lang": lang, "score": score, "rejected": rejected})
+    @F.arrow_udf("lang string, score double, rejected boolean")
+    def predict(texts: pa.Array) -> pa.Array:
+        lang, score, rejected = model.predict(texts.to_pylist())
+        return pa.StructArray.from_arrays(
+            [pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
+            names=["lang", "score", "rejected"])
     return predict(text)
 
 

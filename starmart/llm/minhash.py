@@ -78,7 +78,7 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_words) > 400_000:
+    if len(_words) > 150_000:
         _words.clear()
     h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     n = max(1, len(words) - k + 1)

@@ -27,7 +27,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +75,7 @@ class Grammar:
 
     def classes(self, tokens: list[str]) -> list[int]:
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 100_000:
             known.clear()
             self.weights.clear()
         for t in set(tokens):
@@ -224,9 +223,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000,
 
 
 def score_column(scorer: Scorer, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(scorer.scores(texts))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(scorer.scores(texts.to_pylist()))
     return score(text)
 
 
