@@ -40,6 +40,8 @@ WINDOW, SHARE = 13, 0.8
 BLOCK_TOKENS = 200_000
 #: Most item tokens that the hits may carry to be broadcast, about 80 MB.
 BROADCAST_TOKENS = 2_000_000
+#: Most leaked documents whose ids are broadcast, about 16 MB.
+BROADCAST_IDS = 1_000_000
 
 
 def tokens(text: Column) -> Column:
@@ -122,5 +124,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a leak, with all their columns."""
-    leaks = find_leaks(docs, benchmark).select("doc_id").distinct()
+    leaks = staged(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
+    # Counted first: few ids spare the texts a shuffle, many are joined with one.
+    if leaks.count() <= BROADCAST_IDS:
+        leaks = F.broadcast(leaks)
     return docs.join(leaks, "doc_id", "left_anti")

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Words that a worker keeps in each of two generations (about 200 bytes a word).
 #: More of them save encoding, fewer leave memory to a pipeline's other stages.
-STORE, LARGE_STORE = 300_000, 1_000_000
+STORE, LARGE_STORE = 150_000, 1_000_000
 #: Characters whose ids are laid out together, unless one text has more.
 AT_ONCE = 4_000_000
 _RUN = re.compile(r" (?:\s|\Z)")
