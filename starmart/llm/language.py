@@ -121,7 +121,8 @@ def train(docs: DataFrame, clusters: int = 4, max_per_language: int = 500) -> Ce
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     sample = rows.select("doc_id", "lang").withColumn("k", F.row_number().over(first)).where(
         F.col("k") <= max_per_language).select("doc_id", F.col("lang").alias("taught"), "k")
-    taught = rows.join(sample, (rows["doc_id"] == sample["doc_id"])
+    # At most max_per_language rows for each language: the texts need no shuffle.
+    taught = rows.join(F.broadcast(sample), (rows["doc_id"] == sample["doc_id"])
                        & (rows["lang"] == sample["taught"]), "inner").select(
         "taught", "k", "text").dropDuplicates(["taught", "k"])
 
