@@ -150,6 +150,7 @@ def _features(k: int, bands: int, rows: int):
                  pa.array(keys, pa.list_(pa.int64()))] +
                 [pa.array([s[i] for s in sketches], pa.int64()) for i in range(len(SKETCH))],
                 names=[c.split(" ")[0] for c in FEATURES.split(", ")])
+        _words.clear()
     return run
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
-from .tokens import STORE, default_tokenizer, encoder
+from .tokens import STORE, default_tokenizer, encoder, release
 
 PIECES = ("doc_id long, start long, length long, bucket int, doc_tokens long, ids binary, "
           "sequence_id long, offset long")
@@ -53,6 +53,8 @@ def _pieces(path: str, end_id: int, max_len: int, store: int):
                 [pa.array(c, k) for c, k in zip(cols, kinds)],
                 names=["doc_id", "start", "length", "bucket", "doc_tokens", "ids",
                        "sequence_id", "offset"])
+        if store <= STORE:  # other stages use this worker next
+            release(path)
     return run
 
 

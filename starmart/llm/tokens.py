@@ -154,3 +154,8 @@ def encoder(path: str, store: int = STORE) -> Encoder:
         _encoders[path] = Encoder(path)
     _encoders[path].store = store
     return _encoders[path]
+
+
+def release(path: str) -> None:
+    """Give up the words that this worker keeps; a later task starts anew."""
+    _encoders.pop(path, None)
