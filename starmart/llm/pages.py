@@ -24,8 +24,8 @@ is template in the host shows in each of them. The list of such hosts is at
 most ``LARGE_HOSTS`` rows, whatever the input, and is all that is broadcast.
 
 Defined cases: a null or empty html has an empty text; a page without a url
-belongs to the host ``""``; repeated rows are copies of one page and stay
-rows; unclosed and stray tags are tolerated; an empty table gives no rows;
+belongs to the host ``""``; pages with equal streams of tokens (copies, with
+whatever ids) count as one page, and each row gets its text; unclosed and stray tags are tolerated; an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -185,7 +185,14 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
 
 
 def covered(streams: list[list[str]]) -> list[np.ndarray]:
-    """Which tokens of each page stand in a run of ``DEPTH`` that other pages hold too."""
+    """Which tokens of each page stand in a run of ``DEPTH`` that other pages hold too.
+
+    Equal streams are copies of one page and do not make each other repeats.
+    """
+    distinct = dict.fromkeys(map(tuple, streams))
+    if len(distinct) < len(streams):
+        found = dict(zip(distinct, covered(list(distinct))))
+        return [found[tuple(s)] for s in streams]
     sizes = np.array([len(s) for s in streams], np.int64)
     if not sizes.sum():
         return [np.zeros(0, bool) for _ in streams]
@@ -218,11 +225,17 @@ def covered(streams: list[list[str]]) -> list[np.ndarray]:
 
 def extract(pages: list[str | None]) -> list[tuple[str, int]]:
     """The main text and the number of repeated tokens of each page of one host."""
-    parsed = [parse(p) for p in pages]
+    place: dict[str | None, int] = {}
+    copies = [place.setdefault(p, len(place)) for p in pages]  # equal pages are read once
+    parsed = [parse(p) for p in place]
     marks = covered([s for s, _ in parsed])
     # Classed containers inside articles: covered tokens, tokens, pages.
     seen: dict[str, list] = {}
-    for (_, blocks), mark in zip(parsed, marks):
+    counted = set()
+    for (stream, blocks), mark in zip(parsed, marks):
+        if tuple(stream) in counted:
+            continue
+        counted.add(tuple(stream))
         signs = set()
         for b in blocks:
             if b.sign:
@@ -245,7 +258,7 @@ def extract(pages: list[str | None]) -> list[tuple[str, int]]:
                 continue
             kept.append(b.text)
         out.append((" ".join(kept), int(mark.sum())))
-    return out
+    return [out[i] for i in copies]
 
 
 def main_text(pages: DataFrame) -> DataFrame:

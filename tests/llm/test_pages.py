@@ -114,3 +114,15 @@ def test_awkward_rows_and_large_hosts(spark, monkeypatch):
     assert sorted(((r["page_id"], r["url"], r["text"]) for r in got), key=key) == sorted(want, key=key)
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert P.main_text(pages.limit(0)).collect() == []
+
+
+def test_copies_of_a_page_are_one_page():
+    plain = page("<div class='x1'><p>some words that are told on this one page of the host only</p></div>")
+    article = page("<article class='post'><p>the whole story of this one page is told here and nowhere else</p></article>")
+    alone = P.extract([plain]) + P.extract([article])
+    assert all(t for t, _ in alone) and [n for _, n in alone] == [0, 0]
+    assert P.extract([plain] * 2) == alone[:1] * 2 and P.extract([article] * 3) == alone[1:] * 3
+    # Equal streams of different html, beside another page.
+    spaced = [article.replace("<p>", f"<p  id='{'i' * i}'>") for i in range(1, 4)]
+    assert P.extract([*spaced, plain])[:3] == P.extract([article, plain])[:1] * 3
+    assert [m.any() for m in P.covered([list("abcdefghij")] * 3)] == [False] * 3
