@@ -6,9 +6,10 @@ with the seeds of every document position. A hit lays the two texts side by
 side, and every window of ``WINDOW`` tokens of that alignment is compared token
 by token; it is a leak when at least 80 % of a window agree. The two masks leave
 no such window out: any 13 tokens with at most two substitutions hold a seed of
-one of them at some offset. Items of fewer than ``SHORT`` tokens also get seeds
-of five tokens in a row; items of fewer than five tokens identify nothing and
-are left out.
+one of them at some offset. A shorter item is one window; with the
+``SHORT_MASKS`` of its length none of the substitutions its 80 % allow is left
+out (one up to nine tokens, two from ten on). Items of fewer than ``LEAST``
+tokens identify nothing and are left out.
 
 The benchmark is the small side: it is joined in blocks of at most
 ``BLOCK_TOKENS`` tokens, so what is broadcast has a bound whatever its size.
@@ -33,10 +34,14 @@ from .common import let, staged
 
 #: A 1 is a token that must agree, a 0 one that is ignored.
 MASKS = ("1010011101", "111010011")
-SHORT_MASK = "11111"
-SHORT = 10
 WINDOW, SHARE = 13, 0.8
-#: Benchmark tokens in one broadcast block: with two masks, about 40 MB.
+#: The masks of items below ``WINDOW`` tokens, by length: beside ``MASKS``, the heaviest that
+#: one or two masks allow (four of them for five tokens, where lighter ones are common pairs).
+SHORT_MASKS = {5: ("1111", "11101", "11011", "10111"), 6: ("1111", "11011"), 7: ("11011",),
+               8: ("11111", "111011"), 9: ("111011",), 10: ("11111", "1100111"),
+               11: ("111011",), 12: ("1110111",)}
+LEAST = 5
+#: Benchmark tokens in one broadcast block: with two masks, about 40 MB (four for short items).
 BLOCK_TOKENS = 200_000
 #: Most item tokens that the hits may carry to be broadcast, about 80 MB.
 BROADCAST_TOKENS = 2_000_000
@@ -89,14 +94,18 @@ def _blocks(items: DataFrame) -> list[DataFrame]:
 
 def _alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct (doc_id, item_id, shift) at which some seed of both agrees."""
-    masks = dict(enumerate(MASKS))
-    if items.where(F.size("q") < SHORT).limit(1).count():
-        masks[len(MASKS)] = SHORT_MASK
+    short = items.where(F.size("q") < WINDOW).select(F.size("q").alias("n")).distinct()
+    lengths = {m: [n for n in SHORT_MASKS if m in SHORT_MASKS[n]]
+               for n in sorted(r["n"] for r in short.collect()) for m in SHORT_MASKS[n]}
+    masks = dict(enumerate([*MASKS, *lengths]))
+    fits = reduce(Column.__or__, [(F.col("mask") == i) & F.size("t").isin(lengths[m])
+                                  for i, m in masks.items() if m in lengths],
+                  F.col("mask") < len(MASKS))
     places = _exploded(docs.select("doc_id", tokens(F.col("text")).alias("t")), masks, "doc_id")
     found = []
     for block in _blocks(items):
         seeds = (_exploded(block.withColumnRenamed("q", "t"), masks, "item_id")
-                 .where((F.col("mask") < len(MASKS)) | (F.size("t") < SHORT))
+                 .where(fits)
                  .select("item_id", F.col("at").alias("off"), "seed"))
         found.append(places.join(F.broadcast(seeds), "seed").select(
             "doc_id", "item_id", (F.col("at") - F.col("off")).alias("shift")))
@@ -106,7 +115,7 @@ def _alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, agreeing, window for each leaked item of a document."""
     items = staged(benchmark.select("item_id", tokens(F.col("text")).alias("q")).where(
-        F.size("q") >= len(SHORT_MASK)).distinct(), "items")
+        F.size("q") >= LEAST).distinct(), "items")
     hits = _alignments(docs, items)
     hits = hits.join(items, "item_id").withColumnRenamed("doc_id", "hit_id")
     if (hits.agg(F.sum(F.size("q"))).first()[0] or 0) <= BROADCAST_TOKENS:

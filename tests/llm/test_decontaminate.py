@@ -77,3 +77,24 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert D.find_leaks(docs, bench).collect() == []
     assert D.drop_leaks(bench.toDF("doc_id", "text"), docs.toDF("item_id", "text")).count() == 1
+
+
+def test_short_masks_find_every_allowed_substitution():
+    for n in range(D.LEAST, D.WINDOW):
+        for bad in itertools.combinations(range(n), n - math.ceil(n * D.SHARE)):
+            assert any(all(m[j] == "0" or s + j not in bad for j in range(len(m)))
+                       for m in D.MASKS + D.SHORT_MASKS[n] for s in range(n - len(m) + 1)), (n, bad)
+
+
+def test_short_items_with_every_allowed_substitution(spark):
+    rows, items = [], {n: [f"i{n}_{j}" for j in range(n)] for n in range(3, 15)}
+    for n, q in items.items():
+        for k in range(n - math.ceil(n * D.SHARE) + 2):
+            for bad in itertools.combinations(range(n), k):
+                rows.append((len(rows), " ".join(["x", *("y" if j in bad else t for j, t in enumerate(q)), "z"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = [(n, " ".join(q)) for n, q in items.items()]
+    got = {(r["doc_id"], r["item_id"]): r["agreeing"] for r in D.find_leaks(
+        docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    want = {(d, n): leaks(t, x) for d, t in rows for n, x in bench if f"i{n}_" in t and leaks(t, x)}
+    assert got == want and {n for _, n in got} == set(range(5, 15))
