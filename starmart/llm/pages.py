@@ -18,10 +18,14 @@ Repeats alone cannot decide inside an article: articles quote shared passages,
 and a host with a single page repeats nothing. So marks decide where a page
 has them, and the suffix array decides the rest.
 
-A host's pages meet in one task only up to ``CHUNK`` bytes of html; a larger
-host is dealt by a hash of the page over as many chunks as it needs, and what
-is template in the host shows in each of them. The list of such hosts is at
-most ``LARGE_HOSTS`` rows, whatever the input, and is all that is broadcast.
+A host's pages meet in one task only up to ``CHUNK`` bytes of html. A larger
+host is dealt over chunks, and its runs of ``DEPTH`` tokens are compared over
+the whole host: each chunk sends the 64-bit hashes of its runs (a run that
+several of its pages hold is sent twice) with 32 bits of the page's stream,
+dealt by hash; those found on distinct pages come back to the chunks that hold
+them. Template containers are counted over the host as well. So the size of a
+host changes the way, not the result. The list of large hosts is at most
+``LARGE_HOSTS`` rows, whatever the input, and is all that is broadcast by hint.
 
 Defined cases: a null or empty html has an empty text; a page without a url
 belongs to the host ``""``; pages with equal streams of tokens (copies, with
@@ -31,8 +35,10 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -40,12 +46,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, staged
+from .minhash import mix
 
 DEPTH = 8
-TEMPLATE = 0.8
+TEMPLATE, PAGES = 0.8, 3
 CHUNK = 2 << 20
 LARGE_HOSTS = 500_000
+#: Chunks of a large host whose runs one task compares, about 1.5 million runs.
+BUCKET_CHUNKS = 4
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -215,19 +224,67 @@ def covered(streams: list[list[str]]) -> list[np.ndarray]:
     new_page = new_rank | np.append(True, p[1:] != p[:-1])
     group = np.cumsum(new_rank) - 1
     pages = np.bincount(group[new_page], minlength=group[-1] + 1)
-    edge = np.zeros(len(rank) + 1, np.int64)
-    starts = order[pages[group] >= 2]
+    return _spread(order[pages[group] >= 2], sizes)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The tokens of each page that stand in one of the runs at ``starts``."""
+    edge = np.zeros(sizes.sum() + 1, np.int64)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + DEPTH, -1)
-    mark = np.cumsum(edge[:-1]) > 0
-    return np.split(mark, np.cumsum(sizes)[:-1])
+    return np.split(np.cumsum(edge[:-1]) > 0, np.cumsum(sizes)[:-1])
+
+
+def hashed(streams: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes and names (hashes) of the pages; place, hash and page of each whole run."""
+    sizes = np.array([len(s) for s in streams], np.int64)
+    words = np.array([t for s in streams for t in s], object)
+    token = pd.util.hash_array(words) if len(words) else np.zeros(0, np.uint64)
+    names = np.array([int.from_bytes(hashlib.blake2b(t.tobytes(), digest_size=8).digest(), "little")
+                      for t in np.split(token, np.cumsum(sizes)[:-1])], np.uint64).view(np.int64)
+    page = np.repeat(np.arange(len(streams)), sizes)
+    last = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(page))
+    starts = np.flatnonzero(last >= DEPTH)
+    run = np.zeros(len(starts), np.uint64)
+    for i in range(DEPTH):
+        run = mix(run * np.uint64(0x9E3779B97F4A7C15) + token[starts + i])
+    return sizes, names, starts, run.view(np.int64), page[starts]
+
+
+def _signs(blocks: list[Block], mark: np.ndarray) -> dict[str, list[int]]:
+    """Covered tokens and tokens of each classed container of a page."""
+    seen: dict[str, list[int]] = {}
+    for b in blocks:
+        if b.sign:
+            entry = seen.setdefault(b.sign, [0, 0])
+            entry[0] += int(mark[b.first:b.first + b.size].sum())
+            entry[1] += b.size
+    return seen
+
+
+def _pieces(blocks: list[Block], mark: np.ndarray) -> list[tuple[str, str]]:
+    """(text, sign) of what a page keeps unless the host has the sign as template."""
+    level = max((b.main for b in blocks if not b.dropped), default=0)
+    kept = []
+    for b in blocks:
+        if b.dropped or b.main < level:
+            continue
+        if not level and mark[b.first:b.first + b.size].sum() > b.size / 2:
+            continue
+        kept.append((b.text, b.sign if level else ""))
+    return kept
+
+
+def _distinct(pages: Iterable[str | None]) -> tuple[list, list[int]]:
+    """Each distinct page read once, and its place for every page."""
+    place: dict[str | None, int] = {}
+    copies = [place.setdefault(p, len(place)) for p in pages]
+    return [parse(p) for p in place], copies
 
 
 def extract(pages: list[str | None]) -> list[tuple[str, int]]:
     """The main text and the number of repeated tokens of each page of one host."""
-    place: dict[str | None, int] = {}
-    copies = [place.setdefault(p, len(place)) for p in pages]  # equal pages are read once
-    parsed = [parse(p) for p in place]
+    parsed, copies = _distinct(pages)
     marks = covered([s for s, _ in parsed])
     # Classed containers inside articles: covered tokens, tokens, pages.
     seen: dict[str, list] = {}
@@ -236,45 +293,138 @@ def extract(pages: list[str | None]) -> list[tuple[str, int]]:
         if tuple(stream) in counted:
             continue
         counted.add(tuple(stream))
-        signs = set()
-        for b in blocks:
-            if b.sign:
-                entry = seen.setdefault(b.sign, [0, 0, 0])
-                entry[0] += int(mark[b.first:b.first + b.size].sum())
-                entry[1] += b.size
-                signs.add(b.sign)
-        for s in signs:
-            seen[s][2] += 1
-    template = {s for s, (c, n, p) in seen.items() if p >= 3 and c >= TEMPLATE * n}
-    out = []
-    for (_, blocks), mark in zip(parsed, marks):
-        level = max((b.main for b in blocks if not b.dropped), default=0)
-        kept = []
-        for b in blocks:
-            if b.dropped or b.main < level:
-                continue
-            repeated = mark[b.first:b.first + b.size].sum() > b.size / 2
-            if b.sign in template if level else repeated:
-                continue
-            kept.append(b.text)
-        out.append((" ".join(kept), int(mark.sum())))
+        for s, (c, n) in _signs(blocks, mark).items():
+            entry = seen.setdefault(s, [0, 0, 0])
+            seen[s] = [entry[0] + c, entry[1] + n, entry[2] + 1]
+    template = {s for s, (c, n, p) in seen.items() if p >= PAGES and c >= TEMPLATE * n}
+    out = [(" ".join(t for t, s in _pieces(blocks, mark) if s not in template), int(mark.sum()))
+           for (_, blocks), mark in zip(parsed, marks)]
     return [out[i] for i in copies]
 
 
+def _pack(run: np.ndarray, page: np.ndarray) -> bytes:
+    """Sorted runs as steps and their pages, byte by byte in planes: high planes compress away."""
+    step = np.diff(run, prepend=np.uint64(0))
+    return np.concatenate([x.view(np.uint8).reshape(len(run), x.itemsize).T.ravel()
+                           for x in (step, page.astype(np.uint32))]).tobytes()
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(packed, np.uint8).reshape(12, -1)
+    step = np.ascontiguousarray(planes[:8].T).view(np.uint64).ravel()
+    return np.cumsum(step, dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view(np.uint32).ravel()
+
+
+def _send_runs(group: pa.Table) -> pa.Table:
+    """The distinct runs of a chunk by bucket: a run's least and greatest page stand for all."""
+    parsed, _ = _distinct(group.column("html").to_pylist())
+    _, names, _, run, page = hashed([s for s, _ in parsed])
+    names, run = names.astype(np.int32), run.view(np.uint64)
+    order = np.lexsort((names[page], run))
+    run, page = run[order], page[order]
+    edge = run[1:] != run[:-1]
+    first, last = np.append(True, edge)[:len(run)], np.append(edge, True)[:len(run)]
+    sent = first | (last & _ends_differ(run, names[page]))
+    run, page = run[sent], page[sent]
+    buckets = np.uint64(group.column("buckets")[0].as_py())
+    bucket = (run >> np.uint64(32)) * buckets >> np.uint64(32)  # grows with the run
+    found, at = np.unique(bucket, return_index=True)
+    ends = np.append(at, len(run))
+    return pa.table({
+        "host": pa.array([group.column("host")[0].as_py()] * len(found), pa.string()),
+        "chunk": pa.array([group.column("chunk")[0].as_py()] * len(found), pa.int32()),
+        "bucket": pa.array(found.astype(np.int32)),
+        "runs": pa.array([_pack(run[i:j], page[i:j]) for i, j in zip(ends, ends[1:])], pa.binary()),
+        "names": pa.array([names] * len(found), pa.list_(pa.int32()))})
+
+
+def _ends_differ(run: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Whether the names of an entry's run differ; sorted by run and name."""
+    if not len(run):
+        return np.zeros(0, bool)
+    at = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    counts = np.diff(np.append(at, len(run)))
+    return np.repeat(name[at] != name[at + counts - 1], counts)
+
+
+def _return_runs(group: pa.Table) -> pa.Table:
+    """The runs of a bucket that distinct pages hold, to each chunk that sent them."""
+    sent = [_unpack(r) for r in group.column("runs").to_pylist()]
+    sizes = [len(r) for r, _ in sent]
+    run = np.concatenate([r for r, _ in sent])
+    name = np.concatenate([n.values.to_numpy()[p] for n, (_, p) in zip(group.column("names"), sent)])
+    order = np.lexsort((name, run))
+    repeated = np.zeros(len(run), bool)
+    repeated[order] = _ends_differ(run[order], name[order])
+    counts = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[repeated], minlength=len(sizes))
+    ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+    return pa.table({"host": group.column("host"), "chunk": group.column("chunk"),
+                     "runs": pa.ListArray.from_arrays(ends, pa.array(run[repeated].view(np.int64)))})
+
+
+def _read_chunk(group: pa.Table, returned: pa.Table) -> pa.Table:
+    """What each page of a chunk keeps, and its containers once for each distinct stream."""
+    parsed, copies = _distinct(group.column("html").to_pylist())
+    sizes, names, starts, run, _ = hashed([s for s, _ in parsed])
+    known = [c.flatten().to_numpy(zero_copy_only=False) for c in returned.column("runs").chunks]
+    hit = np.isin(run, np.concatenate(known)) if known else np.zeros(len(run), bool)
+    marks = _spread(starts[hit], sizes)
+    kept = [[{"text": t, "sign": s} for t, s in _pieces(blocks, mark)]
+            for (_, blocks), mark in zip(parsed, marks)]
+    signs = [[{"sign": s, "covered": c, "size": n} for s, (c, n) in _signs(blocks, mark).items()]
+             for (_, blocks), mark in zip(parsed, marks)]
+    once = set()
+    counted = [[] if i in once else (once.add(i) or signs[i]) for i in copies]
+    return pa.table({
+        "page_id": group.column("page_id"), "url": group.column("url"),
+        "host": group.column("host"),
+        "name": pa.array([int(names[i]) for i in copies], pa.int64()),
+        "kept": pa.array([kept[i] for i in copies],
+                         pa.list_(pa.struct([("text", pa.string()), ("sign", pa.string())]))),
+        "signs": pa.array(counted, pa.list_(pa.struct([
+            ("sign", pa.string()), ("covered", pa.int64()), ("size", pa.int64())]))),
+        "n_repeated": pa.array([int(marks[i].sum()) for i in copies], pa.int64())})
+
+
+def _large_hosts(dealt: DataFrame, page_type: str) -> DataFrame:
+    """The result for the pages of hosts that are dealt over chunks."""
+    sent = dealt.groupBy("host", "chunk").applyInArrow(
+        _send_runs, "host string, chunk int, bucket int, runs binary, names array<int>")
+    returned = sent.groupBy("host", "bucket").applyInArrow(
+        _return_runs, "host string, chunk int, runs array<long>")
+    found = staged(dealt.groupBy("host", "chunk").cogroup(
+        returned.groupBy("host", "chunk")).applyInArrow(
+        _read_chunk, f"page_id {page_type}, url string, host string, name long, "
+        "kept array<struct<text string, sign string>>, "
+        "signs array<struct<sign string, covered long, size long>>, n_repeated long"), "pages")
+    # Written, so that its size is known and few templates spare the texts a shuffle.
+    template = staged(
+        found.select("host", "name", F.explode("signs").alias("s"))
+        .groupBy("host", "name", F.col("s.sign").alias("sign"))
+        .agg(F.max("s.covered").alias("covered"), F.max("s.size").alias("size"))
+        .groupBy("host", "sign")
+        .agg(F.sum("covered").alias("c"), F.sum("size").alias("n"), F.count("*").alias("p"))
+        .where((F.col("p") >= PAGES) & (F.col("c") >= F.lit(TEMPLATE) * F.col("n")))
+        .groupBy("host").agg(F.collect_set("sign").alias("template")), "templates")
+    none = F.array().cast("array<string>")
+    text = F.array_join(F.transform(F.filter("kept", lambda b: ~F.array_contains(
+        F.coalesce("template", none), b["sign"])), lambda b: b["text"]), " ")
+    return found.join(template, "host", "left").select(
+        "page_id", "url", text.alias("text"), "n_repeated").select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, n_repeated for every row of ``pages``."""
     prepare(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"),
                         F.coalesce(F.octet_length("html"), F.lit(0)).alias("bytes"))
-    sizes = rows.groupBy("host").agg(F.sum("bytes").alias("host_bytes"))
+    sizes = staged(rows.groupBy("host").agg(F.sum("bytes").alias("host_bytes")), "hosts")
     total = sizes.agg(F.sum("host_bytes")).first()[0] or 0
     limit = max(CHUNK, total // LARGE_HOSTS)
     large = sizes.where(F.col("host_bytes") > limit).select(
-        F.col("host"), F.ceil(F.col("host_bytes") / CHUNK).cast("int").alias("chunks"))
-    spread = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("chunks", F.lit(1))).cast("int")
-    dealt = rows.join(F.broadcast(large), "host", "left").select(
-        "page_id", "url", "html", "host", spread.alias("chunk"))
+        "host", F.ceil(F.col("host_bytes") / CHUNK).cast("int").alias("chunks"))
 
     def run(group: pa.Table) -> pa.Table:
         found = extract(group.column("html").to_pylist())
@@ -285,5 +435,12 @@ def main_text(pages: DataFrame) -> DataFrame:
             "n_repeated": pa.array([n for _, n in found], pa.int64())})
 
     page_type = pages.schema["page_id"].dataType.simpleString()
-    return dealt.groupBy("host", "chunk").applyInArrow(
+    small = rows.join(F.broadcast(large), "host", "left_anti").groupBy("host").applyInArrow(
         run, f"page_id {page_type}, url string, text string, n_chars long, n_repeated long")
+    if not large.head(1):
+        return small
+    spread = F.pmod(F.xxhash64("page_id", "url"), F.col("chunks")).cast("int")
+    dealt = rows.join(F.broadcast(large), "host").select(
+        "page_id", "url", "html", "host", spread.alias("chunk"),
+        F.ceil(F.col("chunks") / BUCKET_CHUNKS).cast("int").alias("buckets"))
+    return small.union(_large_hosts(dealt, page_type))

@@ -126,3 +126,29 @@ def test_copies_of_a_page_are_one_page():
     spaced = [article.replace("<p>", f"<p  id='{'i' * i}'>") for i in range(1, 4)]
     assert P.extract([*spaced, plain])[:3] == P.extract([article, plain])[:1] * 3
     assert [m.any() for m in P.covered([list("abcdefghij")] * 3)] == [False] * 3
+
+
+def test_large_hosts_are_compared_whole(spark, monkeypatch):
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(60)) for _ in range(n))
+    rare, chrome, boxes = text(20), text(15), [f"<div class='b{i}'><p>{text(14)}</p></div>" for i in range(12)]
+    html_of = []
+    for i in range(36):  # each box on three pages, each quote on two: far apart once dealt
+        html_of.append(page(f"<article class='post'><p>{text(30)}</p>{boxes[i % 12]}<p>{rare}</p></article>"))
+        html_of.append(page(f"<div><p>{text(30)}</p></div><div><p>{chrome if i < 2 else text(12)}</p></div>"))
+    copy = page(f"<article class='once'><p>{text(40)}</p></article>")
+    plain = page(f"<p>{text(40)}</p>")
+    html_of += [copy] * 9 + [copy.replace("<p>", f"<p id='{'i' * i}'>") for i in range(5)] + [plain] * 9 + [None, "", "x"]
+    html_of.append(page(f"<p>{text(3000)}</p><div><p>{chrome}</p></div>"))
+    rows = [(i, f"http://{host}/{i}", h) for host in ("one.example", "two.example") for i, h in enumerate(html_of)]
+    want = {(f"http://{host}/{i}", *r) for host in ("one.example", "two.example")
+            for i, r in enumerate(P.extract(html_of))}
+    assert any(boxes[0][19:-10] in (h or "") for h in html_of) and not any(boxes[0][19:-10] in w[1] for w in want)
+    rows += [(900, "http://small.example/", plain)]
+    want |= {("http://small.example/", *P.extract([plain])[0])}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for chunk in (600, 5000):
+        monkeypatch.setattr(P, "CHUNK", chunk)
+        got = P.main_text(pages).collect()
+        assert {(r["url"], r["text"], r["n_repeated"]) for r in got} == want and len(got) == len(rows)
+        assert all(r["n_chars"] == len(r["text"]) for r in got)
