@@ -17,8 +17,8 @@ Hits are made distinct (document, item, alignment) before they are shuffled;
 they are broadcast back to the texts only where their count allows it.
 
 Defined cases: null and empty texts (and items) have no leak; a document that
-holds an item several times is one row; a null id is reported as null;
-repeated rows count once; other columns are kept by ``drop_leaks`` and ignored
+holds an item several times is one row; a null id is reported as null, and
+``drop_leaks`` tells the rows without an id apart by their texts' SHA-256; repeated rows count once; other columns are kept by ``drop_leaks`` and ignored
 by ``find_leaks``.
 """
 
@@ -131,10 +131,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                               F.max("window").alias("window")))
 
 
+def _without(docs: DataFrame, key: Column, benchmark: DataFrame) -> DataFrame:
+    """The rows without a leak; ``key`` names their texts."""
+    keyed = docs.select(key.alias("doc_id"), "text")
+    leaks = staged(find_leaks(keyed, benchmark).select("doc_id").distinct(), "leaks")
+    # Counted first: few ids spare the texts a shuffle, many are joined with one.
+    few = leaks.count() <= BROADCAST_IDS
+    leaks = leaks.withColumnRenamed("doc_id", "leak")
+    return docs.join(F.broadcast(leaks) if few else leaks, key == leaks["leak"], "left_anti")
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a leak, with all their columns."""
-    leaks = staged(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    # Counted first: few ids spare the texts a shuffle, many are joined with one.
-    if leaks.count() <= BROADCAST_IDS:
-        leaks = F.broadcast(leaks)
-    return docs.join(leaks, "doc_id", "left_anti")
+    null = F.col("doc_id").isNull()
+    if not docs.where(null).head(1):
+        return _without(docs, F.col("doc_id"), benchmark)
+    return _without(docs.where(~null), F.col("doc_id"), benchmark).union(
+        _without(docs.where(null), F.sha2("text", 256), benchmark))

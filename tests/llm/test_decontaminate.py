@@ -98,3 +98,12 @@ def test_short_items_with_every_allowed_substitution(spark):
         docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
     want = {(d, n): leaks(t, x) for d, t in rows for n, x in bench if f"i{n}_" in t and leaks(t, x)}
     assert got == want and {n for _, n in got} == set(range(5, 15))
+
+
+def test_leaks_without_an_id_are_dropped(spark):
+    item = " ".join(f"w{i}" for i in range(15))
+    rows = [(None, f"so {item} on", 1), (None, "clean", 2), (None, None, 3), (4, item, 4), (5, "clean", 5),
+            (None, f"so {item} on", 6), (None, "clean", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, leak int").repartition(3)
+    kept = D.drop_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns and sorted(r["leak"] for r in kept.collect()) == [2, 3, 5, 7]
