@@ -66,6 +66,11 @@ def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import align_documents
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_shard_bytes": op1_shard_bytes,
@@ -78,4 +83,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_centroid_language": op8_centroid_language,
         "op9_pack_binary": op9_pack_binary,
         "op10_clause_grammar": op10_clause_grammar,
+        "op12_spill_alignment": op12_spill_alignment,
     }

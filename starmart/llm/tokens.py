@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 STORE, LARGE_STORE = 150_000, 1_000_000
 #: Characters whose ids are laid out together, unless one text has more.
 AT_ONCE = 4_000_000
+#: Line ends up to which a stretch without spaces is cut (each is one more call).
+MOST_LINES = 50
 _RUN = re.compile(r" (?:\s|\Z)")
 #: Marks that end a word's letters and form one piece of their own. An apostrophe
 #: is not among them: it may open a contraction.
@@ -65,7 +67,8 @@ class Words(dict):
                     self.head + piece)]).tobytes()
             else:
                 left, line, right = word.partition("\n")
-                if line and left and right and not left[-1].isspace() and not right[0].isspace():
+                if (line and left and right and not left[-1].isspace() and not right[0].isspace()
+                        and word.count("\n") <= MOST_LINES):
                     # A lone line end is a piece; what follows it has no space before it.
                     return self[left] + self.tail("\n") + self.bare[right]
                 core = word.rstrip(_MARKS)
