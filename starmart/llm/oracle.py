@@ -70,7 +70,37 @@ SELECT doc_id, item_id, CAST(max(agreeing) AS INTEGER) AS agreeing, CAST(max(w)
 FROM leak WHERE agreeing >= ceil(0.8 * w) GROUP BY doc_id, item_id
 """
 
+# The rules one by one, longest first; then words of a host's name and globs as patterns.
+URLS = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+part AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut),
+ruled AS (
+  SELECT *, '.' || host AS h, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM part)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(h, '[.-](ads|adserver|adult|bets|betting|casino|casinos|malware|phishing|pills|poker|porn|spam|tracker|viagra|warez|xxx)[.-]')
+      THEN 'block'
+    WHEN contains(h || path, '/cgi-bin/') OR contains(h || path, '/wp-admin/') THEN 'block'
+    WHEN regexp_matches(h || path, '(/wp-login[.]php|[.]exe|[.]zip)$') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
 ORACLES: dict[str, str] = {
     "op2_circulant_minhash": MINHASH,
     "op4_spaced_seeds": SEEDS,
+    "op13_shift_and_urls": URLS,
 }

@@ -71,6 +71,12 @@ def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_shift_and_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import filter_urls
+    return filter_urls(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_shard_bytes": op1_shard_bytes,
@@ -84,4 +90,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pack_binary": op9_pack_binary,
         "op10_clause_grammar": op10_clause_grammar,
         "op12_spill_alignment": op12_spill_alignment,
+        "op13_shift_and_urls": op13_shift_and_urls,
     }
