@@ -66,6 +66,11 @@ def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import Repair, damaged
+    return Repair(damaged(table(spark, sf_dir, "conversations")), "copies").digests()
+
+
 def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .alignment import align_documents
     return align_documents(table(spark, sf_dir, "documents"))
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_centroid_language": op8_centroid_language,
         "op9_pack_binary": op9_pack_binary,
         "op10_clause_grammar": op10_clause_grammar,
+        "op11_run_length_repair": op11_run_length_repair,
         "op12_spill_alignment": op12_spill_alignment,
         "op13_shift_and_urls": op13_shift_and_urls,
     }
