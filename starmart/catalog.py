@@ -77,6 +77,8 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self._snap: Snapshot | None = None
+        #: Frames of the current snapshot: a table's folders are listed once.
+        self._frames: dict[str, DataFrame] = {}
         self._ensure_layout()
 
     def _ensure_layout(self) -> None:
@@ -128,6 +130,8 @@ class Warehouse:
         for r in m.collect():  # one row per folder
             snap.parts.setdefault(r["table"], []).append(
                 Part(r["kind"], r["path"], int(r["rows"]), r["max_key"]))
+        if self._snap is None or self._snap.name != snap.name:
+            self._frames = {}
         self._snap = snap
         return snap
 
@@ -158,8 +162,13 @@ class Warehouse:
 
     # -- reading ------------------------------------------------------------
     def __getitem__(self, table: str) -> DataFrame:
-        parts = self.snapshot().parts.get(table, [])
-        paths = [p.path for p in parts]
+        snap = self.snapshot()
+        if table not in self._frames:
+            self._frames[table] = self._frame(snap, table)
+        return self._frames[table]
+
+    def _frame(self, snap: Snapshot, table: str) -> DataFrame:
+        paths = [p.path for p in snap.parts.get(table, [])]
         if not paths:
             if table in EMPTY_SCHEMAS:
                 return self.spark.createDataFrame([], EMPTY_SCHEMAS[table])
@@ -170,13 +179,14 @@ class Warehouse:
         # Folders of several runs form one table: partition discovery starts at
         # the table root; the bookkeeping columns (run, part) are dropped,
         # year_month stays for pruning.
-        df = self.spark.read.option("basePath", self.table_root(table)).parquet(*paths)
-        return df.drop("run", "part")
+        return self.read_parts(table, paths)
 
     def read_parts(self, table: str, paths: list[str]) -> DataFrame:
         """Some folders of a table (for example the facts added since a refresh)."""
-        return (self.spark.read.option("basePath", self.table_root(table)).parquet(*paths)
-                .drop("run", "part"))
+        reader = self.spark.read.option("basePath", self.table_root(table))
+        if table in EMPTY_SCHEMAS:  # known: no job looks for it in the files
+            reader = reader.schema(EMPTY_SCHEMAS[table])
+        return reader.parquet(*paths).drop("run", "part")
 
     def tables(self) -> dict[str, DataFrame]:
         # "<mart>#covers" entries are bookkeeping, not tables.

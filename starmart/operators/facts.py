@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.dates import lit_date
+from .asof import as_of
 from .ranking import assign_keys
 
 # Order used to keep one row of a duplicate group: all remaining fact columns.
@@ -27,20 +27,12 @@ def pit_lookup(rows: DataFrame, dim: DataFrame, *, bk: str, key: str,
     """Attach the version of ``dim`` valid on ``date_col`` (inner join).
 
     ``bk`` names the business key in both frames. Ranges are closed at both
-    ends; an open version runs to 9999-12-31. Planned as an equi-join on the
-    business key with the range as a residual: each sale meets only the
-    versions of its own key that hold at least a day, and a key with a third
-    of all sales is split across tasks by AQE's skew handling.
+    ends; an open version runs to 9999-12-31. An equi-join on the business key
+    with one row of sorted versions for each key, searched for the date (``asof``):
+    a key's many versions never meet its sales in pairs, and a key with a
+    third of all sales is split across tasks by AQE's skew handling.
     """
-    versions = dim.select(F.col(bk).alias("_v_bk"), F.col(key).alias(key),
-                          F.col("valid_from").alias("_v_from"),
-                          F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO)).alias("_v_to"))
-    # A key changed several times in one batch leaves empty versions, which no
-    # date can match: they must not meet the key's sales.
-    versions = versions.filter(F.col("_v_from") <= F.col("_v_to"))
-    cond = ((rows[bk] == versions["_v_bk"])
-            & rows[date_col].between(versions["_v_from"], versions["_v_to"]))
-    return rows.join(versions, cond, "inner").drop("_v_bk", "_v_from", "_v_to")
+    return as_of(rows, dim, bk=bk, key=key, date_col=date_col)
 
 
 def resolve_sales(staged_sales: DataFrame, dim_date: DataFrame, dim_store: DataFrame,

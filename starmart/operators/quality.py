@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.dates import lit_date
+from .asof import covered, live_versions
+from .ranking import running
 
 REPORT_COLS = ["source", "reason", "record_key", "n"]
 
@@ -41,16 +42,18 @@ def _overlaps(dim: DataFrame, source: str, bk: str, key: str) -> DataFrame:
     """Versions of one key whose (non-empty) validity intervals overlap.
 
     Each version is compared with the latest end among the versions that
-    start before it (a running max), not with every other version: no pairs
-    are formed. The window holds the versions of one key.
+    start before it: a running maximum that spans partitions, so neither pairs
+    are formed nor the versions of one key brought into one task. Versions equal in
+    start and key are told apart by their count: all but the first overlap it.
     """
-    end = F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO))
-    v = dim.filter(F.col("valid_from") <= end).select(bk, key, "valid_from", end.alias("_end"))
-    w = (Window.partitionBy(bk).orderBy("valid_from", key)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    hit = v.withColumn("_prev_end", F.max("_end").over(w)).filter(
-        F.col("valid_from") <= F.col("_prev_end"))
-    return _tag(hit, source, "overlapping_versions", _key_text(bk, key))
+    v = live_versions(dim, bk).groupBy(bk, "_from", key).agg(
+        F.max("_to").alias("_end"), F.count(F.lit(1)).alias("_copies"))
+    run = running(v, bk, [F.col("_from"), F.col(key)], F.col("_end"), "_prev_end", F.max,
+                  inclusive=False)
+    extra = F.col("_copies") - F.when(F.col("_from") <= F.col("_prev_end"), 0).otherwise(1)
+    hit = run.withColumn("_hits", extra).filter("_hits > 0")
+    return _tag(hit.select("*", F.explode(F.array_repeat(F.lit(1), F.col("_hits").cast("int")))),
+                source, "overlapping_versions", _key_text(bk, key))
 
 
 def uniqueness_report(tables: dict[str, DataFrame], staged_sales: DataFrame | None = None,
@@ -77,30 +80,6 @@ def uniqueness_report(tables: dict[str, DataFrame], staged_sales: DataFrame | No
     return _union(frames)
 
 
-def _coverage(dim: DataFrame, bk: str) -> DataFrame:
-    """Dates each key is valid on, as disjoint ranges: overlapping versions are
-    merged (a running max per key over its versions), empty ones dropped."""
-    end = F.coalesce("valid_to", lit_date(C.OPEN_VALID_TO))
-    v = dim.select(F.col(bk).alias("_c_bk"), F.col("valid_from").alias("_c_from"),
-                   end.alias("_c_to")).filter(F.col("_c_from") <= F.col("_c_to"))
-    w = Window.partitionBy("_c_bk").orderBy("_c_from", "_c_to")
-    prev_end = F.max("_c_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.when(prev_end.isNull() | (F.col("_c_from") > prev_end), 1).otherwise(0)
-    grouped = v.withColumn("_c_grp", F.sum(starts).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return grouped.groupBy("_c_bk", "_c_grp").agg(F.min("_c_from").alias("_c_from"),
-                                                   F.max("_c_to").alias("_c_to"))
-
-
-def _pit_flag(sales: DataFrame, dim: DataFrame, bk: str, flag: str) -> DataFrame:
-    """Left point-in-time check: ``flag`` is true when some version is valid on
-    the sale's date, null otherwise. Ranges are disjoint: one match at most."""
-    c = _coverage(dim, bk).withColumn(flag, F.lit(True))
-    cond = ((sales[bk] == c["_c_bk"])
-            & sales["transaction_date"].between(c["_c_from"], c["_c_to"]))
-    return sales.join(c, cond, "left").drop("_c_bk", "_c_grp", "_c_from", "_c_to")
-
-
 SALE_KEY = ("transaction_id", "product_business_key", "store_business_key")
 NOT_NULL = C.SALES_NOT_NULL
 
@@ -110,17 +89,18 @@ def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
     and staged dimension text over its declared length.
 
     Sales are read once: left joins tag each sale with what it found (the
-    calendar; versions merged into disjoint ranges per key, so one
-    match at most even where versions overlap), and the list of failed checks
-    is exploded, one row per reason.
+    calendar; whether a key's versions cover the date, from one row of sorted days
+    for each key), and the list of failed checks is exploded, one row per reason.
     """
     cal = tables["dim_date"].select(F.col("full_date").alias("transaction_date"),
                                     F.lit(True).alias("_date_ok"))
     s = staged.sales.join(cal, "transaction_date", "left")
     s = s.join(tables["dim_store"].select("store_business_key", F.lit(True).alias("_store_ok")),
                "store_business_key", "left")
-    s = _pit_flag(s, tables["dim_customer"], "customer_business_key", "_customer_ok")
-    s = _pit_flag(s, tables["dim_product"], "product_business_key", "_product_ok")
+    s = covered(s, tables["dim_customer"], bk="customer_business_key",
+                date_col="transaction_date", flag="_customer_ok")
+    s = covered(s, tables["dim_product"], bk="product_business_key",
+                date_col="transaction_date", flag="_product_ok")
     checks = [(F.col("_date_ok").isNull(), "date_not_found"),
               (F.col("_store_ok").isNull(), "store_not_found"),
               (F.col("_customer_ok").isNull(), "customer_not_found"),

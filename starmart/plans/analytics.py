@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import round_div, total
-from ..operators.ranking import ntile_global, running_total
+from ..operators.ranking import ntile_global, running_total, tiles
 from .marts import _calendar
 
 
@@ -121,21 +121,14 @@ def q07_rfm(t) -> DataFrame:
     Score 1 is the best group (descending order), as in the reference.
     """
     f = t["fact_sales"].select("date_key", "customer_key", "total_amount")
-    d = t["dim_date"].select("date_key", "full_date")
-    base = (f.join(d, "date_key").groupBy("customer_key")
-            .agg(F.max("full_date").alias("last_purchase_date"),
+    # A date key is its date's digits: the latest one is the latest date, without the calendar.
+    base = (f.groupBy("customer_key")
+            .agg(F.max("date_key").alias("last_purchase"),
                  F.count(F.lit(1)).alias("frequency"),
                  total(F.sum("total_amount")).alias("monetary")))
-    # One row per customer, frozen once; each measure is ranked on its own, as a
-    # narrow (customer, measure) row, and the scores meet on the customer.
-    base = base.checkpoint()
-    ck = F.col("customer_key").asc()
-    scored = base.select("customer_key", "monetary")
-    for measure, score in (("last_purchase_date", "r_score"), ("frequency", "f_score"),
-                           ("monetary", "m_score")):
-        ranked = ntile_global(base.select("customer_key", measure), 5,
-                              [F.col(measure).desc_nulls_first(), ck], score)
-        scored = scored.join(ranked.select("customer_key", score), "customer_key")
+    # One row per customer, written once; the boundaries of all three measures are found together.
+    scored = tiles(base, 5, {"last_purchase": "r_score", "frequency": "f_score",
+                             "monetary": "m_score"}, "customer_key")
     return (scored.groupBy("r_score", "f_score", "m_score")
             .agg(F.count(F.lit(1)).alias("nb_customers"),
                  total(F.sum("monetary")).alias("_sum"))
@@ -150,8 +143,7 @@ def q08_store_quartiles(t) -> DataFrame:
     s = t["dim_store"].select("store_key", "country", "region", "store_name")
     perf = (f.join(s, "store_key").groupBy("store_key", "country", "region", "store_name")
             .agg(total(F.sum("total_amount")).alias("total_sales")))
-    seg = ntile_global(perf, 4, [F.col("total_sales").desc_nulls_first(),
-                                 F.col("store_key").asc()], "performance_quartile")
+    seg = ntile_global(perf, 4, "total_sales", "store_key", "performance_quartile")
     return (seg.groupBy("country", "region", "performance_quartile")
             .agg(F.count(F.lit(1)).alias("nb_stores"),
                  total(F.sum("total_sales")).alias("_sum"))

@@ -228,8 +228,7 @@ def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distributed_ntile_on(fact: DataFrame) -> DataFrame:
     """Customer quartiles by fact rows (heavy ties; customer_key breaks them)."""
     per = fact.groupBy("customer_key").agg(F.count(F.lit(1)).alias("frequency"))
-    return ntile_global(per, 4, [F.col("frequency").desc(), F.col("customer_key").asc()],
-                        "quartile")
+    return ntile_global(per, 4, "frequency", "customer_key", "quartile")
 
 
 #: Entries whose later runs in a session only read what the first one kept.

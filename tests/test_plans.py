@@ -115,3 +115,38 @@ def test_running_totals_span_partitions(spark):
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     want = rows.withColumn("total", F.sum("v").over(w))
     assert got.exceptAll(want).count() == 0 and got.count() == 3000
+
+
+def test_versions_are_searched_not_paired(spark, no_broadcast):
+    """A key with ten years of daily versions and a third of the sales: no pair join."""
+    from starmart.operators.facts import pit_lookup
+    daily = spark.range(3650).selectExpr(
+        "1L as bk", "id as key", "date_add(date'2010-01-01', cast(id as int)) as valid_from",
+        "date_add(date'2010-01-01', cast(id as int)) as valid_to")
+    others = spark.range(2, 2000).selectExpr("id as bk", "id + 10000 as key",
+                                             "date'1900-01-01' as valid_from",
+                                             "cast(null as date) as valid_to")
+    sales = spark.range(300_000).selectExpr(
+        "id as tid", "case when id % 3 = 0 then 1L else id % 1999 + 1 end as bk",
+        "date_add(date'2010-01-01', cast(id % 4000 as int)) as transaction_date")
+    out = pit_lookup(sales, daily.unionByName(others), bk="bk", key="key")
+    plan = _plan(out)
+    join = [x for x in plan.splitlines() if "SortMergeJoin" in x]
+    # Equal keys only: nothing follows the join type but the skew mark.
+    assert join and all("Inner" in x and "<=" not in x and ">=" not in x for x in join)
+    want = sales.filter("bk > 1 or tid % 4000 < 3650").selectExpr(
+        "tid", "case when bk = 1 then tid % 4000 else bk + 10000 end as key")
+    assert out.select("tid", "key").exceptAll(want).count() == 0
+    assert out.count() == want.count()
+
+
+def test_rfm_needs_few_jobs_and_no_join_of_scores(spark, wh):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rfm", "rfm")
+    try:
+        out = A.q07_rfm(wh)
+        jobs = len(tracker.getJobIdsForGroup("rfm"))
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    assert jobs < 8, jobs
+    assert "Join" not in _plan(out)

@@ -10,7 +10,7 @@ from starmart.operators.ranking import assign_keys, ntile_global, row_number_glo
 
 def _ntile(spark, values, n, parts=3):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v long")
-    out = ntile_global(df, n, [F.col("v").desc(), F.col("id").asc()], "b", num_partitions=parts)
+    out = ntile_global(df.repartition(parts), n, "v", "id", "b")
     return [r["b"] for r in out.orderBy(F.col("v").desc(), "id").collect()]
 
 
@@ -24,7 +24,7 @@ def test_three_rows_into_five(spark):
 
 def test_all_tied_follow_tie_break(spark):
     df = spark.createDataFrame([(i, 1) for i in range(7)], "id long, v long")
-    out = ntile_global(df, 3, [F.col("v").desc(), F.col("id").asc()], "b", num_partitions=4)
+    out = ntile_global(df, 3, "v", "id", "b")
     got = {r["id"]: r["b"] for r in out.collect()}
     assert got == {0: 1, 1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3}
 
@@ -34,7 +34,7 @@ def test_equals_builtin_ntile_with_heavy_ties(spark):
     rows = [(i, rng.randint(0, 9)) for i in range(1003)]
     df = spark.createDataFrame(rows, "id long, v long")
     order = [F.col("v").desc(), F.col("id").asc()]
-    mine = ntile_global(df, 5, order, "b", num_partitions=8)
+    mine = ntile_global(df.repartition(8), 5, "v", "id", "b")
     ref = df.withColumn("b", F.ntile(5).over(Window.orderBy(*order)))
     assert mine.join(ref, ["id", "v", "b"], "left_anti").count() == 0
     assert mine.count() == 1003
@@ -75,3 +75,44 @@ def test_numbering_under_aqe_merged_ranges(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_several_measures_share_passes_and_equal_the_builtin(spark, monkeypatch):
+    """Nulls, negative and wide values, heavy ties on values, and narrow passes."""
+    from decimal import Decimal
+    import datetime as dt
+
+    from starmart.operators import ranking
+    rng = random.Random(5)
+    rows = [(i * 1_000_003 - 77, rng.choice([None, 0, 1, -1, rng.randint(-10**12, 10**12)]),
+             rng.choice([None, dt.date(1999, 1, 1) + dt.timedelta(rng.randint(0, 5))]),
+             Decimal(rng.randint(-500, 500)) / 100) for i in range(701)]
+    df = spark.createDataFrame(rows, "id long, w long, d date, m decimal(20,2)").repartition(5)
+    for bits, n in ((14, 5), (3, 4), (1, 2)):
+        monkeypatch.setattr(ranking, "PASS_BITS", bits)
+        got = ranking.tiles(df, n, {"w": "tw", "d": "td", "m": "tm"}, "id")
+        assert got.columns == ["id", "w", "d", "m", "tw", "td", "tm"]
+        want = df
+        for c in "wdm":
+            want = want.withColumn(f"t{c}", F.ntile(n).over(
+                Window.orderBy(F.col(c).desc_nulls_first(), "id")))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_tiles_of_nothing_and_of_nulls(spark):
+    empty = spark.createDataFrame([], "id long, v long")
+    assert ntile_global(empty, 4, "v", "id", "b").collect() == []
+    nulls = spark.createDataFrame([(i, None) for i in range(5)], "id long, v long")
+    assert {r["id"]: r["b"] for r in ntile_global(nulls, 2, "v", "id", "b").collect()} == {
+        0: 1, 1: 1, 2: 1, 3: 2, 4: 2}
+
+
+def test_running_maximum_of_a_hot_group_spans_partitions(spark):
+    from starmart.operators.ranking import running
+    rows = spark.range(3000).selectExpr(
+        "case when id % 9 < 8 then 1L when id % 2 = 0 then null else 2L end as g",
+        "cast(id as int) as o", "date_add(date'2000-01-01', cast((id * 7919) % 997 as int)) as v")
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    want = rows.withColumn("m", F.max("v").over(w))
+    got = running(rows, "g", ["o"], F.col("v"), "m", F.max, num_partitions=6, inclusive=False)
+    assert got.exceptAll(want).count() == 0 and got.count() == 3000
