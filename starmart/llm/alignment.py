@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from array import array
 from itertools import groupby, islice
 from operator import itemgetter
 
@@ -48,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, staged
-from .tokens import _RUN, default_tokenizer, encoder
+from .tokens import _RUN, byte_alphabet, default_tokenizer, encoder
 
 #: Parts that the pairs are dealt over by their B id.
 RADIX = 32
@@ -62,8 +63,6 @@ PART_BYTES, PART_RUNS = 24 << 20, 512
 FAN_IN, FAN_BYTES = 64, 2 << 20
 #: Words that a worker keeps in each of two generations; longer words are not kept.
 STORE, KEPT_LENGTH = 150_000, 120
-#: Line ends up to which a stretch without spaces is cut; one of more goes to the libraries whole.
-MOST_LINES = 50
 
 SPILL = ("chunk long, radix int, pairs binary, docs binary, doc_id array<long>, n_a array<long>, "
          "n_b array<long>, n_groups array<long>, n_links array<long>, digest array<string>, "
@@ -99,126 +98,135 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def align(ids_a, ids_b, ends_a, ends_b):
-    """(groups as text, linked A ids, linked B ids) of two token rows over the same bytes.
+#: A stretch of text: tokens of A and of B, groups, links (pairs as 64-bit numbers, B first),
+#: groups as text.
+Entry = tuple[int, int, int, bytes, str]
+#: Marks that no letter shares a piece with in common vocabularies (checked when B is read); an
+#: apostrophe is not among them, as it may open a contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    ``ends``: each token's end offset, ascending; both rows end at one offset.
-    """
-    ends = np.union1d(ends_a, ends_b)
-    i, j = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    common = np.intersect1d(ends_a, ends_b)
-    a, b = list(map(str, ids_a)), list(map(str, ids_b))
-    cut_a = np.append(0, np.searchsorted(ends_a, common) + 1).tolist()
-    cut_b = np.append(0, np.searchsorted(ends_b, common) + 1).tolist()
-    groups = ";".join(",".join(a[cut_a[k]:cut_a[k + 1]]) + "|" + ",".join(b[cut_b[k]:cut_b[k + 1]])
-                      for k in range(len(common)))
-    return groups, np.asarray(ids_a, np.int64)[i], np.asarray(ids_b, np.int64)[j], len(common)
-
-
-class Entry:
-    """The alignment of a stretch of text: counts, distinct pairs with times, groups."""
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "pairs", "times", "groups")
 
-    def __init__(self, n_a, n_b, n_groups, pairs, times, groups):
-        self.n_a, self.n_b, self.n_groups = n_a, n_b, n_groups
-        self.n_links = n_a + n_b - n_groups
-        self.pairs, self.times, self.groups = pairs, times, groups
+def joined(entries: list[Entry]) -> Entry:
+    """The entry of stretches side by side."""
+    n_a, n_b, n_groups, links, groups = zip(*entries)
+    return sum(n_a), sum(n_b), sum(n_groups), b"".join(links), ";".join(groups)
 
 
 class Aligner:
-    """Entries of words that follow a space, and of what follows a lone line end.
+    """Entries of words and of the stretches that words fall into.
 
-    None stands for a stretch whose tokens do not spell it.
+    A word follows a space. It is cut at a lone line end (which is a token of both sides)
+    and between its letters and the marks behind them, where neither vocabulary goes on; a
+    stretch that begins a word keeps its space. None stands for a stretch whose tokens do not
+    spell it. Stretches that the store lacks are encoded together.
     """
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        self.a = encoder(path_a)
+        self.a = encoder(path_a).tok
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        back = {c: b for b, c in self._alphabet().items()}
+        n_a, n_b = self.a.get_vocab_size(with_added_tokens=True), len(self.b)
+        if max(n_a, n_b) > 1 << ID_BITS:
+            raise ValueError(f"a vocabulary has more than {1 << ID_BITS} ids")
+        back = {c: b for b, c in byte_alphabet().items()}
         self.bytes_a = [bytes(back[c] for c in t) if t and all(c in back for c in t) else
-                        (t or "").encode() for t in map(self.a.tok.id_to_token, range(self.a.size))]
-        self.pieces = [self.b.id_to_piece(i) for i in range(len(self.b))]
+                        (t or "").encode() for t in map(self.a.id_to_token, range(n_a))]
+        pieces = [self.b.id_to_piece(i) for i in range(n_b)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else
-                        p.replace("▁", " ").encode() for i, p in enumerate(self.pieces)]
-        self.size_a = np.array(list(map(len, self.bytes_a)), np.int64)
-        self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
-        if max(self.a.size, len(self.b)) > 1 << ID_BITS:
-            raise ValueError(f"a vocabulary has more than {1 << ID_BITS} ids")
-        # A piece goes on over a space, or over a line end: such vocabularies are not cut there.
-        self.spaced = not any("▁" in p.lstrip("▁") for p in self.pieces)
-        self.lined = not any("\n" in p for p in self.pieces)
-        self.line = self.b.encode("\n")
+                        p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.name = list(map(str, range(max(n_a, n_b))))
+        # Where a piece goes on over a space, a line end or from a letter to a mark, nothing is cut.
+        self.spaced = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.lined = not any("\n" in p for p in pieces)
+        spanned = {y for p in pieces for x, y in zip(p, p[1:]) if x.isalpha()}
+        self.marks = "".join(m for m in MARKS if m not in spanned)
+        self.line = len(self.b.encode("\n")) - 1
         self.words: dict[str, Entry | None] = {}
         self.old: dict[str, Entry | None] = {}
+        self.parts: dict[str, Entry | None] = {}
 
-    @staticmethod
-    def _alphabet():
-        from .tokens import byte_alphabet
-        return byte_alphabet()
-
-    def entry(self, ids_a, ids_b, text: str) -> Entry | None:
-        if (b"".join(map(self.bytes_a.__getitem__, ids_a)) != (raw := text.encode())
-                or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw):
+    def entry(self, ids_a: list[int], ids_b: list[int], text: str) -> Entry | None:
+        raw = text.encode()
+        if (b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw
+                or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw or not raw):
             return None
-        groups, a, b, n = align(ids_a, ids_b, np.cumsum(self.size_a[ids_a]),
-                                np.cumsum(self.size_b[ids_b]))
-        pairs, times = np.unique(b << ID_BITS | a, return_counts=True)
-        return Entry(len(ids_a), len(ids_b), n, pairs, times, groups)
-
-    def whole(self, text: str) -> Entry | None:
-        """The entry of a space and ``text``, asked of both libraries at once."""
-        return self.entry(self.a.tok.encode(" " + text, add_special_tokens=False).ids,
-                          self.b.encode(text), " " + text)
-
-    def word(self, word: str) -> Entry | None:
-        """The entry of a space and ``word``, which holds no space."""
-        found = self.words.get(word, False)
-        if found is False:
-            found = self.old.get(word, False)
-            if found is False:
-                found = self.made(word)
-            if len(word) <= KEPT_LENGTH:
-                self.words[word] = found
-        return found
-
-    def made(self, word: str) -> Entry | None:
-        left, line, right = word.rpartition("\n")
-        if (self.lined and line and left and right and not left[-1].isspace()
-                and not right[0].isspace() and word.count("\n") <= MOST_LINES):
-            # A lone line end is a token of both sides; what follows has no space before it.
-            first, mark, rest = self.word(left), self.bare("\n"), self.bare(right)
-            if first is None or rest is None:
-                return None
-            pairs, at = np.unique(np.concatenate([first.pairs, mark.pairs, rest.pairs]),
-                                  return_inverse=True)
-            times = np.zeros(len(pairs), np.int64)
-            np.add.at(times, at, np.concatenate([first.times, mark.times, rest.times]))
-            return Entry(first.n_a + mark.n_a + rest.n_a, first.n_b + mark.n_b + rest.n_b,
-                         first.n_groups + mark.n_groups + rest.n_groups, pairs, times,
-                         ";".join((first.groups, mark.groups, rest.groups)))
-        ids_a = np.frombuffer(self.a.later[word], self.a.kind)
-        return self.entry(ids_a.tolist(), self.b.encode(word), " " + word)
-
-    def bare(self, word: str) -> Entry | None:
-        key = "\n" + word
-        found = self.words.get(key, False)
-        if found is False:
-            found = self.old.get(key, False)
-            if found is False:
-                ids_b = self.line[1:] if word == "\n" else self.b.encode("\n" + word)[len(self.line):]
-                ids_a = np.frombuffer(self.a.first[word], self.a.kind)
-                found = self.entry(ids_a.tolist(), ids_b, word)
-            if len(word) <= KEPT_LENGTH:
-                self.words[key] = found
-        return found
-
-    def turn_over(self) -> None:
-        if len(self.words) > STORE:
-            self.words, self.old = {}, self.words
-        for name, words in (("first", self.a.first), ("later", self.a.later)):
-            if len(words) > STORE:
-                words.clear()
+        size_a, size_b, name = self.size_a, self.size_b, self.name
+        links, groups, i, j, from_a, from_b = [], [], 0, 0, 0, 0
+        end_a, end_b = size_a[ids_a[0]], size_b[ids_b[0]]
+        while True:
+            links.append(ids_b[j] << ID_BITS | ids_a[i])
+            if end_a < end_b:
+                i += 1
+                end_a += size_a[ids_a[i]]
+            elif end_b < end_a:
+                j += 1
+                end_b += size_b[ids_b[j]]
+            else:
+                i, j = i + 1, j + 1
+                groups.append(",".join([name[x] for x in ids_a[from_a:i]]) + "|"
+                              + ",".join([name[x] for x in ids_b[from_b:j]]))
+                if i == len(ids_a):
+                    break
+                from_a, from_b = i, j
+                end_a += size_a[ids_a[i]]
+                end_b += size_b[ids_b[j]]
+        return len(ids_a), len(ids_b), len(groups), array("q", links).tobytes(), ";".join(groups)
+
+    def encoded(self, stretches: list[str]) -> list[Entry | None]:
+        """Entries of stretches; those of a word's beginning start with its space."""
+        ids_a = self.a.encode_batch_fast(stretches, add_special_tokens=False)
+        # B adds a space itself; behind a line end it adds none.
+        ids_b = self.b.encode([t[1:] if t[0] == " " else t if t == "\n" else "\n" + t
+                               for t in stretches], num_threads=1)
+        return [self.entry(a.ids, b if t[0] == " " else b[self.line:] if t == "\n" else
+                           b[self.line + 1:], t) for t, a, b in zip(stretches, ids_a, ids_b)]
+
+    def cut(self, word: str) -> list[str]:
+        """The stretches of a space and ``word``, which holds no space."""
+        lines = word.split("\n") if self.lined and "\n" in word else [word]
+        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            lines = [word]
+        out = []
+        for k, line in enumerate(lines):
+            if k:
+                out.append("\n")
+            lead = "" if k else " "
+            core = line.rstrip(self.marks)
+            if core.isalpha() and len(core) < len(line):
+                out += [lead + core, line[len(core):]]
+            else:
+                out.append(lead + line)
+        return out
+
+    def lookup(self, words: list[str]) -> list[Entry | None]:
+        """The entries of words, each behind a space."""
+        kept, old, parts = self.words, self.old, self.parts
+        cuts, lacking = {}, {}
+        for w in words:
+            if w not in kept:
+                if w in old:
+                    kept[w] = old[w]
+                else:
+                    cuts[w] = self.cut(w)
+                    lacking.update((x, None) for x in cuts[w] if x not in parts)
+        new = list(lacking)
+        parts.update(zip(new, self.encoded(new)) if new else ())
+        found = {}
+        for w, stretches in cuts.items():
+            entries = [parts[x] for x in stretches]
+            found[w] = None if None in entries else entries[0] if len(entries) == 1 else joined(entries)
+        kept.update((w, e) for w, e in found.items() if len(w) <= KEPT_LENGTH)
+        out = [found[w] if w in found else kept[w] for w in words]
+        if len(kept) > STORE:
+            self.words, self.old = {}, kept
+        if len(parts) > STORE:
+            self.parts = {}
+        return out
+
+    def whole(self, texts: list[str]) -> list[Entry | None]:
+        """The entries of a space and each text, asked of both libraries at once."""
+        return self.encoded([" " + t for t in texts]) if texts else []
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -313,7 +321,6 @@ def _spill(path_a: str, path_b: str, keep_groups: bool):
                 if chunk.size >= CHUNK_RECORDS:
                     yield from chunk.spill()
                     chunk = Chunk(chunk.number + 1)
-            al.turn_over()
         if chunk.docs:
             yield from chunk.spill()
     return run
@@ -340,45 +347,43 @@ def _gather(al: Aligner, chunk: Chunk, ids: list, texts: list, keep_groups: bool
     coded = cut.flatten().dictionary_encode()
     at = coded.indices.to_numpy()
     words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    entries = [al.word(w) if w else None for w in words]
+    found = iter(al.lookup([w for w in words if w]))
+    entries = [next(found) if w else None for w in words]
     doc_of = np.repeat(np.arange(n), np.diff(cut.offsets.to_numpy()))
     base = len(entries)
     alone = [i for i in range(n) if whole[i]]
-    entries += [al.whole(texts[i]) for i in alone]
-    lost = np.array([e is None for e in entries])
+    entries += al.whole([texts[i] for i in alone])
+    lost = np.array([e is None for e in entries], bool)
+    entries = [e or (0, 0, 0, b"", "") for e in entries]
     # Texts cut into words (in their order), then whole ones; a text with a lost stretch has none.
-    plain = ~np.array(whole, bool) if n else np.zeros(0, bool)
-    keep = plain[doc_of]
+    keep = ~np.array(whole, bool)[doc_of]
     doc = np.append(doc_of[keep], alone).astype(np.int64)
     at = np.append(at[keep], base + np.arange(len(alone))).astype(np.int64)
     bad = np.zeros(n, bool)
     bad[doc[lost[at]]] = True
     use = ~bad[doc]
     doc, at = doc[use], at[use]
-    numbers = np.array([(e.n_a, e.n_b, e.n_groups, e.n_links) if e else (0, 0, 0, 0)
-                        for e in entries], np.int64).reshape(-1, 4)
-    sums = np.zeros((n, 4), np.int64)
-    np.add.at(sums, doc, numbers[at])
-    texts_of = [e.groups if e else "" for e in entries]
+    n_a, n_b, n_groups, links, texts_of = zip(*entries)
+    sums = np.zeros((n, 3), np.int64)
+    np.add.at(sums, doc, np.array([n_a, n_b, n_groups], np.int64).T[at])
     order = np.argsort(doc, kind="stable")
     place = at[order].tolist()
     bounds = np.searchsorted(doc[order], np.arange(n + 1)).tolist()
     start = len(chunk.docs)
-    for i in range(n):
+    for i, (a, b, g) in enumerate(sums.tolist()):
         groups = ";".join([texts_of[k] for k in place[bounds[i]:bounds[i + 1]]])
-        chunk.docs.append((ids[i], *sums[i].tolist(),
+        # Each stretch between neighbouring ends of either side is a link.
+        chunk.docs.append((ids[i], a, b, g, a + b - g,
                            hashlib.sha256(groups.encode()).hexdigest() if groups else "",
                            groups if keep_groups else None))
-    # Distinct (document, stretch) first, then their pairs.
+    # Distinct (document, stretch) first, then their links.
     both, often = np.unique(doc * len(entries) + at, return_counts=True)
-    doc, at = both // max(len(entries), 1), both % max(len(entries), 1)
-    sizes = np.fromiter((len(e.pairs) if e else 0 for e in entries), np.int64, len(entries))
+    doc, at = both // len(entries), both % len(entries)
+    sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
     starts = np.cumsum(sizes) - sizes
-    pairs = np.concatenate([e.pairs for e in entries if e] or [np.zeros(0, np.int64)])
-    times = np.concatenate([e.times for e in entries if e] or [np.zeros(0, np.int64)])
-    from_ = _expand(sizes[at], starts[at])
-    chunk.add(start + np.repeat(doc, sizes[at]), pairs[from_],
-              times[from_] * np.repeat(often, sizes[at]))
+    pairs = np.frombuffer(b"".join(links), np.int64)
+    chunk.add(start + np.repeat(doc, sizes[at]), pairs[_expand(sizes[at], starts[at])],
+              np.repeat(often, sizes[at]))
 
 
 def _directory(data: bytes):
