@@ -26,7 +26,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from . import schemas as S
@@ -38,9 +38,12 @@ MANIFEST = StructType([
     StructField("path", StringType(), False), StructField("rows", LongType(), False),
     StructField("max_key", LongType(), True)])
 
-#: Conflict keys of the loaded sales, sorted by transaction.
-FACT_KEYS = StructType([StructField(c, LongType()) for c in (
-    "transaction_id", "product_key", "product_business_key")])
+#: Conflict keys of the loaded sales, sorted by transaction (W14), and their months.
+FACT_KEYS = StructType([*(StructField(c, LongType()) for c in (
+    "transaction_id", "product_key", "product_business_key")),
+    StructField("year_month", IntegerType())])
+#: The fact as it is stored: a folder for each month.
+FACT_STORED = StructType([*S.FACT_SALES.fields, StructField("year_month", IntegerType())])
 
 LOG_SCHEMAS = {"etl_runs": S.ETL_RUNS, "etl_events": S.ETL_EVENTS, "etl_metrics": S.ETL_METRICS}
 
@@ -185,7 +188,7 @@ class Warehouse:
         """Some folders of a table (for example the facts added since a refresh)."""
         reader = self.spark.read.option("basePath", self.table_root(table))
         if table in EMPTY_SCHEMAS:  # known: no job looks for it in the files
-            reader = reader.schema(EMPTY_SCHEMAS[table])
+            reader = reader.schema(FACT_STORED if table == "fact_sales" else EMPTY_SCHEMAS[table])
         return reader.parquet(*paths).drop("run", "part")
 
     def tables(self) -> dict[str, DataFrame]:

@@ -28,9 +28,8 @@ def cents_to_amount(c: Column) -> Column:
 
 
 def whole_div(a: Column, b: Column) -> Column:
-    """Whole-number quotient of two longs; null when ``b`` is null."""
-    # a - a mod b is a multiple of b; decimals divide it without rounding.
-    return ((a - F.pmod(a, b)).cast("decimal(20,0)") / b.cast("decimal(20,0)")).cast("long")
+    """Quotient of two whole numbers, cut towards zero; null when ``b`` is null or 0."""
+    return F.call_function("div", a, F.nullif(b, F.lit(0).cast("long")))
 
 
 def total(c: Column) -> Column:

@@ -59,11 +59,12 @@ def dedupe_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
     """One row per conflict key: the smallest by the remaining fact columns.
 
     A ``min(struct)`` aggregate, so a duplicate group holding a third of the
-    batch is reduced map-side before the shuffle.
+    batch is reduced map-side before the shuffle. ``_met``: how many rows had the key.
     """
     rest = [c for c in FACT_ORDER if c not in keys]
     best = F.min(F.struct(*[F.col(c) for c in rest])).alias("_b")
-    return batch.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_b.{c}").alias(c) for c in rest])
+    return batch.groupBy(*keys).agg(best, F.count(F.lit(1)).alias("_met")).select(
+        *keys, *[F.col(f"_b.{c}").alias(c) for c in rest], "_met")
 
 
 def existing_conflict_keys(fact: DataFrame, dim_product: DataFrame, mode: str) -> DataFrame:
@@ -86,12 +87,30 @@ def conflict_ignoring_append(batch: DataFrame, existing: DataFrame | None,
     which stays idempotent across dimension changes.
     """
     keys = conflict_columns(mode)
-    fresh = dedupe_batch(batch, keys)
+    fresh = dedupe_batch(batch, keys).drop("_met")
     if existing is None:
         return fresh
     return fresh.join(existing, keys, "left_anti")
 
 
+def conflict_marked(batch: DataFrame, existing: DataFrame | None, mode: str) -> DataFrame:
+    """W14 for a writer: every conflict key of the batch with ``_met`` and whether it is ``_known``.
+
+    A known key is a stub of its place in the fact's order, so that the rows of the batch can be
+    counted where the new ones are written: above the last shuffle, where a lost executor
+    cannot make Spark count a row twice.
+    """
+    keys = conflict_columns(mode)
+    met = dedupe_batch(batch, keys)
+    if existing is None:
+        return met.withColumn("_known", F.lit(False))
+    old = existing.distinct().withColumn("_known", F.lit(True))
+    met = met.join(old, keys, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    stay = [*SALES_KEY_ORDER, "_met", "_known"]
+    return met.select(*[c if c in stay else F.when(~F.col("_known"), F.col(c)).alias(c)
+                        for c in met.columns])
+
+
 SALES_KEY_ORDER = ["date_key", "product_key", "transaction_id"]
 
 

@@ -1,13 +1,12 @@
 """Reads over the date-clustered fact.
 
-The fact is stored under ``year_month=`` folders, each file a contiguous,
-sorted (date_key, product_key) range. A date filter therefore prunes
-folders (``PartitionFilters``) and row groups (Parquet min/max on
-``date_key`` through ``PushedFilters``); a date + product filter also skips
-row groups on product_key within the remaining files. Stores and customers
-are filtered inside the pruned dates. Transactions are found through the key
-table, which is sorted by them: its product keys and the transaction bounds
-then reach the fact's scan.
+The fact is stored under ``year_month=`` folders; inside a month, rows are in the
+order of the interleaved bits of (customer, store, product, day) and cut into files
+of a bounded number of rows. A date filter prunes folders (``PartitionFilters``); a filter
+on any of the four columns skips the files and row groups whose min/max exclude it
+(``PushedFilters``), as each holds a small box of the four. Transactions are found through
+the key table, which is sorted by them: the months it names prune the fact's folders
+while the query runs (``dynamicpruning``).
 """
 
 from __future__ import annotations
@@ -17,6 +16,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.zorder import interleaved, scaled
+
 
 def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
@@ -63,13 +64,22 @@ def customer_period(fact: DataFrame, customers, start, end) -> DataFrame:
                        & F.col("customer_key").isin(list(customers))).drop("year_month")
 
 
+def layout_order(date_key: Column, tops: dict[str, int]) -> Column:
+    """The place of a fact row inside its month; ``tops``: the highest key of each column."""
+    # The folder has the month already: its day comes last of the four at each level of bits.
+    keys = (scaled(F.col(c), max(0, tops.get(c) or 0))
+            for c in ("customer_key", "store_key", "product_key"))
+    return interleaved(*keys, scaled(date_key % 100, 31))
+
+
 def transaction_lines(fact: DataFrame, keys: DataFrame, first: int, last: int) -> DataFrame:
     """Fact rows of the transactions ``first`` to ``last``.
 
-    ``keys`` (sorted by transaction) says which products these hold; the fact is
-    scanned with the transaction bounds pushed and joined to them.
+    ``keys`` (sorted by transaction) says which months these fall in. That list has at
+    most one row for each month of the calendar, which bounds the broadcast; the
+    join on the folder column lets Spark skip all other folders.
     """
     bounds = F.col("transaction_id").between(first, last)
-    wanted = keys.filter(bounds).select("transaction_id", "product_key").distinct()
-    return fact.filter(bounds).join(wanted, ["transaction_id", "product_key"], "left_semi").drop(
+    months = keys.filter(bounds).select("year_month").distinct()
+    return fact.filter(bounds).join(F.broadcast(months), "year_month", "left_semi").drop(
         "year_month")

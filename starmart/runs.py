@@ -14,6 +14,7 @@ import re
 import sys
 import time
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ from . import schemas as S
 from .catalog import Part, Warehouse
 from .functions.dates import year_month
 from .loads import Staged, load_dimensions
-from .operators.facts import (SALES_KEY_ORDER, conflict_columns, conflict_ignoring_append,
-                              resolve_sales)
+from .operators.facts import SALES_KEY_ORDER, conflict_columns, conflict_marked, resolve_sales
+from .operators.layout import layout_order
 from .plans.marts import INCREMENTAL, MARTS
 from .session import default_parallelism
 from .sources.calendar import dim_date
@@ -124,6 +125,7 @@ def _count_if(cond, name: str):
     return F.count(F.when(cond, 1)).alias(name)
 
 
+KEY_COLUMNS = ("product_key", "store_key", "customer_key")
 DIMENSIONS = (("customers", "customer_business_key", C.METRIC_CUSTOMER_ROWS),
               ("products", "product_business_key", C.METRIC_PRODUCT_ROWS),
               ("stores", "store_business_key", C.METRIC_STORE_ROWS))
@@ -199,34 +201,39 @@ def _write_dims(run: Run, dims, snap) -> dict[str, list[Part]]:
     return out
 
 
-#: Rows of new facts that one range partition is meant to hold.
-FACT_ROWS = 2_000_000
+#: Rows of new facts that one range partition is meant to hold, and rows of a file of
+#: the fact or of its keys: a file's min/max are what a reader can skip by.
+FACT_ROWS, FILE_ROWS = 2_000_000, 1_000_000
 
 
-def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int) -> list[Part]:
-    """W09 + W25: the fact part and its conflict keys, or nothing for no rows.
+def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int
+               ) -> tuple[list[Part], int]:
+    """W09 + W25: the fact part and its conflict keys (none for no rows), and how many
+    rows of the batch found all their dimensions.
 
-    The new facts are range-partitioned in (date, product, transaction) order
-    and written once as columnar staging, tagged with their place; the counts of
-    the partitions turn places into dense keys as the rows are read back. The
-    final files are sorted under year_month folders, so Parquet min/max
-    statistics and partition pruning serve date and date + product filters.
+    ``rows`` as by ``conflict_marked``. They are range-partitioned in (date, product,
+    transaction) order and written once as columnar staging, tagged with their place, known
+    keys last in their partition; the counts of the partitions turn places into
+    dense keys as the rows are read back. The final files hold boxes of (date, product, store,
+    customer) inside year_month folders (``operators.layout``).
     """
     wh, order = run.wh, [F.col(c) for c in SALES_KEY_ORDER]
     width = max(default_parallelism(wh.spark), -(-staged_rows // FACT_ROWS))
-    tagged = (rows.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    tagged = (rows.repartitionByRange(width, *order).sortWithinPartitions("_known", *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     staging = wh.staging_path(run.run_id, "fact")
-    got = write_observed(tagged, staging, *[_count_if(F.col(c).isNull(), c)
-                                            for c in C.SALES_NOT_NULL])
+    got = write_observed(
+        tagged, staging, F.sum("_met").alias("met"), _count_if(~F.col("_known"), "new"),
+        *[_count_if(~F.col("_known") & F.col(c).isNull(), c) for c in C.SALES_NOT_NULL],
+        *[F.max(c).alias(f"top_{c}") for c in KEY_COLUMNS])
     nulls = {c: got[c] for c in C.SALES_NOT_NULL if got.get(c)}
     if nulls:
         raise ValueError(f"new facts with nulls in required columns: {nulls}")
-    n = got["rows"]
+    n, met = got.get("new", 0), got.get("met", 0)
     if n == 0:
-        return []
-    placed = wh.spark.read.schema(tagged.schema).parquet(staging).withColumn(
-        "_pid", F.shiftright("_mid", 33))
+        return [], met
+    placed = wh.spark.read.schema(tagged.schema).parquet(staging).filter(~F.col("_known")).withColumns({
+        "_pid": F.shiftright("_mid", 33), "year_month": year_month(F.col("transaction_date"))})
     # One row for each range partition reaches the driver.
     running, offsets = after_key + 1, []
     for r in sorted(placed.groupBy("_pid").count().collect(), key=lambda r: r["_pid"]):
@@ -236,28 +243,48 @@ def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int) -> l
         F.broadcast(wh.spark.createDataFrame(offsets, "_pid long, _first long")), "_pid")
     out = numbered.select(
         (F.col("_first") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("sales_key"),
-        *[c for c in C.FACT_COLUMNS if c != "sales_key"],
-        year_month(F.col("transaction_date")).alias("year_month"))
+        *[c for c in C.FACT_COLUMNS if c != "sales_key"], "year_month",
+        layout_order(F.col("date_key"), {c: got.get(f"top_{c}") for c in KEY_COLUMNS}).alias("_at"))
     path = wh.table_path("fact_sales", run.run_id)
-    (out.sortWithinPartitions("year_month", "sales_key").write.mode("errorifexists")
-     .partitionBy("year_month").parquet(path))
-    keys = placed.select("transaction_id", "product_key", "product_business_key")
+    place = ["year_month", "_at", "sales_key"]
+    (out.repartitionByRange(width, *place).sortWithinPartitions(*place).drop("_at").write
+     .mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS).partitionBy("year_month")
+     .parquet(path))
+    keys = placed.select("transaction_id", "product_key", "product_business_key", "year_month")
     keys_path = wh.table_path("fact_keys", run.run_id)
     (keys.repartitionByRange(width, "transaction_id").sortWithinPartitions("transaction_id")
-     .write.mode("errorifexists").parquet(keys_path))
-    return [Part("append", path, n, after_key + n), Part("append", keys_path, n)]
+     .write.mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS).parquet(keys_path))
+    return [Part("append", path, n, after_key + n), Part("append", keys_path, n)], met
 
 
-def loaded_keys(wh: Warehouse, seen: dict, mode: str) -> DataFrame | None:
+#: Stretches of transactions that a batch is described by, and the counts they are found from.
+RANGES, RANGE_BUCKETS = 64, 4096
+
+
+def occupied(sales: DataFrame, low: int, high: int) -> list[tuple[int, int]]:
+    """At most ``RANGES`` stretches that hold every transaction of a batch, without its widest gaps."""
+    step = max(1, -(-(high - low + 1) // RANGE_BUCKETS))
+    t = F.col("transaction_id")
+    found = sorted(tuple(r) for r in sales.filter(t.isNotNull()).groupBy(
+        F.floor((t - F.lit(low)) / F.lit(step)).alias("b")).agg(
+        F.min(t).alias("lo"), F.max(t).alias("hi")).select("lo", "hi").collect())
+    gaps = sorted(range(1, len(found)), key=lambda i: found[i - 1][1] - found[i][0])[:RANGES - 1]
+    cuts = [0, *sorted(gaps), len(found)]
+    return [(found[i][0], found[j - 1][1]) for i, j in zip(cuts, cuts[1:])]
+
+
+def loaded_keys(wh: Warehouse, sales: DataFrame, seen: dict, mode: str) -> DataFrame | None:
     """Conflict keys already loaded, among the batch's transactions.
 
-    The key table is sorted by transaction, so the batch's lowest and highest
-    transaction reach the scan and skip the row groups of all others.
+    The key table is sorted by transaction. The stretches of transactions that the batch holds
+    reach its scan, which skips the files and row groups between them: a late sale
+    in a batch of new ones costs the files around it and no more.
     """
     if not wh.snapshot().rows("fact_sales") or "min_transaction_id" not in seen:
         return None
-    return wh["fact_keys"].filter(F.col("transaction_id").between(
-        seen["min_transaction_id"], seen["max_transaction_id"])).select(*conflict_columns(mode))
+    held = occupied(sales, seen["min_transaction_id"], seen["max_transaction_id"])
+    near = reduce(lambda a, b: a | b, [F.col("transaction_id").between(*r) for r in held])
+    return wh["fact_keys"].filter(near).select(*conflict_columns(mode))
 
 
 def run_full_etl(wh: Warehouse, staged: Staged, as_of: dt.date, *, mode: str = "reference",
@@ -305,17 +332,15 @@ def _run_etl(wh, staged, as_of, mode, date_from, date_to, kind, dimensions) -> i
             after[table] = wh.read_parts(table, [*kept, *[p.path for p in parts]])
 
         step = "fact_sales"
-        found = Observation()
         resolved = resolve_sales(staged.sales, after["dim_date"], after["dim_store"],
-                                 after["dim_customer"], after["dim_product"]).observe(
-            found, F.count(F.lit(1)).alias("rows"))
-        fresh = conflict_ignoring_append(resolved, loaded_keys(wh, seen, mode), mode=mode)
-        parts = write_fact(run, fresh, snap.max_key("fact_sales"), seen["rows"])
+                                 after["dim_customer"], after["dim_product"])
+        marked = conflict_marked(resolved, loaded_keys(wh, staged.sales, seen, mode), mode)
+        parts, met = write_fact(run, marked, snap.max_key("fact_sales"), seen["rows"])
         t = _trace(run, "fact resolve + write", t)
         inserted = parts[0].rows if parts else 0
         run.metric(C.METRIC_FACT_INSERTED, inserted)
         run.metric(C.METRIC_FACT_TOTAL, snap.rows("fact_sales") + inserted)
-        run.metric(C.METRIC_SALES_UNMATCHED, seen["rows"] - found.get.get("rows", 0))
+        run.metric(C.METRIC_SALES_UNMATCHED, seen["rows"] - met)
         run.event("fact_sales", "INFO", C.MSG_FACT)
         if parts:
             changes["fact_sales"], changes["fact_keys"] = parts[:1], parts[1:]

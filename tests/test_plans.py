@@ -103,6 +103,8 @@ def test_access_paths_push_their_filters(spark, wh):
     assert "PartitionFilters" in plan and "year_month" in plan
     plan = _plan(transaction_lines(wh["fact_sales"], wh["fact_keys"], 100, 200))
     assert plan.count("GreaterThanOrEqual(transaction_id,100)") >= 2
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and "total_amount" in x)
+    assert "dynamicpruning" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
 
 
 def test_running_totals_span_partitions(spark):

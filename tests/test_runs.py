@@ -198,7 +198,110 @@ def test_an_unchanged_load_writes_no_dimension_and_leaves_no_staging(spark, wh):
     assert not left.exists(path) or len(left.listStatus(path)) == 0
 
 
-def test_conflict_keys_are_read_by_transaction_bounds(wh):
-    keys = R.loaded_keys(wh, {"min_transaction_id": 10, "max_transaction_id": 20}, "business")
+def _ids(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "transaction_id long")
+
+
+def test_conflict_keys_are_read_by_transaction_bounds(spark, wh):
+    keys = R.loaded_keys(wh, _ids(spark, 10, 20), {"min_transaction_id": 10, "max_transaction_id": 20},
+                         "business")
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(transaction_id,10)" in plan
+
+
+def test_stretches_hold_every_transaction_and_leave_the_widest_gaps(spark):
+    import random
+    rng = random.Random(4)
+    ids = sorted({rng.randint(0, 50) * 10_000 + rng.randint(0, 99) for _ in range(400)} | {10**12})
+    held = R.occupied(_ids(spark, *ids, None), ids[0], ids[-1])
+    assert len(held) <= R.RANGES and all(any(a <= i <= b for a, b in held) for i in ids)
+    assert all(b < c for (_, b), (c, _) in zip(held, held[1:]))
+    assert R.occupied(_ids(spark, 7), 7, 7) == [(7, 7)]
+
+
+def _footers(spark, df, *columns):
+    """Per row group of the files of ``df``: (folder, rows, {column: (min, max)})."""
+    import pyarrow.parquet as pq
+    out = []
+    for f in df.inputFiles():
+        meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            stats = {c: group.column(names.index(c)).statistics for c in columns}
+            out.append((f, group.num_rows, {c: (x.min, x.max) for c, x in stats.items()}))
+    return out
+
+
+def test_one_old_transaction_reads_few_key_files(spark, monkeypatch):
+    monkeypatch.setattr(R, "FILE_ROWS", 100)
+    w = Warehouse(spark, scratch_path(spark, "keys-wh"))
+    R.run_full_etl(w, Staged.from_driver(spark, SF001), C.BATCH2_AS_OF)
+    groups = _footers(spark, w["fact_keys"], "transaction_id")
+    assert len(groups) > 40
+    top = max(g["transaction_id"][1] for _, _, g in groups)
+    new = list(range(top + 1, top + 500))
+    held = R.occupied(_ids(spark, 3, *new), 3, top + 499)
+    met = [g for _, _, g in groups if any(
+        g["transaction_id"][0] <= b and a <= g["transaction_id"][1] for a, b in held)]
+    assert 0 < len(met) < len(groups) / 10
+
+
+def test_rows_are_counted_above_the_last_shuffle(spark, wh):
+    """A map stage that runs again cannot count a row twice: only result tasks count."""
+    from starmart.operators.facts import conflict_marked, resolve_sales
+    t = wh.tables()
+    st = Staged.from_driver(spark, SF001)
+    rows = conflict_marked(resolve_sales(st.sales, t["dim_date"], t["dim_store"], t["dim_customer"],
+                                         t["dim_product"]),
+                           wh["fact_keys"].select("transaction_id", "product_key"), "reference")
+    seen = []
+    from pyspark.sql.classic.dataframe import DataFrame
+    whole = DataFrame.observe
+
+    def observed(df, *args):
+        out = whole(df, *args)
+        seen.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    class Run:
+        pass
+    run = Run()
+    run.wh, run.run_id = wh, 777
+    DataFrame.observe = observed
+    try:
+        parts, met = R.write_fact(run, rows, 0, 6000)
+    finally:
+        DataFrame.observe = whole
+        wh.drop_staging(777)
+    assert parts == [] and met == rows.agg(F.sum("_met")).first()[0] > 0
+    assert seen[0].index("CollectMetrics") < seen[0].index("Exchange")
+    assert seen[0].count("CollectMetrics") == 1
+    # Known keys keep only their place in the order.
+    stub = rows.filter("_known").first()
+    assert stub["unit_price"] is None and stub["date_key"] is not None
+
+
+def test_files_skip_by_store_and_customer(spark, monkeypatch):
+    """Boxes of (date, product, store, customer): at least half of the row groups are skipped."""
+    import datetime as dt
+
+    import oracle_queries as OQ
+    monkeypatch.setattr(R, "FILE_ROWS", 100)
+    w = Warehouse(spark, scratch_path(spark, "layout-wh"))
+    R.run_incremental_etl(w, Staged.from_driver(spark, "/root/testdata/sf0.1"), dt.date(1998, 2, 1),
+                          dt.date(1998, 4, 30), C.BATCH2_AS_OF)
+    columns = ("date_key", "product_key", "store_key", "customer_key")
+    groups = _footers(spark, w["fact_sales"], *columns)
+
+    def share(low, high, column, keys):
+        inside = [g for f, _, g in groups if low // 100 <= int(f.split("year_month=")[1][:6]) <= high // 100]
+        met = [g for g in inside if g["date_key"][0] <= high and low <= g["date_key"][1]
+               and any(g[column][0] <= k <= g[column][1] for k in keys)]
+        return len(met) / len(inside)
+
+    assert share(19980301, 19980331, "store_key", OQ.STORES) <= 0.5
+    assert share(19980201, 19980430, "customer_key", OQ.CUSTOMERS) <= 0.5
+    assert share(19980301, 19980331, "product_key", OQ.PRODUCTS) <= 0.5
+    keys = w["fact_sales"].select("sales_key")
+    assert keys.distinct().count() == keys.count() == keys.agg(F.max("sales_key")).first()[0]
