@@ -8,8 +8,8 @@ by token; it is a leak when at least 80 % of a window agree. The two masks leave
 no such window out: any 13 tokens with at most two substitutions hold a seed of
 one of them at some offset. A shorter item is one window; with the
 ``SHORT_MASKS`` of its length none of the substitutions its 80 % allow is left
-out (one up to nine tokens, two from ten on). Items of fewer than ``LEAST``
-tokens identify nothing and are left out.
+out (one from five to nine tokens, two from ten on; an item of one to four tokens
+must agree whole).
 
 The benchmark is the small side: it is joined in blocks of at most
 ``BLOCK_TOKENS`` tokens, so what is broadcast has a bound whatever its size.
@@ -37,10 +37,9 @@ MASKS = ("1010011101", "111010011")
 WINDOW, SHARE = 13, 0.8
 #: The masks of items below ``WINDOW`` tokens, by length: beside ``MASKS``, the heaviest that
 #: one or two masks allow (four of them for five tokens, where lighter ones are common pairs).
-SHORT_MASKS = {5: ("1111", "11101", "11011", "10111"), 6: ("1111", "11011"), 7: ("11011",),
+SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("1111", "11101", "11011", "10111"), 6: ("1111", "11011"), 7: ("11011",),
                8: ("11111", "111011"), 9: ("111011",), 10: ("11111", "1100111"),
                11: ("111011",), 12: ("1110111",)}
-LEAST = 5
 #: Benchmark tokens in one broadcast block: with two masks, about 40 MB (four for short items).
 BLOCK_TOKENS = 200_000
 #: Most item tokens that the hits may carry to be broadcast, about 80 MB.
@@ -115,7 +114,7 @@ def _alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, agreeing, window for each leaked item of a document."""
     items = staged(benchmark.select("item_id", tokens(F.col("text")).alias("q")).where(
-        F.size("q") >= LEAST).distinct(), "items")
+        F.size("q") > 0).distinct(), "items")
     hits = _alignments(docs, items)
     hits = hits.join(items, "item_id").withColumnRenamed("doc_id", "hit_id")
     if (hits.agg(F.sum(F.size("q"))).first()[0] or 0) <= BROADCAST_TOKENS:

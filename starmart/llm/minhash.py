@@ -164,7 +164,9 @@ def _verify(k: int, num: int, den: int):
                 if len(kept) >= 32:
                     kept.pop(next(iter(kept)))
                 found = shingles(text, k)
-                kept[name] = found if name_of(found) == name else found[:0]
+                if name_of(found) != name:  # another text of a repeated id: its own row follows
+                    return found[:0]
+                kept[name] = found
             return kept[name]
 
         for b in batches:
@@ -303,14 +305,23 @@ def link_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+#: A column name that no table is likely to have.
+_ROW = "_near_duplicate_row"
+
+
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stand for their components, with all their columns."""
-    found = link_documents(docs, **options)
-    gone = staged(found.where("not kept").select("doc_id").distinct(), "copies")
-    left = docs.join(gone, "doc_id", "left_anti")
-    ids = docs.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
-    # Only a table that repeats ids needs its rows brought together by id.
-    if ids[0] != ids[1]:
-        named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-        left = named.unionByName(left.where("doc_id is null"))
-    return left
+    """The documents that stand for their components, with all their columns.
+
+    Of each component the least id stays. In a table that repeats ids, or lacks some, an id
+    names no text: its rows are numbered in the order of id (null last) and text, written
+    once, and linked by number, so that every text that is like no other stays.
+    """
+    n = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    key = "doc_id"
+    if n[0] != n[1]:
+        order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+        key, docs = _ROW, staged(docs.repartitionByRange(*order).sortWithinPartitions(*order)
+                                 .withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    found = link_documents(docs, id_col=key, **options)
+    gone = staged(found.where("not kept").select(F.col("doc_id").alias(key)), "copies")
+    return docs.join(gone, key, "left_anti").drop(_ROW)

@@ -45,7 +45,7 @@ WITH d AS (
 q AS (
   SELECT item_id, len(t) AS m, least(13, len(t)) AS w, unnest(t) AS tok, generate_subscripts(t, 1) AS off
   FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS t FROM benchmark)
-  WHERE len(t) >= 5),
+  WHERE len(t) > 0),
 agree AS (
   SELECT doc_id, item_id, w, place - off AS shift, off,
          greatest(1, 1 - (place - off)) AS low, least(m, n - (place - off)) AS high

@@ -35,8 +35,6 @@ from starmart.session import checkpoint_dir
 
 from .common import prepare
 
-#: Roles kept as states, by how often they occur.
-MAX_ROLES = 16
 #: How far a marker is trusted.
 TRUST = 0.98
 #: Steps held before the part of the path that is settled is passed on.
@@ -117,17 +115,21 @@ def _runs(batches):
 
 
 def _count(roles: list[str]):
+    """Sums of a partition; and its first and last conversation with the roles at its edges.
+
+    Whether a partition's first row starts its conversation only the row before it tells.
+    """
     def run(batches):
         n = len(roles)
         at = {r: i for i, r in enumerate(roles)}
         start, move, lines = np.zeros(n), np.zeros((n, n)), np.zeros((n, SEEN))
-        conv, before, fresh = None, None, True
+        conv, before, edge = None, None, None
         for c, rows in _runs(batches):
-            if fresh or c != conv:
-                conv, before, first = c, None, not fresh or TaskContext.get().partitionId() == 0
-                fresh = False
-            else:
-                first = False
+            first = edge is not None and c != conv
+            if edge is None:
+                edge = c, at.get(rows[0]["role"])
+            if c != conv:
+                conv, before = c, None
             for r in rows:
                 s = at.get(r["role"])
                 if s is not None:
@@ -139,19 +141,34 @@ def _count(roles: list[str]):
                     elif first:
                         start[s] += 1
                 before, first = s, False
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(
-            [start, move.ravel(), lines.ravel()])], pa.list_(pa.float64()))], names=["x"])
+        if edge is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int32()),
+                 pa.array([np.concatenate([start, move.ravel(), lines.ravel()])], pa.list_(pa.float64())),
+                 pa.array([repr(edge[0])]), pa.array([edge[1]], pa.int32()),
+                 pa.array([repr(conv)]), pa.array([before], pa.int32())],
+                names=["pid", "x", "first", "enters", "last", "leaves"])
     return run
 
 
+COUNTS = "pid int, x array<double>, first string, enters int, last string, leaves int"
+
+
 def fit(rows: DataFrame) -> Model:
-    found = rows.where("role is not null").groupBy("role").count().orderBy(
-        F.desc("count"), "role").limit(MAX_ROLES).collect()
+    """Counts over all rows; every role that occurs is a state."""
+    found = rows.where("role is not null").select("role").distinct().collect()
     roles = sorted(r["role"] for r in found) or ["user"]
     n = len(roles)
     # One row of some hundred numbers for each partition.
-    total = sum((np.array(r["x"]) for r in rows.mapInArrow(_count(roles), "x array<double>").collect()),
-                np.zeros(n + n * n + n * SEEN))
+    total, before = np.zeros(n + n * n + n * SEEN), None
+    for r in sorted(rows.mapInArrow(_count(roles), COUNTS).collect(), key=lambda r: r["pid"]):
+        total += np.array(r["x"])
+        if r["enters"] is not None:
+            if before is None or before["last"] != r["first"]:
+                total[r["enters"]] += 1
+            elif before["leaves"] is not None:
+                total[n + before["leaves"] * n + r["enters"]] += 1
+        before = r
     return Model(roles, total[:n], total[n:n + n * n].reshape(n, n),
                  total[n + n * n:].reshape(n, SEEN))
 

@@ -131,3 +131,28 @@ def test_awkward_tables(spark):
     none = spark.createDataFrame([(1, 0, None, "hi", "", ""), (1, 1, None, None, "", "")], SCHEMA)
     assert [(r["role"], r["text"]) for r in H.parse_transcripts(none).orderBy("turn").collect()] == [
         ("user", "hi"), ("user", "")]
+
+
+def test_counts_do_not_depend_on_partitions(spark):
+    rows = [(c, t, ["user", "assistant", None, "tool"][((c or 0) * 7 + t * t) % 4], f"line {t}?\n- b", None, None)
+            for c in (None, 1, 2, 3) for t in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    order = ["conv_id", "turn"]
+    models = [H.fit(df.repartitionByRange(n, *order).sortWithinPartitions(*order)) for n in (1, 3, 17)]
+    for m in models[1:]:
+        assert m.roles == models[0].roles
+        assert np.allclose(m.start, models[0].start) and np.allclose(m.move, models[0].move)
+        assert np.allclose(m.lines, models[0].lines)
+
+
+def test_every_role_is_a_state(spark):
+    rows = [(c, t, f"role{t}", f"word{t} " * (t + 1), None, None) for c in range(30) for t in range(20)]
+    got = H.parse_transcripts(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(H.fit(spark.createDataFrame(rows, SCHEMA).coalesce(1)).roles) == 20
+    assert sum(r["role"] == f"role{r['turn']}" for r in got) > 0.9 * len(got)
+
+
+def test_a_very_long_turn(spark):
+    rows = [(1, 0, "user", "Hi?", None, None), (1, 1, "assistant", "yes.\n" * 60_000, None, None)]
+    got = H.parse_transcripts(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [len(r["text"]) for r in sorted(got, key=lambda r: r["turn"])] == [3, 300_000]
