@@ -11,21 +11,20 @@ What is kept of a page:
   parts;
 - with an article (or a main part): the text inside it, except blocks of a
   classed container that the host repeats: at least ``TEMPLATE`` of that
-  container's tokens are covered, on three pages or more;
+  container's tokens in articles are covered, on three pages or more;
 - without one: the unique runs, that is all blocks but those mostly covered.
 
 Repeats alone cannot decide inside an article: articles quote shared passages,
-and a host with a single page repeats nothing. So marks decide where a page
-has them, and the suffix array decides the rest.
-
-A host's pages meet in one task only up to ``CHUNK`` bytes of html. A larger
-host is dealt over chunks, and its runs of ``DEPTH`` tokens are compared over
-the whole host: each chunk sends the 64-bit hashes of its runs (a run that
-several of its pages hold is sent twice) with 32 bits of the page's stream,
-dealt by hash; those found on distinct pages come back to the chunks that hold
-them. Template containers are counted over the host as well. So the size of a
-host changes the way, not the result. The list of large hosts is at most
-``LARGE_HOSTS`` rows, whatever the input, and is all that is broadcast by hint.
+and a host with a single page repeats nothing. So marks protect plain article
+text, and the repeats decide all other text that marks do not name.
+
+Html is never shuffled. A task sorts the pages it reads in portions of ``PORTION`` bytes,
+a suffix array for the pages of all hosts of the portion (a token of another host is
+another token), and sends each distinct run of ``DEPTH`` tokens once: 48 bits of the run's
+hash, which holds the host, and where one page alone has it 48 bits of that page's name.
+These are dealt by the hash; runs that two pages of one host have, in one portion or in
+two, are repeats, whatever the size of the host. Repeats go back, by page name, only to pages that
+have text to decide. Template containers are counted over a host by partial sums.
 
 Defined cases: a null or empty html has an empty text; a page without a url
 belongs to the host ``""``; pages with equal streams of tokens (copies, with
@@ -43,18 +42,19 @@ from collections.abc import Iterable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import default_parallelism
+
 from .common import prepare, staged
 from .minhash import mix
 
 DEPTH = 8
 TEMPLATE, PAGES = 0.8, 3
-CHUNK = 2 << 20
-LARGE_HOSTS = 500_000
-#: Chunks of a large host whose runs one task compares, about 1.5 million runs.
-BUCKET_CHUNKS = 4
+#: Bytes of html whose streams a task sorts together.
+PORTION = 8 << 20
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -193,20 +193,11 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
     return stream, blocks
 
 
-def covered(streams: list[list[str]]) -> list[np.ndarray]:
-    """Which tokens of each page stand in a run of ``DEPTH`` that other pages hold too.
+def suffixes(rank: np.ndarray, page: np.ndarray, sizes: np.ndarray):
+    """The suffix array of streams laid end to end: places of whole runs, their ranks and pages.
 
-    Equal streams are copies of one page and do not make each other repeats.
+    ``rank``: a number for each token. Sorted by run, then by page.
     """
-    distinct = dict.fromkeys(map(tuple, streams))
-    if len(distinct) < len(streams):
-        found = dict(zip(distinct, covered(list(distinct))))
-        return [found[tuple(s)] for s in streams]
-    sizes = np.array([len(s) for s in streams], np.int64)
-    if not sizes.sum():
-        return [np.zeros(0, bool) for _ in streams]
-    rank = pd.factorize(np.array([t for s in streams for t in s], object))[0].astype(np.int64)
-    page = np.repeat(np.arange(len(streams)), sizes)
     last = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(page))  # tokens left on the page
     depth = 1
     while depth < DEPTH:  # suffix ranks by doubling; a suffix ends with its page
@@ -216,15 +207,36 @@ def covered(streams: list[list[str]]) -> list[np.ndarray]:
         rank = np.unique(rank * (len(rank) + 1) + after + 1, return_inverse=True)[1]
         depth *= 2
     whole = np.flatnonzero(last >= DEPTH)
-    if not len(whole):
+    order = whole[np.lexsort((page[whole], rank[whole]))]
+    return order, rank[order], page[order]
+
+
+def _laid(streams: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens end to end, the page of each, and the pages' sizes."""
+    sizes = np.array([len(s) for s in streams], np.int64)
+    return (np.array([t for s in streams for t in s], object),
+            np.repeat(np.arange(len(streams)), sizes), sizes)
+
+
+def covered(streams: list[list[str]]) -> list[np.ndarray]:
+    """Which tokens of each page stand in a run of ``DEPTH`` that other pages hold too.
+
+    Equal streams are copies of one page and do not make each other repeats.
+    """
+    distinct = dict.fromkeys(map(tuple, streams))
+    if len(distinct) < len(streams):
+        found = dict(zip(distinct, covered(list(distinct))))
+        return [found[tuple(s)] for s in streams]
+    words, page, sizes = _laid(streams)
+    if not len(words):
+        return [np.zeros(0, bool) for _ in streams]
+    order, r, p = suffixes(pd.factorize(words)[0].astype(np.int64), page, sizes)
+    if not len(order):
         return [np.zeros(n, bool) for n in sizes]
-    order = whole[np.lexsort((page[whole], rank[whole]))]  # the suffix array
-    r, p = rank[order], page[order]
-    new_rank = np.append(True, r[1:] != r[:-1])
-    new_page = new_rank | np.append(True, p[1:] != p[:-1])
-    group = np.cumsum(new_rank) - 1
-    pages = np.bincount(group[new_page], minlength=group[-1] + 1)
-    return _spread(order[pages[group] >= 2], sizes)
+    first = np.append(True, r[1:] != r[:-1])
+    ends = np.append(np.flatnonzero(first)[1:], len(r)) - 1
+    shared = np.repeat(p[first] != p[ends], np.diff(np.append(np.flatnonzero(first), len(r))))
+    return _spread(order[shared], sizes)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -235,26 +247,42 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return np.split(np.cumsum(edge[:-1]) > 0, np.cumsum(sizes)[:-1])
 
 
-def hashed(streams: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sizes and names (hashes) of the pages; place, hash and page of each whole run."""
-    sizes = np.array([len(s) for s in streams], np.int64)
-    words = np.array([t for s in streams for t in s], object)
-    token = pd.util.hash_array(words) if len(words) else np.zeros(0, np.uint64)
-    names = np.array([int.from_bytes(hashlib.blake2b(t.tobytes(), digest_size=8).digest(), "little")
-                      for t in np.split(token, np.cumsum(sizes)[:-1])], np.uint64).view(np.int64)
-    page = np.repeat(np.arange(len(streams)), sizes)
-    last = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(page))
-    starts = np.flatnonzero(last >= DEPTH)
+def token_hashes(host: str, words: np.ndarray) -> np.ndarray:
+    """Hashes of tokens; those of another host differ."""
+    own = np.frombuffer(hashlib.blake2b(host.encode(), digest_size=8).digest(), np.uint64)[0]
+    return mix(pd.util.hash_array(words) ^ own) if len(words) else np.zeros(0, np.uint64)
+
+
+def name_of(tokens: np.ndarray) -> int:
+    """48 bits that name a page by its host and stream."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=6).digest(), "little")
+
+
+def runs_at(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """48-bit hashes of the runs that start at ``starts``."""
     run = np.zeros(len(starts), np.uint64)
     for i in range(DEPTH):
-        run = mix(run * np.uint64(0x9E3779B97F4A7C15) + token[starts + i])
-    return sizes, names, starts, run.view(np.int64), page[starts]
+        run = mix(run * np.uint64(0x9E3779B97F4A7C15) + tokens[starts + i])
+    return (run >> np.uint64(16)).astype(np.int64)
+
+
+def _candidates(blocks: list[Block]) -> tuple[int, list[Block]]:
+    """What marks leave of a page: 0 for no article or main part, and the blocks."""
+    level = max((b.main for b in blocks if not b.dropped), default=0)
+    return level, [b for b in blocks if not b.dropped and b.main >= level]
+
+
+def _open_blocks(blocks: list[Block]) -> list[Block]:
+    """The blocks that repeats decide."""
+    level, found = _candidates(blocks)
+    return [b for b in found if not level or b.sign]
 
 
 def _signs(blocks: list[Block], mark: np.ndarray) -> dict[str, list[int]]:
-    """Covered tokens and tokens of each classed container of a page."""
+    """Covered tokens and tokens of each classed container in a page's article."""
     seen: dict[str, list[int]] = {}
-    for b in blocks:
+    level, found = _candidates(blocks)
+    for b in found if level else ():
         if b.sign:
             entry = seen.setdefault(b.sign, [0, 0])
             entry[0] += int(mark[b.first:b.first + b.size].sum())
@@ -264,15 +292,9 @@ def _signs(blocks: list[Block], mark: np.ndarray) -> dict[str, list[int]]:
 
 def _pieces(blocks: list[Block], mark: np.ndarray) -> list[tuple[str, str]]:
     """(text, sign) of what a page keeps unless the host has the sign as template."""
-    level = max((b.main for b in blocks if not b.dropped), default=0)
-    kept = []
-    for b in blocks:
-        if b.dropped or b.main < level:
-            continue
-        if not level and mark[b.first:b.first + b.size].sum() > b.size / 2:
-            continue
-        kept.append((b.text, b.sign if level else ""))
-    return kept
+    level, found = _candidates(blocks)
+    return [(b.text, b.sign if level else "") for b in found
+            if level or mark[b.first:b.first + b.size].sum() <= b.size / 2]
 
 
 def _distinct(pages: Iterable[str | None]) -> tuple[list, list[int]]:
@@ -282,8 +304,8 @@ def _distinct(pages: Iterable[str | None]) -> tuple[list, list[int]]:
     return [parse(p) for p in place], copies
 
 
-def extract(pages: list[str | None]) -> list[tuple[str, int]]:
-    """The main text and the number of repeated tokens of each page of one host."""
+def extract(pages: list[str | None]) -> list[str]:
+    """The main text of each page of one host, its pages side by side."""
     parsed, copies = _distinct(pages)
     marks = covered([s for s, _ in parsed])
     # Classed containers inside articles: covered tokens, tokens, pages.
@@ -297,150 +319,231 @@ def extract(pages: list[str | None]) -> list[tuple[str, int]]:
             entry = seen.setdefault(s, [0, 0, 0])
             seen[s] = [entry[0] + c, entry[1] + n, entry[2] + 1]
     template = {s for s, (c, n, p) in seen.items() if p >= PAGES and c >= TEMPLATE * n}
-    out = [(" ".join(t for t, s in _pieces(blocks, mark) if s not in template), int(mark.sum()))
+    out = [" ".join(t for t, s in _pieces(blocks, mark) if s not in template)
            for (_, blocks), mark in zip(parsed, marks)]
     return [out[i] for i in copies]
 
 
-def _pack(run: np.ndarray, page: np.ndarray) -> bytes:
-    """Sorted runs as steps and their pages, byte by byte in planes: high planes compress away."""
-    step = np.diff(run, prepend=np.uint64(0))
-    return np.concatenate([x.view(np.uint8).reshape(len(run), x.itemsize).T.ravel()
-                           for x in (step, page.astype(np.uint32))]).tobytes()
-
-
-def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(packed, np.uint8).reshape(12, -1)
-    step = np.ascontiguousarray(planes[:8].T).view(np.uint64).ravel()
-    return np.cumsum(step, dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view(np.uint32).ravel()
-
-
-def _send_runs(group: pa.Table) -> pa.Table:
-    """The distinct runs of a chunk by bucket: a run's least and greatest page stand for all."""
-    parsed, _ = _distinct(group.column("html").to_pylist())
-    _, names, _, run, page = hashed([s for s, _ in parsed])
-    names, run = names.astype(np.int32), run.view(np.uint64)
-    order = np.lexsort((names[page], run))
-    run, page = run[order], page[order]
-    edge = run[1:] != run[:-1]
-    first, last = np.append(True, edge)[:len(run)], np.append(edge, True)[:len(run)]
-    sent = first | (last & _ends_differ(run, names[page]))
-    run, page = run[sent], page[sent]
-    buckets = np.uint64(group.column("buckets")[0].as_py())
-    bucket = (run >> np.uint64(32)) * buckets >> np.uint64(32)  # grows with the run
-    found, at = np.unique(bucket, return_index=True)
-    ends = np.append(at, len(run))
-    return pa.table({
-        "host": pa.array([group.column("host")[0].as_py()] * len(found), pa.string()),
-        "chunk": pa.array([group.column("chunk")[0].as_py()] * len(found), pa.int32()),
-        "bucket": pa.array(found.astype(np.int32)),
-        "runs": pa.array([_pack(run[i:j], page[i:j]) for i, j in zip(ends, ends[1:])], pa.binary()),
-        "names": pa.array([names] * len(found), pa.list_(pa.int32()))})
-
-
-def _ends_differ(run: np.ndarray, name: np.ndarray) -> np.ndarray:
-    """Whether the names of an entry's run differ; sorted by run and name."""
-    if not len(run):
-        return np.zeros(0, bool)
-    at = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-    counts = np.diff(np.append(at, len(run)))
-    return np.repeat(name[at] != name[at + counts - 1], counts)
-
-
-def _return_runs(group: pa.Table) -> pa.Table:
-    """The runs of a bucket that distinct pages hold, to each chunk that sent them."""
-    sent = [_unpack(r) for r in group.column("runs").to_pylist()]
-    sizes = [len(r) for r, _ in sent]
-    run = np.concatenate([r for r, _ in sent])
-    name = np.concatenate([n.values.to_numpy()[p] for n, (_, p) in zip(group.column("names"), sent)])
+def _packed(*columns: np.ndarray) -> bytes:
+    """Six-byte numbers, byte by byte in planes: the high planes of steps compress away."""
+    planes = [np.ascontiguousarray(x.astype("<i8")).view(np.uint8).reshape(len(x), 8).T[:6]
+              for x in columns]
+    return zstandard.compress(np.concatenate(planes).tobytes() if planes else b"", 3)
+
+
+def _unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(columns, 6, -1)
+    wide = np.zeros((columns, raw.shape[2], 8), np.uint8)
+    wide[:, :, :6] = raw.transpose(0, 2, 1)
+    return list(wide.reshape(columns, -1).view("<i8"))
+
+
+def _steps(run: np.ndarray) -> np.ndarray:
+    return np.diff(run, prepend=0)
+
+
+EVIDENCE = "bucket int, shared binary, single binary, asked binary"
+
+
+def _evidence(buckets: int):
+    """Each portion's distinct runs, dealt by their hash.
+
+    ``shared``: runs of two pages or more; ``single``: runs of one page, with its name; ``asked``: runs
+    in text that repeats decide, with the name of each page that asks.
+    """
+    def sent(pages: list[tuple[str, str | None]]):
+        streams, opened, hosts = {}, {}, {}
+        for host, html in dict.fromkeys(pages):
+            stream, blocks = parse(html)
+            key = host, *stream
+            if key not in streams:
+                streams[key] = stream
+                hosts.setdefault(host, []).append(key)
+                opened[key] = []
+            # Copies may differ in what their marks leave open.
+            opened[key] += [(b.first, b.size) for b in _open_blocks(blocks)]
+        keys = [k for ks in hosts.values() for k in ks]
+        words, page, sizes = _laid([streams[k] for k in keys])
+        if not len(words):
+            return
+        at = np.cumsum(sizes) - sizes
+        tokens = np.concatenate([token_hashes(h, words[at[i]:at[i] + sum(sizes[i:i + len(ks)])])
+                                 for (h, ks), i in zip(hosts.items(), np.cumsum(
+                                     [0, *map(len, hosts.values())]).tolist())])
+        names = np.array([name_of(t) for t in np.split(tokens, at[1:])], np.int64)
+        order, rank, where = suffixes(np.unique(tokens, return_inverse=True)[1], page, sizes)
+        if not len(order):
+            return
+        first = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
+        last = np.append(first[1:], len(rank)) - 1
+        run = runs_at(tokens, order[first])
+        both = where[first] != where[last]
+        shared = np.sort(run[both])
+        single, holder = run[~both], names[where[first][~both]]
+        sort = np.argsort(single)
+        single, holder = single[sort], holder[sort]
+        edge = np.zeros(len(words) + 1, np.int64)
+        for i, k in zip(at.tolist(), keys):
+            for start, size in opened[k]:
+                edge[max(i, i + start - DEPTH + 1)] += 1
+                edge[i + start + size] -= 1
+        wants = np.cumsum(edge[:-1])[order] > 0
+        group = np.cumsum(np.append(True, rank[1:] != rank[:-1])) - 1
+        asked, asker = run[group[wants]], names[where[wants]]
+        sort = np.argsort(asked)
+        asked, asker = asked[sort], asker[sort]
+        cuts = (np.arange(buckets + 1, dtype=object) * (1 << 48) // buckets).astype(np.int64)
+        parts = [np.searchsorted(x, cuts) for x in (shared, single, asked)]
+        rows = []
+        for k in range(buckets):
+            (a, b), (c, d), (e, f) = ((p[k], p[k + 1]) for p in parts)
+            if b > a or d > c or f > e:
+                rows.append((k, _packed(_steps(shared[a:b])), _packed(_steps(single[c:d]), holder[c:d]),
+                             _packed(_steps(asked[e:f]), asker[e:f])))
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))],
+                names=["bucket", "shared", "single", "asked"])
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
+                held.append((host, html))
+                size += len(html or "")
+                if size >= PORTION:
+                    yield from sent(held)
+                    held, size = [], 0
+        yield from sent(held)
+    return run
+
+
+def _repeats(group: pa.Table) -> pa.Table:
+    """The runs of a bucket that distinct pages hold, to each page that asks for them."""
+    shared = [np.cumsum(_unpacked(x, 1)[0]) for x in group.column("shared").to_pylist()]
+    single = [_unpacked(x, 2) for x in group.column("single").to_pylist()]
+    asked = [_unpacked(x, 2) for x in group.column("asked").to_pylist()]
+    wanted = np.concatenate([np.cumsum(r) for r, _ in asked])
+    asker = np.concatenate([n for _, n in asked])
+    run = np.concatenate([np.cumsum(r) for r, _ in single])
+    name = np.concatenate([n for _, n in single])
+    keep = np.isin(run, wanted)
+    run, name = run[keep], name[keep]
     order = np.lexsort((name, run))
-    repeated = np.zeros(len(run), bool)
-    repeated[order] = _ends_differ(run[order], name[order])
-    counts = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[repeated], minlength=len(sizes))
-    ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-    return pa.table({"host": group.column("host"), "chunk": group.column("chunk"),
-                     "runs": pa.ListArray.from_arrays(ends, pa.array(run[repeated].view(np.int64)))})
-
-
-def _read_chunk(group: pa.Table, returned: pa.Table) -> pa.Table:
-    """What each page of a chunk keeps, and its containers once for each distinct stream."""
-    parsed, copies = _distinct(group.column("html").to_pylist())
-    sizes, names, starts, run, _ = hashed([s for s, _ in parsed])
-    known = [c.flatten().to_numpy(zero_copy_only=False) for c in returned.column("runs").chunks]
-    hit = np.isin(run, np.concatenate(known)) if known else np.zeros(len(run), bool)
-    marks = _spread(starts[hit], sizes)
-    kept = [[{"text": t, "sign": s} for t, s in _pieces(blocks, mark)]
-            for (_, blocks), mark in zip(parsed, marks)]
-    signs = [[{"sign": s, "covered": c, "size": n} for s, (c, n) in _signs(blocks, mark).items()]
-             for (_, blocks), mark in zip(parsed, marks)]
-    once = set()
-    counted = [[] if i in once else (once.add(i) or signs[i]) for i in copies]
-    return pa.table({
-        "page_id": group.column("page_id"), "url": group.column("url"),
-        "host": group.column("host"),
-        "name": pa.array([int(names[i]) for i in copies], pa.int64()),
-        "kept": pa.array([kept[i] for i in copies],
-                         pa.list_(pa.struct([("text", pa.string()), ("sign", pa.string())]))),
-        "signs": pa.array(counted, pa.list_(pa.struct([
-            ("sign", pa.string()), ("covered", pa.int64()), ("size", pa.int64())]))),
-        "n_repeated": pa.array([int(marks[i].sum()) for i in copies], pa.int64())})
-
-
-def _large_hosts(dealt: DataFrame, page_type: str) -> DataFrame:
-    """The result for the pages of hosts that are dealt over chunks."""
-    sent = dealt.groupBy("host", "chunk").applyInArrow(
-        _send_runs, "host string, chunk int, bucket int, runs binary, names array<int>")
-    returned = sent.groupBy("host", "bucket").applyInArrow(
-        _return_runs, "host string, chunk int, runs array<long>")
-    found = staged(dealt.groupBy("host", "chunk").cogroup(
-        returned.groupBy("host", "chunk")).applyInArrow(
-        _read_chunk, f"page_id {page_type}, url string, host string, name long, "
-        "kept array<struct<text string, sign string>>, "
-        "signs array<struct<sign string, covered long, size long>>, n_repeated long"), "pages")
-    # Written, so that its size is known and few templates spare the texts a shuffle.
-    template = staged(
-        found.select("host", "name", F.explode("signs").alias("s"))
-        .groupBy("host", "name", F.col("s.sign").alias("sign"))
-        .agg(F.max("s.covered").alias("covered"), F.max("s.size").alias("size"))
-        .groupBy("host", "sign")
-        .agg(F.sum("covered").alias("c"), F.sum("size").alias("n"), F.count("*").alias("p"))
-        .where((F.col("p") >= PAGES) & (F.col("c") >= F.lit(TEMPLATE) * F.col("n")))
-        .groupBy("host").agg(F.collect_set("sign").alias("template")), "templates")
+    run, name = run[order], name[order]
+    known = np.unique(np.concatenate([*shared, run]))
+    several = run[:-1][(run[1:] == run[:-1]) & (name[1:] != name[:-1])]
+    once = np.setdiff1d(run, np.concatenate([several, *shared]))
+    repeated = np.setdiff1d(known, once)
+    hit = np.isin(wanted, repeated)
+    wanted, asker = wanted[hit], asker[hit]
+    order = np.lexsort((wanted, asker))
+    names, at = np.unique(asker[order], return_index=True)
+    return pa.table({"name": pa.array(names, pa.int64()), "runs": pa.ListArray.from_arrays(
+        pa.array(np.append(at, len(wanted)), pa.int32()), pa.array(wanted[order], pa.int64()))})
+
+
+def _texts(batches):
+    """Pages of a table without repeats in open text: what the marks leave."""
+    for b in batches:
+        texts = [" ".join(x.text for x in _candidates(parse(h)[1])[1])
+                 for h in b.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("page_id"), b.column("url"), pa.array(texts, pa.string())],
+            names=["page_id", "url", "text"])
+
+
+_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("sign", pa.string()), ("level", pa.int32()),
+                              ("first", pa.int64()), ("size", pa.int64())]))
+OPEN = ("name long, text string, starts array<long>, runs array<long>, blocks array<struct<text string, "
+        "sign string, level int, first long, size long>>")
+
+
+def _opened(batches):
+    """Each page's text where marks decide all of it, else its blocks and the runs in open ones."""
+    for b in batches:
+        rows = []
+        for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
+            stream, blocks = parse(html)
+            level, found = _candidates(blocks)
+            ask = [x for x in found if not level or x.sign]
+            if not ask:
+                rows.append((None, " ".join(x.text for x in found), None, None, None))
+                continue
+            tokens = token_hashes(host, np.array(stream, object))
+            starts = [np.arange(max(0, x.first - DEPTH + 1), min(x.first + x.size, len(stream) - DEPTH + 1))
+                      for x in ask]
+            starts = np.unique(np.concatenate(starts)).astype(np.int64)
+            rows.append((name_of(tokens), None, starts, runs_at(tokens, starts),
+                         [{"text": x.text, "sign": x.sign if level else "", "level": level,
+                           "first": x.first, "size": x.size} for x in found]))
+        cols = list(zip(*rows)) or [()] * 5
+        kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), _BLOCKS)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("page_id"), b.column("url"), b.column("host"),
+             *(pa.array(c, k) for c, k in zip(cols, kinds))],
+            names=["page_id", "url", "host", "name", "text", "starts", "runs", "blocks"])
+
+
+JUDGED = "kept array<struct<text string, sign string>>, signs array<struct<sign string, covered long, size long>>"
+
+
+def _judge(batches):
+    """What the repeats leave of open pages, and their containers' coverage."""
+    for b in batches:
+        kept, signs = [], []
+        for starts, runs, repeats, blocks in zip(*(b.column(c).to_pylist() for c in (
+                "starts", "runs", "repeats", "blocks"))):
+            hit = np.isin(np.array(runs, np.int64), np.array(repeats or [], np.int64))
+            size = max(x["first"] + x["size"] for x in blocks) + DEPTH
+            mark = _spread(np.array(starts, np.int64)[hit], np.array([size]))[0]
+            found = [Block(x["text"], x["level"], False, x["sign"], x["first"], x["size"]) for x in blocks]
+            kept.append([{"text": t, "sign": s} for t, s in _pieces(found, mark)])
+            signs.append([{"sign": s, "covered": c, "size": n} for s, (c, n) in _signs(found, mark).items()])
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("page_id", "url", "host", "name")),
+             pa.array(kept, pa.list_(pa.struct([("text", pa.string()), ("sign", pa.string())]))),
+             pa.array(signs, pa.list_(pa.struct([
+                 ("sign", pa.string()), ("covered", pa.int64()), ("size", pa.int64())])))],
+            names=["page_id", "url", "host", "name", "kept", "signs"])
+
+
+def _decided(rows: DataFrame, repeats: DataFrame, page_type: str) -> DataFrame:
+    """Texts where repeats meet open text. Only pages with such text are shuffled, by name."""
+    head = f"page_id {page_type}, url string, host string, "
+    opened = staged(rows.mapInArrow(_opened, head + OPEN), "pages")
+    of_page = repeats.groupBy("name").agg(F.flatten(F.collect_list("runs")).alias("repeats"))
+    judged = staged(opened.where("name is not null").join(of_page, "name", "left").select(
+        "page_id", "url", "host", "name", "starts", "runs", "repeats", "blocks").mapInArrow(
+        _judge, head + "name long, " + JUDGED), "judged")
+    # A stream counts once, whatever its copies.
+    template = (judged.select("host", "name", F.explode("signs").alias("s"))
+                .groupBy("host", "name", F.col("s.sign").alias("sign"))
+                .agg(F.max("s.covered").alias("covered"), F.max("s.size").alias("size"))
+                .groupBy("host", "sign")
+                .agg(F.sum("covered").alias("c"), F.sum("size").alias("n"), F.count("*").alias("p"))
+                .where((F.col("p") >= PAGES) & (F.col("c") >= F.lit(TEMPLATE) * F.col("n")))
+                .groupBy("host").agg(F.collect_set("sign").alias("template")))
     none = F.array().cast("array<string>")
     text = F.array_join(F.transform(F.filter("kept", lambda b: ~F.array_contains(
         F.coalesce("template", none), b["sign"])), lambda b: b["text"]), " ")
-    return found.join(template, "host", "left").select(
-        "page_id", "url", text.alias("text"), "n_repeated").select(
-        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
+    return judged.join(staged(template, "templates"), "host", "left").select(
+        "page_id", "url", text.alias("text")).union(
+        opened.where("name is null").select("page_id", "url", "text"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, n_repeated for every row of ``pages``."""
-    prepare(pages.sparkSession)
+    """page_id, url, text, n_chars for every row of ``pages``."""
+    spark = pages.sparkSession
+    prepare(spark)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1))
-    rows = pages.select("page_id", "url", "html", host.alias("host"),
-                        F.coalesce(F.octet_length("html"), F.lit(0)).alias("bytes"))
-    sizes = staged(rows.groupBy("host").agg(F.sum("bytes").alias("host_bytes")), "hosts")
-    total = sizes.agg(F.sum("host_bytes")).first()[0] or 0
-    limit = max(CHUNK, total // LARGE_HOSTS)
-    large = sizes.where(F.col("host_bytes") > limit).select(
-        "host", F.ceil(F.col("host_bytes") / CHUNK).cast("int").alias("chunks"))
-
-    def run(group: pa.Table) -> pa.Table:
-        found = extract(group.column("html").to_pylist())
-        return pa.table({
-            "page_id": group.column("page_id"), "url": group.column("url"),
-            "text": pa.array([t for t, _ in found], pa.string()),
-            "n_chars": pa.array([len(t) for t, _ in found], pa.int64()),
-            "n_repeated": pa.array([n for _, n in found], pa.int64())})
-
+    rows = pages.select("page_id", "url", "html", host.alias("host"))
     page_type = pages.schema["page_id"].dataType.simpleString()
-    small = rows.join(F.broadcast(large), "host", "left_anti").groupBy("host").applyInArrow(
-        run, f"page_id {page_type}, url string, text string, n_chars long, n_repeated long")
-    if not large.head(1):
-        return small
-    spread = F.pmod(F.xxhash64("page_id", "url"), F.col("chunks")).cast("int")
-    dealt = rows.join(F.broadcast(large), "host").select(
-        "page_id", "url", "html", "host", spread.alias("chunk"),
-        F.ceil(F.col("chunks") / BUCKET_CHUNKS).cast("int").alias("buckets"))
-    return small.union(_large_hosts(dealt, page_type))
+    buckets = default_parallelism(spark)
+    repeats = staged(rows.select("host", "html").mapInArrow(_evidence(buckets), EVIDENCE)
+                     .groupBy("bucket").applyInArrow(_repeats, "name long, runs array<long>"), "repeats")
+    if repeats.isEmpty():
+        out = rows.mapInArrow(_texts, f"page_id {page_type}, url string, text string")
+    else:
+        out = _decided(rows, repeats, page_type)
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
