@@ -19,7 +19,8 @@ from . import schemas as S
 from .operators.facts import (conflict_ignoring_append, existing_conflict_keys, resolve_sales,
                               with_sales_keys)
 from .operators.ranking import max_key
-from .operators.scd import DimDelta, scd1_merge, scd2_merge
+from .operators.scd import DimDelta, most_rows, scd1_merge, scd2_merge
+from .session import concurrently
 from .sources import staging as stg
 from .sources.calendar import calendar_of, dim_date
 
@@ -68,15 +69,20 @@ def load_dimensions(tables: Tables, staged: Staged, as_of: dt.date,
     ``max_keys``: largest surrogate key per dimension, when known.
     """
     mk = max_keys or {}
-    cust = scd2_merge(tables["dim_customer"], staged.customers, entity="customer",
-                      key="customer_key", bk="customer_business_key",
-                      attrs=C.CUSTOMER_ATTRS, as_of=as_of, after_key=mk.get("dim_customer"))
-    prod = scd2_merge(tables["dim_product"], staged.products, entity="product",
-                      key="product_key", bk="product_business_key",
-                      attrs=C.PRODUCT_ATTRS, as_of=as_of, after_key=mk.get("dim_product"))
-    store = scd1_merge(tables["dim_store"], staged.stores, entity="store", key="store_key",
-                       bk="store_business_key", attrs=C.STORE_ATTRS,
-                       after_key=mk.get("dim_store"))
+    most = most_rows(staged.customers.select("customer_business_key"),
+                     staged.products.select("product_business_key"))
+    # No merge reads another's result: their jobs run beside each other.
+    cust, prod, store = concurrently(
+        staged.stores.sparkSession,
+        lambda: scd2_merge(tables["dim_customer"], staged.customers, entity="customer",
+                           key="customer_key", bk="customer_business_key", attrs=C.CUSTOMER_ATTRS,
+                           as_of=as_of, after_key=mk.get("dim_customer"), most=most[0]),
+        lambda: scd2_merge(tables["dim_product"], staged.products, entity="product",
+                           key="product_key", bk="product_business_key", attrs=C.PRODUCT_ATTRS,
+                           as_of=as_of, after_key=mk.get("dim_product"), most=most[1]),
+        lambda: scd1_merge(tables["dim_store"], staged.stores, entity="store", key="store_key",
+                           bk="store_business_key", attrs=C.STORE_ATTRS,
+                           after_key=mk.get("dim_store")))
     out = dict(tables)
     out["dim_customer"] = cust.all_versions(tables["dim_customer"].filter(~F.col("is_current")))
     out["dim_product"] = prod.all_versions(tables["dim_product"].filter(~F.col("is_current")))

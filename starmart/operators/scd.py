@@ -62,13 +62,23 @@ def _version_cols(key: str, bk: str, attrs: list[str]) -> list[str]:
     return [key, bk, *attrs, "valid_from", "valid_to", "is_current"]
 
 
+def most_rows(*keys: DataFrame) -> list[int]:
+    """The most rows of one key in each frame of keys, counted together."""
+    both = reduce(DataFrame.unionByName, [
+        k.select(F.lit(i).alias("_i"), F.col(k.columns[0]).alias("_k")) for i, k in enumerate(keys)])
+    found = {r["_i"]: r["n"] for r in both.groupBy("_i", "_k").count().groupBy("_i").agg(
+        F.max("count").alias("n")).collect()}
+    return [found.get(i, 0) for i in range(len(keys))]
+
+
 def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk: str,
                attrs: list[str], as_of: dt.date, seq: str = "_seq",
-               after_key: int | None = None) -> DimDelta:
+               after_key: int | None = None, most: int | None = None) -> DimDelta:
     """Merge a staged batch into an SCD2 dimension (all versions).
 
     ``after_key``: the dimension's largest key when the caller knows it (the
-    catalog keeps it); otherwise it is read from ``dim``.
+    catalog keeps it); otherwise it is read from ``dim``. ``most``: the most
+    staged rows of one key, when known.
     """
     cols = _version_cols(key, bk, attrs)
     as_of_c = lit_date(as_of)
@@ -83,8 +93,9 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, entity: str, key: str, bk:
         return reduce(lambda x, y: x | y,
                       [~F.col(a).eqNullSafe(F.col(f"{prefix}{a}")) for a in attrs])
 
-    top = staged.groupBy(bk).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if (top or 0) <= 1:
+    if most is None:
+        most = most_rows(staged.select(bk))[0]
+    if most <= 1:
         # One staged row per key: its predecessor is the current version, a
         # plain equi-join on the key (unique on both sides).
         prior = cur_in_batch.select(bk, *[F.col(a).alias(f"_p_{a}") for a in attrs],

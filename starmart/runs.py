@@ -26,8 +26,8 @@ from .functions.dates import year_month
 from .loads import Staged, load_dimensions
 from .operators.facts import SALES_KEY_ORDER, conflict_columns, conflict_marked, resolve_sales
 from .operators.layout import layout_order
-from .plans.marts import INCREMENTAL, MARTS
-from .session import default_parallelism
+from .plans.marts import INCREMENTAL, MARTS, STORE_PAIRS, store_pairs, store_region_of
+from .session import concurrently, default_parallelism
 from .sources.calendar import dim_date
 
 
@@ -138,11 +138,10 @@ def materialize(run: Run, staged: Staged, dimensions: bool = True) -> tuple[Stag
     tables would refuse are counted during the write: a null business key or a
     text over its declared length fails the run.
     """
-    wh, out = run.wh, {}
-    for name, bk, metric in DIMENSIONS if dimensions else ():
-        path = wh.staging_path(run.run_id, name)
-        limits = C.VARCHAR_LIMITS[name]
-        df = getattr(staged, name)
+    wh = run.wh
+
+    def dimension(name: str, bk: str, metric: str) -> DataFrame:
+        path, limits, df = wh.staging_path(run.run_id, name), C.VARCHAR_LIMITS[name], getattr(staged, name)
         got = write_observed(df, path, _count_if(F.col(bk).isNull(), bk),
                              *[_count_if(F.length(c) > n, c) for c, n in limits.items()])
         run.metric(metric, got["rows"])
@@ -151,13 +150,19 @@ def materialize(run: Run, staged: Staged, dimensions: bool = True) -> tuple[Stag
         long = {c: got[c] for c in limits if got.get(c)}
         if long:
             raise ValueError(f"staged {name} rows with over-long text: {long}")
-        out[name] = wh.spark.read.schema(df.schema).parquet(path)
-    path = wh.staging_path(run.run_id, "sales")
-    seen = write_observed(staged.sales, path, *[
-        fn(c).alias(f"{which}_{c}") for c in ("transaction_date", "transaction_id")
-        for which, fn in (("min", F.min), ("max", F.max))])
-    out["sales"] = wh.spark.read.schema(staged.sales.schema).parquet(path)
-    return Staged(out.get("customers"), out.get("products"), out.get("stores"), out["sales"]), seen
+        return wh.spark.read.schema(df.schema).parquet(path)
+
+    def sales() -> tuple[DataFrame, dict]:
+        path = wh.staging_path(run.run_id, "sales")
+        seen = write_observed(staged.sales, path, *[
+            fn(c).alias(f"{which}_{c}") for c in ("transaction_date", "transaction_id")
+            for which, fn in (("min", F.min), ("max", F.max))])
+        return wh.spark.read.schema(staged.sales.schema).parquet(path), seen
+
+    (facts, seen), *dims = concurrently(wh.spark, sales, *[
+        lambda d=d: dimension(*d) for d in (DIMENSIONS if dimensions else ())])
+    customers, products, stores = dims or (None, None, None)
+    return Staged(customers, products, stores, facts), seen
 
 
 def extend_calendar(run: Run, calendar: DataFrame, seen: dict) -> Part | None:
@@ -184,20 +189,29 @@ def _write_dims(run: Run, dims, snap) -> dict[str, list[Part]]:
     A dimension that the load left as it was keeps its published parts.
     """
     wh, rid = run.wh, run.run_id
-    out: dict[str, list[Part]] = {}
+
+    def written(table: str, kind: str, df: DataFrame, key: str, name: str) -> Part:
+        path = wh.table_path(table, rid, name)
+        got = write_observed(df, path, F.max(key).alias("top"))
+        return Part(kind, path, got["rows"], got.get("top"))
+
+    tasks, names = [], []
     for table, key in (("dim_customer", "customer_key"), ("dim_product", "product_key"),
                        ("dim_store", "store_key")):
         delta = dims.deltas[table]
         if not delta.changed and table in snap.parts:
             continue
-        parts = []
         for kind, df, name in (("current", delta.current, "current"),
                                ("append", delta.closed, "closed")):
-            path = wh.table_path(table, rid, name)
-            got = write_observed(df, path, F.max(key).alias("top"))
-            if kind == "current" or got["rows"] > 0:
-                parts.append(Part(kind, path, got["rows"], got.get("top")))
-        out[table] = parts
+            # Stores close no version (SCD1).
+            if table != "dim_store" or kind == "current":
+                tasks.append(lambda a=(table, kind, df, key, name): written(*a))
+                names.append(table)
+    out: dict[str, list[Part]] = {}
+    for table, part in zip(names, concurrently(wh.spark, *tasks)):
+        out.setdefault(table, [])
+        if part.kind == "current" or part.rows:
+            out[table].append(part)
     return out
 
 
@@ -245,15 +259,17 @@ def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int
         (F.col("_first") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("sales_key"),
         *[c for c in C.FACT_COLUMNS if c != "sales_key"], "year_month",
         layout_order(F.col("date_key"), {c: got.get(f"top_{c}") for c in KEY_COLUMNS}).alias("_at"))
-    path = wh.table_path("fact_sales", run.run_id)
+    path, keys_path = (wh.table_path(t, run.run_id) for t in ("fact_sales", "fact_keys"))
     place = ["year_month", "_at", "sales_key"]
-    (out.repartitionByRange(width, *place).sortWithinPartitions(*place).drop("_at").write
-     .mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS).partitionBy("year_month")
-     .parquet(path))
     keys = placed.select("transaction_id", "product_key", "product_business_key", "year_month")
-    keys_path = wh.table_path("fact_keys", run.run_id)
-    (keys.repartitionByRange(width, "transaction_id").sortWithinPartitions("transaction_id")
-     .write.mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS).parquet(keys_path))
+    concurrently(
+        wh.spark,
+        lambda: (out.repartitionByRange(width, *place).sortWithinPartitions(*place).drop("_at").write
+                 .mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS)
+                 .partitionBy("year_month").parquet(path)),
+        lambda: (keys.repartitionByRange(width, "transaction_id").sortWithinPartitions(
+            "transaction_id").write.mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS)
+                 .parquet(keys_path)))
     return [Part("append", path, n, after_key + n), Part("append", keys_path, n)], met
 
 
@@ -375,8 +391,8 @@ def refresh_all_marts(wh: Warehouse, incremental: bool = True) -> int:
 
     With ``incremental``, a mart that records which fact folders it covers is
     brought up to date from the folders added since (W21: affected months
-    recomputed; W22: new sums added); otherwise, and always for W23, it is
-    recomputed in full.
+    recomputed; W22: new sums added; W23: new pairs of store and customer); otherwise
+    it is recomputed in full. The marts' jobs run beside each other.
     """
     with observing(wh.spark):
         return _refresh_marts(wh, incremental)
@@ -389,27 +405,51 @@ def _refresh_marts(wh: Warehouse, incremental: bool) -> int:
         snap = wh.snapshot(refresh=True)
         t = wh.tables()
         fact_paths = [p.path for p in snap.parts.get("fact_sales", [])]
-        changes, replace = {}, set()
+        changes, replace, tasks = {}, set(), []
+
+        def write(name: str, df: DataFrame) -> None:
+            path = wh.table_path(name, run.run_id)
+            changes[name] = [Part("current", path, write_observed(df, path)["rows"])]
+            changes[f"{name}#covers"] = [
+                Part("covers", path, max(map(_run_of, fact_paths), default=0))]
+            replace.update((name, f"{name}#covers"))
+
+        def write_stores(added: list[str] | None) -> None:
+            """W23 from the pairs of store and customer: the facts added since extend them, and the
+            stores' names, which are overwritten in place, are joined at the end."""
+            facts = t["fact_sales"] if added is None else wh.read_parts("fact_sales", added)
+            held = [] if added is None else [p.path for p in snap.parts[STORE_PAIRS]]
+            path = wh.table_path(STORE_PAIRS, run.run_id)
+            if added is None or added:
+                got = write_observed(store_pairs(facts), path)
+                changes[STORE_PAIRS] = [Part("append", path, got["rows"])]
+                held.append(path)
+                if added is None:
+                    replace.add(STORE_PAIRS)
+            write("mart_store_region", store_region_of(wh.read_parts(STORE_PAIRS, held), t["dim_store"]))
+
         for name, fn in MARTS.items():
             # Fact folders are added in the order of their runs: the last covered
             # run tells which are new.
             covered = max((p.rows for p in snap.parts.get(f"{name}#covers", [])), default=0)
             added = [p for p in fact_paths if _run_of(p) > covered]
-            can_add = incremental and name in INCREMENTAL and name in snap.parts
-            if can_add and not added:
+            can_add = incremental and name in snap.parts and (
+                name in INCREMENTAL or STORE_PAIRS in snap.parts)
+            if can_add and not added and name in INCREMENTAL:
                 run.event("marts", "INFO", f"{name} is up to date")
                 continue
             if can_add:
                 run.event("marts", "INFO", f"Refreshing {name} from {len(added)} new fact folders")
-                df = INCREMENTAL[name](t, wh[name], wh.read_parts("fact_sales", added))
             else:
                 run.event("marts", "INFO", f"Refreshing {name}")
-                df = fn(t)
-            path = wh.table_path(name, run.run_id)
-            changes[name] = [Part("current", path, write_observed(df, path)["rows"])]
-            changes[f"{name}#covers"] = [
-                Part("covers", path, max(map(_run_of, fact_paths), default=0))]
-            replace |= {name, f"{name}#covers"}
+            if name not in INCREMENTAL:
+                tasks.append(lambda a=added if can_add else None: write_stores(a))
+            elif can_add:
+                tasks.append(lambda n=name, a=added: write(n, INCREMENTAL[n](
+                    t, wh[n], wh.read_parts("fact_sales", a))))
+            else:
+                tasks.append(lambda n=name, f=fn: write(n, f(t)))
+        concurrently(wh.spark, *tasks)
         if changes:
             wh.publish(changes, replace=replace, base=snap.version)
         run.event("marts", "INFO", C.MSG_MARTS_DONE)

@@ -11,7 +11,10 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +26,7 @@ def build_session(master: str | None = None, app: str = "starmart",
     b = (b.config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.scheduler.mode", "FAIR")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true"))
@@ -54,6 +58,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/starmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def concurrently(spark: SparkSession, *tasks: Callable) -> list:
+    """Results of independent pieces of work whose Spark jobs run beside each other.
+
+    Each piece keeps its own order of jobs; tasks of one fill the cores that a short
+    stage of another leaves idle. The first failure is raised once all have ended.
+    """
+    if len(tasks) < 2:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+    return [f.result() for f in futures]
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
