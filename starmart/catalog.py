@@ -26,6 +26,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
@@ -191,6 +192,15 @@ class Warehouse:
             reader = reader.schema(FACT_STORED if table == "fact_sales" else EMPTY_SCHEMAS[table])
         return reader.parquet(*paths).drop("run", "part")
 
+    def rows_of_runs(self, table: str) -> DataFrame:
+        """(run_id, rows) that each run has added to a table, counted in its folders."""
+        paths = [p.path for p in self.snapshot().parts.get(table, [])]
+        if not paths:
+            return self.spark.createDataFrame([], "run_id long, rows long")
+        found = self.spark.read.option("basePath", self.table_root(table)).parquet(*paths)
+        return found.groupBy(F.col("run").cast("long").alias("run_id")).agg(
+            F.count(F.lit(1)).alias("rows"))
+
     def tables(self) -> dict[str, DataFrame]:
         # "<mart>#covers" entries are bookkeeping, not tables.
         names = {"dim_date", *EMPTY_SCHEMAS,
