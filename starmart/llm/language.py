@@ -117,9 +117,14 @@ def train(docs: DataFrame, clusters: int = 4, max_per_language: int = 500) -> Ce
               .groupBy("dimension").agg(F.sum("n").alias("n")).collect()):
         total[r["dimension"]] = r["n"]
     idf = np.log((1 + total[-1]) / (1 + total[:-1])).astype(np.float32) + np.float32(0.05)
-    # Spark keeps only the first rows of each language before it shuffles them.
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = rows.select("doc_id", "lang").withColumn("k", F.row_number().over(first)).where(
+    # The rows of a language with the least hashes of their ids. A cut that leaves twice as many
+    # comes first, so that what meets in one task does not grow with the language.
+    share = rows.groupBy("lang").agg((F.lit(2.0 * max_per_language) / F.count(F.lit(1))).alias("share"))
+    h = F.xxhash64("doc_id")
+    low = rows.select("doc_id", "lang").join(F.broadcast(share), "lang").where(
+        (h / F.lit(2.0 ** 64) + 0.5) < F.col("share")).select("lang", "doc_id").distinct()
+    first = Window.partitionBy("lang").orderBy(h, "doc_id")
+    sample = low.withColumn("k", F.row_number().over(first)).where(
         F.col("k") <= max_per_language).select("doc_id", F.col("lang").alias("taught"), "k")
     # At most max_per_language rows for each language: the texts need no shuffle.
     taught = rows.join(F.broadcast(sample), (rows["doc_id"] == sample["doc_id"])

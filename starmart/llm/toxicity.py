@@ -2,10 +2,11 @@
 
 Tokens pass through a cascade. The lexical acceptors (a trie of insult stems
 with weights, and small word classes for threat, target, negation and reported
-speech) turn words into classes. The clause transducer reads the classes of a
-clause and gives each matched insult to one of four readings: negated,
-reported, aimed at a target, or plain; a threat counts only with a target in
-its clause. A document is scored from the weights of its matched clauses by a
+speech) turn words into classes. Three small transducers read the classes of a
+clause: how far a negation reaches, whether speech is reported, whether a target was
+named. They are composed once into one table of states, whose arcs give each matched insult
+to one of four readings: negated, reported, aimed at a target, or plain; a threat counts
+only unnegated and with a target in its clause. A document is scored from the weights of its matched clauses by a
 logistic layer, so a word alone never decides how much it counts.
 
 The stems are learned from labels: word beginnings (and whole words) that
@@ -33,11 +34,12 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-_TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]+|[\"«»“”„]")
+#: Words (one in "n't" keeps its apostrophe), ends of clauses, quotes.
+_TOKEN = re.compile(r"[^\W\d_]+n['’]t(?!\w)|[^\W\d_]+|[.!?;:\n]+|[\"«»“”„]")
 #: Word classes of the grammar.
 THREAT = "kill hurt destroy beat burn töten tuer matar".split()
 TARGET = "you your yourself he she they him her them du dich ihr sie vous toi tu ellos usted".split()
-NEGATION = "not never isn't no nicht kein nie jamais pas nunca".split()
+NEGATION = "not never no cannot nicht kein nie jamais pas nunca".split()
 REPORTED = "said says wrote called claimed quoted sagte dit dijo".split()
 #: Tokens after a negation that it still governs.
 REACH = 3
@@ -47,6 +49,44 @@ READINGS = ("plain", "aimed", "negated", "reported")
 STEM = (3, 8)
 
 
+def negation(state: int, c: int) -> int:
+    """How many tokens a negation still governs."""
+    return REACH if c == NEG else max(0, state - 1)
+
+
+def report(state: int, c: int) -> int:
+    """Whether speech is reported from here to the clause's end."""
+    return 1 if c in (REP, QUOTE) else state
+
+
+def target(state: int, c: int) -> int:
+    """Whether the clause has named a target."""
+    return 1 if c == TAR else state
+
+
+def composed(*parts) -> tuple[list[tuple[int, ...]], list[list[int]]]:
+    """The product of transducers that read the same classes: its states, and its arcs by class.
+
+    Each starts in 0, and so does the product after the end of a clause.
+    """
+    states, arcs = [(0,) * len(parts)], []
+    for state in states:
+        row = []
+        for c in range(INSULT + 1):
+            to = states[0] if c == BREAK else tuple(f(x, c) for f, x in zip(parts, state))
+            if to not in states:
+                states.append(to)
+            row.append(states.index(to))
+        arcs.append(row)
+    return states, arcs
+
+
+STATES, ARCS = composed(negation, report, target)
+#: What a state makes of an insult: 0 open (plain or aimed, as the clause ends), 1 negated, 2 reported.
+SLOT = [1 if n else 2 if q else 0 for n, q, _ in STATES]
+AIMED = [bool(t) for _, _, t in STATES]
+
+
 class Grammar:
     """The composed transducers for one lexicon of weighted stems."""
 
@@ -66,6 +106,8 @@ class Grammar:
     def _class(self, token: str) -> int:
         if not token[0].isalpha():
             return QUOTE if token in "\"«»“”„" else BREAK
+        if token.endswith(("n't", "n’t")):
+            return NEG
         paths = [token[:n] for n in range(STEM[0], min(STEM[1], len(token)) + 1)] + [token + "$"]
         weight = max((self.stems[p] for p in paths if p in self.stems), default=0.0)
         if weight:
@@ -89,25 +131,21 @@ class Grammar:
         tokens = _TOKEN.findall(text.lower()) if text else []
         classes = self.classes(tokens)
         if tokens and max(classes) >= THR:
-            insults, aimed, reported, reach, threat = [], False, False, 0, 0
+            state, held, threat = 0, [0.0, 0.0, 0.0], 0
             for token, c in zip(tokens + ["."], classes + [BREAK]):
-                if c == BREAK:
-                    for weight, negated, quoted in insults:
-                        at = 2 if negated else 3 if quoted else 1 if aimed else 0
-                        sums[at] += weight
-                        top = max(top, weight)
-                    threats += threat if aimed else 0
-                    insults, aimed, reported, reach, threat = [], False, False, 0, 0
-                    continue
                 if c == INSULT:
-                    insults.append((self.weights[token], reach > 0, reported))
+                    weight = self.weights[token]
+                    held[SLOT[state]] += weight
+                    top = max(top, weight)
                 elif c == THR:
-                    threat += reach == 0
-                elif c == TAR:
-                    aimed = True
-                elif c == REP or c == QUOTE:
-                    reported = True
-                reach = REACH if c == NEG else max(0, reach - 1)
+                    threat += SLOT[state] != 1
+                elif c == BREAK:
+                    sums[1 if AIMED[state] else 0] += held[0]
+                    sums[2] += held[1]
+                    sums[3] += held[2]
+                    threats += threat if AIMED[state] else 0
+                    held, threat = [0.0, 0.0, 0.0], 0
+                state = ARCS[state][c]
         return [*np.log1p(sums), float(np.log1p(threats)), top]
 
 

@@ -111,3 +111,53 @@ def test_toxicity_without_toxic_labels(spark, marks):
     labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
     assert [r["predicted"] for r in T.score_documents(docs, labels).collect()] == [0, 0]
     assert T.score_documents(docs.limit(0), labels).collect() == []
+
+
+def test_composed_transducers_equal_their_parts():
+    """Every path of five classes, in the product and in each transducer by itself."""
+    import itertools
+
+    from starmart.llm import toxicity as X
+    parts = (X.negation, X.report, X.target)
+    for path in itertools.product(range(X.INSULT + 1), repeat=5):
+        at, alone = 0, (0, 0, 0)
+        for c in path:
+            at = X.ARCS[at][c]
+            alone = (0, 0, 0) if c == X.BREAK else tuple(f(x, c) for f, x in zip(parts, alone))
+            assert X.STATES[at] == alone
+    assert len(X.STATES) == (X.REACH + 1) * 4
+
+
+def test_readings_of_clauses():
+    from starmart.llm import toxicity as X
+    g = X.Grammar({"idiot$": 2.0})
+    read = lambda t: [round(float(np.expm1(x)), 6) for x in g.features(t)[:5]]
+    plain, aimed, negated, reported = ([2.0 * (i == k) for i in range(4)] + [0] for k in range(4))
+    assert read("what an idiot") == plain and read("you idiot") == aimed
+    for t in ("he isn't an idiot", "he isn’t an idiot", "he is not an idiot", "they aren't idiot"):
+        assert read(t) == negated, t
+    assert read('she said "idiot"') == reported and read("l'idiot") == plain
+    assert read("i will kill you")[4] == 1 and read("i won't kill you")[4] == 0 == read("kill time")[4]
+
+
+def test_features_against_a_reading_of_whole_clauses():
+    """Each insult read by what stands around it in its clause."""
+    import random
+
+    from starmart.llm import toxicity as X
+    rng, g = random.Random(3), X.Grammar({"idiot$": 1.0, "fool$": 3.0})
+    words = ["idiot", "fool", "you", "not", "don't", "said", '"', "kill", "the", "day", ".", "!"]
+    for _ in range(400):
+        tokens = [rng.choice(words) for _ in range(rng.randrange(16))]
+        sums, threats = [0.0] * 4, 0
+        for clause in " ".join(tokens).replace("!", ".").split("."):
+            ws = clause.split()
+            near = lambda k: any(w in ("not", "don't") for w in ws[max(0, k - X.REACH):k])
+            aimed = "you" in ws
+            for k, w in enumerate(ws):
+                if w in ("idiot", "fool"):
+                    told = any(x in ("said", '"') for x in ws[:k])
+                    sums[2 if near(k) else 3 if told else 1 if aimed else 0] += 1.0 if w == "idiot" else 3.0
+                threats += w == "kill" and aimed and not near(k)
+        got = g.features(" ".join(tokens))
+        assert np.allclose(got[:5], np.log1p([*sums, threats]))
