@@ -16,7 +16,9 @@ What is kept of a page:
 
 Repeats alone cannot decide inside an article: articles quote shared passages,
 and a host with a single page repeats nothing. So marks protect plain article
-text, and the repeats decide all other text that marks do not name.
+text: it is neither decided by repeats nor evidence against text elsewhere, and stands in
+its page's stream as one token, its hash. The repeats decide all other text that marks do
+not name.
 
 Html is never shuffled. A task sorts the pages it reads in portions of ``PORTION`` bytes,
 a suffix array for the pages of all hosts of the portion (a token of another host is
@@ -190,7 +192,26 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
         stack.append((tag, drops, tag == "article", tag == "main" or a.get("role") == "main", sign))
         settle()
     close_block()
-    return stream, blocks
+    return _protected(stream, blocks), blocks
+
+
+def _protected(stream: list[str], blocks: list[Block]) -> list[str]:
+    """The stream with a mark for each block of plain article text; the other blocks move along.
+
+    The mark is the block's hash: pages of different articles stay different pages.
+    """
+    level, found = _candidates(blocks)
+    plain = {id(b) for b in found if level and not b.sign}
+    if not plain:
+        return stream
+    out, at = [], 0
+    for b in blocks:
+        out += stream[at:b.first]
+        at = b.first + b.size
+        words, b.first = stream[b.first:at], len(out)
+        out += words if id(b) not in plain else [
+            "\x01" + hashlib.blake2b(b.text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()]
+    return out + stream[at:]
 
 
 def suffixes(rank: np.ndarray, page: np.ndarray, sizes: np.ndarray):
