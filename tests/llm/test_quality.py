@@ -1,6 +1,7 @@
 """Operator 6: base counts and the ratio against plain Python."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -111,3 +112,23 @@ def test_no_python_in_the_plan(spark):
     labels = spark.range(5).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
     plan = Q.score_documents(docs, labels)._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in ("Python", "Pandas", "Arrow", "Exchange") if x in plan]
+
+
+def test_every_trusted_document_counts(spark):
+    """More labelled documents than any cap held: the last one by hash is still learned from."""
+    n = 120_000
+    last = spark.range(n).selectExpr("id", "xxhash64(id) as h").where("pmod(h, 2) = 0").orderBy(F.desc("h")).first()["id"]
+    docs = spark.range(n).selectExpr("id as doc_id", f"if(id = {last}, 'zebra', 'ant') as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert Q.trusted_ids(labels, 0).count() + Q.trusted_ids(labels, 1).count() == n
+    model = Q.train(docs, labels)
+    # Once in the corpus and once in the target weighs as much as in neither; else it weighs less.
+    assert model[grams("zebra")[0]] == model[grams("zebu")[0]]
+
+
+def test_ranks_by_counts(spark):
+    rng = random.Random(6)
+    values = [rng.randrange(-60 << 20, 5 << 20) for _ in range(300)] + [7, 7, 7, -1, 0, 4096, 4095]
+    frame = spark.createDataFrame([(v,) for v in values], "s long").repartition(3)
+    ranks = [0, 3, 150, 153, len(values) - 1]
+    assert Q.at_ranks(frame, ranks) == [sorted(values)[k] for k in ranks]
