@@ -45,7 +45,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, staged
+from .common import give_back, prepare, staged
 
 #: Positions that the two permutations act on.
 SPACE = 1 << 20
@@ -151,6 +151,7 @@ def _features(k: int, bands: int, rows: int):
                 [pa.array([s[i] for s in sketches], pa.int64()) for i in range(len(SKETCH))],
                 names=[c.split(" ")[0] for c in FEATURES.split(", ")])
         _words.clear()
+        give_back()
     return run
 
 
@@ -181,6 +182,9 @@ def _verify(k: int, num: int, den: int):
                         out[1].append(c)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in out],
                                              names=["a", "b"])
+        kept.clear()
+        _words.clear()
+        give_back()
     return run
 
 

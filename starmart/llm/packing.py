@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
-from .tokens import STORE, default_tokenizer, encoder, release
+from .common import BATCH_ROWS, give_back, prepare
+from .tokens import LARGE_STORE, STORE, default_tokenizer, encoder, release
 
 PIECES = ("doc_id long, start long, length long, bucket int, doc_tokens long, ids binary, "
           "sequence_id long, offset long")
@@ -54,13 +54,15 @@ def _pieces(path: str, end_id: int, max_len: int, store: int):
                 names=["doc_id", "start", "length", "bucket", "doc_tokens", "ids",
                        "sequence_id", "offset"])
         if store <= STORE:  # other stages use this worker next
+            del enc
             release(path)
+            give_back()
     return run
 
 
 def pack_binary(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
                 max_len: int = 2048, id_col: str = "doc_id",
-                text_col: str = "text", store: int = STORE) -> DataFrame:
+                text_col: str = "text", store: int = STORE // 3) -> DataFrame:
     """One row for each piece; ``bucket`` is the binary logarithm of its length.
 
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit integers.
@@ -68,7 +70,8 @@ def pack_binary(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
     """
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
-    prepare(docs.sparkSession, batch_rows=1024)
+    # Larger batches where the worker has the memory to itself.
+    prepare(docs.sparkSession, batch_rows=1024 if store >= LARGE_STORE else BATCH_ROWS)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(_pieces(

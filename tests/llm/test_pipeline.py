@@ -69,3 +69,20 @@ def test_what_is_registered():
     for n in range(1, 11):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert set(oracle.ORACLES) <= set(E.oracle_sql())
+
+
+def test_workers_give_freed_memory_back():
+    """Idle workers stay beside later stages: what a task has freed must not stay with them."""
+    import re
+
+    from starmart.llm.common import give_back
+
+    def held():
+        with open("/proc/self/status") as f:
+            return int(re.search(r"VmRSS:\s+(\d+)", f.read())[1]) // 1024
+
+    blocks = [bytes(4000) for _ in range(40_000)]
+    last, before = blocks[-1], held()  # keeps the heap's end in use
+    del blocks
+    give_back()
+    assert held() < before - 80 and last
