@@ -94,7 +94,11 @@ def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
     """
     cal = tables["dim_date"].select(F.col("full_date").alias("transaction_date"),
                                     F.lit(True).alias("_date_ok"))
-    s = staged.sales.join(cal, "transaction_date", "left")
+    # Only which required values are missing goes through the joins, not the values.
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in NOT_NULL]),
+                       lambda x: x.isNotNull())
+    s = staged.sales.select(*SALE_KEY, "customer_business_key", "transaction_date", F.when(
+        F.size(missing) > 0, missing).alias("_missing")).join(cal, "transaction_date", "left")
     s = s.join(tables["dim_store"].select("store_business_key", F.lit(True).alias("_store_ok")),
                "store_business_key", "left")
     s = covered(s, tables["dim_customer"], bk="customer_business_key",
@@ -104,10 +108,10 @@ def reject_report(staged, tables: dict[str, DataFrame]) -> DataFrame:
     checks = [(F.col("_date_ok").isNull(), "date_not_found"),
               (F.col("_store_ok").isNull(), "store_not_found"),
               (F.col("_customer_ok").isNull(), "customer_not_found"),
-              (F.col("_product_ok").isNull(), "product_not_found"),
-              *[(F.col(c).isNull(), f"null_{c}") for c in NOT_NULL]]
-    reasons = F.filter(F.array(*[F.when(cond, F.lit(r)) for cond, r in checks]),
-                       lambda x: x.isNotNull())
+              (F.col("_product_ok").isNull(), "product_not_found")]
+    reasons = F.concat(
+        F.filter(F.array(*[F.when(cond, F.lit(r)) for cond, r in checks]), lambda x: x.isNotNull()),
+        F.coalesce("_missing", F.array().cast("array<string>")))
     frames = [s.select(F.lit("sales").alias("source"), F.explode(reasons).alias("reason"),
                        _key_text(*SALE_KEY).alias("record_key"),
                        F.lit(1).cast("long").alias("n"))]

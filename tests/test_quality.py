@@ -83,3 +83,27 @@ def test_overlapping_versions_do_not_duplicate_reject_rows(spark):
         [(1, 1, "p", "b", "c", "s", None, START, None, True)], S.DIM_PRODUCT)
     rows = [(r["source"], r["reason"]) for r in reject_report(st, t).collect()]
     assert rows == [("sales", "null_transaction_id")]
+
+
+def test_reject_report_shuffles_no_money(spark):
+    """Joins carry which required values a sale lacks, not the values."""
+    st = _Staged()
+    st.sales = spark.createDataFrame(
+        [(None, dt.date(2022, 3, 3), 9, 1, 1, None, Decimal("1.00"), None, Decimal("0"))],
+        "transaction_id long, transaction_date date, customer_business_key long, "
+        "store_business_key long, product_business_key long, quantity long, "
+        "unit_price decimal(10,2), total_amount decimal(10,2), discount_amount decimal(10,2)")
+    st.customers = spark.createDataFrame([], "customer_business_key long, first_name string, last_name string, email string, gender string, country string, city string")
+    st.stores = spark.createDataFrame([], "store_business_key long, store_name string, city string, country string, region string, store_type string")
+    st.products = spark.createDataFrame([], "product_business_key long, product_name string, brand string, category string, subcategory string")
+    t = _tables(spark, [])
+    t["dim_date"] = dim_date(spark, dt.date(2022, 1, 1), dt.date(2022, 12, 31))
+    t["dim_store"] = spark.createDataFrame([(1, 1, "s", "c", "C", "R", "T", None)], S.DIM_STORE)
+    t["dim_product"] = spark.createDataFrame(
+        [(1, 1, "p", "b", "c", "s", None, START, None, True)], S.DIM_PRODUCT)
+    report = reject_report(st, t)
+    assert sorted(r["reason"] for r in report.collect()) == [
+        "customer_not_found", "null_quantity", "null_total_amount", "null_transaction_id"]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    joined = [x for x in plan.split("\n") if "Project" in x and "_date_ok" in x]
+    assert joined and not [x for x in joined if "unit_price" in x or "total_amount" in x]
