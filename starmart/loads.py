@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from . import schemas as S
-from .operators.facts import (conflict_ignoring_append, existing_conflict_keys, resolve_sales,
-                              with_sales_keys)
+from .operators.facts import (SaleParts, conflict_ignoring_append,
+                              existing_conflict_keys, resolve_sales, with_sales_keys)
 from .operators.ranking import max_key
 from .operators.scd import DimDelta, most_rows, scd1_merge, scd2_merge
 from .session import concurrently
@@ -33,15 +33,19 @@ class Staged:
     products: DataFrame
     stores: DataFrame
     sales: DataFrame
+    #: The same sales before the join of lines and headers, where the sources have them apart.
+    parts: SaleParts | None = None
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Staged":
         return cls(stg.stage_customers(spark, sf_dir), stg.stage_products(spark, sf_dir),
-                   stg.stage_stores(spark, sf_dir), stg.stage_sales(spark, sf_dir))
+                   stg.stage_stores(spark, sf_dir), stg.stage_sales(spark, sf_dir),
+                   SaleParts(stg.sale_lines(spark, sf_dir), stg.sale_headers(spark, sf_dir),
+                             stg.with_amounts))
 
     def batch2(self) -> "Staged":
         return Staged(stg.customers_batch2(self.customers), stg.products_batch2(self.products),
-                      stg.stores_batch2(self.stores), self.sales)
+                      stg.stores_batch2(self.stores), self.sales, self.parts)
 
 
 @dataclass
@@ -91,16 +95,15 @@ def load_dimensions(tables: Tables, staged: Staged, as_of: dt.date,
     return DimLoad(out, {"dim_customer": cust, "dim_product": prod, "dim_store": store}, events)
 
 
-def fact_batch(tables: Tables, sales: DataFrame, *, mode: str = "reference",
+def fact_batch(tables: Tables, sales: DataFrame | SaleParts, *, mode: str = "reference",
                date_from: dt.date | None = None, date_to: dt.date | None = None,
                after_key: int | None = None) -> DataFrame:
     """W13 + W14 (+ W15's date range): new fact rows with sales keys assigned."""
     if date_from is not None and date_to is not None:
         sales = sales.filter(F.col("transaction_date").between(F.lit(date_from), F.lit(date_to)))
+    existing = existing_conflict_keys(tables["fact_sales"], tables["dim_product"], mode)
     resolved = resolve_sales(sales, tables["dim_date"], tables["dim_store"],
                              tables["dim_customer"], tables["dim_product"])
-    existing = existing_conflict_keys(tables["fact_sales"], tables["dim_product"], mode)
     fresh = conflict_ignoring_append(resolved, existing, mode)
     start = max_key(tables["fact_sales"], "sales_key") if after_key is None else after_key
     return with_sales_keys(fresh, start)
-

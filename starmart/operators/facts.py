@@ -8,7 +8,10 @@ the threshold and otherwise sort-merge, splitting skewed keys
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -35,15 +38,44 @@ def pit_lookup(rows: DataFrame, dim: DataFrame, *, bk: str, key: str,
     return as_of(rows, dim, bk=bk, key=key, date_col=date_col)
 
 
-def resolve_sales(staged_sales: DataFrame, dim_date: DataFrame, dim_store: DataFrame,
+@dataclass
+class SaleParts:
+    """Staged sales before the join of their lines with what a transaction's lines share.
+
+    ``headers``: transaction_id, transaction_date, customer_business_key. ``lines``: the
+    other columns; ``amounts`` turns their raw numbers into quantity and money. The sales
+    are the inner join by transaction, also where transactions repeat.
+    """
+    lines: DataFrame
+    headers: DataFrame
+    amounts: Callable[[DataFrame], DataFrame]
+
+    def filter(self, condition: Column) -> "SaleParts":
+        """The sales whose transactions meet a condition on the headers."""
+        return SaleParts(self.lines, self.headers.filter(condition), self.amounts)
+
+
+def resolve_sales(staged_sales: DataFrame | SaleParts, dim_date: DataFrame, dim_store: DataFrame,
                   dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Resolve the four keys of staged sales. Unmatched rows drop out (W17 reports them)."""
+    """Resolve the four keys of staged sales. Unmatched rows drop out (W17 reports them).
+
+    Of ``SaleParts`` the headers meet the calendar and the customers, so that only they
+    are shuffled for these; the lines follow with raw numbers as far as the last lookup.
+    """
     cal = dim_date.select(F.col("full_date").alias("transaction_date"), "date_key")
-    rows = staged_sales.join(cal, "transaction_date", "inner")
-    rows = rows.join(dim_store.select("store_business_key", "store_key"),
-                     "store_business_key", "inner")
-    rows = pit_lookup(rows, dim_customer, bk="customer_business_key", key="customer_key")
+    stores = dim_store.select("store_business_key", "store_key")
+    if isinstance(staged_sales, SaleParts):
+        heads = pit_lookup(staged_sales.headers.join(cal, "transaction_date", "inner"),
+                           dim_customer, bk="customer_business_key", key="customer_key")
+        rows = staged_sales.lines.join(heads, "transaction_id", "inner").join(
+            stores, "store_business_key", "inner")
+    else:
+        rows = staged_sales.join(cal, "transaction_date", "inner").join(
+            stores, "store_business_key", "inner")
+        rows = pit_lookup(rows, dim_customer, bk="customer_business_key", key="customer_key")
     rows = pit_lookup(rows, dim_product, bk="product_business_key", key="product_key")
+    if isinstance(staged_sales, SaleParts):
+        rows = staged_sales.amounts(rows)
     return rows.select(*FACT_OUT, "product_business_key", "transaction_date")
 
 

@@ -62,7 +62,7 @@ def second_dims(spark: SparkSession, sf_dir: str) -> DimLoad:
 
 def first_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
-        return fact_batch(first_dims(spark, sf_dir).tables, staged(spark, sf_dir).sales)
+        return fact_batch(first_dims(spark, sf_dir).tables, staged(spark, sf_dir).parts)
     return _memo_get(spark, sf_dir, "fact1", build)
 
 
@@ -148,11 +148,15 @@ def load_dimensions_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pit_join_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every staged sale with the customer and product version valid on its date."""
     t = second_dims(spark, sf_dir).tables
-    s = staged(spark, sf_dir).sales.select(
-        "transaction_id", "transaction_date", "customer_business_key",
-        "product_business_key", "store_business_key", "quantity")
-    s = pit_lookup(s, t["dim_customer"], bk="customer_business_key", key="customer_key")
-    return pit_lookup(s, t["dim_product"], bk="product_business_key", key="product_key")
+    parts = staged(spark, sf_dir).parts
+    # A transaction's lines share its customer and date: one lookup for each transaction.
+    heads = pit_lookup(parts.headers, t["dim_customer"], bk="customer_business_key",
+                       key="customer_key")
+    s = pit_lookup(parts.lines.join(heads, "transaction_id", "inner"), t["dim_product"],
+                   bk="product_business_key", key="product_key")
+    return parts.amounts(s).select(
+        "transaction_id", "transaction_date", "customer_business_key", "product_business_key",
+        "store_business_key", "quantity", "customer_key", "product_key")
 
 
 def fact_sales_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +170,7 @@ def _reload(spark: SparkSession, sf_dir: str, mode: str) -> dict[str, DataFrame]
         fact1 = first_fact(spark, sf_dir).drop("transaction_date")
         t = dict(second_dims(spark, sf_dir).tables)
         t["fact_sales"] = fact1
-        again = fact_batch(t, staged(spark, sf_dir).sales, mode=mode)
+        again = fact_batch(t, staged(spark, sf_dir).parts, mode=mode)
         t["fact_sales"] = fact1.unionByName(again.drop("transaction_date"))
         return t
     return _memo_get(spark, sf_dir, f"reload-{mode}", build)
@@ -188,12 +192,12 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         st = staged(spark, sf_dir)
         dims1 = first_dims(spark, sf_dir)
-        early = st.sales.filter(F.col("transaction_date") < F.lit(C.BATCH2_AS_OF))
+        early = st.parts.filter(F.col("transaction_date") < F.lit(C.BATCH2_AS_OF))
         rows1 = fact_batch(dims1.tables, early).drop("transaction_date")
         # Dimension merges do not read the fact: the second batch's dimensions are shared.
         t2 = dict(second_dims(spark, sf_dir).tables)
         t2["fact_sales"] = rows1
-        rows2 = fact_batch(t2, st.sales, date_from=C.INCREMENT_FROM, date_to=C.INCREMENT_TO)
+        rows2 = fact_batch(t2, st.parts, date_from=C.INCREMENT_FROM, date_to=C.INCREMENT_TO)
         return rows1.unionByName(rows2.drop("transaction_date"))
     return _memo_get(spark, sf_dir, "incremental", build)
 

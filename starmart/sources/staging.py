@@ -87,28 +87,39 @@ def stage_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stage_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sales_raw from lineitem x orders, money in exact cents.
+def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of W04 as read: keys, and the raw numbers that ``with_amounts`` turns into money."""
+    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+              "l_quantity", "l_extendedprice", "l_discount")
+    return li.select(F.col("l_orderkey").alias("transaction_id"),
+                     F.col("l_suppkey").alias("store_business_key"),
+                     F.col("l_partkey").alias("product_business_key"),
+                     "l_quantity", "l_extendedprice", "l_discount")
+
+
+def sale_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lines of W04 share in a transaction: its date and customer."""
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return o.select(F.col("o_orderkey").alias("transaction_id"),
+                    F.to_date("o_orderdate").alias("transaction_date"),
+                    F.col("o_custkey").alias("customer_business_key"))
+
+
+def with_amounts(lines: DataFrame) -> DataFrame:
+    """Money in exact cents in place of a line's raw numbers.
 
     total_amount = quantity * unit_price - discount_amount, as in the
     reference's post-load update.
     """
-    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-              "l_quantity", "l_extendedprice", "l_discount")
-    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     qty = F.col("l_quantity").cast("long")
     ext = cents_of_double(F.col("l_extendedprice"))
     pct = cents_of_double(F.col("l_discount"))
     # Whole-number division; a sale of zero pieces has no unit price (null).
     unit_c = whole_div(ext * 2 + qty, F.nullif(qty * 2, F.lit(0)))
     disc_c = whole_div(ext * pct + 50, F.lit(100))
-    return j.select(
-        F.col("l_orderkey").alias("transaction_id"),
-        F.to_date("o_orderdate").alias("transaction_date"),
-        F.col("o_custkey").alias("customer_business_key"),
-        F.col("l_suppkey").alias("store_business_key"),
-        F.col("l_partkey").alias("product_business_key"),
+    raw = ("l_quantity", "l_extendedprice", "l_discount")
+    return lines.select(
+        *[c for c in lines.columns if c not in raw],
         qty.alias("quantity"),
         cents_to_amount(unit_c).alias("unit_price"),
         cents_to_amount(qty * unit_c - disc_c).alias("total_amount"),
@@ -116,6 +127,12 @@ def stage_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sales_raw from lineitem x orders, money in exact cents."""
+    met = sale_lines(spark, sf_dir).join(sale_headers(spark, sf_dir), "transaction_id", "inner")
+    return with_amounts(met).select(*SALES_COLS)
+
+
 # --- second batch (changes applied on top of a first load) --------------------
 
 def customers_batch2(staged: DataFrame) -> DataFrame:

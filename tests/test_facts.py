@@ -4,6 +4,8 @@ import datetime as dt
 from decimal import Decimal
 
 
+from pyspark.sql import functions as F
+
 from starmart import schemas as S
 from starmart.operators.facts import (conflict_ignoring_append, existing_conflict_keys,
                                       pit_lookup, resolve_sales)
@@ -106,3 +108,50 @@ def test_d4_reload_after_product_change(spark):
         again, existing_conflict_keys(fact, t2["dim_product"], mode), mode)
         for mode in ("reference", "business"))
     assert ref.count() == 1 and bus.count() == 0
+
+
+def _parts(spark, lines, headers):
+    from starmart.operators.facts import SaleParts
+    return SaleParts(
+        spark.createDataFrame(lines, "transaction_id long, store_business_key long, "
+                              "product_business_key long, l_quantity long"),
+        spark.createDataFrame(headers, "transaction_id long, transaction_date date, "
+                              "customer_business_key long"),
+        lambda rows: rows.withColumnsRenamed({"l_quantity": "quantity"}).withColumns({
+            c: F.col("quantity").cast("decimal(10,2)")
+            for c in ("unit_price", "total_amount", "discount_amount")}))
+
+
+def test_lines_and_headers_resolve_as_their_join_does(spark):
+    """Repeated and missing transactions, null keys, unknown members, days of two versions."""
+    before, after = AS_OF - dt.timedelta(days=1), AS_OF
+    parts = _parts(
+        spark,
+        [(1, 9, 100, 1), (1, 9, 100, 2), (2, 9, 100, 3), (2, 8, 100, 4), (3, 9, 100, 5),
+         (4, 9, 77, 6), (5, 9, 100, 7), (None, 9, 100, 8), (6, None, 100, 9), (7, 9, 100, None)],
+        [(1, before, 1), (2, after, 1), (2, after, 1), (2, before, 1), (3, None, 1),
+         (4, after, 1), (5, after, 77), (None, after, 1), (6, after, 1), (7, after, 1), (8, after, 1)])
+    dims = (_cal(spark), _stores(spark), _customers(spark), _products(spark, True))
+    flat = parts.amounts(parts.lines.join(parts.headers, "transaction_id"))
+    got, want = resolve_sales(parts, *dims), resolve_sales(flat, *dims)
+    assert got.schema == want.schema
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert got.count() == 6
+
+
+def test_customers_are_looked_up_once_for_a_transaction(spark):
+    """Only headers are shuffled for the customers: no line's column passes that exchange."""
+    parts = _parts(spark, [(1, 9, 100, 1)], [(1, AS_OF, 1)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = resolve_sales(parts, _cal(spark), _stores(spark), _customers(spark),
+                             _products(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if "hashpartitioning(customer_business_key" in x)
+    depth = lines[at].index("Exchange")
+    below = [x for i, x in enumerate(lines[at + 1:]) if all(
+        len(y) - len(y.lstrip(" :+-")) > depth for y in lines[at + 1:at + 2 + i])]
+    assert below and not any("l_quantity" in x for x in below)
