@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from . import schemas as S
-from .operators.facts import (SaleParts, conflict_ignoring_append,
+from .operators.facts import (SaleParts, conflict_columns, conflict_ignoring_append,
                               existing_conflict_keys, resolve_sales, with_sales_keys)
 from .operators.ranking import max_key
 from .operators.scd import DimDelta, most_rows, scd1_merge, scd2_merge
@@ -98,10 +98,16 @@ def load_dimensions(tables: Tables, staged: Staged, as_of: dt.date,
 def fact_batch(tables: Tables, sales: DataFrame | SaleParts, *, mode: str = "reference",
                date_from: dt.date | None = None, date_to: dt.date | None = None,
                after_key: int | None = None) -> DataFrame:
-    """W13 + W14 (+ W15's date range): new fact rows with sales keys assigned."""
+    """W13 + W14 (+ W15's date range): new fact rows with sales keys assigned.
+
+    A business conflict key is known before any lookup: the lines that the fact already has
+    leave first. A reference key is known from the product lookup on.
+    """
     if date_from is not None and date_to is not None:
         sales = sales.filter(F.col("transaction_date").between(F.lit(date_from), F.lit(date_to)))
     existing = existing_conflict_keys(tables["fact_sales"], tables["dim_product"], mode)
+    if mode == "business" and isinstance(sales, SaleParts):
+        sales, existing = sales.but(existing, conflict_columns(mode)), None
     resolved = resolve_sales(sales, tables["dim_date"], tables["dim_store"],
                              tables["dim_customer"], tables["dim_product"])
     fresh = conflict_ignoring_append(resolved, existing, mode)

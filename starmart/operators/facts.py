@@ -54,6 +54,10 @@ class SaleParts:
         """The sales whose transactions meet a condition on the headers."""
         return SaleParts(self.lines, self.headers.filter(condition), self.amounts)
 
+    def but(self, existing: DataFrame, keys: list[str]) -> "SaleParts":
+        """The sales whose ``keys``, columns of the lines, are not in ``existing``."""
+        return SaleParts(self.lines.join(existing, keys, "left_anti"), self.headers, self.amounts)
+
 
 def resolve_sales(staged_sales: DataFrame | SaleParts, dim_date: DataFrame, dim_store: DataFrame,
                   dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:

@@ -155,3 +155,20 @@ def test_customers_are_looked_up_once_for_a_transaction(spark):
     below = [x for i, x in enumerate(lines[at + 1:]) if all(
         len(y) - len(y.lstrip(" :+-")) > depth for y in lines[at + 1:at + 2 + i])]
     assert below and not any("l_quantity" in x for x in below)
+
+
+def test_reload_with_business_keys_looks_up_only_new_lines(spark):
+    """Known lines leave before any lookup; what is new loads as before."""
+    from starmart.loads import fact_batch
+    t = {"dim_date": _cal(spark), "dim_store": _stores(spark), "dim_customer": _customers(spark),
+         "dim_product": _products(spark, True), "fact_sales": spark.createDataFrame([], S.FACT_SALES)}
+    headers = [(i, AS_OF + dt.timedelta(days=i), 1) for i in range(1, 5)]
+    first = fact_batch(t, _parts(spark, [(1, 9, 100, 1), (2, 9, 100, 2)], headers), mode="business")
+    t["fact_sales"] = first.drop("transaction_date")
+    seen = []
+    parts = _parts(spark, [(1, 9, 100, 9), (2, 9, 100, 9), (3, 9, 100, 3), (3, 9, 100, 2)], headers)
+    amounts = parts.amounts
+    parts.amounts = lambda rows: seen.append(rows.count()) or amounts(rows)
+    again = fact_batch(t, parts, mode="business").collect()
+    assert [(r["sales_key"], r["transaction_id"], r["quantity"]) for r in again] == [(3, 3, 2)]
+    assert seen == [2]
