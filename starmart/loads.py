@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from . import config as C
 from . import schemas as S
 from .operators.facts import (SaleParts, conflict_columns, conflict_ignoring_append,
-                              existing_conflict_keys, resolve_sales, with_sales_keys)
+                              dedupe_in_order, existing_conflict_keys, resolve_for_order,
+                              resolve_sales, with_sales_keys)
 from .operators.ranking import max_key
 from .operators.scd import DimDelta, most_rows, scd1_merge, scd2_merge
 from .session import concurrently
@@ -101,15 +102,18 @@ def fact_batch(tables: Tables, sales: DataFrame | SaleParts, *, mode: str = "ref
     """W13 + W14 (+ W15's date range): new fact rows with sales keys assigned.
 
     A business conflict key is known before any lookup: the lines that the fact already has
-    leave first. A reference key is known from the product lookup on.
+    leave first. A reference key is known from the product lookup on. A first load meets
+    nothing: its duplicates are settled in the fact's order.
     """
+    dims = [tables[t] for t in ("dim_date", "dim_store", "dim_customer", "dim_product")]
     if date_from is not None and date_to is not None:
         sales = sales.filter(F.col("transaction_date").between(F.lit(date_from), F.lit(date_to)))
+    start = max_key(tables["fact_sales"], "sales_key") if after_key is None else after_key
+    if start == 0 and tables["fact_sales"].isEmpty():
+        return with_sales_keys(resolve_for_order(sales, *dims, mode), start,
+                               lambda rows: dedupe_in_order(rows, mode).drop("_met"))
     existing = existing_conflict_keys(tables["fact_sales"], tables["dim_product"], mode)
     if mode == "business" and isinstance(sales, SaleParts):
         sales, existing = sales.but(existing, conflict_columns(mode)), None
-    resolved = resolve_sales(sales, tables["dim_date"], tables["dim_store"],
-                             tables["dim_customer"], tables["dim_product"])
-    fresh = conflict_ignoring_append(resolved, existing, mode)
-    start = max_key(tables["fact_sales"], "sales_key") if after_key is None else after_key
+    fresh = conflict_ignoring_append(resolve_sales(sales, *dims), existing, mode)
     return with_sales_keys(fresh, start)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import checkpoint_dir
 from .asof import as_of
 from .ranking import assign_keys
 
@@ -54,6 +55,10 @@ class SaleParts:
         """The sales whose transactions meet a condition on the headers."""
         return SaleParts(self.lines, self.headers.filter(condition), self.amounts)
 
+    def join(self, transactions: DataFrame, on: str, how: str) -> "SaleParts":
+        """The sales whose transactions are (not) in a list; ``how``: left_semi or left_anti."""
+        return SaleParts(self.lines, self.headers.join(transactions, on, how), self.amounts)
+
     def but(self, existing: DataFrame, keys: list[str]) -> "SaleParts":
         """The sales whose ``keys``, columns of the lines, are not in ``existing``."""
         return SaleParts(self.lines.join(existing, keys, "left_anti"), self.headers, self.amounts)
@@ -95,14 +100,73 @@ def dedupe_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
     """One row per conflict key: the smallest by the remaining fact columns.
 
     A ``min(struct)`` aggregate, so a duplicate group holding a third of the
-    batch is reduced map-side before the shuffle. ``_met``: how many rows had the key.
+    batch is reduced map-side before the shuffle. ``_met``: how many rows had the key (a
+    batch that was reduced in part brings its own).
     """
     rest = [c for c in FACT_ORDER if c not in keys]
     best = F.min(F.struct(*[F.col(c) for c in rest])).alias("_b")
-    return batch.groupBy(*keys).agg(best, F.count(F.lit(1)).alias("_met")).select(
+    met = F.sum("_met") if "_met" in batch.columns else F.count(F.lit(1))
+    return batch.groupBy(*keys).agg(best, met.alias("_met")).select(
         *keys, *[F.col(f"_b.{c}").alias(c) for c in rest], "_met")
 
 
+#: Rows of a transaction up to which its duplicates may meet in one task.
+NEAR_ROWS = 1000
+
+
+def far_transactions(sales: DataFrame | SaleParts, dim_date: DataFrame) -> DataFrame:
+    """Transactions whose duplicates the fact's order may keep apart, or that have very many rows.
+
+    Duplicates of one day are neighbours in (date, product, transaction) order. Those of a
+    transaction with several days, or without a number, are not.
+    """
+    def counted(rows: DataFrame) -> DataFrame:
+        days = [F.min("date_key").alias("_lo"), F.max("date_key").alias("_hi")] if (
+            "date_key" in rows.columns) else []
+        per = rows.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("_n"), *days)
+        far = (F.col("_n") > NEAR_ROWS) | F.col("transaction_id").isNull()
+        if days:
+            far |= F.col("_lo") < F.col("_hi")
+        return per.filter(far).select("transaction_id")
+
+    cal = dim_date.select(F.col("full_date").alias("transaction_date"), "date_key")
+    if not isinstance(sales, SaleParts):
+        return counted(sales.select("transaction_id", "transaction_date").join(
+            cal, "transaction_date").drop("transaction_date"))
+    return counted(sales.headers.select("transaction_id", "transaction_date").join(
+        cal, "transaction_date").drop("transaction_date")).union(
+        counted(sales.lines.select("transaction_id"))).filter("transaction_id is not null").distinct()
+
+
+def resolve_for_order(sales: DataFrame | SaleParts, dim_date: DataFrame, dim_store: DataFrame,
+                      dim_customer: DataFrame, dim_product: DataFrame, mode: str) -> DataFrame:
+    """W13 + W14 of a first load, up to the fact's order: resolved sales with ``_met``.
+
+    Every conflict key with more than one row has them side by side in that order, few
+    enough for one task, where ``dedupe_in_order`` takes one: the batch is not shuffled for
+    its duplicates. Far transactions are reduced here, map-side first.
+    """
+    dims = (dim_date, dim_store, dim_customer, dim_product)
+    checkpoint_dir(dim_date.sparkSession)
+    far = far_transactions(sales, dim_date).checkpoint(eager=True)
+    one = F.lit(1).cast("long").alias("_met")
+    if far.isEmpty():
+        return resolve_sales(sales, *dims).select("*", one)
+    if isinstance(sales, SaleParts):
+        near, apart = (sales.join(far, "transaction_id", how) for how in ("left_anti", "left_semi"))
+    else:
+        far = far.withColumnRenamed("transaction_id", "_far")
+        same = F.col("transaction_id").eqNullSafe(F.col("_far"))
+        near, apart = (sales.join(far, same, how) for how in ("left_anti", "left_semi"))
+    return resolve_sales(near, *dims).select("*", one).unionByName(
+        dedupe_batch(resolve_sales(apart, *dims), conflict_columns(mode)))
+
+
+def dedupe_in_order(ranged: DataFrame, mode: str) -> DataFrame:
+    """W14 inside the range partitions of ``SALES_KEY_ORDER``, which no key spans."""
+    return dedupe_batch(ranged, list(dict.fromkeys([*SALES_KEY_ORDER, *conflict_columns(mode)])))
+
+
 def existing_conflict_keys(fact: DataFrame, dim_product: DataFrame, mode: str) -> DataFrame:
     """Conflict keys already in the fact; only two columns of the fact are read."""
     if mode == "reference":
@@ -150,12 +214,13 @@ def conflict_marked(batch: DataFrame, existing: DataFrame | None, mode: str) ->
 SALES_KEY_ORDER = ["date_key", "product_key", "transaction_id"]
 
 
-def with_sales_keys(rows: DataFrame, after: int) -> DataFrame:
+def with_sales_keys(rows: DataFrame, after: int, settle=None) -> DataFrame:
     """W09 on the fact: dense sales_key after the current maximum.
 
     Numbered in (date, product, transaction) order, which is also the
     fact's storage order (W25), so numbering and layout share one range
-    shuffle.
+    shuffle. ``settle`` as in ``ranking.placed``.
     """
-    keyed, _ = assign_keys(rows, [F.col(c) for c in SALES_KEY_ORDER], "sales_key", after)
+    keyed, _ = assign_keys(rows, [F.col(c) for c in SALES_KEY_ORDER], "sales_key", after,
+                           settle=settle)
     return keyed.select(*C.FACT_COLUMNS, "transaction_date")

@@ -24,7 +24,8 @@ from . import schemas as S
 from .catalog import Part, Warehouse
 from .functions.dates import year_month
 from .loads import Staged, load_dimensions
-from .operators.facts import SALES_KEY_ORDER, conflict_columns, conflict_marked, resolve_sales
+from .operators.facts import (SALES_KEY_ORDER, conflict_columns, conflict_marked,
+                              dedupe_in_order, resolve_for_order, resolve_sales)
 from .operators.layout import layout_order
 from .plans.marts import INCREMENTAL, MARTS, STORE_PAIRS, store_pairs, store_region_of
 from .session import concurrently, default_parallelism
@@ -220,20 +221,22 @@ def _write_dims(run: Run, dims, snap) -> dict[str, list[Part]]:
 FACT_ROWS, FILE_ROWS = 2_000_000, 1_000_000
 
 
-def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int
+def write_fact(run: Run, rows: DataFrame, after_key: int, staged_rows: int, settle=None
                ) -> tuple[list[Part], int]:
     """W09 + W25: the fact part and its conflict keys (none for no rows), and how many
     rows of the batch found all their dimensions.
 
-    ``rows`` as by ``conflict_marked``. They are range-partitioned in (date, product,
-    transaction) order and written once as columnar staging, tagged with their place, known
-    keys last in their partition; the counts of the partitions turn places into
-    dense keys as the rows are read back. The final files hold boxes of (date, product, store,
-    customer) inside year_month folders (``operators.layout``).
+    ``rows`` as by ``conflict_marked``, or made so by ``settle`` inside the range partitions.
+    They are range-partitioned in (date, product, transaction) order and written once as
+    columnar staging, tagged with their place, known keys last in their partition; the counts
+    of the partitions turn places into dense keys as the rows are read back. The final files
+    hold boxes of (date, product, store, customer) inside year_month folders
+    (``operators.layout``).
     """
     wh, order = run.wh, [F.col(c) for c in SALES_KEY_ORDER]
     width = max(default_parallelism(wh.spark), -(-staged_rows // FACT_ROWS))
-    tagged = (rows.repartitionByRange(width, *order).sortWithinPartitions("_known", *order)
+    ranged = rows.repartitionByRange(width, *order)
+    tagged = ((settle(ranged) if settle else ranged).sortWithinPartitions("_known", *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     staging = wh.staging_path(run.run_id, "fact")
     got = write_observed(
@@ -348,10 +351,16 @@ def _run_etl(wh, staged, as_of, mode, date_from, date_to, kind, dimensions) -> i
             after[table] = wh.read_parts(table, [*kept, *[p.path for p in parts]])
 
         step = "fact_sales"
-        resolved = resolve_sales(staged.sales, after["dim_date"], after["dim_store"],
-                                 after["dim_customer"], after["dim_product"])
-        marked = conflict_marked(resolved, loaded_keys(wh, staged.sales, seen, mode), mode)
-        parts, met = write_fact(run, marked, snap.max_key("fact_sales"), seen["rows"])
+        dims = [after[d] for d in ("dim_date", "dim_store", "dim_customer", "dim_product")]
+        known, settle = loaded_keys(wh, staged.sales, seen, mode), None
+        if known is None:  # nothing loaded: duplicates are settled in the fact's order
+            rows = resolve_for_order(staged.sales, *dims, mode)
+
+            def settle(ranged: DataFrame) -> DataFrame:
+                return dedupe_in_order(ranged, mode).withColumn("_known", F.lit(False))
+        else:
+            rows = conflict_marked(resolve_sales(staged.sales, *dims), known, mode)
+        parts, met = write_fact(run, rows, snap.max_key("fact_sales"), seen["rows"], settle)
         t = _trace(run, "fact resolve + write", t)
         inserted = parts[0].rows if parts else 0
         run.metric(C.METRIC_FACT_INSERTED, inserted)

@@ -172,3 +172,63 @@ def test_reload_with_business_keys_looks_up_only_new_lines(spark):
     again = fact_batch(t, parts, mode="business").collect()
     assert [(r["sales_key"], r["transaction_id"], r["quantity"]) for r in again] == [(3, 3, 2)]
     assert seen == [2]
+
+
+def _first_load(spark, flat, mode):
+    """A first load's facts, and the same from the batch reduced by a shuffle of its own."""
+    from starmart.loads import fact_batch
+    from starmart.operators.facts import with_sales_keys
+    dims = {"dim_date": _cal(spark), "dim_store": _stores(spark),
+            "dim_customer": _customers(spark), "dim_product": _products(spark, True)}
+    t = {**dims, "fact_sales": spark.createDataFrame([], S.FACT_SALES)}
+    got = fact_batch(t, flat, mode=mode)
+    rows = flat.amounts(flat.lines.join(flat.headers, "transaction_id")) if hasattr(flat, "lines") else flat
+    want = with_sales_keys(conflict_ignoring_append(resolve_sales(rows, *dims.values()), None, mode), 0)
+    assert got.schema == want.schema
+    got, want = (sorted(x.collect(), key=str) for x in (got, want))
+    assert got == want
+    return got
+
+
+def test_first_load_settles_duplicates_of_one_and_of_several_days(spark):
+    """A transaction of two days keeps its earlier row, also where no number is given."""
+    a, b = dt.date(2023, 7, 3), dt.date(2023, 7, 1)
+    rows = [_sale(1, a, total="5.00"), _sale(1, a, total="3.00"), _sale(2, a), _sale(2, b, total="9.00"),
+            _sale(None, a), _sale(None, b), _sale(3, dt.date(2023, 5, 1)), _sale(3, b)]
+    for mode in ("reference", "business"):
+        got = _first_load(spark, spark.createDataFrame(rows, SALES), mode)
+        assert sorted((r["transaction_id"] or 0, r["date_key"], r["total_amount"]) for r in got
+                      if r["transaction_id"] != 3) == [
+            (0, 20230701, Decimal("1.00")), (1, 20230703, Decimal("3.00")),
+            (2, 20230701, Decimal("9.00"))]
+        # Two versions of the product are two reference keys and one business key.
+        assert sum(r["transaction_id"] == 3 for r in got) == (2 if mode == "reference" else 1)
+
+
+def test_first_load_of_parts_settles_duplicates(spark, monkeypatch):
+    from starmart.operators import facts
+    a, b = AS_OF, AS_OF + dt.timedelta(days=1)
+    parts = _parts(spark, [(1, 9, 100, 5), (1, 9, 100, 3), (2, 9, 100, 2), (4, 9, 100, 7),
+                           *[(3, 9, 100, i) for i in range(20)], (None, 9, 100, 1)],
+                   [(1, a, 1), (2, b, 1), (2, a, 1), (3, a, 1), (4, a, 1), (4, a, 1), (None, a, 1)])
+    cal = _cal(spark)
+    assert {r[0] for r in facts.far_transactions(parts, cal).collect()} == {2}
+    for few in (facts.NEAR_ROWS, 10):  # the second: many rows of transaction 3 go the other way
+        monkeypatch.setattr(facts, "NEAR_ROWS", few)
+        got = _first_load(spark, parts, "reference")
+        assert [(r["transaction_id"], r["date_key"], r["quantity"]) for r in got] == [
+            (1, 20230601, 3), (2, 20230601, 2), (3, 20230601, 0), (4, 20230601, 7)]
+    assert {r[0] for r in facts.far_transactions(parts, cal).collect()} == {2, 3}
+
+
+def test_first_load_is_not_shuffled_for_its_duplicates(spark):
+    from starmart.operators.facts import SALES_KEY_ORDER, dedupe_in_order
+    from starmart.operators.ranking import placed
+    _, batch = _resolved(spark, [_sale(1, dt.date(2023, 1, 2)), _sale(1, dt.date(2023, 1, 2))], False)
+    for mode in ("reference", "business"):
+        rows = placed(batch, SALES_KEY_ORDER, 4, settle=lambda r: dedupe_in_order(r, mode))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("rangepartitioning") == 1
+        assert plan.index("rangepartitioning") > plan.index("Aggregate")  # printed root-first
+        assert "hashpartitioning(transaction_id" not in plan and "hashpartitioning(date_key" not in plan
+        assert rows.count() == 1
