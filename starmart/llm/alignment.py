@@ -36,8 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from array import array
-from itertools import groupby, islice
+from itertools import chain, groupby, islice
 from operator import itemgetter
 
 import numpy as np
@@ -63,6 +62,8 @@ PART_BYTES, PART_RUNS = 24 << 20, 512
 FAN_IN, FAN_BYTES = 64, 2 << 20
 #: Words that a worker keeps in each of two generations; longer words are not kept.
 STORE, KEPT_LENGTH = 150_000, 120
+#: Stretches that begin a word and are encoded as one text; bytes whose ends are compared at once.
+SIDE, AT_ONCE = 100, 1 << 20
 
 SPILL = ("chunk long, radix int, pairs binary, docs binary, doc_id array<long>, n_a array<long>, "
          "n_b array<long>, n_groups array<long>, n_links array<long>, digest array<string>, "
@@ -134,8 +135,11 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(n_b)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else
                         p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
-        self.name = list(map(str, range(max(n_a, n_b))))
+        self.size_a, self.size_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
+        # An id's digits with each of the marks that may follow it, one below the other.
+        names = np.array([f"{i}{m}".encode() for i in range(max(n_a, n_b)) for m in ",|;"])
+        self.names = names.view(np.uint8).reshape(len(names), -1)
+        self.name_size = (self.names != 0).sum(1)
         # Where a piece goes on over a space, a line end or from a letter to a mark, nothing is cut.
         self.spaced = not any("▁" in p.lstrip("▁") for p in pieces)
         self.lined = not any("\n" in p for p in pieces)
@@ -146,44 +150,88 @@ class Aligner:
         self.old: dict[str, Entry | None] = {}
         self.parts: dict[str, Entry | None] = {}
 
-    def entry(self, ids_a: list[int], ids_b: list[int], text: str) -> Entry | None:
-        raw = text.encode()
-        if (b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw
-                or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw or not raw):
+    def entries(self, ids_a: np.ndarray, ids_b: np.ndarray, stop: np.ndarray) -> list[Entry] | None:
+        """Entries of stretches that end at the bytes ``stop`` of what both sides' ids spell.
+
+        None where a token goes on over the end of a stretch.
+        """
+        end_a, end_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        ends_a, ends_b = np.zeros((2, int(stop[-1]) + 1), bool)
+        ends_a[end_a] = ends_b[end_b] = True
+        shared = ends_a & ends_b
+        if not shared[stop].all():
             return None
-        size_a, size_b, name = self.size_a, self.size_b, self.name
-        links, groups, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-        end_a, end_b = size_a[ids_a[0]], size_b[ids_b[0]]
-        while True:
-            links.append(ids_b[j] << ID_BITS | ids_a[i])
-            if end_a < end_b:
-                i += 1
-                end_a += size_a[ids_a[i]]
-            elif end_b < end_a:
-                j += 1
-                end_b += size_b[ids_b[j]]
+        # Tokens and groups that end up to each byte.
+        upto_a, upto_b, upto = (np.cumsum(x, dtype=np.int32) for x in (ends_a, ends_b, shared))
+        at = np.flatnonzero(ends_a | ends_b)
+        links = (ids_b[upto_b[at] - ends_b[at]] << ID_BITS | ids_a[upto_a[at] - ends_a[at]]).tobytes()
+        # A group's tokens of A, then those of B, each with the mark behind it.
+        shut_a, shut_b = ends_b[end_a], ends_a[end_b]
+        bounds = np.append(0, np.flatnonzero(shared))
+        code = np.empty(len(ids_a) + len(ids_b), np.int64)
+        code[np.arange(len(ids_a)) + upto_b[bounds[upto[end_a] - shut_a]]] = 3 * ids_a + shut_a
+        code[np.arange(len(ids_b)) + upto_a[bounds[upto[end_b] - shut_b + 1]]] = 3 * ids_b + 2 * shut_b
+        names = self.names[code].ravel()
+        groups = names[names != 0].tobytes().decode()
+        n_a, n_b, n_groups = upto_a[stop], upto_b[stop], upto[stop]
+        link = (8 * (n_a + n_b - n_groups).astype(np.int64)).tolist()
+        mark = np.cumsum(self.name_size[code])[n_a + n_b - 1].tolist()
+        return list(zip(*(np.diff(x, prepend=0).tolist() for x in (n_a, n_b, n_groups)),
+                        [links[i:j] for i, j in zip([0, *link], link)],
+                        [groups[i:j - 1] for i, j in zip([0, *mark], mark)]))
+
+    def encoded(self, stretches: list[str], side: int = SIDE) -> list[Entry | None]:
+        """Entries of stretches; those of a word's beginning start with its space.
+
+        As both sides end a token before it, ``side`` of these are encoded as one text.
+        """
+        blocks, alone = [[]], []
+        for i, t in enumerate(stretches):
+            if side == 1 or t[0] != " " or "▁" in t:
+                alone.append([i])
             else:
-                i, j = i + 1, j + 1
-                groups.append(",".join([name[x] for x in ids_a[from_a:i]]) + "|"
-                              + ",".join([name[x] for x in ids_b[from_b:j]]))
-                if i == len(ids_a):
-                    break
-                from_a, from_b = i, j
-                end_a += size_a[ids_a[i]]
-                end_b += size_b[ids_b[j]]
-        return len(ids_a), len(ids_b), len(groups), array("q", links).tobytes(), ";".join(groups)
-
-    def encoded(self, stretches: list[str]) -> list[Entry | None]:
-        """Entries of stretches; those of a word's beginning start with its space."""
-        ids_a = self.a.encode_batch_fast(stretches, add_special_tokens=False)
+                if len(blocks[-1]) == side:
+                    blocks.append([])
+                blocks[-1].append(i)
+        blocks = [b for b in blocks if b] + alone
+        texts = ["".join([stretches[i] for i in b]) for b in blocks]
+        ids_a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         # B adds a space itself; behind a line end it adds none.
         ids_b = self.b.encode([t[1:] if t[0] == " " else t if t == "\n" else "\n" + t
-                               for t in stretches], num_threads=1)
-        return [self.entry(a.ids, b if t[0] == " " else b[self.line:] if t == "\n" else
-                           b[self.line + 1:], t) for t, a, b in zip(stretches, ids_a, ids_b)]
+                               for t in texts], num_threads=1)
+        ids_b = [b if t[0] == " " else b[self.line:] if t == "\n" else b[self.line + 1:]
+                 for t, b in zip(texts, ids_b)]
+        out: list[Entry | None] = [None] * len(stretches)
+        again, held, size = [], [], 0
+        for k, (block, text) in enumerate(zip(blocks, texts)):
+            raw = text.encode()
+            if (b"".join(map(self.bytes_a.__getitem__, ids_a[k])) == raw
+                    and b"".join(map(self.bytes_b.__getitem__, ids_b[k])) == raw):
+                held.append(k)
+                size += len(raw)
+            elif len(block) > 1:
+                again += block
+            if held and (size > AT_ONCE or k == len(blocks) - 1):
+                a, b = (np.fromiter(chain.from_iterable([x[h] for h in held]), np.int64)
+                        for x in (ids_a, ids_b))
+                places = [i for h in held for i in blocks[h]]
+                stop = np.cumsum([len(stretches[i].encode()) for i in places])
+                entries = self.entries(a, b, stop)
+                if entries is None:
+                    again += places
+                else:
+                    for i, e in zip(places, entries):
+                        out[i] = e
+                held, size = [], 0
+        if again and side > 1:
+            for i, e in zip(again, self.encoded([stretches[i] for i in again], 1)):
+                out[i] = e
+        return out
 
     def cut(self, word: str) -> list[str]:
-        """The stretches of a space and ``word``, which holds no space."""
+        """The stretches of ``word``, which holds no space; the first is thought behind one."""
+        if word.isalpha():
+            return [word]
         lines = word.split("\n") if self.lined and "\n" in word else [word]
         if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             lines = [word]
@@ -191,33 +239,48 @@ class Aligner:
         for k, line in enumerate(lines):
             if k:
                 out.append("\n")
-            lead = "" if k else " "
             core = line.rstrip(self.marks)
             if core.isalpha() and len(core) < len(line):
-                out += [lead + core, line[len(core):]]
+                out += [core, line[len(core):]]
             else:
-                out.append(lead + line)
+                out.append(line)
         return out
 
     def lookup(self, words: list[str]) -> list[Entry | None]:
         """The entries of words, each behind a space."""
         kept, old, parts = self.words, self.old, self.parts
-        cuts, lacking = {}, {}
-        for w in words:
-            if w not in kept:
-                if w in old:
-                    kept[w] = old[w]
+        # False stands for a word that the store lacks.
+        out = [kept.get(w, False) for w in words]
+        cuts, begins, others = [], {}, {}
+        for i in [i for i, e in enumerate(out) if e is False]:
+            w = words[i]
+            if w in old:
+                out[i] = kept[w] = old[w]
+                continue
+            stretches = self.cut(w)
+            cuts.append((i, stretches))
+            begin = stretches[0]  # a word, too
+            if begin not in kept:
+                if begin in old:
+                    kept[begin] = old[begin]
                 else:
-                    cuts[w] = self.cut(w)
-                    lacking.update((x, None) for x in cuts[w] if x not in parts)
-        new = list(lacking)
-        parts.update(zip(new, self.encoded(new)) if new else ())
-        found = {}
-        for w, stretches in cuts.items():
-            entries = [parts[x] for x in stretches]
-            found[w] = None if None in entries else entries[0] if len(entries) == 1 else joined(entries)
-        kept.update((w, e) for w, e in found.items() if len(w) <= KEPT_LENGTH)
-        out = [found[w] if w in found else kept[w] for w in words]
+                    begins[begin] = None
+            for x in stretches[1:]:
+                if x not in parts:
+                    others[x] = None
+        found = iter(self.encoded([" " + x for x in begins] + list(others)))
+        for new, store in ((begins, kept), (others, parts)):
+            new.update(zip(list(new), found))
+            store.update((x, e) for x, e in new.items() if len(x) <= KEPT_LENGTH)
+        for i, stretches in cuts:
+            w, begin = words[i], stretches[0]
+            e = begins[begin] if begin in begins else kept[begin]
+            if len(stretches) > 1:
+                entries = [e, *(others[x] if x in others else parts[x] for x in stretches[1:])]
+                e = None if None in entries else joined(entries)
+                if len(w) <= KEPT_LENGTH:
+                    kept[w] = e
+            out[i] = e
         if len(kept) > STORE:
             self.words, self.old = {}, kept
         if len(parts) > STORE:
@@ -226,7 +289,7 @@ class Aligner:
 
     def whole(self, texts: list[str]) -> list[Entry | None]:
         """The entries of a space and each text, asked of both libraries at once."""
-        return self.encoded([" " + t for t in texts]) if texts else []
+        return self.encoded([" " + t for t in texts], 1) if texts else []
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}

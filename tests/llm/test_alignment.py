@@ -146,3 +146,76 @@ def test_ids_beyond_the_record(monkeypatch):
     monkeypatch.setattr(alignment, "ID_BITS", 4)
     with pytest.raises(ValueError):
         alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+
+
+def fresh():
+    return alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+
+
+class Counting:
+    """A library that counts the texts it is asked for."""
+
+    def __init__(self, library, method):
+        self.library, self.method, self.texts = library, method, 0
+
+    def __getattr__(self, name):
+        def call(texts, **options):
+            self.texts += len(texts) if name == self.method else 0
+            return getattr(self.library, name)(texts, **options)
+        return call
+
+
+def test_new_words_are_encoded_side_by_side():
+    """The libraries are asked for a hundred new words at once, not for each (1431 CPU seconds a GB)."""
+    al = fresh()
+    al.a, al.b = Counting(al.a, "encode_batch_fast"), Counting(al.b, "encode")
+    words = [f"word{i}x" for i in range(2000)] + ["plain,", "a\nb", "▁", "x▁y"]
+    found = al.lookup(words)
+    # Twenty-one blocks; a comma, a line end, a word behind one, and two that hold a mark of B.
+    assert al.a.texts == al.b.texts == 21 + 5
+    assert found == [alignment.joined(e) if None not in e else None for e in (
+        [fresh_entry(x if k else " " + x) for k, x in enumerate(al.cut(w))] for w in words)]
+
+
+_alone = fresh()
+
+
+def fresh_entry(stretch):
+    return _alone.encoded([stretch], 1)[0]
+
+
+def test_a_word_that_its_tokens_do_not_spell_costs_no_other():
+    al = fresh()
+    al.bytes_b[SP.piece_to_id("▁the")] = b"?"
+    words = ["of", "the", "quick", "other", "then"]
+    assert [e is None for e in al.lookup(words)] == [w == "the" for w in words]
+    assert [e for e in al.lookup(words) if e] == [fresh_entry(" " + w) for w in words if w != "the"]
+
+
+def test_stretches_that_a_token_goes_on_over(monkeypatch):
+    """Where a token lies over the end of a stretch, stretches are encoded one by one."""
+    al, sides, whole = fresh(), [], alignment.Aligner.entries
+
+    def entries(self, ids_a, ids_b, stop):
+        sides.append(len(stop))
+        return whole(self, ids_a, ids_b, stop - [1, 0, 0] if len(sides) == 1 else stop)
+    monkeypatch.setattr(alignment.Aligner, "entries", entries)
+    words = ["quick", "brown", "foxes"]
+    assert al.lookup(words) == [fresh_entry(" " + w) for w in words]
+    assert sides[0] == 3 and len(sides) > 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("abcdehnorst é日😀.,'1&\x00sS")), min_size=1, max_size=12),
+                min_size=1, max_size=8, unique=True), st.integers(1, 60))
+def test_entries_against_all_pairs(words, at_once):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(alignment, "AT_ONCE", at_once)
+        for w, e in zip(words, _alone.encoded([" " + w for w in words], 1 if " " in "".join(words) else 3)):
+            (_, n_a, n_b, n_groups, n_links, _, _, digest), = brute([(0, w)])[0]
+            count = brute([(0, w)])[1]
+            assert e[:3] == (n_a, n_b, n_groups)
+            assert hashlib.sha256(e[4].encode()).hexdigest() == digest
+            pairs = [divmod(int.from_bytes(e[3][k:k + 8], "little"), 1 << alignment.ID_BITS)
+                     for k in range(0, len(e[3]), 8)]
+            assert len(pairs) == n_links and Counter((a, b) for b, a in pairs) == count
