@@ -109,6 +109,9 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 def joined(entries: list[Entry]) -> Entry:
     """The entry of stretches side by side."""
+    if len(entries) == 2:
+        (a, b, g, links, groups), (a2, b2, g2, links2, groups2) = entries
+        return a + a2, b + b2, g + g2, links + links2, f"{groups};{groups2}"
     n_a, n_b, n_groups, links, groups = zip(*entries)
     return sum(n_a), sum(n_b), sum(n_groups), b"".join(links), ";".join(groups)
 
@@ -230,8 +233,6 @@ class Aligner:
 
     def cut(self, word: str) -> list[str]:
         """The stretches of ``word``, which holds no space; the first is thought behind one."""
-        if word.isalpha():
-            return [word]
         lines = word.split("\n") if self.lined and "\n" in word else [word]
         if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             lines = [word]
@@ -251,12 +252,16 @@ class Aligner:
         kept, old, parts = self.words, self.old, self.parts
         # False stands for a word that the store lacks.
         out = [kept.get(w, False) for w in words]
-        cuts, begins, others = [], {}, {}
+        uncut, cuts, begins, others = [], [], {}, {}
         for i in [i for i, e in enumerate(out) if e is False]:
             w = words[i]
             if w in old:
                 out[i] = kept[w] = old[w]
                 continue
+            if w.isalpha():
+                uncut.append(i)
+                begins[w] = None
+                continue
             stretches = self.cut(w)
             cuts.append((i, stretches))
             begin = stretches[0]  # a word, too
@@ -271,7 +276,12 @@ class Aligner:
         found = iter(self.encoded([" " + x for x in begins] + list(others)))
         for new, store in ((begins, kept), (others, parts)):
             new.update(zip(list(new), found))
-            store.update((x, e) for x, e in new.items() if len(x) <= KEPT_LENGTH)
+            if max(map(len, new), default=0) <= KEPT_LENGTH:
+                store.update(new)
+            else:
+                store.update((x, e) for x, e in new.items() if len(x) <= KEPT_LENGTH)
+        for i in uncut:
+            out[i] = begins[words[i]]
         for i, stretches in cuts:
             w, begin = words[i], stretches[0]
             e = begins[begin] if begin in begins else kept[begin]
@@ -373,33 +383,36 @@ def _spill(path_a: str, path_b: str, keep_groups: bool):
     def run(batches):
         al, number = aligner(path_a, path_b), TaskContext.get().partitionId() << 32
         chunk = Chunk(number)
-        for b in batches:
-            texts = b.column("text").to_pylist()
-            ids = b.column("doc_id").to_pylist()
-            for i, j in _portions(texts):
-                if len(chunk.docs) + j - i > 1 << DOC_BITS:
-                    yield from chunk.spill()
-                    chunk = Chunk(chunk.number + 1)
-                _gather(al, chunk, ids[i:j], texts[i:j], keep_groups)
-                if chunk.size >= CHUNK_RECORDS:
-                    yield from chunk.spill()
-                    chunk = Chunk(chunk.number + 1)
+        for ids, texts in _portions(batches):
+            if len(chunk.docs) + len(texts) > 1 << DOC_BITS:
+                yield from chunk.spill()
+                chunk = Chunk(chunk.number + 1)
+            _gather(al, chunk, ids, texts, keep_groups)
+            if chunk.size >= CHUNK_RECORDS:
+                yield from chunk.spill()
+                chunk = Chunk(chunk.number + 1)
         if chunk.docs:
             yield from chunk.spill()
     return run
 
 
-def _portions(texts, at_once: int = 2_000_000):
-    """Ranges of a batch of a bounded number of characters, or of one text."""
-    i, size = 0, 0
-    for j, t in enumerate(texts):
-        n = len(t or "")
-        if j > i and size + n > at_once:
-            yield i, j
-            i, size = j, 0
-        size += n
-    if len(texts) > i:
-        yield i, len(texts)
+def _portions(batches, at_once: int = 2_000_000, most_rows: int = 2_048):
+    """Ids and texts of a bounded number of rows and characters, or of one text, over batches.
+
+    The more there are, the fewer of their distinct words come again in the next portion.
+    """
+    ids, texts, size = [], [], 0
+    for b in batches:
+        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            n = len(t or "")
+            if texts and (size + n > at_once or len(texts) == most_rows):
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(t)
+            size += n
+    if texts:
+        yield ids, texts
 
 
 def _gather(al: Aligner, chunk: Chunk, ids: list, texts: list, keep_groups: bool) -> None:
